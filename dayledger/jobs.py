@@ -6,7 +6,10 @@ import importlib
 
 from dayledger.registry import JOBS, Job
 
-MODULES = ["dayledger.plans.pipeline"]
+MODULES = [
+    f"dayledger.{m}"
+    for m in ("plans.pipeline", "plans.rows", "plans.joins", "plans.aggregates", "plans.windows", "plans.sorts_sets")
+]
 
 
 def all_jobs() -> dict[str, Job]:
