@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from dayledger.operators.hot import split_hot
 from dayledger.operators.skew import salted_join
 from dayledger.registry import query
-from dayledger.session import scratch, small_side, table
+from dayledger.session import scratch, setting, small_side, table
 from dayledger.sources import inputs as I
 
 
@@ -285,7 +285,8 @@ def table_insert(spark: SparkSession, d: str) -> DataFrame:
     first.write.partitionBy("o_orderstatus").option("path", scratch(spark, name)).format("parquet").saveAsTable(name)
     o.filter("o_orderstatus <> 'F'").write.insertInto(name)
     urgent = o.filter("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'")
-    urgent.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        urgent.write.insertInto(name, overwrite=True)
     return spark.table(name).groupBy("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("n"))
 
 

@@ -7,19 +7,21 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from dayledger.operators.hot import hot_rows, split_hot
 from dayledger.plans.files import new_name
 from dayledger.registry import query
 from dayledger.session import scratch, table
 from dayledger.sources import inputs as I
 
 
-@F.udf("string", useArrow=True)
+@F.udf(T.StringType(), useArrow=True)
 def title_of(name: str) -> str:
     return " ".join(w.capitalize() for w in name.split(" "))
 
 
-@F.udf("long", useArrow=True)
+@F.udf(T.LongType(), useArrow=True)
 def letters_in(name: str) -> int:
     return sum(c.isalpha() for c in name)
 
@@ -43,7 +45,7 @@ def udf_scalar(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def net_price(price: pd.Series, discount: pd.Series) -> pd.Series:
     return price * (1 - discount)
 
@@ -57,7 +59,7 @@ def udf_pandas_series(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").select("l_orderkey", "l_partkey", net.alias("net"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def net_price_iter(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for price, discount in batches:
         yield price * (1 - discount)
@@ -69,7 +71,10 @@ def udf_pandas_iter(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").select("l_orderkey", "l_partkey", net.alias("net"))
 
 
-@F.pandas_udf("color string, size_class long")
+PART_INFO = T.StructType([T.StructField("color", T.StringType()), T.StructField("size_class", T.LongType())])
+
+
+@F.pandas_udf(PART_INFO)
 def describe_part(name: pd.Series, info: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"color": name.str.split(" ").str[0], "size_class": info["p_size"] // 10})
 
@@ -83,26 +88,32 @@ def udf_pandas_struct(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", made.alias("m")).select("p_partkey", "m.*")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def weighted_mean(value: pd.Series, weight: pd.Series) -> float:
     return float((value * weight).sum() / weight.sum())
 
 
+@F.pandas_udf(T.DoubleType())
 def count_rows(value: pd.Series) -> float:
     return float(len(value))
 
 
 @query("udaf_pandas", "SELECT o_custkey, round(avg(o_totalprice), 6) AS mean FROM orders GROUP BY 1")
 def udaf_pandas(spark: SparkSession, d: str) -> DataFrame:
-    """Two levels: the Python aggregate sees one block of a key's rows, then its block means."""
-    o = table(spark, d, "orders").withColumn("_block", F.floor(F.col("o_orderkey") / 1000))
-    rows_in = F.pandas_udf(count_rows, "double")
-    parts = o.groupBy("o_custkey", "_block").agg(
-        weighted_mean("o_totalprice", F.lit(1.0)).alias("m"), rows_in("o_totalprice").alias("w")
-    )
-    return parts.groupBy("o_custkey").agg(
-        F.round(F.sum(F.col("m") * F.col("w")) / F.sum("w"), 6).alias("mean")
-    )
+    """The Python aggregate gets a key's rows at once; a hot key goes block by block, then over its block means."""
+    one = F.lit(1.0)
+
+    def plain(o: DataFrame) -> DataFrame:
+        return o.groupBy("o_custkey").agg(weighted_mean("o_totalprice", one).alias("mean"))
+
+    def sliced(o: DataFrame) -> DataFrame:
+        parts = o.groupBy("o_custkey", F.floor(F.col("o_orderkey") / hot_rows(o)).alias("_block")).agg(
+            weighted_mean("o_totalprice", one).alias("m"), count_rows("o_totalprice").alias("w")
+        )
+        return parts.groupBy("o_custkey").agg((F.sum(F.col("m") * F.col("w")) / F.sum("w")).alias("mean"))
+
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return split_hot(o, ["o_custkey"], plain, sliced).withColumn("mean", F.round("mean", 6))
 
 
 @query("udaf_buffer", "SELECT c_mktsegment, round(avg(c_acctbal), 6) AS mean FROM customer GROUP BY 1")
@@ -125,27 +136,36 @@ def map_in_pandas(spark: SparkSession, d: str) -> DataFrame:
     return e.mapInPandas(only_valuable, "event_id long, value double")
 
 
-def minus_mean(block: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"o_orderkey": block["o_orderkey"], "diff": (block["o_totalprice"] - block["mean"]).round(6)})
+def minus_mean(group: pd.DataFrame) -> pd.DataFrame:
+    price = group["o_totalprice"]
+    mean = group["mean"] if "mean" in group else price.mean()
+    return pd.DataFrame({"o_orderkey": group["o_orderkey"], "diff": price - mean})
 
 
 @query(
     "apply_in_pandas",
-    "SELECT o_orderkey, round(o_totalprice - avg(o_totalprice) OVER (PARTITION BY o_custkey), 4) AS diff FROM orders",
+    "SELECT o_orderkey, round(o_totalprice - avg(o_totalprice) OVER (PARTITION BY o_custkey), 6) AS diff FROM orders",
 )
 def apply_in_pandas(spark: SparkSession, d: str) -> DataFrame:
-    """The mean is a built-in aggregate joined back; the function then works on blocks of a key's rows."""
+    """One call per key; for a hot key the mean comes from a built-in aggregate and the calls get blocks of rows."""
+    out = "o_orderkey long, diff double"
+
+    def plain(o: DataFrame) -> DataFrame:
+        return o.groupBy("o_custkey").applyInPandas(minus_mean, out)
+
+    def sliced(o: DataFrame) -> DataFrame:
+        means = o.groupBy("o_custkey").agg(F.avg("o_totalprice").alias("mean"))
+        blocks = o.join(F.broadcast(means), "o_custkey").groupBy("o_custkey", F.floor(F.col("o_orderkey") / hot_rows(o)))
+        return blocks.applyInPandas(minus_mean, out)
+
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    means = o.groupBy("o_custkey").agg(F.avg("o_totalprice").alias("mean"))
-    blocks = o.join(means, "o_custkey").groupBy("o_custkey", F.floor(F.col("o_orderkey") / 1000))
-    done = blocks.applyInPandas(minus_mean, "o_orderkey long, diff double")
-    return done.select("o_orderkey", F.round("diff", 4).alias("diff"))
+    return split_hot(o, ["o_custkey"], plain, sliced).withColumn("diff", F.round("diff", 6))
 
 
-def nearest_before(orders: pd.DataFrame, visits: pd.DataFrame) -> pd.DataFrame:
-    left, right = orders.sort_values(["ts", "event_id"]), visits.sort_values(["ts", "visit_id"])
-    out = pd.merge_asof(left, right[["ts", "visit_id"]], on="ts")
-    return out[["event_id", "visit_id"]]
+def nearest_before(buys: pd.DataFrame, views: pd.DataFrame) -> pd.DataFrame:
+    left = buys.sort_values(["ts", "event_id"])
+    right = views.sort_values(["seen", "visit_id"])[["seen", "visit_id"]]
+    return pd.merge_asof(left, right, left_on="ts", right_on="seen")[["event_id", "visit_id"]]
 
 
 @query(
@@ -157,20 +177,42 @@ ASOF LEFT JOIN (SELECT user_id, ts, max(event_id) AS event_id FROM events WHERE
 """,
 )
 def cogroup_in_pandas(spark: SparkSession, d: str) -> DataFrame:
-    """As-of match per (user, day): the day's rows and, carried in, the last view of earlier days."""
-    e = I.events(spark, d).withColumn("day", F.to_date("ts"))
-    buys = e.filter("event_type = 'purchase'").select("user_id", "day", "ts", "event_id")
-    views = e.filter("event_type = 'view'").select("user_id", "day", "ts", F.col("event_id").alias("visit_id"))
-    last = views.groupBy("user_id", "day").agg(F.max(F.struct("ts", "visit_id")).alias("last"))
-    days = buys.select("user_id", "day").distinct().join(last, ["user_id", "day"], "full")
-    before = Window.partitionBy("user_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    carried = days.withColumn("c", F.last("last", ignorenulls=True).over(before)).filter("c IS NOT NULL")
-    right = views.unionByName(carried.select("user_id", "day", "c.ts", "c.visit_id"))
-    keys = ["user_id", "day"]
-    return buys.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(nearest_before, "event_id long, visit_id long")
-
-
-@F.udtf(returnType="line_no: int, n_words: int")
+    """As-of match per user. Hot users are matched hour by hour, with the last view of earlier hours carried in."""
+
+    def sides(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+        e = e.withColumn("hour", F.date_trunc("hour", "ts"))
+        views = e.filter("event_type = 'view'").select(
+            F.col("user_id").alias("viewer"), F.col("hour").alias("v_hour"), F.col("ts").alias("seen"),
+            F.col("event_id").alias("visit_id"),
+        )
+        return e.filter("event_type = 'purchase'").drop("event_type"), views
+
+    out = "event_id long, visit_id long"
+
+    def plain(e: DataFrame) -> DataFrame:
+        buys, views = sides(e)
+        return buys.groupBy("user_id").cogroup(views.groupBy("viewer")).applyInPandas(nearest_before, out)
+
+    def sliced(e: DataFrame) -> DataFrame:
+        buys, views = sides(e)
+        last = views.groupBy("viewer", "v_hour").agg(F.max(F.struct("seen", "visit_id")).alias("last"))
+        hours = buys.select(F.col("user_id").alias("viewer"), F.col("hour").alias("v_hour")).distinct()
+        before = Window.partitionBy("viewer").orderBy("v_hour").rowsBetween(Window.unboundedPreceding, -1)
+        carried = hours.join(last, ["viewer", "v_hour"], "full").withColumn(
+            "c", F.last("last", ignorenulls=True).over(before)
+        )
+        right = views.unionByName(carried.filter("c IS NOT NULL").select("viewer", "v_hour", "c.seen", "c.visit_id"))
+        right = right.groupBy("viewer", "v_hour")
+        return buys.groupBy("user_id", "hour").cogroup(right).applyInPandas(nearest_before, out)
+
+    e = I.events(spark, d).select("event_id", "user_id", "ts", "event_type")
+    return split_hot(e.filter("event_type IN ('purchase', 'view')"), ["user_id"], plain, sliced)
+
+
+LINE_SIZES = T.StructType([T.StructField("line_no", T.IntegerType()), T.StructField("n_words", T.IntegerType())])
+
+
+@F.udtf(returnType=LINE_SIZES)
 class LineSizes:
     """Line numbers and word counts of a text."""
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dayledger.operators.hot import framed, hot_rows, number_rows, split_hot, with_slice_totals
 from dayledger.operators.timed import sessions
@@ -263,7 +264,7 @@ def win_collect(spark: SparkSession, d: str) -> DataFrame:
     return split_hot(_orders(spark, d, "o_orderstatus"), [KEY], plain, sliced)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def own_mean(v: pd.Series) -> float:
     return v.mean()
 

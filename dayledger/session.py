@@ -4,10 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import dayledger
+
+# Python functions travel to the executors by value: they need no copy of this package.
+cloudpickle.register_pickle_by_value(dayledger)
+
 # Rows of one key above which its group is split over several tasks.
 HOT_ROWS_KEY = "spark.dayledger.hotRows"
 HOT_ROWS_DEFAULT = 1_000_000
@@ -80,6 +88,17 @@ def zoned(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in cols})
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the length of one write."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared folder and read back: cuts lineage and survives lost executors."""
     path = scratch(df.sparkSession, name)
