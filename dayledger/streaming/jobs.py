@@ -278,7 +278,7 @@ def stream_session_state(spark: SparkSession, d: str) -> DataFrame:
     """Own state per user. Each Arrow batch is cut to partial sessions before the shuffle, so hot users shrink first."""
     e = I.events(spark, d).select("event_id", "user_id", "ts", "event_type")
     path, _ = feed([*by_days(e), closing_event(e, event_id=-1, user_id=-1)], "session_state")
-    s = open_feed(spark, path, e.schema).withWatermark("ts", "10 minutes")
+    s = open_feed(spark, path, e.schema)
     parts = s.select("user_id", F.col("ts").alias("start"), F.col("ts").alias("last"), F.lit(1).cast("long").alias("n"))
     parts = parts.mapInPandas(combine_locally, PART).withWatermark("last", "10 minutes")
     sessions = parts.groupBy("user_id").applyInPandasWithState(
@@ -517,10 +517,9 @@ def stream_kmeans(spark: SparkSession, d: str) -> DataFrame:
 
     def update(batch: DataFrame, _: int) -> None:
         centers = [F.array(*[F.lit(x) for x in c]) for c in state["centers"]]
-        best = F.array_min(
-            F.array(*[F.struct(squared_distance(F.col("v"), c).alias("dist"), F.lit(i).alias("c")) for i, c in enumerate(centers)])
-        )["c"]
-        dims = batch.select(best.alias("c"), F.posexplode("v").alias("i", "x"))
+        near = batch.withColumn("d", F.array(*[squared_distance(F.col("v"), c) for c in centers]))
+        best = (F.array_position("d", F.array_min("d")) - 1).alias("c")
+        dims = near.select(best, F.posexplode("v").alias("i", "x"))
         sums = dims.groupBy("c", "i").agg(F.sum("x").alias("s"), F.count("*").alias("n")).collect()  # k x width rows
         moved: dict[int, dict[int, float]] = {}
         counts: dict[int, int] = {}
