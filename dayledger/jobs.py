@@ -8,7 +8,7 @@ from dayledger.registry import JOBS, Job
 
 MODULES = [
     f"dayledger.{m}"
-    for m in ("plans.pipeline", "plans.rows", "plans.joins", "plans.aggregates", "plans.windows", "plans.sorts_sets", "plans.scalar", "plans.files", "plans.udfs", "streaming.jobs", "plans.graphs", "plans.models")
+    for m in ("plans.pipeline", "plans.rows", "plans.joins", "plans.aggregates", "plans.windows", "plans.sorts_sets", "plans.scalar", "plans.files", "plans.udfs", "streaming.jobs", "plans.graphs", "plans.models", "plans.features")
 ]
 
 
