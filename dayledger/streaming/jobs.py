@@ -28,7 +28,11 @@ from dayledger.streaming.feed import (
     stream_table,
 )
 
-TOTALS = (F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+def totals() -> list[Column]:
+    return [F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")]
+
+
+
 WORD_COUNT_SQL = (
     f"SELECT word, count(*) AS n FROM ({WORDS_SQL.format(cols='', table='documents')}) WHERE word <> '' GROUP BY 1"
 )
@@ -88,7 +92,7 @@ def stream_word_count_messages(spark: SparkSession, d: str) -> DataFrame:
     f"SELECT {BY_DAY_SQL} AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL",
 )
 def stream_window_tumbling(spark: SparkSession, d: str) -> DataFrame:
-    w = event_stream(spark, d).withWatermark("ts", "1 day").groupBy(F.window("ts", "1 day"), "event_type").agg(*TOTALS)
+    w = event_stream(spark, d).withWatermark("ts", "1 day").groupBy(F.window("ts", "1 day"), "event_type").agg(*totals())
     return drain_complete(w.select("window.start", "event_type", "n", "total"), "tumbling")
 
 
@@ -101,7 +105,7 @@ SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS start, {key} AS event_type, count
 
 @query("stream_window_sliding", SLIDING_SQL.format(key="event_type"))
 def stream_window_sliding(spark: SparkSession, d: str) -> DataFrame:
-    w = event_stream(spark, d).groupBy(F.window("ts", "12 hours", "6 hours"), "event_type").agg(*TOTALS)
+    w = event_stream(spark, d).groupBy(F.window("ts", "12 hours", "6 hours"), "event_type").agg(*totals())
     return drain_complete(w.select("window.start", "event_type", "n", "total"), "sliding")
 
 
@@ -109,7 +113,7 @@ def stream_window_sliding(spark: SparkSession, d: str) -> DataFrame:
 def stream_window_session(spark: SparkSession, d: str) -> DataFrame:
     """Sessions are merged inside each task first, so that a hot user moves as sessions, not as events."""
     with setting(spark, "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"):
-        s = event_stream(spark, d).groupBy(F.session_window("ts", "6 hours").alias("s"), "user_id").agg(*TOTALS)
+        s = event_stream(spark, d).groupBy(F.session_window("ts", "6 hours").alias("s"), "user_id").agg(*totals())
         return drain_complete(s.select("user_id", "s.start", "n", "total"), "session_window")
 
 
@@ -130,7 +134,7 @@ def stream_watermark_late(spark: SparkSession, d: str) -> DataFrame:
     results, cp, out = None, scratch(spark, "late-cp"), scratch(spark, "late-out")
     for i in range(4):
         seen = spark.readStream.schema(e.schema).parquet(f"{path}/step=[0-{i}]")
-        w = seen.withWatermark("ts", "2 days").groupBy(F.window("ts", "1 day")).agg(*TOTALS)
+        w = seen.withWatermark("ts", "2 days").groupBy(F.window("ts", "1 day")).agg(*totals())
         results = drain_append(w.select("window.start", "n", "total"), "late_rows", cp, out)
     return results.filter(F.col("start") < F.lit("2099-01-01").cast("timestamp"))
 
@@ -293,7 +297,7 @@ def stream_session_state(spark: SparkSession, d: str) -> DataFrame:
 def stream_window_reduce(spark: SparkSession, d: str) -> DataFrame:
     """Sums per sliding window, kept as state and changed by each batch."""
     slides = event_stream(spark, d).withWatermark("ts", "40 days").groupBy(F.window("ts", "12 hours", "6 hours"))
-    return drain_update(slides.agg(*TOTALS).select("window.start", "n", "total"), "window_reduce", ["start"])
+    return drain_update(slides.agg(*totals()).select("window.start", "n", "total"), "window_reduce", ["start"])
 
 
 @query(
@@ -426,7 +430,7 @@ def stream_trigger_once(spark: SparkSession, d: str) -> DataFrame:
     both = drained.select(F.lit("drain").alias("trigger_kind"), "value").unionAll(
         timed.select(F.lit("interval"), "value")
     )
-    return both.groupBy("trigger_kind").agg(*TOTALS)
+    return both.groupBy("trigger_kind").agg(*totals())
 
 
 @query("stream_progress")
