@@ -480,7 +480,7 @@ FROM p, (SELECT avg(l_extendedprice / 1000) AS mu FROM lineitem)
 )
 def ml_metrics_value(spark: SparkSession, d: str) -> DataFrame:
     """Regression measures, with a silhouette of labelled vectors and a ranking measure beside them."""
-    p = lines(spark, d).select(F.col("y").alias("label"), (2.1 * F.col("l_quantity")).alias("prediction")).persist()
+    p = lines(spark, d).select(F.col("price").alias("label"), (2.1 * F.col("l_quantity")).alias("prediction")).persist()
     reg = {m: round(float(RegressionEvaluator(metricName=m).evaluate(p)), 6) for m in ("mse", "rmse", "mae", "r2")}
     p.unpersist()
     v = vectors(spark, d).select("features", F.col("label").alias("prediction"))

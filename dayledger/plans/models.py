@@ -38,13 +38,14 @@ def assembled(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def lines(spark: SparkSession, d: str) -> DataFrame:
-    """Order lines: features, a two-class label (dear or not) and a value (price in thousands)."""
+    """Order lines: features, a two-class label (dear after discount or not) and the net price in thousands."""
+    price = F.col("l_extendedprice") / 1000
+    net = price * (1 - F.col("l_discount"))
     li = table(spark, d, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_tax", F.col("l_linenumber").cast("double").alias("line"),
-        (F.col("l_extendedprice") / 1000).alias("y"),
-        F.when(F.col("l_extendedprice") > 50000, 1.0).otherwise(0.0).alias("label"),
+        "l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_tax", price.alias("price"), net.alias("net"),
+        F.when(net > 45, 1.0).otherwise(0.0).alias("label"),
     )
-    return assembled(li, ["l_quantity", "l_discount", "l_tax", "line"])
+    return assembled(li, ["l_quantity", "l_discount", "l_tax", "price"])
 
 
 def parts(spark: SparkSession, d: str) -> DataFrame:
@@ -180,7 +181,7 @@ def ml_one_vs_rest(spark: SparkSession, d: str) -> DataFrame:
 )
 def ml_linear_regression(spark: SparkSession, d: str) -> DataFrame:
     """One feature by the normal equations: one pass, equal to the closed form."""
-    df = assembled(lines(spark, d).select("l_quantity", F.col("y").alias("label")), ["l_quantity"])
+    df = assembled(lines(spark, d).select("l_quantity", F.col("price").alias("label")), ["l_quantity"])
     m = fitted(R.LinearRegression(solver="normal", regParam=0.0), df)
     rows = [("plain", round(float(m.coefficients[0]), 5), round(float(m.intercept), 4))]
     return spark.createDataFrame(rows, "kind string, slope double, intercept double")
@@ -189,8 +190,8 @@ def ml_linear_regression(spark: SparkSession, d: str) -> DataFrame:
 @query("ml_glm")
 def ml_glm(spark: SparkSession, d: str) -> DataFrame:
     df = lines(spark, d)
-    m = fitted(R.GeneralizedLinearRegression(family="gaussian", link="identity", labelCol="y", maxIter=10), df)
-    return errors(m.transform(df), "y").withColumn("intercept", F.lit(float(m.intercept)))
+    m = fitted(R.GeneralizedLinearRegression(family="gaussian", link="identity", labelCol="net", maxIter=10), df)
+    return errors(m.transform(df), "net").withColumn("intercept", F.lit(float(m.intercept)))
 
 
 def _regressor(spark: SparkSession, d: str, est: Estimator) -> DataFrame:
@@ -239,8 +240,8 @@ def ml_isotonic(spark: SparkSession, d: str) -> DataFrame:
 @query("ml_fm_regressor")
 def ml_fm_regressor(spark: SparkSession, d: str) -> DataFrame:
     df = FT.MinMaxScaler(inputCol="features", outputCol="scaled").fit(lines(spark, d)).transform(lines(spark, d))
-    est = R.FMRegressor(featuresCol="scaled", labelCol="y", stepSize=0.1, maxIter=15, factorSize=4, seed=SEED)
-    return errors(fitted(est, df).transform(df), "y")
+    est = R.FMRegressor(featuresCol="scaled", labelCol="net", stepSize=0.1, maxIter=15, factorSize=4, seed=SEED)
+    return errors(fitted(est, df).transform(df), "net")
 
 
 # ---- clusters --------------------------------------------------------------
@@ -349,7 +350,7 @@ def ml_prefix_span(spark: SparkSession, d: str) -> DataFrame:
 @query("ml_tuning")
 def ml_tuning(spark: SparkSession, d: str) -> DataFrame:
     """A grid scored by folds and by one split."""
-    df = lines(spark, d).select("features", F.col("y").alias("label"))
+    df = lines(spark, d).select("features", F.col("net").alias("label"))
     lr = R.LinearRegression(maxIter=5, solver="l-bfgs")
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 1.0]).build()
     judge = RegressionEvaluator(metricName="rmse")

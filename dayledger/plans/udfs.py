@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dayledger.operators.hot import hot_rows, split_hot
+from dayledger.operators.hot import call_bucket, hot_rows, split_hot
 from dayledger.plans.files import new_name
 from dayledger.registry import query
 from dayledger.session import scratch, table
@@ -136,10 +136,10 @@ def map_in_pandas(spark: SparkSession, d: str) -> DataFrame:
     return e.mapInPandas(only_valuable, "event_id long, value double")
 
 
-def minus_mean(group: pd.DataFrame) -> pd.DataFrame:
-    price = group["o_totalprice"]
-    mean = group["mean"] if "mean" in group else price.mean()
-    return pd.DataFrame({"o_orderkey": group["o_orderkey"], "diff": price - mean})
+def minus_mean(groups: pd.DataFrame) -> pd.DataFrame:
+    price = groups["o_totalprice"]
+    mean = groups["mean"] if "mean" in groups else price.groupby(groups["o_custkey"]).transform("mean")
+    return pd.DataFrame({"o_orderkey": groups["o_orderkey"], "diff": price - mean})
 
 
 @query(
@@ -147,11 +147,11 @@ def minus_mean(group: pd.DataFrame) -> pd.DataFrame:
     "SELECT o_orderkey, round(o_totalprice - avg(o_totalprice) OVER (PARTITION BY o_custkey), 6) AS diff FROM orders",
 )
 def apply_in_pandas(spark: SparkSession, d: str) -> DataFrame:
-    """One call per key; for a hot key the mean comes from a built-in aggregate and the calls get blocks of rows."""
+    """Whole groups per call; for a hot key the mean comes from a built-in aggregate and the calls get blocks of rows."""
     out = "o_orderkey long, diff double"
 
     def plain(o: DataFrame) -> DataFrame:
-        return o.groupBy("o_custkey").applyInPandas(minus_mean, out)
+        return o.groupBy(call_bucket(o, "o_custkey")).applyInPandas(minus_mean, out)
 
     def sliced(o: DataFrame) -> DataFrame:
         means = o.groupBy("o_custkey").agg(F.avg("o_totalprice").alias("mean"))
@@ -164,8 +164,9 @@ def apply_in_pandas(spark: SparkSession, d: str) -> DataFrame:
 
 def nearest_before(buys: pd.DataFrame, views: pd.DataFrame) -> pd.DataFrame:
     left = buys.sort_values(["ts", "event_id"])
-    right = views.sort_values(["seen", "visit_id"])[["seen", "visit_id"]]
-    return pd.merge_asof(left, right, left_on="ts", right_on="seen")[["event_id", "visit_id"]]
+    right = views.sort_values(["seen", "visit_id"])[["viewer", "seen", "visit_id"]]
+    out = pd.merge_asof(left, right, left_on="ts", right_on="seen", left_by="user_id", right_by="viewer")
+    return out[["event_id", "visit_id"]]
 
 
 @query(
@@ -177,7 +178,7 @@ ASOF LEFT JOIN (SELECT user_id, ts, max(event_id) AS event_id FROM events WHERE
 """,
 )
 def cogroup_in_pandas(spark: SparkSession, d: str) -> DataFrame:
-    """As-of match per user. Hot users are matched hour by hour, with the last view of earlier hours carried in."""
+    """As-of match per user, whole users per call. Hot users are matched hour by hour, with the last view of earlier hours carried in."""
 
     def sides(e: DataFrame) -> tuple[DataFrame, DataFrame]:
         e = e.withColumn("hour", F.date_trunc("hour", "ts"))
@@ -191,7 +192,8 @@ def cogroup_in_pandas(spark: SparkSession, d: str) -> DataFrame:
 
     def plain(e: DataFrame) -> DataFrame:
         buys, views = sides(e)
-        return buys.groupBy("user_id").cogroup(views.groupBy("viewer")).applyInPandas(nearest_before, out)
+        left, right = call_bucket(e, "user_id"), call_bucket(e, "viewer")
+        return buys.groupBy(left).cogroup(views.groupBy(right)).applyInPandas(nearest_before, out)
 
     def sliced(e: DataFrame) -> DataFrame:
         buys, views = sides(e)

@@ -29,6 +29,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     # Split a skewed join side even where a later operator then needs a shuffle.
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # Hash join in place of sort-merge where every shuffled partition of one side was measured to be small.
+    spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     sc = spark.sparkContext
     if sc.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
         spark.conf.set("spark.sql.shuffle.partitions", str(sc.defaultParallelism))
