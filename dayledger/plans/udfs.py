@@ -265,10 +265,14 @@ def udf_shared_lookup(spark: SparkSession, d: str) -> DataFrame:
     "UNION ALL SELECT 'dropped', count(*) FILTER (WHERE value < 10) FROM events",
 )
 def udf_counter(spark: SparkSession, d: str) -> DataFrame:
-    """Dropped rows are counted beside the job, in the same pass that writes the kept ones."""
+    """Dropped rows are counted beside the job, in the same pass that writes the kept ones.
+
+    The observed write has a session of its own: a session that has held an
+    observation cannot be serialized any more, and model summaries carry theirs.
+    """
     seen, path = Observation(), scratch(spark, "kept")
     low = F.col("value") < 10
-    e = table(spark, d, "events").observe(seen, F.sum(low.cast("long")).alias("dropped"), F.count("*").alias("n"))
+    e = table(spark.newSession(), d, "events").observe(seen, F.sum(low.cast("long")).alias("dropped"), F.count("*").alias("n"))
     e.filter(~low).write.parquet(path)
     counts = seen.get
     kept = spark.read.parquet(path).agg(F.count("*").alias("n")).select(F.lit("kept").alias("kind"), "n")

@@ -113,7 +113,8 @@ def test_range_join_against_brute_force(spark):
         "span long, a timestamp, b timestamp",
     )
     got = sorted((r.id, r.span) for r in range_join(df, "ts", spans, "a", "b", "day").collect())
-    want = sorted((p.id, s.span) for p in df.collect() for s in spans.collect() if s.a <= p.ts < s.b)
+    all_spans = spans.collect()
+    want = sorted((p.id, s.span) for p in df.collect() for s in all_spans if s.a <= p.ts < s.b)
     assert got == want
 
 
