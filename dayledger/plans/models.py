@@ -300,14 +300,18 @@ def ml_power_iteration(spark: SparkSession, d: str) -> DataFrame:
 
 @query("ml_als")
 def ml_als(spark: SparkSession, d: str) -> DataFrame:
-    """Quantities as ratings of parts by customers; the error and the top part of each customer."""
+    """Quantities as ratings of parts by customers; for each customer the part scored best among those bought.
+
+    Only pairs that occur are scored: all customers times all parts would be a cross join.
+    """
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").cast("int").alias("user"))
     li = table(spark, d, "lineitem").select("l_orderkey", F.col("l_partkey").cast("int").alias("item"), "l_quantity")
     ratings = li.join(o, "l_orderkey").groupBy("user", "item").agg(F.avg("l_quantity").alias("rating"))
     als = ALS(rank=5, maxIter=4, regParam=0.1, userCol="user", itemCol="item", ratingCol="rating", seed=SEED)
     m = fitted(als, ratings)
-    top = m.recommendForAllUsers(1).select("user", F.col("recommendations")[0].alias("r"))
-    return top.select("user", F.col("r.item").alias("item"), F.col("r.rating").cast("double").alias("score"))
+    scored = m.transform(ratings)
+    best = F.max_by("item", F.struct("prediction", "item")).alias("item")
+    return scored.groupBy("user").agg(best, F.max("prediction").cast("double").alias("score"))
 
 
 BASKETS_SQL = """

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from dayledger.operators.hot import call_bucket, hot_rows, split_hot
 from dayledger.plans.files import new_name
 from dayledger.registry import query
-from dayledger.session import scratch, table
+from dayledger.session import scratch, small_side, table
 from dayledger.sources import inputs as I
 
 
@@ -238,25 +238,29 @@ def udtf_rows(spark: SparkSession, d: str) -> DataFrame:
     return spark.sql(f"SELECT doc_id, line_no, n_words FROM {{docs}}, LATERAL {name}(text)", docs=docs)
 
 
+LOOKUP_ROWS = 1000
+
+
 @query(
     "udf_shared_lookup",
     "SELECT c_custkey, n_name AS by_join, n_name AS by_code FROM customer JOIN nation ON c_nationkey = n_nationkey",
 )
 def udf_shared_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """A join first; the broadcast value serves code that must look names up itself. The list is counted."""
+    """A join first; the broadcast value serves code that must look names up itself, if the list is counted small."""
     nation = table(spark, d, "nation").select("n_nationkey", "n_name")
-    rows = nation.limit(1001).collect()
-    if len(rows) > 1000:
-        raise ValueError("nation list is too long for a broadcast value")
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    joined = c.join(small_side(nation, LOOKUP_ROWS), F.col("c_nationkey") == F.col("n_nationkey"))
+    out = joined.select("c_custkey", "c_nationkey", F.col("n_name").alias("by_join"))
+    rows = nation.limit(LOOKUP_ROWS + 1).collect()
+    if len(rows) > LOOKUP_ROWS:
+        return out.select("c_custkey", "by_join", F.col("by_join").alias("by_code"))
     names = spark.sparkContext.broadcast({r.n_nationkey: r.n_name for r in rows})
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def name_of(key: pd.Series) -> pd.Series:
         return key.map(names.value)
 
-    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    joined = c.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
-    return joined.select("c_custkey", F.col("n_name").alias("by_join"), name_of("c_nationkey").alias("by_code"))
+    return out.select("c_custkey", "by_join", name_of("c_nationkey").alias("by_code"))
 
 
 @query(
