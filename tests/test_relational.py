@@ -44,7 +44,8 @@ def test_hints_reach_the_plan(spark):
 
 def test_filters_and_columns_reach_the_scan(spark):
     text = plan(build(spark, "filter_set_range"))
-    assert "PushedFilters: [In(p_brand" in text
+    pushed = text.split("PushedFilters: [")[1]
+    assert "In(p_brand" in pushed and "GreaterThanOrEqual(p_size,5)" in pushed
     assert "p_retailprice" not in text.split("== Physical Plan ==")[1]
 
 
