@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dayledger.operators.hot import call_bucket, hot_rows, split_hot
+from dayledger.operators.hot import call_bucket, hot_rows, split_hot, spread
 from dayledger.plans.files import new_name
 from dayledger.registry import query
 from dayledger.session import scratch, small_side, table
@@ -104,7 +104,7 @@ def udaf_pandas(spark: SparkSession, d: str) -> DataFrame:
     one = F.lit(1.0)
 
     def plain(o: DataFrame) -> DataFrame:
-        return o.groupBy("o_custkey").agg(weighted_mean("o_totalprice", one).alias("mean"))
+        return spread(o, "o_custkey").groupBy("o_custkey").agg(weighted_mean("o_totalprice", one).alias("mean"))
 
     def sliced(o: DataFrame) -> DataFrame:
         parts = o.groupBy("o_custkey", F.floor(F.col("o_orderkey") / hot_rows(o)).alias("_block")).agg(
@@ -151,7 +151,8 @@ def apply_in_pandas(spark: SparkSession, d: str) -> DataFrame:
     out = "o_orderkey long, diff double"
 
     def plain(o: DataFrame) -> DataFrame:
-        return o.groupBy(call_bucket(o, "o_custkey")).applyInPandas(minus_mean, out)
+        calls = spread(o.withColumn("_call", call_bucket(o, "o_custkey")), "_call")
+        return calls.groupBy("_call").applyInPandas(minus_mean, out)
 
     def sliced(o: DataFrame) -> DataFrame:
         means = o.groupBy("o_custkey").agg(F.avg("o_totalprice").alias("mean"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dayledger.operators.hot import framed, hot_rows, number_rows, split_hot, with_slice_totals
+from dayledger.operators.hot import framed, hot_rows, number_rows, split_hot, spread, with_slice_totals
 from dayledger.operators.timed import sessions
 from dayledger.registry import query
 from dayledger.session import table
@@ -281,7 +281,7 @@ def win_pandas_agg(spark: SparkSession, d: str) -> DataFrame:
         return {"near_mean": F.round(own_mean("o_totalprice").over(w.rowsBetween(-2, 1)), 6)}
 
     def plain(df: DataFrame) -> DataFrame:
-        return df.withColumns(near(_by_all())).select("o_orderkey", "near_mean")
+        return spread(df, KEY).withColumns(near(_by_all())).select("o_orderkey", "near_mean")
 
     def sliced(df: DataFrame) -> DataFrame:
         numbered = number_rows(_day(df), [KEY], SLICE, ORDER)
