@@ -193,8 +193,9 @@ def cogroup_in_pandas(spark: SparkSession, d: str) -> DataFrame:
 
     def plain(e: DataFrame) -> DataFrame:
         buys, views = sides(e)
-        left, right = call_bucket(e, "user_id"), call_bucket(e, "viewer")
-        return buys.groupBy(left).cogroup(views.groupBy(right)).applyInPandas(nearest_before, out)
+        left = spread(buys.withColumn("_call", call_bucket(e, "user_id")), "_call")
+        right = spread(views.withColumn("_call", call_bucket(e, "viewer")), "_call")
+        return left.groupBy("_call").cogroup(right.groupBy("_call")).applyInPandas(nearest_before, out)
 
     def sliced(e: DataFrame) -> DataFrame:
         buys, views = sides(e)
