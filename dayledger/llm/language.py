@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dayledger.llm.frames import extended
 from dayledger.llm.gru import PAD_GATE, Adam, scan, unscan
 from dayledger.llm.sampling import bounded_sample, crc_mod
 from dayledger.llm.words import buffers, pieces
@@ -157,7 +158,7 @@ def identify(docs: DataFrame, model: ByteModel | None, text: str = "text") -> Da
                 cols = [b.column(c) for c in keep]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(out, pa.string()), pa.array(score, pa.float64())], names=[*keep, "lang_pred", "score"])
 
-    return flagged.mapInArrow(run, docs.schema.add("lang_pred", "string").add("score", "double"))
+    return flagged.mapInArrow(run, extended(docs.schema, "lang_pred string, score double"))
 
 
 def language_report(docs: DataFrame, rows: int = 3000) -> DataFrame:

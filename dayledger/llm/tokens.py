@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dayledger.llm.frames import extended
+
 UNIT = re.compile(r" *[^ \n]+| +|\n")
 CACHED_UNITS = 500_000  # bounds a task's memory; a full cache starts anew
 
@@ -137,10 +139,7 @@ def token_counts(df: DataFrame, model_path: str, text: str = "text", budgets: tu
             cols.extend(pa.array([table.fits(x or "", k) for x in texts], pa.int64()) for k in budgets)
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*keep, *added])
 
-    schema = df.schema
-    for c in added:
-        schema = schema.add(c, "long")
-    return df.mapInArrow(count, schema)
+    return df.mapInArrow(count, extended(df.schema, ", ".join(f"{c} long" for c in added)))
 
 
 def count_report(df: DataFrame, model_path: str, limit: int = 4096) -> DataFrame:

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dayledger.llm.frames import extended
 from dayledger.llm.gru import PAD_GATE, Adam, scan, sigmoid, unscan
 from dayledger.llm.sampling import bounded_sample, crc_mod
 from dayledger.llm.words import buffers, byte_table, mix, pieces
@@ -255,7 +256,7 @@ def score(docs: DataFrame, model: ToxicModel | None, text: str = "text", name: s
                 s = np.zeros(b.num_rows) if model is None else model.document_scores(*buffers(b.column("_lower")))
                 yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(np.clip(s, 0, 1), pa.float64())], names=[*keep, name])
 
-    return lowered.mapInArrow(run, docs.schema.add(name, "double"))
+    return lowered.mapInArrow(run, extended(docs.schema, f"`{name}` double"))
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, rows: int = 4000) -> DataFrame:
