@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dayledger.llm.language import language_report
+from dayledger.llm.lines import LINES_SQL, dedup_lines
+from dayledger.llm.mixing import MIX_SQL, mix
+from dayledger.llm.quality import QUALITY_SQL, quality_report
 from dayledger.llm.tokens import count_report
 from dayledger.llm.toxicity import toxicity_report
 from dayledger.session import prepare, table
@@ -19,10 +22,22 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_report(table(prepare(spark), folder, "documents"))
+
+
+def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(prepare(spark), folder, "documents").select("doc_id", "source", "text"))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_report(table(prepare(spark), folder, "documents"), tokenizer("piece_bpe_32k.model"), 4096)
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_lines(table(prepare(spark), folder, "documents").select("doc_id", "text"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_report(table(prepare(spark), folder, "documents"), table(spark, folder, "labels"))
 
@@ -32,6 +47,6 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_token_counts, op9_toxicity, op10_language_id)
+    f.__name__: f for f in (op3_quality_rules, op4_mix_sources, op5_token_counts, op6_line_dedup, op9_toxicity, op10_language_id)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_quality_rules": QUALITY_SQL, "op4_mix_sources": MIX_SQL, "op6_line_dedup": LINES_SQL}
