@@ -10,6 +10,7 @@ from dayledger.llm.language import language_report
 from dayledger.llm.lines import LINES_SQL, dedup_lines
 from dayledger.llm.mixing import MIX_SQL, mix
 from dayledger.llm.quality import QUALITY_SQL, quality_report
+from dayledger.llm.substrings import substring_report
 from dayledger.llm.tokens import count_report
 from dayledger.llm.toxicity import toxicity_report
 from dayledger.session import prepare, table
@@ -22,6 +23,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_report(table(prepare(spark), folder, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_report(table(prepare(spark), folder, "documents"))
 
@@ -47,6 +52,6 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality_rules, op4_mix_sources, op5_token_counts, op6_line_dedup, op9_toxicity, op10_language_id)
+    f.__name__: f for f in (op1_substring_dedup, op3_quality_rules, op4_mix_sources, op5_token_counts, op6_line_dedup, op9_toxicity, op10_language_id)
 }
 ORACLES: dict[str, str] = {"op3_quality_rules": QUALITY_SQL, "op4_mix_sources": MIX_SQL, "op6_line_dedup": LINES_SQL}
