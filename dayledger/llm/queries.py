@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dayledger.llm.jaccard import jaccard_components
 from dayledger.llm.language import language_report
 from dayledger.llm.lines import LINES_SQL, dedup_lines
 from dayledger.llm.mixing import MIX_SQL, mix
@@ -27,6 +28,10 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_report(table(prepare(spark), folder, "documents"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(prepare(spark), folder, "documents"), width=3, percent=90)
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_report(table(prepare(spark), folder, "documents"))
 
@@ -52,6 +57,6 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op3_quality_rules, op4_mix_sources, op5_token_counts, op6_line_dedup, op9_toxicity, op10_language_id)
+    f.__name__: f for f in (op1_substring_dedup, op2_ngram_jaccard, op3_quality_rules, op4_mix_sources, op5_token_counts, op6_line_dedup, op9_toxicity, op10_language_id)
 }
 ORACLES: dict[str, str] = {"op3_quality_rules": QUALITY_SQL, "op4_mix_sources": MIX_SQL, "op6_line_dedup": LINES_SQL}
