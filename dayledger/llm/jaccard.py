@@ -246,10 +246,10 @@ class JaccardJoin:
                 real = leader != i
                 rows.append(np.unique(np.stack([leader, where, i, n])[:, real], axis=1))
             r = np.concatenate(rows, axis=1)
-            return pa.table({"leader": r[0], "home": r[1], "id": r[2], "size": r[3], "shard": np.full(r.shape[1], shard, np.int64)})
+            return pa.table({"leader": r[0], "home": r[1].astype(np.int32), "id": r[2], "size": r[3], "shard": np.full(r.shape[1], shard, np.int32)})
 
         told = heads.unionByName(answers, allowMissingColumns=True)
-        return with_shards(self.texts, told, run, "leader long, home long, id long, size long, shard long")
+        return with_shards(self.texts, told, run, "leader long, home int, id long, size long, shard int")
 
     def linked(self, wanted: DataFrame) -> DataFrame:
         """Edges among the texts that share a cell. ``wanted``: (shard, id, leader, cell) rows, whose cells are bounded."""

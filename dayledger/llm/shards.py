@@ -82,4 +82,6 @@ def text_slices(table: pa.Table, limit: int = 2_000_000) -> Iterator[pa.RecordBa
 
 def with_shards(texts: DataFrame, answers: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
     """``work(texts of a shard, answers to it)`` for every shard."""
+    # an int and a long of the same value hash to different tasks
+    answers = answers.withColumn("shard", F.col("shard").cast("int"))
     return texts.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(work, schema)
