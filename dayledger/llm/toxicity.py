@@ -227,7 +227,7 @@ def part_vectors(model: ToxicModel, tok: Tokens, at: np.ndarray) -> tuple[np.nda
     return used, small, model.word_vectors(Tokens(tok.word, tok.first, tok.slot[used], tok.gram[grams], own))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = 4000, max_chars: int = 20_000) -> ToxicModel | None:
+def train(docs: DataFrame, labels: DataFrame, rows: int = 3000, max_chars: int = 20_000) -> ToxicModel | None:
     """Model from about ``rows`` labelled documents of at most ``max_chars``; None where there is none.
 
     Only documents with crc32(doc_id) mod 3 other than 1 are drawn. The drawn
@@ -252,14 +252,14 @@ def score(docs: DataFrame, model: ToxicModel | None, text: str = "text", name: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in pieces(whole, "_lower"):
+            for b in pieces(whole, "_lower", 1_000_000):
                 s = np.zeros(b.num_rows) if model is None else model.document_scores(*buffers(b.column("_lower")))
                 yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(np.clip(s, 0, 1), pa.float64())], names=[*keep, name])
 
     return lowered.mapInArrow(run, extended(docs.schema, f"`{name}` double"))
 
 
-def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, rows: int = 4000) -> DataFrame:
+def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, rows: int = 3000) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted (1 where score >= threshold)."""
     scored = score(docs.select("doc_id", "text"), train(docs, labels, rows))
     return scored.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score",
