@@ -10,6 +10,7 @@ from dayledger.llm.jaccard import jaccard_components
 from dayledger.llm.language import language_report
 from dayledger.llm.lines import LINES_SQL, dedup_lines
 from dayledger.llm.mixing import MIX_SQL, mix
+from dayledger.llm.packing import packing_report
 from dayledger.llm.quality import QUALITY_SQL, quality_report
 from dayledger.llm.substrings import substring_report
 from dayledger.llm.tokens import count_report
@@ -48,6 +49,10 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(table(prepare(spark), folder, "documents").select("doc_id", "text"))
 
 
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing_report(table(prepare(spark), folder, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_report(table(prepare(spark), folder, "documents"), table(spark, folder, "labels"))
 
@@ -57,6 +62,6 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_ngram_jaccard, op3_quality_rules, op4_mix_sources, op5_token_counts, op6_line_dedup, op9_toxicity, op10_language_id)
+    f.__name__: f for f in (op1_substring_dedup, op2_ngram_jaccard, op3_quality_rules, op4_mix_sources, op5_token_counts, op6_line_dedup, op7_packing, op9_toxicity, op10_language_id)
 }
 ORACLES: dict[str, str] = {"op3_quality_rules": QUALITY_SQL, "op4_mix_sources": MIX_SQL, "op6_line_dedup": LINES_SQL}
