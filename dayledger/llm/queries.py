@@ -15,6 +15,7 @@ from dayledger.llm.quality import QUALITY_SQL, quality_report
 from dayledger.llm.substrings import substring_report
 from dayledger.llm.tokens import count_report
 from dayledger.llm.toxicity import toxicity_report
+from dayledger.llm.vectors import near_vectors
 from dayledger.session import prepare, table
 
 
@@ -53,6 +54,10 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing_report(table(prepare(spark), folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op8_embedding_near_dups(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(table(prepare(spark), folder, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_report(table(prepare(spark), folder, "documents"), table(spark, folder, "labels"))
 
@@ -62,6 +67,6 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_ngram_jaccard, op3_quality_rules, op4_mix_sources, op5_token_counts, op6_line_dedup, op7_packing, op9_toxicity, op10_language_id)
+    f.__name__: f for f in (op1_substring_dedup, op2_ngram_jaccard, op3_quality_rules, op4_mix_sources, op5_token_counts, op6_line_dedup, op7_packing, op8_embedding_near_dups, op9_toxicity, op10_language_id)
 }
 ORACLES: dict[str, str] = {"op3_quality_rules": QUALITY_SQL, "op4_mix_sources": MIX_SQL, "op6_line_dedup": LINES_SQL}
