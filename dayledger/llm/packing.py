@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from dayledger.llm.shards import sharded, shards_for, volume
 from dayledger.llm.words import buffers, find_words
+from dayledger.session import materialize
 
 K1, B = 1.2, 0.75
+HOT_COPIES = 1000  # equal rows up to which they may share a shard
 
 
 class ByteTokenizer:
@@ -89,17 +91,21 @@ class Index:
         return best[: np.count_nonzero(scores)]
 
 
-def fill(lengths: list[int], index: Index, size: int) -> list[tuple[int, int, int, int, int]]:
-    """Pieces (document, start, length, sequence, offset); documents in the given order open sequences."""
+def fill(lengths: list[int], index: Index, size: int, content: list) -> list[tuple[int, int, int, int, int]]:
+    """Pieces (document, start, length, sequence, offset); documents in the given order open sequences.
+
+    A neighbour whose ``content`` is in the sequence already is passed over
+    there: copies do not fill one window.
+    """
     used = np.zeros(len(lengths), bool)
     out: list[tuple[int, int, int, int, int]] = []
-    sequence, offset, seed, near, following = 0, 0, 0, iter(()), 0
+    sequence, offset, seed, near, following, here = 0, 0, 0, iter(()), 0, set()
     for _ in range(len(lengths)):
         doc = -1
         if offset:
             if near is None:
                 near = iter(index.neighbours(seed).tolist())
-            doc = next((d for d in near if not used[d]), -1)
+            doc = next((d for d in near if not used[d] and content[d] not in here), -1)
         if doc < 0:
             while used[following]:
                 following += 1
@@ -108,7 +114,8 @@ def fill(lengths: list[int], index: Index, size: int) -> list[tuple[int, int, in
         start = 0
         while start < lengths[doc]:
             if offset == 0:
-                seed, near = doc, None
+                seed, near, here = doc, None, set()
+            here.add(content[doc])
             n = min(size - offset, lengths[doc] - start)
             out.append((doc, start, n, sequence, offset))
             start, offset = start + n, offset + n
@@ -139,7 +146,15 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
-    texts = sharded(docs, key, text, shards_for(docs, volume(docs, text), shard_bytes))
+    n = shards_for(docs, volume(docs, text), shard_bytes)
+    docs = docs.select(key, text)
+    most = docs.groupBy(key, F.xxhash64(text)).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if most > HOT_COPIES:
+        # equal rows would share a shard: they are numbered, in a written table so that numbers stay, and dealt by number
+        numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "packing-rows")
+        texts = numbered.select(F.pmod(F.xxhash64(key, text, "_row"), F.lit(n)).cast("int").alias("shard"), F.col(key).alias("id"), F.col(text).alias("text"))
+    else:
+        texts = sharded(docs, key, text, n)
     kind = docs.schema[key].dataType.simpleString()
     ready: dict[str, ByteTokenizer] = {}
 
@@ -148,8 +163,9 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1
             ready["tokenizer"] = ByteTokenizer(spec)
         t = t.sort_by([("id", "ascending"), ("text", "ascending")]).combine_chunks()
         end = np.array([end_id], np.uint32)
-        ids = [np.concatenate([ready["tokenizer"].encode(x), end]) if x else end for x in t["text"].to_pylist()]
-        pieces = fill([len(x) for x in ids], Index(t["text"]), size)
+        texts = [x or "" for x in t["text"].to_pylist()]
+        ids = [np.concatenate([ready["tokenizer"].encode(x), end]) for x in texts]
+        pieces = fill([len(x) for x in ids], Index(t["text"]), size, texts)
         doc, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*pieces, strict=True))
         first = int(t["shard"][0].as_py()) << 32
         return pa.table({
