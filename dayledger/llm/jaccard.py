@@ -23,7 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from dayledger.llm.frames import boxed
 from dayledger.llm.shards import buckets_for, by_bucket, joined, packed, sharded, shards_for, text_slices, volume, with_shards
 from dayledger.llm.words import buffers, find_words, mix, pieces, rolling
 from dayledger.operators.graph import components
@@ -361,8 +363,8 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc
     """The document of smallest id of each component, one row of it, with the columns of the input. Null ids stay."""
     found = materialize(jaccard_components(docs, width, percent, key, text).filter("component_id IS NOT NULL")
                         .groupBy(key).agg(F.min("component_id").alias("component_id")), "jaccard-keep")
-    heads = found.filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("_head"))
-    rest = [c for c in docs.columns if c != key]
-    single = docs.join(heads, docs[key] == F.col("_head"), "left_semi").groupBy(key).agg(F.min_by(F.struct(*rest), F.xxhash64(*rest)).alias("_row"))
-    single = single.select(key, "_row.*").select(*docs.columns)
-    return single.unionByName(docs.filter(F.col(key).isNull()))
+    heads = found.filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("head"))
+    box = boxed(docs).withColumn("key", F.col("row").getField(key).cast("bigint"))
+    order = F.xxhash64(*[F.col("row").getField(c) for c in docs.columns if not isinstance(docs.schema[c].dataType, T.MapType)])
+    single = box.join(heads, F.col("key") == F.col("head"), "left_semi").groupBy("key").agg(F.min_by("row", order).alias("row"))
+    return single.select("row.*").unionByName(docs.filter(F.col(key).isNull()))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.llm.frames import extended
+from dayledger.llm.frames import boxed, extended
 from dayledger.llm.gru import PAD_GATE, Adam, scan, unscan
 from dayledger.llm.sampling import bounded_sample, crc_mod
 from dayledger.llm.words import buffers, pieces
@@ -136,29 +136,28 @@ def identify(docs: DataFrame, model: ByteModel | None, text: str = "text") -> Da
     text without a model. Equal rows get equal results, input columns with
     one of the two names are replaced, and every byte of a long text counts.
     """
-    docs = docs.drop(*[c for c in ("lang_pred", "score") if c != text])
-    keep = docs.columns
-    flagged = docs.withColumn("_letter", F.coalesce(F.col(text).rlike("\\p{L}"), F.lit(False)))
+    box = boxed(docs, *[c for c in ("lang_pred", "score") if c != text]).withColumn("text", F.col("row").getField(text))
+    box = box.withColumn("letter", F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in pieces(whole, text):
+            for b in pieces(whole, "text"):
                 names, scores = [None] * b.num_rows, np.zeros(b.num_rows)
-                if model is not None:
-                    data, offsets = buffers(b.column(text))
+                letter = b.column("letter").to_numpy(zero_copy_only=False).astype(bool)
+                if model is None:
+                    letter = np.zeros(b.num_rows, bool)
+                else:
+                    data, offsets = buffers(b.column("text"))
                     sums = model.document_sums(data, offsets)
                     best = sums.argmax(1)
                     scores = sums[np.arange(len(best)), best] / np.maximum(np.diff(offsets), 1)
                     names = [model.langs[k] for k in best]
-                letter = b.column("_letter").to_numpy(zero_copy_only=False).astype(bool)
-                if model is None:
-                    letter[:] = False
                 out = [x if ok else "und" for x, ok in zip(names, letter, strict=True)]
                 score = np.where(letter, np.clip(scores, 0, 1), 0.0)
-                cols = [b.column(c) for c in keep]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(out, pa.string()), pa.array(score, pa.float64())], names=[*keep, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, pa.string()), pa.array(score, pa.float64())], names=["row", "lang_pred", "score"])
 
-    return flagged.mapInArrow(run, extended(docs.schema, "lang_pred string, score double"))
+    schema = extended(box.select("row").schema, "lang_pred string, score double")
+    return box.mapInArrow(run, schema).select("row.*", "lang_pred", "score")
 
 
 def language_report(docs: DataFrame, rows: int = 3000) -> DataFrame:

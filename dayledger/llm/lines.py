@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dayledger.llm.frames import boxed
 from dayledger.session import materialize
 
 WIDTH = 3
@@ -59,18 +60,19 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         ),
         "line-cover",
     )
-    marked = docs.withColumn("_h", F.xxhash64(text)).join(cover, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th")), "left")
-    cut = marked.withColumn("_lines", F.split(text, "\n"))
+    own = F.col("row").getField(text)
+    box = boxed(docs).withColumn("h", F.xxhash64(own)).withColumn("lines", F.split(own, "\n"))
+    marked = box.join(cover, F.col("row").getField(key).eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_th")), "left")
     gone = F.coalesce(F.expr("aggregate(zip_with(ends, begins, (e, b) -> e - b), 0, (s, x) -> s + x)"), F.lit(0))
     left = F.expr(
-        "flatten(transform(sequence(0, size(begins)), k -> slice(_lines,"
+        "flatten(transform(sequence(0, size(begins)), k -> slice(lines,"
         " IF(k = 0, 0, ends[k - 1]) + 1,"
-        " IF(k = size(begins), size(_lines), begins[k]) - IF(k = 0, 0, ends[k - 1]))))"
+        " IF(k = size(begins), size(lines), begins[k]) - IF(k = 0, 0, ends[k - 1]))))"
     )
-    return cut.select(
-        *[F.when(F.col("begins").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")).alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns],
-        F.when(F.col(text).isNull(), 0).otherwise(F.size("_lines")).cast("bigint").alias("n_lines"),
-        gone.cast("bigint").alias("n_removed"),
+    cut = F.when(F.col("begins").isNull(), own).otherwise(F.array_join(left, "\n"))
+    return marked.select(
+        *[cut.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns],
+        F.when(own.isNull(), 0).otherwise(F.size("lines")).cast("bigint").alias("n_lines"), gone.cast("bigint").alias("n_removed"),
     )
 
 

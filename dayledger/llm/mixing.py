@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dayledger.llm.frames import boxed
 from dayledger.session import small_side
 
 MAX_BROADCAST_SOURCES = 10_000
@@ -75,15 +76,16 @@ def mix(
     ``n_copies`` are replaced. The source tables (one row per source) are
     broadcast only where there are at most MAX_BROADCAST_SOURCES.
     """
-    docs = docs.drop("copy", "n_copies")
-    rates = target_rates(docs, source, weights, power, target).withColumnRenamed(source, "_source")
-    tables = small_side(poisson_tables(rates, "_source", "rate").select("_source", "cdf"), MAX_BROADCAST_SOURCES)
-    u = uniform(F.lit(seed), F.col(key))
-    drawn = docs.withColumn("_u", u).join(tables, docs[source].eqNullSafe(F.col("_source")))
-    drawn = drawn.withColumn("n_copies", F.size(F.filter("cdf", lambda c: c <= F.col("_u"))).cast("bigint")).filter("n_copies > 0")
-    copies = drawn.select(*docs.columns, "n_copies", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_copies") - 1)).alias("copy"))
-    copies = copies.withColumn("_order", F.md5(F.concat_ws(":", F.lit(seed + 1), F.col(key).cast("string"), F.col("copy").cast("string"))))
-    return copies.repartition("_order").sortWithinPartitions("_order").drop("_order")
+    box = boxed(docs, "copy", "n_copies")
+    rates = target_rates(docs, source, weights, power, target).withColumnRenamed(source, "of")
+    tables = small_side(poisson_tables(rates, "of", "rate").select("of", "cdf"), MAX_BROADCAST_SOURCES)
+    ident = F.col("row").getField(key)
+    drawn = box.withColumn("u", uniform(F.lit(seed), ident)).withColumn("from", F.col("row").getField(source))
+    drawn = drawn.join(tables, F.col("from").eqNullSafe(F.col("of")))
+    drawn = drawn.withColumn("n_copies", F.size(F.filter("cdf", lambda c: c <= F.col("u"))).cast("bigint")).filter("n_copies > 0")
+    copies = drawn.select("row", "n_copies", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_copies") - 1)).alias("copy"))
+    copies = copies.withColumn("order", F.md5(F.concat_ws(":", F.lit(seed + 1), ident.cast("string"), F.col("copy").cast("string"))))
+    return copies.repartition("order").sortWithinPartitions("order").select("row.*", "n_copies", "copy")
 
 
 MIX_SQL = """

@@ -15,6 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dayledger.llm.frames import boxed
 from dayledger.llm.sampling import bounded_sample
 from dayledger.session import materialize
 
@@ -29,9 +30,10 @@ def base_columns(docs: DataFrame, text: str = "text") -> DataFrame:
     step reads more than once are columns of their own, so that they are
     worked out once per text.
     """
-    t = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(t, "\n"), lambda x: x.rlike("[^ \\t\\n\\x0B\\f\\r]"))
-    step = docs.withColumn("_w", F.filter(F.split(t, SPACE), lambda x: x != "")).withColumn("_l", lines)
+    made = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    step = boxed(docs, *[c for c in made if c != text]).withColumn("t", F.coalesce(F.col("row").getField(text), F.lit("")))
+    step = step.withColumn("_w", F.filter(F.split("t", SPACE), lambda x: x != ""))
+    step = step.withColumn("_l", F.filter(F.split("t", "\n"), lambda x: x.rlike("[^ \\t\\n\\x0B\\f\\r]")))
     step = step.withColumn("_h", F.transform("_w", lambda x: F.xxhash64(x)))
     grams = F.expr(
         f"transform(sequence(0, size(_h) - {REPEAT_WIDTH}), i -> xxhash64({', '.join(f'_h[i + {k}]' for k in range(REPEAT_WIDTH))}))"
@@ -46,10 +48,10 @@ def base_columns(docs: DataFrame, text: str = "text") -> DataFrame:
         f"aggregate(_p, struct(0L AS n, 0 AS e), (a, p) -> struct(a.n + {REPEAT_WIDTH} - greatest(0, a.e - p) AS n, p + {REPEAT_WIDTH} AS e), a -> a.n)"
     )
     return step.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+        "row.*",
         F.size("_w").cast("bigint").alias("n_words"),
         F.length(F.array_join("_w", "")).cast("bigint").alias("word_chars"),
-        F.length(F.regexp_replace(t, "[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
+        F.length(F.regexp_replace("t", "[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("bigint").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("bigint").alias("n_repeat_words"),
     )

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.llm.frames import extended
+from dayledger.llm.frames import boxed, extended
 from dayledger.llm.gru import PAD_GATE, Adam, scan, sigmoid, unscan
 from dayledger.llm.sampling import bounded_sample, crc_mod
 from dayledger.llm.words import buffers, byte_table, mix, pieces
@@ -246,17 +246,16 @@ def score(docs: DataFrame, model: ToxicModel | None, text: str = "text", name: s
     Rows are scored one by one from their text alone: equal texts get equal
     scores. A column of the given name is replaced; other columns stay.
     """
-    docs = docs.drop(*[c for c in (name,) if c != text])
-    keep = docs.columns
-    lowered = docs.withColumn("_lower", F.lower(text))
+    box = boxed(docs, *[c for c in (name,) if c != text]).withColumn("low", F.lower(F.col("row").getField(text)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in pieces(whole, "_lower", 1_000_000):
-                s = np.zeros(b.num_rows) if model is None else model.document_scores(*buffers(b.column("_lower")))
-                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(np.clip(s, 0, 1), pa.float64())], names=[*keep, name])
+            for b in pieces(whole, "low", 1_000_000):
+                s = np.zeros(b.num_rows) if model is None else model.document_scores(*buffers(b.column("low")))
+                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(np.clip(s, 0, 1), pa.float64())], names=["row", "score"])
 
-    return lowered.mapInArrow(run, extended(docs.schema, f"`{name}` double"))
+    schema = extended(box.select("row").schema, "score double")
+    return box.mapInArrow(run, schema).select("row.*", F.col("score").alias(name))
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, rows: int = 3000) -> DataFrame:
