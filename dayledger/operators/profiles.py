@@ -130,7 +130,12 @@ def with_state(rows: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 def vouchers(promotions: DataFrame, config: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Daily voucher rows with state. The status filter comes before the lookup join: fewer rows to join."""
-    return with_state(time_fields(with_config(final_status(promotions), config)), as_of).select(VOUCHER_COLUMNS)
+    return voucher_rows(final_status(promotions), config, as_of)
+
+
+def voucher_rows(promotions: DataFrame, config: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Rows of any status with their state; enough ahead of ``voucher_merge``, which picks the final status itself."""
+    return with_state(time_fields(with_config(promotions, config)), as_of).select(VOUCHER_COLUMNS)
 
 
 def voucher_merge(stored: DataFrame, new: DataFrame, as_of: Column | None = None) -> DataFrame:

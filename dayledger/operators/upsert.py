@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.session import scratch
+from dayledger.operators.skew import latest_per_key
+from dayledger.session import TASK_ROWS, materialize, parts_for, scratch
 
 
 def target_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -22,50 +24,95 @@ def merge_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Da
 
 
 class KeyedTable:
-    """A table with a unique key, as numbered Parquet versions under one folder.
+    """A table with a unique key, as Parquet folders by a hash of the key.
 
-    A write goes to a new version folder and counts from its ``_SUCCESS`` mark
-    on, so a reader sees the old table or the new one, never a mix.
+    A write makes new folders for the hash values that its rows have, and then
+    one small file ``versions/v=<n>`` that names the folder of every hash
+    value. That file counts as a whole or not at all, so a reader sees the old
+    table or the new one. Other folders are neither read nor written. How many
+    there are follows from the rows of the last whole write.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], schema: str):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], schema: str, folder_rows: int = TASK_ROWS):
         self.spark, self.path, self.keys, self.schema = spark, path.rstrip("/"), list(keys), schema
+        self.folder_rows = folder_rows
 
     @classmethod
-    def temporary(cls, spark: SparkSession, name: str, keys: Sequence[str], schema: str) -> KeyedTable:
-        return cls(spark, scratch(spark, name), keys, schema)
+    def temporary(cls, spark: SparkSession, name: str, keys: Sequence[str], schema: str, folder_rows: int = TASK_ROWS) -> KeyedTable:
+        return cls(spark, scratch(spark, name), keys, schema, folder_rows)
 
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
+    def _versions(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema("folders long, hash long, folder string, v long").option("basePath", f"{self.path}/versions").parquet(f"{self.path}/versions")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
 
     def version(self) -> int:
         """Newest finished version, 0 if there is none."""
-        fs, jvm = self._fs()
-        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v*/_SUCCESS"))
-        names = [s.getPath().getParent().getName() for s in (found or [])]
-        return max((int(n[1:]) for n in names), default=0)
+        seen = self._versions()
+        return 0 if seen is None else seen.agg(F.max("v")).first()[0] or 0
 
-    def read(self) -> DataFrame:
+    def folders(self) -> tuple[int, int, dict[int, str]]:
+        """Newest version, its number of hash values, and the folder of each that has rows."""
         v = self.version()
         if v == 0:
+            return 0, 0, {}
+        rows = self._versions().filter(F.col("v") == v).collect()  # one row for each folder
+        return v, rows[0].folders, {r.hash: r.folder for r in rows if r.folder is not None}
+
+    def _read(self, folders: Sequence[str]) -> DataFrame:
+        if not folders:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{v:08d}")
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{f}" for f in sorted(folders)])
 
-    def replace(self, df: DataFrame) -> None:
+    def read(self) -> DataFrame:
+        return self._read(list(self.folders()[2].values()))
+
+    def _hash(self, n: int) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(n))
+
+    def rows_for(self, batch: DataFrame) -> DataFrame:
+        """Stored rows whose key is in the batch, from the folders of those keys."""
+        _, n, known = self.folders()
+        if not n:
+            return self._read([])
+        touched = {r[0] for r in batch.select(self._hash(n)).distinct().collect()}  # at most one for each folder
+        return target_rows(self._read([f for h, f in known.items() if h in touched]), batch, self.keys)
+
+    def _write(self, df: DataFrame, version: int, n: int, kept: dict[int, str]) -> None:
+        spread = df.withColumn("_hash", self._hash(n))
+        data = f"data/v{version:08d}"
         # overwrite: an unfinished attempt of this version may have left files
-        df.write.mode("overwrite").parquet(f"{self.path}/v{self.version() + 1:08d}")
+        spread.repartition(n, "_hash").write.mode("overwrite").partitionBy("_hash").parquet(f"{self.path}/{data}")
+        made = self.spark.read.schema(f"{self.schema}, _hash long").parquet(f"{self.path}/{data}").select("_hash").distinct().collect()
+        folders = kept | {r[0]: f"{data}/_hash={r[0]}" for r in made}
+        rows = [(n, h, f) for h, f in folders.items()] or [(n, None, None)]
+        listed = self.spark.createDataFrame(rows, "folders long, hash long, folder string")
+        # refused if another writer was first with this version
+        listed.coalesce(1).write.mode("error").parquet(f"{self.path}/versions/v={version}")
+
+    def replace(self, df: DataFrame) -> None:
+        """The whole table anew; the rows must have unique keys."""
+        df = materialize(df, "replace")
+        self._write(df, self.version() + 1, parts_for(df, self.folder_rows), {})
+
+    def _change(self, batch: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        batch = materialize(batch, "batch")
+        v, n, known = self.folders()
+        n = n or parts_for(batch, self.folder_rows)
+        touched = {r[0] for r in batch.select(self._hash(n)).distinct().collect()}
+        if touched or not v:
+            old = self._read([f for h, f in known.items() if h in touched])
+            self._write(merge(old, batch), v + 1, n, {h: f for h, f in known.items() if h not in touched})
 
     def upsert(self, batch: DataFrame) -> None:
-        self.replace(merge_by_key(self.read(), batch, self.keys))
+        self._change(batch, lambda old, new: merge_by_key(old, new, self.keys))
 
     def upsert_latest(self, batch: DataFrame, order: Sequence[str]) -> None:
         """Upsert where the newer of stored and incoming row wins: safe to run again."""
-        from dayledger.operators.skew import latest_per_key
-
-        both = self.read().unionByName(batch, allowMissingColumns=True)
-        self.replace(latest_per_key(both, self.keys, order))
+        self._change(batch, lambda old, new: latest_per_key(old.unionByName(new, allowMissingColumns=True), self.keys, order))
 
 
 def document_id(*cols: str):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dayledger.operators import profiles as P
 from dayledger.operators.upsert import KeyedTable, document_id, target_rows
 from dayledger.registry import query
-from dayledger.session import scratch, table
+from dayledger.session import materialize, scratch, table
 from dayledger.sources import inputs as I
 from dayledger.sources import lake as L
 
@@ -66,14 +66,23 @@ def lake_ingest_day(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "lake_ingest_config",
-    f"WITH {I.CAMPAIGNS_SQL} SELECT campaignID, CAST(campaignType AS BIGINT) AS campaignType, "
-    "CAST(expireDate AS VARCHAR) AS expireDate, expireTime FROM config",
+    f"WITH {I.CAMPAIGNS_SQL} SELECT true AS accepted, campaignID, CAST(campaignType AS BIGINT) AS campaignType, "
+    "CAST(expireDate AS VARCHAR) AS expireDate, expireTime FROM config "
+    "UNION ALL SELECT false, campaignID, NULL, NULL, NULL FROM config WHERE campaignID % 7 = 3",
 )
 def lake_ingest_config(spark: SparkSession, d: str) -> DataFrame:
+    """Some campaigns come a second time with a broken date: those rows are kept apart, none is lost."""
     src, lake = scratch(spark, "tsv"), scratch(spark, "lake")
-    L.write_tsv(I.campaigns(spark, d), f"{src}/configs")
+    campaigns = I.campaigns(spark, d)
+    L.write_tsv(campaigns, f"{src}/configs")
+    broken = campaigns.filter("campaignID % 7 = 3").select("campaignID", "campaignType", F.lit("soon").alias("expireDate"), "expireTime")
+    broken.write.mode("append").csv(f"{src}/configs", sep="\t", header=True)
     L.ingest_config(spark, src, lake)
-    return spark.read.parquet(f"{lake}/configs")
+    good = L.lake_config(spark, lake).select(F.lit(True).alias("accepted"), "*")
+    bad = L.rejected(spark, lake, "configs").select(
+        F.lit(False), F.substring_index(L.CORRUPT, "\t", 1).cast("long"), *[F.lit(None).cast(good.schema[c].dataType) for c in good.columns[2:]]
+    )
+    return good.unionAll(bad)
 
 
 @query(
@@ -370,9 +379,8 @@ def demographic_merge(spark: SparkSession, d: str) -> DataFrame:
     cut = F.lit("1998-07-01").cast("timestamp")
     store = KeyedTable.temporary(spark, "demographic", ["_id"], f"_id long, {P.DEMOGRAPHIC_SCHEMA}")
     for part in (rows.filter(F.col("updated_time") < cut), rows.filter(F.col("updated_time") >= cut)):
-        batch = P.demographic_latest(part)
-        merged = P.demographic_merge(target_rows(store.read().drop("_id"), batch, ["userid"]), batch)
-        store.upsert(merged.withColumn("_id", F.col("userid")))
+        batch = materialize(P.demographic_latest(part).withColumn("_id", F.col("userid")), "users")
+        store.upsert(P.demographic_merge(store.rows_for(batch).drop("_id"), batch.drop("_id")).withColumn("_id", F.col("userid")))
     return store.read()
 
 
@@ -470,8 +478,8 @@ def promotion_merge(spark: SparkSession, d: str) -> DataFrame:
     """Use times before 1998-07 are stored, later ones come as a batch."""
     cut = F.lit("1998-07-01").cast("timestamp")
     p, cfg = I.promotions(spark, d), I.campaigns(spark, d)
-    old = P.vouchers(p.filter(F.col("time") < cut), cfg, as_of())
-    new = P.vouchers(p.filter(F.col("time") >= cut), cfg, as_of())
+    old = P.voucher_rows(p.filter(F.col("time") < cut), cfg, as_of())
+    new = P.voucher_rows(p.filter(F.col("time") >= cut), cfg, as_of())
     return P.voucher_merge(old, new, as_of())
 
 
@@ -507,22 +515,19 @@ def run_day(spark: SparkSession, source: str, lake: str, stores: dict[str, Keyed
     L.ingest_config(spark, source, lake)
     run_date = F.lit(day).cast("date")
 
-    users = P.demographic_latest(P.parse_users(L.lake_table(spark, lake, "users", day)))
+    users = materialize(P.demographic_latest(P.parse_users(L.lake_table(spark, lake, "users", day))), "users").withColumn("_id", F.col("userid"))
     store = stores["demographic"]
-    merged = P.demographic_merge(target_rows(store.read().drop("_id"), users, ["userid"]), users)
-    store.upsert(merged.withColumn("_id", F.col("userid")))
+    store.upsert(P.demographic_merge(store.rows_for(users).drop("_id"), users.drop("_id")).withColumn("_id", F.col("userid")))
 
-    batch = P.activity_profile(P.successful(L.lake_table(spark, lake, "transactions", day)))
+    batch = materialize(P.activity_profile(P.successful(L.lake_table(spark, lake, "transactions", day))), "activity").withColumn("_id", F.col("userId"))
     store = stores["activity"]
-    stored = target_rows(store.read().drop("_id"), batch, ["userId"])
-    merged = P.activity_merge(stored, P.late_guard(batch, stored, run_date))
-    store.upsert(merged.withColumn("_id", F.col("userId")))
+    stored, batch = store.rows_for(batch).drop("_id"), batch.drop("_id")
+    store.upsert(P.activity_merge(stored, P.late_guard(batch, stored, run_date)).withColumn("_id", F.col("userId")))
 
-    config = spark.read.schema(L.CONFIG).parquet(f"{lake}/configs")
-    batch = P.vouchers(L.lake_table(spark, lake, "promotions", day), config, now)
+    rows = P.voucher_rows(L.lake_table(spark, lake, "promotions", day), L.lake_config(spark, lake), now)
+    batch = materialize(rows.withColumn("_id", document_id(*P.VOUCHER_KEY)), "vouchers")
     store = stores["voucher"]
-    stored = target_rows(store.read().drop("_id"), batch, P.VOUCHER_KEY)
-    store.upsert(P.voucher_merge(stored, batch, now))
+    store.upsert(P.voucher_merge(store.rows_for(batch).drop("_id"), batch.drop("_id"), now))
 
 
 VOUCHER_SCHEMA = (

@@ -19,8 +19,11 @@ cloudpickle.register_pickle_by_value(dayledger)
 # Rows of one key above which its group is split over several tasks.
 HOT_ROWS_KEY = "spark.dayledger.hotRows"
 HOT_ROWS_DEFAULT = 1_000_000
-# Rows up to which a lookup side may be broadcast.
+# Rows and bytes up to which a lookup side may be broadcast.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
+# Rows that one task of a layout of given size should get.
+TASK_ROWS = 2_000_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -109,6 +112,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a lookup side if it is counted to be small; else leave the join to the optimizer."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """Broadcast a lookup side if its rows and bytes are measured to be small; else leave the join to the optimizer."""
+    text = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(text)).first()
+    return F.broadcast(df) if n <= max_rows and (size or 0) <= BROADCAST_BYTES else df
+
+
+def parts_for(df: DataFrame, rows: int = TASK_ROWS) -> int:
+    """Tasks, buckets or salts for a frame: its rows over the rows of one of them, one at least."""
+    return max(1, -(-df.count() // rows))
+
+
+def shuffle_parts(spark: SparkSession) -> int:
+    """Partitions that a shuffle starts with, whichever of the two settings the cluster uses."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))

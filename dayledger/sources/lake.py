@@ -1,4 +1,4 @@
-"""Daily tab-separated files to a Parquet lake laid out as ``<lake>/<table>/date=<day>``."""
+"""Daily tab-separated files to a Parquet lake laid out as ``<lake>/<table>/date=<day>/accepted=<true or false>``."""
 
 from __future__ import annotations
 
@@ -37,11 +37,14 @@ def lake_path(lake: str, table: str, day: str) -> str:
     return f"{lake}/{table}/date={day}"
 
 
+def write_sorted_out(raw: DataFrame, path: str) -> None:
+    """Rows that fit and rows that do not, each kind in its folder, from one pass over the text."""
+    raw.withColumn("accepted", F.col(CORRUPT).isNull()).write.mode("overwrite").partitionBy("accepted").parquet(path)
+
+
 def ingest(spark: SparkSession, src: str, lake: str, table: str, day: str, schema: str) -> None:
-    """One table of one day, replaced as a whole; bad rows go to ``<table>_rejected``."""
-    good, bad = split_malformed(read_tsv(spark, src, schema))
-    good.write.mode("overwrite").parquet(lake_path(lake, table, day))
-    bad.write.mode("overwrite").parquet(lake_path(lake, f"{table}_rejected", day))
+    """One table of one day, replaced as a whole; bad rows keep their text."""
+    write_sorted_out(read_tsv(spark, src, schema), lake_path(lake, table, day))
 
 
 def ingest_day(spark: SparkSession, source: str, lake: str, day: str) -> None:
@@ -50,12 +53,27 @@ def ingest_day(spark: SparkSession, source: str, lake: str, day: str) -> None:
 
 
 def ingest_config(spark: SparkSession, source: str, lake: str) -> None:
-    good, _ = split_malformed(read_tsv(spark, f"{source}/configs", CONFIG))
-    good.write.mode("overwrite").parquet(f"{lake}/configs")
+    write_sorted_out(read_tsv(spark, f"{source}/configs", CONFIG), f"{lake}/configs")
+
+
+def _kind(spark: SparkSession, path: str, schema: str, accepted: bool) -> DataFrame:
+    """Rows of one kind; the filter opens that folder only, and a kind without rows has none."""
+    rows = spark.read.schema(f"{schema}, {CORRUPT} string, accepted boolean").parquet(path)
+    return rows.filter(F.col("accepted") == accepted).drop("accepted")
 
 
 def lake_table(spark: SparkSession, lake: str, table: str, day: str | None = None) -> DataFrame:
-    """One table of the lake with its ``date`` column, or one day of it (read by folder)."""
+    """Accepted rows of one table of the lake with their ``date``, or of one day of it (read by folder)."""
     if day is None:
-        return spark.read.parquet(f"{lake}/{table}")
-    return spark.read.schema(DAILY[table]).parquet(lake_path(lake, table, day))
+        return _kind(spark, f"{lake}/{table}", f"{DAILY[table]}, date string", True).drop(CORRUPT)
+    return _kind(spark, lake_path(lake, table, day), DAILY[table], True).drop(CORRUPT)
+
+
+def lake_config(spark: SparkSession, lake: str) -> DataFrame:
+    return _kind(spark, f"{lake}/configs", CONFIG, True).drop(CORRUPT)
+
+
+def rejected(spark: SparkSession, lake: str, table: str, day: str | None = None) -> DataFrame:
+    """Rows of a daily table or of ``configs`` that did not fit the schema, with their text."""
+    path = f"{lake}/configs" if table == "configs" else lake_path(lake, table, day) if day else f"{lake}/{table}"
+    return _kind(spark, path, CONFIG if table == "configs" else DAILY[table], False)

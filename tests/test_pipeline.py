@@ -126,14 +126,29 @@ def test_keyed_table(spark):
     t.upsert(spark.createDataFrame([(2, "c"), (3, "d")], t.schema))
     assert rows_of(t.read()) == [(1, "a"), (2, "c"), (3, "d")]
     # an unfinished version is not seen, and the next write takes its place
-    spark.createDataFrame([(9, "z")], t.schema).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{t.path}/v00000003")
-    assert t.version() == 2
+    spark.createDataFrame([(9, "z")], t.schema).write.parquet(f"{t.path}/data/v00000003/_hash=0")
+    assert t.version() == 2 and t.read().count() == 3
     t.upsert(spark.createDataFrame([(4, "e")], t.schema))
     assert t.version() == 3 and t.read().count() == 4
     keys = spark.createDataFrame([(1,), (1,), (7,)], "k long")
     assert rows_of(target_rows(t.read(), keys, ["k"])) == [(1, "a")]
 
 
+def test_an_upsert_leaves_other_folders_alone(spark):
+    t = KeyedTable.temporary(spark, "folders", ["k"], "k long, v string", folder_rows=10)
+    t.replace(spark.range(100).selectExpr("id AS k", "'old' AS v"))
+    _, n, before = t.folders()
+    assert n == 10 and len(before) > 5
+    t.upsert(spark.createDataFrame([(17, "new")], t.schema))
+    _, n, after = t.folders()
+    changed = {h for h in before if before[h] != after[h]}
+    assert n == 10 and len(changed) == 1
+    assert rows_of(t.read()) == sorted([(k, "new" if k == 17 else "old") for k in range(100)], key=repr)
+    assert rows_of(t.rows_for(spark.createDataFrame([(17,), (500,)], "k long"))) == [(17, "new")]
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        t._write(spark.createDataFrame([(1, "x")], t.schema), t.version(), 10, after)
+
+
 HEAD = "transId\ttransStatus\tuserId\ttransactionTime\tappId\ttransType\tamount\tpmcId"
 
 
@@ -151,6 +166,18 @@ def test_malformed_rows_are_kept_apart(spark):
     assert rejected.first()[L.CORRUPT] == bad
 
 
+def test_rejected_rows_of_day_and_configuration(spark):
+    src, lake = scratch(spark, "src"), scratch(spark, "lake")
+    write_text(spark, f"{src}/configs", ["campaignID\tcampaignType\texpireDate\texpireTime", "7\t2\t2022-06-01 00:00:00\t2592000", "8\tx\ty\tz"])
+    L.ingest_config(spark, src, lake)
+    assert [r.campaignID for r in L.lake_config(spark, lake).collect()] == [7]
+    assert [r[L.CORRUPT] for r in L.rejected(spark, lake, "configs").collect()] == ["8\tx\ty\tz"]
+    write_text(spark, f"{src}/t", [HEAD, "t1\t1\t5\t2022-03-03 17:09:44.685\t70\t3\t160\t1"])
+    L.ingest(spark, f"{src}/t", lake, "transactions", "2022-03-03", L.TRANSACTIONS)
+    assert L.lake_table(spark, lake, "transactions").first().date == "2022-03-03"
+    assert L.rejected(spark, lake, "transactions", "2022-03-03").count() == 0
+
+
 def make_day(spark, src, day, transactions, users, promotions):
     write_text(spark, f"{src}/transactions/{day}", [HEAD, *transactions])
     write_text(spark, f"{src}/users/{day}", ["userid\tbirthdate\tprofileLevel\tgender\tupdatedTime", *users])
