@@ -11,6 +11,7 @@ padding.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ from dayledger.llm.words import buffers, find_words
 from dayledger.session import materialize
 
 K1, B = 1.2, 0.75
+FIRST_NEIGHBOURS = 32
 HOT_COPIES = 1000  # equal rows up to which they may share a shard
 
 
@@ -57,7 +59,7 @@ class ByteTokenizer:
     def encode(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.array(self.fast.encode_ordinary(text), np.uint32)
+        return self.fast.encode_to_numpy(text, disallowed_special=())
 
 
 class Index:
@@ -81,14 +83,16 @@ class Index:
         self.post_doc, self.post_weight = doc[use][order], weight[use][order]
         self.post_first = np.searchsorted(term[use][order], np.arange(len(terms) + 1))
 
-    def neighbours(self, seed: int) -> np.ndarray:
-        """Documents that share a term with the seed, best first; ties by place."""
+    def neighbours(self, seed: int) -> Iterator[int]:
+        """Documents that share a term with the seed, best first; ties by place. Few are asked for, so few are sorted at first."""
         t = self.doc_terms[self.doc_first[seed] : self.doc_first[seed + 1]]
         a, n = self.post_first[t], self.post_first[t + 1] - self.post_first[t]
         at = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(t) else np.zeros(0, np.int64)
         scores = np.bincount(self.post_doc[at], weights=self.post_weight[at], minlength=self.n)
-        best = np.argsort(-scores, kind="stable")
-        return best[: np.count_nonzero(scores)]
+        found = np.flatnonzero(scores)
+        least = np.partition(scores[found], -FIRST_NEIGHBOURS)[-FIRST_NEIGHBOURS] if len(found) > FIRST_NEIGHBOURS else 0
+        for some in (found[scores[found] >= least], found[scores[found] < least]):
+            yield from some[np.argsort(-scores[some], kind="stable")].tolist()
 
 
 def fill(lengths: list[int], index: Index, size: int, content: list) -> list[tuple[int, int, int, int, int]]:
@@ -104,7 +108,7 @@ def fill(lengths: list[int], index: Index, size: int, content: list) -> list[tup
         doc = -1
         if offset:
             if near is None:
-                near = iter(index.neighbours(seed).tolist())
+                near = index.neighbours(seed)
             doc = next((d for d in near if not used[d] and content[d] not in here), -1)
         if doc < 0:
             while used[following]:

@@ -31,12 +31,18 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-    with np.errstate(over="ignore"):
-        return np.cumprod(out, dtype=np.uint64)
+    """base^0 to base^(n-1); the longest run asked for so far is kept."""
+    have = _POWERS.get(int(base))
+    if have is None or len(have) < n:
+        have = np.full(n, base, np.uint64)
+        have[:1] = 1
+        with np.errstate(over="ignore"):
+            have = _POWERS[int(base)] = np.cumprod(have, dtype=np.uint64)
+    return have[:n]
 
 
 def byte_table(salt: int) -> np.ndarray:
