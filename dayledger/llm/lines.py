@@ -62,7 +62,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     )
     own = F.col("row").getField(text)
     box = boxed(docs).withColumn("h", F.xxhash64(own)).withColumn("lines", F.split(own, "\n"))
-    marked = box.join(cover, F.col("row").getField(key).eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_th")), "left")
+    # one plan at every size: a broadcast where the bounds happen to be few would not hold for more of them
+    marked = box.join(cover.hint("shuffle_hash"), F.col("row").getField(key).eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_th")), "left")
     gone = F.coalesce(F.expr("aggregate(zip_with(ends, begins, (e, b) -> e - b), 0, (s, x) -> s + x)"), F.lit(0))
     left = F.expr(
         "flatten(transform(sequence(0, size(begins)), k -> slice(lines,"
