@@ -56,7 +56,7 @@ def pagerank_converged(edges: DataFrame, tolerance: float, max_rounds: int = 200
         ranks = new
         if (change.first()[0] or 0.0) < tolerance:
             return ranks
-    return ranks
+    raise RuntimeError("ranks did not settle")
 
 
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:

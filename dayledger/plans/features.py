@@ -23,7 +23,7 @@ from dayledger.operators.likeness import bucket_links
 from dayledger.plans.joins import WORDS_SQL, words
 from dayledger.plans.models import SEED, assembled, fitted, lines, vectors
 from dayledger.registry import query
-from dayledger.session import table
+from dayledger.session import parts_for, table
 
 
 @query(
@@ -196,25 +196,37 @@ def ml_feature_tfidf(spark: SparkSession, d: str) -> DataFrame:
     return tf.join(df, "word").select("doc_id", "word", "tf", F.round(weight, 6).alias("tfidf"))
 
 
-@query("ml_feature_hash")
+@query(
+    "ml_feature_hash",
+    f"""
+WITH w AS (SELECT * FROM ({WORDS_SQL.format(cols='doc_id,', table='documents')}) WHERE word <> ''),
+df AS (SELECT word, count(*) AS tf, count(DISTINCT doc_id) AS df FROM w GROUP BY 1)
+SELECT coalesce(sum(tf) FILTER (WHERE df >= 2), 0)::DOUBLE AS counts, sum(tf)::DOUBLE AS hashed,
+       round(sum(tf * ln(((SELECT count(*) FROM documents) + 1.0) / (df + 1.0))), 3) AS weighted,
+       (SELECT sum(1 + n_chars)::DOUBLE FROM documents) AS columns, (SELECT count(*) FROM documents) AS n FROM df
+""",
+)
 def ml_feature_hash(spark: SparkSession, d: str) -> DataFrame:
-    """Counted and hashed terms, inverse document weights, hashed columns: size and mass of each vector form."""
-    docs = table(spark, d, "documents").select("doc_id", "text", "lang", "n_chars")
-    stages = [
-        FT.RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\s+"),
-        FT.CountVectorizer(inputCol="words", outputCol="counts", vocabSize=1 << 12, minDF=2.0),
-        FT.HashingTF(inputCol="words", outputCol="hashed", numFeatures=1 << 12),
-        FT.IDF(inputCol="hashed", outputCol="weighted"),
-        FT.FeatureHasher(inputCols=["lang", "n_chars"], outputCol="columns", numFeatures=64),
-    ]
-    out = fitted(Pipeline(stages=stages), docs).transform(docs)
-
-    def mass(col: str):
-        return F.aggregate(vector_to_array(col), F.lit(0.0), lambda a, x: a + F.abs(x))
+    """Mass of counted, hashed and weighted terms and of hashed columns.
 
-    return out.agg(
-        *[F.sum(mass(c)).alias(c) for c in ("counts", "hashed", "weighted", "columns")], F.count("*").alias("n")
+    Counts and weights are keyed by word, so there is no vocabulary to cut.
+    Hashed vectors are summed as they are, sparse: clashes add up and lose no mass.
+    """
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang", "n_chars")
+    per = words(docs, "doc_id").groupBy("doc_id", "word").agg(F.count("*").alias("tf"))
+    per = per.groupBy("word").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
+    n = docs.select(F.count("*")).scalar()
+    counts = per.agg(
+        F.coalesce(F.sum(F.when(F.col("df") >= 2, F.col("tf"))), F.lit(0)).cast("double").alias("counts"),
+        F.round(F.sum(F.col("tf") * F.log((n + 1.0) / (F.col("df") + 1.0))), 3).alias("weighted"),
     )
+    split = docs.withColumn("words", F.filter(F.split("text", "[ \n]+"), lambda w: w != ""))
+    hashed = FT.HashingTF(inputCol="words", outputCol="hashed").transform(split)
+    hashed = FT.FeatureHasher(inputCols=["lang", "n_chars"], outputCol="columns").transform(hashed)
+    mass = hashed.agg(*[F.struct(Summarizer.metrics("normL1").summary(F.col(c)).alias("s")).alias(c) for c in ("hashed", "columns")], F.count("*").alias("n"))
+    mass = mass.select(*[F.aggregate(vector_to_array(F.col(f"{c}.s.normL1")), F.lit(0.0), lambda a, x: a + x).alias(c) for c in ("hashed", "columns")], "n")
+    # one row beside one row
+    return counts.withColumn("_k", F.lit(1)).join(mass.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
 @query("ml_word2vec")
@@ -222,7 +234,7 @@ def ml_word2vec(spark: SparkSession, d: str) -> DataFrame:
     """Vectors of the more frequent words, and the words nearest to the most frequent one."""
     docs = table(spark, d, "documents").select("doc_id", "text")
     tokens = FT.RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\s+").transform(docs)
-    est = FT.Word2Vec(inputCol="words", outputCol="vec", vectorSize=16, minCount=20, maxIter=1, numPartitions=4, seed=SEED)
+    est = FT.Word2Vec(inputCol="words", outputCol="vec", vectorSize=16, minCount=20, maxIter=1, numPartitions=parts_for(docs), seed=SEED)
     m = fitted(est, tokens.select("words"))
     top = words(docs).groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").first()["word"]
     return m.findSynonyms(top, 10)

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from dayledger.operators.hot import split_hot
 from dayledger.operators.skew import salted_join
 from dayledger.registry import query
-from dayledger.session import scratch, setting, small_side, table
+from dayledger.session import parts_for, scratch, setting, small_side, table
 from dayledger.sources import inputs as I
 
 
@@ -232,14 +232,11 @@ def save_modes(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(s.schema).parquet(path).groupBy("s_suppkey").agg(F.count("*").alias("n"))
 
 
-BUCKETS = 8
-
-
-def bucketed(df: DataFrame, stem: str, key: str) -> DataFrame:
+def bucketed(df: DataFrame, stem: str, key: str, buckets: int) -> DataFrame:
     """External table in the shared folder, bucketed and sorted by ``key``; one task per bucket on write."""
     spark, name = df.sparkSession, new_name(stem)
     (
-        df.repartition(BUCKETS, key).write.bucketBy(BUCKETS, key).sortBy(key)
+        df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
         .option("path", scratch(spark, stem)).format("parquet").saveAsTable(name)
     )
     return spark.table(name)
@@ -259,10 +256,11 @@ def table_bucketed(spark: SparkSession, d: str) -> DataFrame:
     out = ["c_custkey", "c_name", "o_totalprice"]
 
     def plain(df: DataFrame) -> DataFrame:
-        return bucketed(df, "orders", "c_custkey").join(bucketed(c, "customer", "c_custkey"), "c_custkey").select(out)
+        n = parts_for(df)
+        return bucketed(df, "orders", "c_custkey", n).join(bucketed(c, "customer", "c_custkey", n), "c_custkey").select(out)
 
     def salted(df: DataFrame) -> DataFrame:
-        return salted_join(df, c, "c_custkey", ["o_orderkey"]).select(out)
+        return salted_join(df, c, "c_custkey", ["o_orderkey"], parts_for(df)).select(out)
 
     joined = split_hot(o, ["c_custkey"], plain, salted)
     return joined.groupBy("c_custkey", "c_name").agg(
@@ -323,7 +321,7 @@ def view_sql(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-NATION_GROUPS = [(k, f"group {k % 4}") for k in range(25)]
+NATION_GROUPS = [(k, f"group {k}") for k in range(4)]
 
 
 @query(
@@ -337,9 +335,9 @@ def warehouse_keyvalue_join(spark: SparkSession, d: str) -> DataFrame:
     name = new_name("kv")
     kv = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
     kv.write.option("path", scratch(spark, name)).format("parquet").saveAsTable(name)
-    labels = spark.createDataFrame(NATION_GROUPS, "c_nationkey int, label string")
-    rows = spark.sql(f"SELECT c_custkey, c_name, c_nationkey FROM {name} WHERE c_custkey > 10")
-    return rows.join(small_side(labels), "c_nationkey").drop("c_nationkey").orderBy("c_custkey")
+    labels = spark.createDataFrame(NATION_GROUPS, "group_no int, label string")
+    rows = spark.sql(f"SELECT c_custkey, c_name, pmod(c_nationkey, 4) AS group_no FROM {name} WHERE c_custkey > 10")
+    return rows.join(small_side(labels), "group_no").drop("group_no").orderBy("c_custkey")
 
 
 @query(
@@ -381,9 +379,10 @@ def fn_partition_transform(spark: SparkSession, d: str) -> DataFrame:
     e = I.events(spark, d).select("event_id", "user_id", "value", "ts")
     e = e.withColumns({"h": F.hour("ts"), "y": F.year("ts"), "m": F.month("ts"), "dy": F.dayofmonth("ts")})
     # salt: a day or user with very many rows goes to several tasks and files
-    salt = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    n = parts_for(e)
+    salt = F.pmod(F.xxhash64("event_id"), F.lit(n))
     (
-        e.repartition(F.col("y"), F.col("m"), F.col("dy"), salt).write.partitionBy("y", "m", "dy").bucketBy(4, "user_id")
+        e.repartition(F.col("y"), F.col("m"), F.col("dy"), salt).write.partitionBy("y", "m", "dy").bucketBy(n, "user_id")
         .option("path", scratch(spark, name)).format("parquet").saveAsTable(name)
     )
     days = spark.table(name).filter("dy BETWEEN 10 AND 12")

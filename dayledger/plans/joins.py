@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dayledger.operators.skew import salted_join
 from dayledger.operators.timed import asof_join, range_join
 from dayledger.registry import query
-from dayledger.session import small_side, table
+from dayledger.session import parts_for, small_side, table
 from dayledger.sources import inputs as I
 
 LARGE = 450000
@@ -86,31 +86,19 @@ def join_anti(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "join_cross",
     """
-SELECT r_name, s.c_mktsegment, coalesce(n, 0) AS n FROM region
-CROSS JOIN (SELECT DISTINCT c_mktsegment FROM customer) s
-LEFT JOIN (SELECT n_regionkey, c_mktsegment, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey
-           WHERE c_acctbal > 9000 GROUP BY ALL) x ON x.c_mktsegment = s.c_mktsegment AND n_regionkey = r_regionkey
+SELECT r_name, c_mktsegment, count(*) FILTER (WHERE c_acctbal > 9000) AS n FROM customer
+JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL
 """,
 )
 def join_cross(spark: SparkSession, d: str) -> DataFrame:
-    """Every (region, segment) pair with its count, zero where there is none.
-
-    Only the two code lists are paired, each counted to be small; the
-    customers are counted before they meet the grid.
-    """
-    c = table(spark, d, "customer")
-    nation = small_side(table(spark, d, "nation").select("n_nationkey", "n_regionkey"), 1000)
+    """(region, segment) pairs that occur, with how many of their customers are rich; lists are not paired blindly."""
+    nation = small_side(table(spark, d, "nation").select("n_nationkey", "n_regionkey"))
     counts = (
-        c.filter("c_acctbal > 9000").groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n"))
+        table(spark, d, "customer").groupBy("c_nationkey", "c_mktsegment").agg(F.count_if(F.col("c_acctbal") > 9000).alias("n"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy(F.col("n_regionkey").alias("r_regionkey"), "c_mktsegment").agg(F.sum("n").alias("n"))
     )
-    regions = small_side(table(spark, d, "region"), 1000)
-    segments = c.select("c_mktsegment").distinct()
-    grid = segments.crossJoin(regions)
-    return grid.join(counts, ["r_regionkey", "c_mktsegment"], "left").select(
-        "r_name", "c_mktsegment", F.coalesce("n", F.lit(0)).alias("n")
-    )
+    return counts.join(small_side(table(spark, d, "region")), "r_regionkey").select("r_name", "c_mktsegment", "n")
 
 
 @query(
@@ -121,14 +109,17 @@ JOIN region ON o_totalprice >= r_regionkey * 100000 AND o_totalprice < (r_region
 """,
 )
 def join_theta(spark: SparkSession, d: str) -> DataFrame:
-    """Price bands, one per region row; the band list is counted before it is sent to all tasks."""
+    """Price bands, one per region row. Bands and prices meet on price cells as wide as the narrowest band, and the
+    comparison decides inside a cell: an equal join, whatever the number of bands."""
     bands = table(spark, d, "region").select(
         F.col("r_name").alias("band"), (F.col("r_regionkey") * 100000).alias("lo"),
         ((F.col("r_regionkey") + 1) * 100000).alias("hi"),
     )
     price = F.col("o_totalprice")
-    o = table(spark, d, "orders").select("o_totalprice")
-    hit = o.join(small_side(bands, 1000), (price >= F.col("lo")) & (price < F.col("hi")))
+    width = F.lit(float(bands.select(F.min(F.col("hi") - F.col("lo"))).first()[0] or 1))
+    bands = bands.withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))))
+    o = table(spark, d, "orders").select("o_totalprice", F.floor(price / width).alias("cell"))
+    hit = o.join(small_side(bands), "cell").filter((price >= F.col("lo")) & (price < F.col("hi")))
     return hit.groupBy("band").agg(F.count("*").alias("n"), F.round(F.sum(price), 2).alias("total"))
 
 
@@ -214,7 +205,7 @@ def join_skewed(spark: SparkSession, d: str) -> DataFrame:
     """Salted: one user's events go to several tasks, the customer row is repeated for each."""
     e = table(spark, d, "events").select(F.col("user_id").alias("c_custkey"), "event_id", "event_type", "value")
     c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    j = salted_join(e, c, "c_custkey", ["event_id"])
+    j = salted_join(e, c, "c_custkey", ["event_id"], parts_for(e))
     return j.groupBy("c_mktsegment", "event_type").agg(
         F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")
     )

@@ -347,7 +347,7 @@ def ml_prefix_span(spark: SparkSession, d: str) -> DataFrame:
     )
     days = sets.groupBy("user_id", "day").agg(F.array_sort(F.collect_list(F.struct("q", "kinds"))).alias("s"))
     seq = days.select(F.col("s.kinds").alias("sequence"))
-    found = PrefixSpan(minSupport=0.05, maxPatternLength=3).findFrequentSequentialPatterns(seq)
+    found = PrefixSpan(minSupport=0.05).findFrequentSequentialPatterns(seq)
     return found.select(F.to_json("sequence").alias("pattern"), "freq")
 
 

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dayledger.operators.hot import call_bucket, hot_rows, split_hot, spread
+from dayledger.operators.hot import call_bucket, split_hot, spread
 from dayledger.plans.files import new_name
 from dayledger.registry import query
-from dayledger.session import scratch, small_side, table
+from dayledger.session import materialize, parts_for, scratch, small_side, table
 from dayledger.sources import inputs as I
 
 
@@ -100,20 +100,17 @@ def count_rows(value: pd.Series) -> float:
 
 @query("udaf_pandas", "SELECT o_custkey, round(avg(o_totalprice), 6) AS mean FROM orders GROUP BY 1")
 def udaf_pandas(spark: SparkSession, d: str) -> DataFrame:
-    """The Python aggregate gets a key's rows at once; a hot key goes block by block, then over its block means."""
-    one = F.lit(1.0)
-
-    def plain(o: DataFrame) -> DataFrame:
-        return spread(o, "o_custkey").groupBy("o_custkey").agg(weighted_mean("o_totalprice", one).alias("mean"))
-
-    def sliced(o: DataFrame) -> DataFrame:
-        parts = o.groupBy("o_custkey", F.floor(F.col("o_orderkey") / hot_rows(o)).alias("_block")).agg(
-            weighted_mean("o_totalprice", one).alias("m"), count_rows("o_totalprice").alias("w")
-        )
-        return parts.groupBy("o_custkey").agg((F.sum(F.col("m") * F.col("w")) / F.sum("w")).alias("mean"))
+    """The Python aggregate in two steps for every key: means and counts of blocks of a key, then their weighted mean.
 
+    A key's rows go to as many blocks as the table fills tasks, so no call sees more than a task's share.
+    """
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return split_hot(o, ["o_custkey"], plain, sliced).withColumn("mean", F.round("mean", 6))
+    block = F.pmod(F.xxhash64("o_orderkey"), F.lit(parts_for(o))).alias("_block")
+    parts = spread(o.select("o_custkey", "o_totalprice", block), "o_custkey", "_block").groupBy("o_custkey", "_block").agg(
+        weighted_mean("o_totalprice", F.lit(1.0)).alias("m"), count_rows("o_totalprice").alias("w")
+    )
+    mean = weighted_mean("m", "w") if parts_for(o) > 1 else F.first("m")
+    return spread(parts, "o_custkey").groupBy("o_custkey").agg(F.round(mean, 6).alias("mean"))
 
 
 @query("udaf_buffer", "SELECT c_mktsegment, round(avg(c_acctbal), 6) AS mean FROM customer GROUP BY 1")
@@ -136,10 +133,8 @@ def map_in_pandas(spark: SparkSession, d: str) -> DataFrame:
     return e.mapInPandas(only_valuable, "event_id long, value double")
 
 
-def minus_mean(groups: pd.DataFrame) -> pd.DataFrame:
-    price = groups["o_totalprice"]
-    mean = groups["mean"] if "mean" in groups else price.groupby(groups["o_custkey"]).transform("mean")
-    return pd.DataFrame({"o_orderkey": groups["o_orderkey"], "diff": price - mean})
+def minus_mean(rows: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"o_orderkey": rows["o_orderkey"], "diff": rows["o_totalprice"] - rows["mean"]})
 
 
 @query(
@@ -147,20 +142,16 @@ def minus_mean(groups: pd.DataFrame) -> pd.DataFrame:
     "SELECT o_orderkey, round(o_totalprice - avg(o_totalprice) OVER (PARTITION BY o_custkey), 6) AS diff FROM orders",
 )
 def apply_in_pandas(spark: SparkSession, d: str) -> DataFrame:
-    """Whole groups per call; for a hot key the mean comes from a built-in aggregate and the calls get blocks of rows."""
-    out = "o_orderkey long, diff double"
-
-    def plain(o: DataFrame) -> DataFrame:
-        calls = spread(o.withColumn("_call", call_bucket(o, "o_custkey")), "_call")
-        return calls.groupBy("_call").applyInPandas(minus_mean, out)
-
-    def sliced(o: DataFrame) -> DataFrame:
-        means = o.groupBy("o_custkey").agg(F.avg("o_totalprice").alias("mean"))
-        blocks = o.join(F.broadcast(means), "o_custkey").groupBy("o_custkey", F.floor(F.col("o_orderkey") / hot_rows(o)))
-        return blocks.applyInPandas(minus_mean, out)
+    """A function on blocks of whole rows, each with the mean of its group beside it.
 
+    What the function needs of the group is an aggregate and is joined in, so blocks may cut a group anywhere and a hot
+    group is many blocks.
+    """
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return split_hot(o, ["o_custkey"], plain, sliced).withColumn("diff", F.round("diff", 6))
+    means = materialize(o.groupBy("o_custkey").agg(F.avg("o_totalprice").alias("mean")), "means")
+    calls = o.join(means, "o_custkey").withColumn("_call", call_bucket(o, "o_orderkey"))
+    out = spread(calls, "_call").groupBy("_call").applyInPandas(minus_mean, "o_orderkey long, diff double")
+    return out.withColumn("diff", F.round("diff", 6))
 
 
 def nearest_before(buys: pd.DataFrame, views: pd.DataFrame) -> pd.DataFrame:
@@ -240,7 +231,9 @@ def udtf_rows(spark: SparkSession, d: str) -> DataFrame:
     return spark.sql(f"SELECT doc_id, line_no, n_words FROM {{docs}}, LATERAL {name}(text)", docs=docs)
 
 
-LOOKUP_ROWS = 1000
+@F.pandas_udf(T.StringType())
+def name_of(key: pd.Series, known: pd.Series, name: pd.Series) -> pd.Series:
+    return name.where(key == known)
 
 
 @query(
@@ -248,21 +241,11 @@ LOOKUP_ROWS = 1000
     "SELECT c_custkey, n_name AS by_join, n_name AS by_code FROM customer JOIN nation ON c_nationkey = n_nationkey",
 )
 def udf_shared_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """A join first; the broadcast value serves code that must look names up itself, if the list is counted small."""
+    """Code that looks names up gets the looked-up rows joined in beside its own: the same at any size of the list."""
     nation = table(spark, d, "nation").select("n_nationkey", "n_name")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    joined = c.join(small_side(nation, LOOKUP_ROWS), F.col("c_nationkey") == F.col("n_nationkey"))
-    out = joined.select("c_custkey", "c_nationkey", F.col("n_name").alias("by_join"))
-    rows = nation.limit(LOOKUP_ROWS + 1).collect()
-    if len(rows) > LOOKUP_ROWS:
-        return out.select("c_custkey", "by_join", F.col("by_join").alias("by_code"))
-    names = spark.sparkContext.broadcast({r.n_nationkey: r.n_name for r in rows})
-
-    @F.pandas_udf(T.StringType())
-    def name_of(key: pd.Series) -> pd.Series:
-        return key.map(names.value)
-
-    return out.select("c_custkey", "by_join", name_of("c_nationkey").alias("by_code"))
+    joined = c.join(small_side(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    return joined.select("c_custkey", F.col("n_name").alias("by_join"), name_of("c_nationkey", "n_nationkey", "n_name").alias("by_code"))
 
 
 @query(
