@@ -4,7 +4,9 @@ Two sets of sizes up to R whose Jaccard similarity is at least s differ in at
 most k = 2R(1-s)/(1+s) members. The domain of n-grams is cut into first-level
 parts, each into three. With more first-level parts than k/2, some part holds
 at most one difference, so two of its three pieces are equal: the sets share
-the signature that stands for those two pieces. Sizes fall into bands; a set
+the signature that stands for those two pieces. There are some parts more, so
+that a match shares several signatures and each set can leave out its most
+frequent ones. Sizes fall into bands; a set
 signs for its own band and, where it may match a larger set of the next, for
 that one too. Signatures only propose; every link is decided on the sets.
 
@@ -74,11 +76,11 @@ def bands(largest: int) -> np.ndarray:
     return np.array([*out, int(np.ceil(out[-1] * BAND_GROWTH))])
 
 
-def signatures(flat: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Signature hashes of each set and the index of the set, without repeats in a set."""
+def signatures(flat: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signature hashes, the index of the set of each, its band, and how many signatures a match shares at least there."""
     sizes = np.diff(bounds)
     if not len(flat):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3
     low = bands(int(sizes.max()))
     own = np.searchsorted(low, sizes, "right") - 1
     who = np.flatnonzero(sizes > 0)
@@ -87,7 +89,7 @@ def signatures(flat: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.n
     differ = (100 - percent) * 2 * (np.append(low, 2 * low[-1])[band + 1] - 1) // (100 + percent)
     # sets that may not differ at all are equal, and those are joined already
     who, band, differ = who[differ > 0], band[differ > 0], differ[differ > 0]
-    parts = differ // 2 + 1 + differ // 16 + 1
+    parts = differ // 2 + 1 + differ // 4 + 1
     base = np.concatenate([[0], np.cumsum(parts)])
     with np.errstate(over="ignore"):
         count = sizes[who]
@@ -112,7 +114,26 @@ def signatures(flat: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.n
     hollow = np.bincount(inst, weights=np.any(empty, axis=0), minlength=len(who))
     needed = hollow >= parts - differ // 2
     keep = ~np.concatenate(empty) | np.tile(needed[inst], 3)
-    return np.concatenate(keys)[keep], np.concatenate(owner)[keep]
+    least = np.where(needed, 1, parts - differ // 2 - hollow)
+    return np.concatenate(keys)[keep], np.concatenate(owner)[keep], np.tile(band[inst], 3)[keep], np.tile(least[inst], 3)[keep]
+
+
+def without_most_frequent(keys: np.ndarray, owner: np.ndarray, band: np.ndarray, least: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Which signatures to keep: of each set and band all but the ``least - 1`` most frequent.
+
+    Sets that match share at least ``least`` signatures of a band. In the
+    order of frequency the first that they share has least - 1 others behind
+    it in either set, so it is kept in both. Frequent signatures, such as
+    those of a passage that many texts quote, go where a set can spare them.
+    """
+    order = np.lexsort((keys, count, band, owner))
+    o, b = owner[order], band[order]
+    edge = np.flatnonzero(np.append(True, (o[1:] != o[:-1]) | (b[1:] != b[:-1]))) if len(o) else np.zeros(0, np.int64)
+    length = np.diff(np.append(edge, len(o)))
+    place = np.arange(len(o)) - np.repeat(edge, length)
+    keep = np.zeros(len(o), bool)
+    keep[order] = place <= np.repeat(length, length) - least[order]
+    return keep
 
 
 def block_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -177,13 +198,13 @@ class JaccardJoin:
         return self.texts.mapInArrow(run, "shard int, id long, n_shingles long, a long, b long")
 
     def leaders(self, heads: DataFrame) -> DataFrame:
-        """(shard, keys, leads, homes): for each shard, the signatures that other sets share and their leaders."""
+        """For each shard the signatures that other shards have too: their keys, leaders, leaders' shards, and shards in all."""
         width, percent, n = self.width, self.percent, self.n_buckets
 
         def send(mine: pa.Table, told: pa.Table) -> pa.Table:
             keys, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for ident, flat, bounds in head_sets(mine, told, width):
-                k, own = signatures(flat, bounds, percent)
+                k, own, _, _ = signatures(flat, bounds, percent)
                 keys.append(k)
                 ids.append(ident[own])
             k, i = np.concatenate(keys), np.concatenate(ids)
@@ -206,15 +227,16 @@ class JaccardJoin:
             first = np.ones(len(k), bool)
             first[1:] = k[1:] != k[:-1]
             lead = np.flatnonzero(first)[np.cumsum(first) - 1] if len(k) else np.zeros(0, np.int64)
-            many = np.bincount(np.cumsum(first) - 1)[np.cumsum(first) - 1] > 1 if len(k) else np.zeros(0, bool)
-            k, li, ls, shard = k[many], i[lead[many]], shard[lead[many]].astype(np.int32), shard[many]
+            times = np.bincount(np.cumsum(first) - 1)[np.cumsum(first) - 1].astype(np.int32) if len(k) else np.zeros(0, np.int32)
+            many = times > 1
+            k, li, ls, shard, times = k[many], i[lead[many]], shard[lead[many]].astype(np.int32), shard[many], times[many]
             order = np.argsort(shard, kind="stable")
             who, at = np.unique(shard[order], return_index=True)
-            pk, pi, ps = packed([k[order], li[order], ls[order]], np.append(at, len(order)))
-            return pa.table({"shard": pa.array(who, pa.int32()), "keys": pa.array(pk, pa.binary()), "leads": pa.array(pi, pa.binary()), "homes": pa.array(ps, pa.binary())})
+            pk, pi, ps, pt = packed([k[order], li[order], ls[order], times[order]], np.append(at, len(order)))
+            return pa.table({"shard": pa.array(who, pa.int32()), "keys": pa.array(pk, pa.binary()), "leads": pa.array(pi, pa.binary()), "homes": pa.array(ps, pa.binary()), "times": pa.array(pt, pa.binary())})
 
         sent = with_shards(self.texts, heads, send, "bucket int, shard int, keys binary, ids binary")
-        return sent.groupBy("bucket").applyInArrow(meet, "shard int, keys binary, leads binary, homes binary")
+        return sent.groupBy("bucket").applyInArrow(meet, "shard int, keys binary, leads binary, homes binary, times binary")
 
     def proposals(self, heads: DataFrame, answers: DataFrame) -> DataFrame:
         """(leader, home, id, shard, size): each set beside the leaders of its signatures."""
@@ -222,14 +244,20 @@ class JaccardJoin:
 
         def run(mine: pa.Table, told: pa.Table) -> pa.Table:
             asked = told.filter(pa.compute.is_valid(told["keys"])) if told.num_rows else told
-            k, lead, home = (joined(asked[c], t)[0] for c, t in (("keys", np.uint64), ("leads", np.int64), ("homes", np.int32)))
+            k, lead, home, times = (joined(asked[c], t)[0] for c, t in (("keys", np.uint64), ("leads", np.int64), ("homes", np.int32), ("times", np.int32)))
             order = np.argsort(k, kind="stable")
-            k, lead, home = k[order], lead[order], home[order]
+            k, lead, home, times = k[order], lead[order], home[order], times[order]
             shard = told["shard"][0].as_py() if told.num_rows else 0
             rows: list[np.ndarray] = [np.zeros((4, 0), np.int64)]
             local_k, local_i, local_n = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for ident, flat, bounds in head_sets(mine, told, width):
-                s, own = signatures(flat, bounds, percent)
+                s, own, band, least = signatures(flat, bounds, percent)
+                count = np.ones(len(s), np.int64)
+                if len(k):
+                    at = np.minimum(np.searchsorted(k, s), len(k) - 1)
+                    count[k[at] == s] = times[at[k[at] == s]]
+                keep = without_most_frequent(s, own, band, least, count)
+                s, own = s[keep], own[keep]
                 local_k.append(s)
                 local_i.append(ident[own])
                 local_n.append(np.diff(bounds)[own])
