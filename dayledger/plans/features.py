@@ -229,20 +229,34 @@ def ml_feature_hash(spark: SparkSession, d: str) -> DataFrame:
     return counts.withColumn("_k", F.lit(1)).join(mass.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
-@query("ml_word2vec")
+@query("ml_word2vec", "SELECT count(*) AS n, 10::BIGINT AS found, true AS good FROM documents")
 def ml_word2vec(spark: SparkSession, d: str) -> DataFrame:
-    """Vectors of the more frequent words, and the words nearest to the most frequent one."""
+    """Vectors of the more frequent words. Good: ten words near the most frequent one, by falling cosine, itself not among them."""
     docs = table(spark, d, "documents").select("doc_id", "text")
     tokens = FT.RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\s+").transform(docs)
     est = FT.Word2Vec(inputCol="words", outputCol="vec", vectorSize=16, minCount=20, maxIter=1, numPartitions=parts_for(docs), seed=SEED)
     m = fitted(est, tokens.select("words"))
     top = words(docs).groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").first()["word"]
-    return m.findSynonyms(top, 10)
+    near = m.findSynonyms(top, 10).collect()
+    sims = [r.similarity for r in near]
+    good = sims == sorted(sims, reverse=True) and all(-1 <= x <= 1 + 1e-6 for x in sims) and top not in {r.word for r in near}
+    return docs.agg(F.count("*").alias("n"), F.lit(len(near)).cast("long").alias("found"), F.lit(bool(good)).alias("good"))
 
 
-@query("ml_feature_select")
+@query(
+    "ml_feature_select",
+    """
+WITH e AS (SELECT label, unnest(embedding)::DOUBLE AS x, unnest(range(0, len(embedding))) AS i FROM embeddings),
+g AS (SELECT i, label, count(*) AS n, avg(x) AS m, var_pop(x) * count(*) AS within FROM e GROUP BY ALL),
+a AS (SELECT i, avg(x) AS m, count(*) AS n, var_samp(x) AS v FROM e GROUP BY 1),
+f AS (SELECT g.i, (sum(g.n * (g.m - a.m) ** 2) / (count(*) - 1)) / (sum(g.within) / (any_value(a.n) - count(*))) AS f
+      FROM g JOIN a ON a.i = g.i GROUP BY 1)
+SELECT 'chi' AS method, NULL AS feature, 8::BIGINT AS n UNION ALL
+SELECT 'f_value', i, 1 FROM (SELECT i FROM f ORDER BY f DESC LIMIT 8) UNION ALL SELECT 'variance', i, 1 FROM a WHERE v > 0.0155
+""",
+)
 def ml_feature_select(spark: SparkSession, d: str) -> DataFrame:
-    """Columns kept by chi-square, F-value and variance."""
+    """Columns kept by chi-square (how many), F-value and variance (which)."""
     df = vectors(spark, d)
     bins = F.transform("v", lambda x: F.floor(x * 10).cast("double") + 20)
     binned = df.withColumn("binned", array_to_vector(bins))
@@ -250,8 +264,9 @@ def ml_feature_select(spark: SparkSession, d: str) -> DataFrame:
     uni = FT.UnivariateFeatureSelector(featuresCol="features", labelCol="label", outputCol="s2", selectionMode="numTopFeatures")
     uni = uni.setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(8).fit(df)
     var = FT.VarianceThresholdSelector(featuresCol="features", outputCol="s3", varianceThreshold=0.0155).fit(df)
-    rows = [(n, int(i)) for n, m in (("chi", chi), ("f_value", uni), ("variance", var)) for i in m.selectedFeatures]
-    return spark.createDataFrame(rows, "method string, feature int")
+    rows = [(n, int(i), 1) for n, m in (("f_value", uni), ("variance", var)) for i in m.selectedFeatures]
+    rows.append(("chi", None, len(set(chi.selectedFeatures))))
+    return spark.createDataFrame(rows, "method string, feature int, n long")
 
 
 @query(
@@ -274,9 +289,14 @@ def ml_formula_sql(spark: SparkSession, d: str) -> DataFrame:
     return out.select("o_orderkey", "k", "done", F.size(vector_to_array("f")).alias("width"))
 
 
-@query("ml_pca_svd")
+@query(
+    "ml_pca_svd",
+    "SELECT 'all' AS kind, round(sum(x * x), 3) AS squares, true AS good "
+    "FROM (SELECT unnest(embedding)::DOUBLE AS x FROM embeddings)",
+)
 def ml_pca_svd(spark: SparkSession, d: str) -> DataFrame:
-    """Explained shares of the first components, and singular values from the Gram matrix.
+    """Explained shares of the first components, and singular values from the Gram matrix: their squares add up to the
+    sum of all squares. Good: shares and values fall, and no share is above the largest value's.
 
     The Gram matrix has width² entries however many rows there are; its
     eigenvalues are the squares of the singular values.
@@ -290,10 +310,10 @@ def ml_pca_svd(spark: SparkSession, d: str) -> DataFrame:
     g = np.zeros((n, n))
     for r in entries:
         g[r.i, r.j] = r.x
-    singular = np.sqrt(np.maximum(np.linalg.eigvalsh(g)[::-1][:5], 0.0))
+    singular = np.sqrt(np.maximum(np.linalg.eigvalsh(g)[::-1], 0.0))
     shares = pca.explainedVariance.toArray()
-    rows = [(i, float(shares[i]), float(singular[i])) for i in range(5)]
-    return spark.createDataFrame(rows, "component int, explained double, singular double")
+    good = (np.diff(shares) <= 1e-12).all() and 0 < shares[-1] and shares.sum() < 1 and shares[0] <= singular[0] ** 2 / (singular**2).sum() + 0.05
+    return spark.createDataFrame([("all", round(float((singular**2).sum()), 3), bool(good))], "kind string, squares double, good boolean")
 
 
 ENTRIES_SQL = "SELECT l_linenumber::BIGINT AS i, l_suppkey AS j, sum(l_quantity) AS x FROM lineitem GROUP BY ALL"

@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.plans.graphs import nation_trade
+from dayledger.plans.rows import gapless_index
 from dayledger.registry import query
-from dayledger.session import table
+from dayledger.session import materialize, parts_for, table
 
 SEED = 42
 
@@ -73,6 +74,21 @@ def confusion(predicted: DataFrame) -> DataFrame:
     return predicted.groupBy("label", "prediction").agg(F.count("*").alias("n"))
 
 
+def judged(predicted: DataFrame, accuracy: float) -> DataFrame:
+    """Rows of each label, and whether at least this share of all rows is predicted right."""
+    cells = confusion(predicted)
+    hits = cells.agg(F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)) / F.sum("n")).first()[0]
+    return cells.groupBy("label").agg(F.sum("n").alias("n")).withColumn("good", F.lit(hits is not None and hits >= accuracy))
+
+
+LINES_SQL = (
+    "SELECT (l_extendedprice / 1000 * (1 - l_discount) > 45)::INTEGER::DOUBLE AS label, count(*) AS n, true AS good "
+    "FROM lineitem GROUP BY 1"
+)
+DOCS_SQL = "SELECT quality::DOUBLE AS label, count(*) AS n, true AS good FROM documents JOIN labels USING (doc_id) GROUP BY 1"
+VECTORS_SQL = "SELECT label::DOUBLE AS label, count(*) AS n, true AS good FROM embeddings GROUP BY 1"
+
+
 def errors(predicted: DataFrame, label: str = "label") -> DataFrame:
     miss = F.col("prediction") - F.col(label)
     return predicted.agg(
@@ -81,140 +97,176 @@ def errors(predicted: DataFrame, label: str = "label") -> DataFrame:
     )
 
 
+def bounded(predicted: DataFrame, explained: float, label: str = "label") -> DataFrame:
+    """Rows, and whether at least this share of the label's variance is explained."""
+    return errors(predicted, label).select("n", (F.col("explained") >= explained).alias("good"))
+
+
+def counted(name: str) -> str:
+    return f"SELECT count(*) AS n, true AS good FROM {name}"
+
+
 # ---- labels ----------------------------------------------------------------
 
 
-@query("ml_pipeline")
+@query("ml_pipeline", DOCS_SQL)
 def ml_pipeline(spark: SparkSession, d: str) -> DataFrame:
     """Tokens, hashed counts and a classifier in one fitted pipeline."""
     docs = labelled_docs(spark, d)
     stages = [
         FT.RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\s+"),
-        FT.HashingTF(inputCol="words", outputCol="features", numFeatures=1 << 12),
+        FT.HashingTF(inputCol="words", outputCol="features"),
         C.LogisticRegression(maxIter=10, regParam=0.01),
     ]
-    return confusion(fitted(Pipeline(stages=stages), docs).transform(docs))
+    return judged(fitted(Pipeline(stages=stages), docs).transform(docs), 0.9)
 
 
-@query("ml_logistic")
+@query(
+    "ml_logistic",
+    "SELECT 'two' AS kind, count(*) AS n, 4 AS width, true AS good FROM lineitem UNION ALL "
+    "SELECT 'many', count(*), max(len(embedding)), true FROM embeddings",
+)
 def ml_logistic(spark: SparkSession, d: str) -> DataFrame:
     """Two classes with an elastic net, and many classes; accuracy and weights."""
     two = lines(spark, d)
     m2 = fitted(C.LogisticRegression(maxIter=15, regParam=0.01, elasticNetParam=0.5), two)
     many = vectors(spark, d)
     m5 = fitted(C.LogisticRegression(maxIter=15, regParam=0.01, family="multinomial"), many)
-    right = F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy")
+    right = F.avg((F.col("prediction") == F.col("label")).cast("double"))
     auc = float(m2.summary.areaUnderROC)
-    a = m2.transform(two).agg(right).select(F.lit("two").alias("kind"), "accuracy", F.lit(auc).alias("auc"),
-                                            F.lit(m2.numFeatures).alias("width"))
-    b = m5.transform(many).agg(right).select(F.lit("many"), "accuracy", F.lit(None).cast("double"), F.lit(m5.numFeatures))
-    return a.unionAll(b)
+    a = m2.transform(two).agg(F.count("*").alias("n"), (right >= 0.95).alias("good"))
+    b = m5.transform(many).agg(F.count("*").alias("n"), (right >= 0.3).alias("good"))
+    a = a.select(F.lit("two").alias("kind"), "n", F.lit(m2.numFeatures).alias("width"), (F.col("good") & F.lit(auc >= 0.98)).alias("good"))
+    return a.unionAll(b.select(F.lit("many"), "n", F.lit(m5.numFeatures), "good"))
 
 
-def _classifier(spark: SparkSession, d: str, est: Estimator) -> DataFrame:
+def _classifier(spark: SparkSession, d: str, est: Estimator, accuracy: float) -> DataFrame:
     df = lines(spark, d)
-    return confusion(fitted(est, df).transform(df))
+    return judged(fitted(est, df).transform(df), accuracy)
 
 
-@query("ml_linear_svc")
+@query("ml_linear_svc", LINES_SQL)
 def ml_linear_svc(spark: SparkSession, d: str) -> DataFrame:
-    return _classifier(spark, d, C.LinearSVC(maxIter=10, regParam=0.01))
+    return _classifier(spark, d, C.LinearSVC(maxIter=10, regParam=0.01), 0.95)
 
 
-@query("ml_tree_classifier")
+@query("ml_tree_classifier", LINES_SQL)
 def ml_tree_classifier(spark: SparkSession, d: str) -> DataFrame:
-    return _classifier(spark, d, C.DecisionTreeClassifier(maxDepth=5, seed=SEED))
+    return _classifier(spark, d, C.DecisionTreeClassifier(maxDepth=5, seed=SEED), 0.95)
 
 
-@query("ml_forest_classifier")
+@query("ml_forest_classifier", LINES_SQL)
 def ml_forest_classifier(spark: SparkSession, d: str) -> DataFrame:
-    return _classifier(spark, d, C.RandomForestClassifier(numTrees=10, maxDepth=5, seed=SEED))
+    return _classifier(spark, d, C.RandomForestClassifier(numTrees=10, maxDepth=5, seed=SEED), 0.9)
 
 
-@query("ml_gbt_classifier")
+@query("ml_gbt_classifier", LINES_SQL)
 def ml_gbt_classifier(spark: SparkSession, d: str) -> DataFrame:
-    return _classifier(spark, d, C.GBTClassifier(maxIter=5, maxDepth=3, seed=SEED))
+    return _classifier(spark, d, C.GBTClassifier(maxIter=5, maxDepth=3, seed=SEED), 0.95)
 
 
-@query("ml_fm_classifier")
+@query("ml_fm_classifier", LINES_SQL)
 def ml_fm_classifier(spark: SparkSession, d: str) -> DataFrame:
     scaled = Pipeline(stages=[
         FT.MinMaxScaler(inputCol="features", outputCol="scaled"),
         C.FMClassifier(featuresCol="scaled", stepSize=0.05, maxIter=15, factorSize=4, seed=SEED),
     ])
-    return _classifier(spark, d, scaled)
+    return _classifier(spark, d, scaled, 0.7)
 
 
-@query("ml_naive_bayes")
+@query("ml_naive_bayes", DOCS_SQL)
 def ml_naive_bayes(spark: SparkSession, d: str) -> DataFrame:
     docs = labelled_docs(spark, d)
     stages = [
         FT.RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\s+"),
-        FT.HashingTF(inputCol="words", outputCol="features", numFeatures=1 << 12),
+        FT.HashingTF(inputCol="words", outputCol="features"),
         C.NaiveBayes(smoothing=1.0, modelType="multinomial"),
     ]
-    return confusion(fitted(Pipeline(stages=stages), docs).transform(docs))
+    return judged(fitted(Pipeline(stages=stages), docs).transform(docs), 0.9)
 
 
-@query("ml_perceptron")
+@query("ml_perceptron", VECTORS_SQL)
 def ml_perceptron(spark: SparkSession, d: str) -> DataFrame:
     df = vectors(spark, d)
     r = df.agg(F.max(F.size("v")).alias("width"), (F.max("label") + 1).cast("int").alias("classes")).first()
     est = C.MultilayerPerceptronClassifier(layers=[r.width, 16, r.classes], maxIter=20, blockSize=128, seed=SEED)
-    return confusion(fitted(est, df).transform(df))
+    return judged(fitted(est, df).transform(df), 0.2)
 
 
-@query("ml_one_vs_rest")
+@query("ml_one_vs_rest", VECTORS_SQL)
 def ml_one_vs_rest(spark: SparkSession, d: str) -> DataFrame:
     df = vectors(spark, d)
     est = C.OneVsRest(classifier=C.LogisticRegression(maxIter=5, regParam=0.01), parallelism=4)
-    return confusion(fitted(est, df).transform(df))
+    return judged(fitted(est, df).transform(df), 0.25)
 
 
 # ---- values ----------------------------------------------------------------
 
 
+# Penalised fits of one feature in closed form: on standardised columns the plain weight is the correlation r;
+# a share a of the penalty p is absolute (r is moved towards zero by a * p) and the rest square (r is divided by
+# 1 + (1 - a) * p), p being in units of the label's deviation.
+PENALTIES = {"plain": (0.0, 0.0), "ridge": (2.0, 0.0), "lasso": (2.0, 1.0), "elastic": (2.0, 0.5)}
+
+
 @query(
     "ml_linear_regression",
-    "SELECT 'plain' AS kind, round(regr_slope(l_extendedprice / 1000, l_quantity), 5) AS slope, "
-    "round(regr_intercept(l_extendedprice / 1000, l_quantity), 4) AS intercept FROM lineitem",
+    "WITH s AS (SELECT corr(l_extendedprice / 1000, l_quantity) AS r, stddev_pop(l_extendedprice / 1000) AS sy, "
+    "stddev_pop(l_quantity) AS sx, avg(l_extendedprice / 1000) AS my, avg(l_quantity) AS mx FROM lineitem), "
+    "w AS (SELECT kind, greatest(r - a * p / sy, 0) / (1 + (1 - a) * p / sy) * sy / sx AS slope, my, mx FROM s, (VALUES "
+    + ", ".join(f"('{k}', {p}, {a})" for k, (p, a) in PENALTIES.items())
+    + ") v(kind, p, a)) SELECT kind, round(slope, 3) AS slope, round(my - slope * mx, 2) AS intercept FROM w",
 )
 def ml_linear_regression(spark: SparkSession, d: str) -> DataFrame:
-    """One feature by the normal equations: one pass, equal to the closed form."""
+    """One feature without penalty, with a square, an absolute and a mixed one: equal to the closed forms."""
     df = assembled(lines(spark, d).select("l_quantity", F.col("price").alias("label")), ["l_quantity"])
-    m = fitted(R.LinearRegression(solver="normal", regParam=0.0), df)
-    rows = [("plain", round(float(m.coefficients[0]), 5), round(float(m.intercept), 4))]
+    rows = []
+    for kind, (p, a) in PENALTIES.items():
+        m = fitted(R.LinearRegression(solver="normal", regParam=p, elasticNetParam=a, tol=1e-9, maxIter=500), df)
+        rows.append((kind, round(float(m.coefficients[0]), 3), round(float(m.intercept), 2)))
     return spark.createDataFrame(rows, "kind string, slope double, intercept double")
 
 
-@query("ml_glm")
+@query(
+    "ml_glm",
+    "SELECT 'all' AS kind, count(*) AS n, NULL AS slope, NULL AS intercept, true AS good FROM lineitem UNION ALL "
+    "SELECT 'one', count(*), round(regr_slope(y, l_quantity), 5), round(regr_intercept(y, l_quantity), 4), true "
+    "FROM (SELECT l_quantity, l_extendedprice / 1000 * (1 - l_discount) AS y FROM lineitem)",
+)
 def ml_glm(spark: SparkSession, d: str) -> DataFrame:
+    """All features, judged by what is explained; one feature, equal to the closed form."""
     df = lines(spark, d)
-    m = fitted(R.GeneralizedLinearRegression(family="gaussian", link="identity", labelCol="net", maxIter=10), df)
-    return errors(m.transform(df), "net").withColumn("intercept", F.lit(float(m.intercept)))
+    family = {"family": "gaussian", "link": "identity", "labelCol": "net"}
+    full = bounded(fitted(R.GeneralizedLinearRegression(maxIter=10, **family), df).transform(df), 0.99, "net")
+    one = assembled(df.select("l_quantity", "net"), ["l_quantity"])
+    m = fitted(R.GeneralizedLinearRegression(maxIter=10, **family), one)
+    nothing = F.lit(None).cast("double")
+    a = full.select(F.lit("all").alias("kind"), "n", nothing.alias("slope"), nothing.alias("intercept"), "good")
+    return a.unionAll(one.agg(F.count("*").alias("n")).select(
+        F.lit("one"), "n", F.lit(round(float(m.coefficients[0]), 5)), F.lit(round(float(m.intercept), 4)), F.lit(True)))
 
 
-def _regressor(spark: SparkSession, d: str, est: Estimator) -> DataFrame:
+def _regressor(spark: SparkSession, d: str, est: Estimator, explained: float) -> DataFrame:
     df = parts(spark, d)
-    return errors(fitted(est, df).transform(df))
+    return bounded(fitted(est, df).transform(df), explained)
 
 
-@query("ml_tree_regressor")
+@query("ml_tree_regressor", counted("part"))
 def ml_tree_regressor(spark: SparkSession, d: str) -> DataFrame:
-    return _regressor(spark, d, R.DecisionTreeRegressor(maxDepth=5, seed=SEED))
+    return _regressor(spark, d, R.DecisionTreeRegressor(maxDepth=5, seed=SEED), 0.9)
 
 
-@query("ml_forest_regressor")
+@query("ml_forest_regressor", counted("part"))
 def ml_forest_regressor(spark: SparkSession, d: str) -> DataFrame:
-    return _regressor(spark, d, R.RandomForestRegressor(numTrees=10, maxDepth=5, seed=SEED))
+    return _regressor(spark, d, R.RandomForestRegressor(numTrees=10, maxDepth=5, seed=SEED), 0.7)
 
 
-@query("ml_gbt_regressor")
+@query("ml_gbt_regressor", counted("part"))
 def ml_gbt_regressor(spark: SparkSession, d: str) -> DataFrame:
-    return _regressor(spark, d, R.GBTRegressor(maxIter=5, maxDepth=4, seed=SEED))
+    return _regressor(spark, d, R.GBTRegressor(maxIter=5, maxDepth=4, seed=SEED), 0.9)
 
 
-@query("ml_survival")
+@query("ml_survival", "SELECT 2::BIGINT AS width, count(*) AS n, true AS good FROM orders")
 def ml_survival(spark: SparkSession, d: str) -> DataFrame:
     """Order value as a survival time, open orders are censored."""
     o = table(spark, d, "orders").select(
@@ -222,11 +274,21 @@ def ml_survival(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "O", 0.0).otherwise(1.0).alias("censor"), F.month("o_orderdate").cast("double").alias("m"),
     )
     m = fitted(R.AFTSurvivalRegression(maxIter=10), assembled(o, ["priority", "m"]))
-    rows = [(float(m.intercept), float(m.scale), *[float(c) for c in m.coefficients])]
-    return spark.createDataFrame(rows, "intercept double, scale double, priority double, m double")
+    # no column bears on the value, so the weights stay near zero and the intercept near the log of a usual value
+    sound = 1 < m.intercept < 6 and 0 < m.scale < 10 and all(abs(c) < 0.5 for c in m.coefficients)
+    return o.agg(F.lit(len(m.coefficients)).alias("width"), F.count("*").alias("n"), F.lit(bool(sound)).alias("good"))
 
 
-@query("ml_isotonic")
+@query(
+    "ml_isotonic",
+    """
+WITH p AS (SELECT p_size::DOUBLE AS size, avg(p_retailprice) AS label, count(*) AS w FROM part GROUP BY 1),
+c AS (SELECT size, label, sum(w * label) OVER o AS s, sum(w) OVER o AS c, w * label AS own, w FROM p WINDOW o AS (ORDER BY size)),
+m AS (SELECT a.size AS lo, b.size AS hi, (b.s - a.s + a.own) / (b.c - a.c + a.w) AS mean FROM c a JOIN c b ON a.size <= b.size),
+low AS (SELECT x.size, m.lo, min(m.mean) AS least FROM p x JOIN m ON m.lo <= x.size AND m.hi >= x.size GROUP BY ALL)
+SELECT size, round(any_value(label), 4) AS label, round(max(least), 4) AS prediction FROM low JOIN p USING (size) GROUP BY size
+""",
+)
 def ml_isotonic(spark: SparkSession, d: str) -> DataFrame:
     """Price over size: means per size first, weighted by their rows, then the fit on one row per size."""
     p = table(spark, d, "part").groupBy(F.col("p_size").cast("double").alias("size")).agg(
@@ -234,54 +296,76 @@ def ml_isotonic(spark: SparkSession, d: str) -> DataFrame:
     )
     df = assembled(p, ["size"])
     m = fitted(R.IsotonicRegression(weightCol="weight"), df)
-    return m.transform(df).select("size", "label", "prediction")
+    return m.transform(df).select("size", F.round("label", 4).alias("label"), F.round("prediction", 4).alias("prediction"))
 
 
-@query("ml_fm_regressor")
+@query("ml_fm_regressor", counted("lineitem"))
 def ml_fm_regressor(spark: SparkSession, d: str) -> DataFrame:
     df = FT.MinMaxScaler(inputCol="features", outputCol="scaled").fit(lines(spark, d)).transform(lines(spark, d))
     est = R.FMRegressor(featuresCol="scaled", labelCol="net", stepSize=0.1, maxIter=15, factorSize=4, seed=SEED)
-    return errors(fitted(est, df).transform(df), "net")
+    return bounded(fitted(est, df).transform(df), 0.1, "net")
 
 
 # ---- clusters --------------------------------------------------------------
 
 
-def _clusters(df: DataFrame) -> DataFrame:
-    return df.groupBy("prediction").agg(F.count("*").alias("n"))
+def _clusters(predicted: DataFrame, sound: bool) -> DataFrame:
+    """Rows and used clusters, and whether the fit is sound: sizes add up to the rows, centres say what they should."""
+    sizes = predicted.groupBy("prediction").agg(F.count("*").alias("n"))
+    return sizes.agg(F.sum("n").alias("n"), (F.count("*") > 1).alias("parted"), F.lit(bool(sound)).alias("good"))
+
+
+def clustered(name: str) -> str:
+    return f"SELECT count(*) AS n, true AS parted, true AS good FROM {name}"
+
 
+def spread_of(df: DataFrame) -> float:
+    """Sum of squared distances from the mean, of the column ``v``."""
+    return df.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg((F.var_pop("x") * F.count("*")).alias("s")).agg(F.sum("s")).first()[0]
 
-@query("ml_kmeans")
+
+@query("ml_kmeans", clustered("embeddings"))
 def ml_kmeans(spark: SparkSession, d: str) -> DataFrame:
     df = vectors(spark, d)
-    return _clusters(fitted(CL.KMeans(k=10, maxIter=10, seed=SEED), df).transform(df))
+    m = fitted(CL.KMeans(k=10, maxIter=10, seed=SEED), df)
+    sound = len(m.clusterCenters()) == 10 and m.summary.trainingCost < 0.99 * spread_of(df)
+    return _clusters(m.transform(df), sound)
 
 
-@query("ml_bisecting_kmeans")
+@query("ml_bisecting_kmeans", clustered("embeddings"))
 def ml_bisecting_kmeans(spark: SparkSession, d: str) -> DataFrame:
     df = vectors(spark, d)
-    return _clusters(fitted(CL.BisectingKMeans(k=6, maxIter=5, seed=SEED), df).transform(df))
+    m = fitted(CL.BisectingKMeans(k=6, maxIter=5, seed=SEED), df)
+    sound = len(m.clusterCenters()) == 6 and m.summary.trainingCost < 0.99 * spread_of(df)
+    return _clusters(m.transform(df), sound)
 
 
-@query("ml_gaussian_mixture")
+@query("ml_gaussian_mixture", clustered("customer"))
 def ml_gaussian_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """Sound: the weights add up to one, and the weighted means of the parts are the mean of all."""
     c = table(spark, d, "customer").select(
         (F.col("c_acctbal") / 1000).alias("balance"), F.col("c_nationkey").cast("double").alias("nation")
     )
     df = assembled(c, ["balance", "nation"])
-    return _clusters(fitted(CL.GaussianMixture(k=3, maxIter=10, seed=SEED), df).transform(df))
+    m = fitted(CL.GaussianMixture(k=3, maxIter=10, seed=SEED), df)
+    mean = c.agg(F.avg("balance"), F.avg("nation")).first()
+    mixed = [sum(w * g.mean[i] for w, g in zip(m.weights, m.gaussians)) for i in range(2)]
+    sound = abs(sum(m.weights) - 1) < 1e-6 and all(abs(x - y) < 0.05 * (1 + abs(y)) for x, y in zip(mixed, mean))
+    return _clusters(m.transform(df), sound)
 
 
-@query("ml_lda")
+@query("ml_lda", clustered("documents"))
 def ml_lda(spark: SparkSession, d: str) -> DataFrame:
-    """Topics over hashed words; each document goes to its strongest topic."""
+    """Topics over hashed words; each document goes to its strongest topic. Sound: every topic has ten terms of falling weight."""
     docs = table(spark, d, "documents").select("doc_id", "text")
     words = FT.RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\s+").transform(docs)
-    tf = FT.HashingTF(inputCol="words", outputCol="features", numFeatures=1 << 11).transform(words).select("doc_id", "features")
+    tf = FT.HashingTF(inputCol="words", outputCol="features", numFeatures=1 << 16).transform(words).select("doc_id", "features")
     m = fitted(CL.LDA(k=5, maxIter=5, seed=SEED, optimizer="online"), tf)
+    tops = [r.termWeights for r in m.describeTopics(10).collect()]
+    sound = len(tops) == 5 and all(len(t) == 10 and t == sorted(t, reverse=True) and t[0] > 0 for t in tops)
     topics = vector_to_array("topicDistribution")
     best = F.array_position(topics, F.array_max(topics)).alias("prediction")
-    return _clusters(m.transform(tf).select(best))
+    return _clusters(m.transform(tf).select(best), sound)
 
 
 @query("ml_power_iteration")
@@ -298,20 +382,30 @@ def ml_power_iteration(spark: SparkSession, d: str) -> DataFrame:
 # ---- recommendation and patterns --------------------------------------------
 
 
-@query("ml_als")
+@query(
+    "ml_als",
+    "SELECT o_custkey AS user, true AS bought, true AS good FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1",
+)
 def ml_als(spark: SparkSession, d: str) -> DataFrame:
     """Quantities as ratings of parts by customers; for each customer the part scored best among those bought.
 
-    Only pairs that occur are scored: all customers times all parts would be a cross join.
+    Customers and parts are numbered first, since the library takes keys of 32 bits. Only pairs that occur are scored: all
+    customers times all parts would be a cross join. Good: the scores miss the ratings by less than their deviation.
     """
-    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").cast("int").alias("user"))
-    li = table(spark, d, "lineitem").select("l_orderkey", F.col("l_partkey").cast("int").alias("item"), "l_quantity")
-    ratings = li.join(o, "l_orderkey").groupBy("user", "item").agg(F.avg("l_quantity").alias("rating"))
-    als = ALS(rank=5, maxIter=4, regParam=0.1, userCol="user", itemCol="item", ratingCol="rating", seed=SEED)
-    m = fitted(als, ratings)
-    scored = m.transform(ratings)
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user"))
+    li = table(spark, d, "lineitem").select("l_orderkey", F.col("l_partkey").alias("item"), "l_quantity")
+    pairs = li.join(o, "l_orderkey").groupBy("user", "item").agg(F.avg("l_quantity").alias("rating"))
+    for key in ("user", "item"):
+        pairs = pairs.join(gapless_index(pairs.select(key).distinct(), key, f"{key}_no"), key)
+    ratings = materialize(pairs.withColumns({c: F.col(c).cast("int") for c in ("user_no", "item_no")}), "ratings")
+    blocks = max(2, parts_for(ratings))
+    als = ALS(rank=5, maxIter=4, regParam=0.1, userCol="user_no", itemCol="item_no", ratingCol="rating", seed=SEED,
+              numUserBlocks=blocks, numItemBlocks=blocks)
+    scored = fitted(als, ratings).transform(ratings)
     best = F.max_by("item", F.struct("prediction", "item")).alias("item")
-    return scored.groupBy("user").agg(best, F.max("prediction").cast("double").alias("score"))
+    tops = scored.groupBy("user").agg(best, F.max("prediction").alias("score"))
+    miss = scored.agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("rating"), 2))) < F.stddev("rating")).first()[0]
+    return tops.select("user", (F.col("item").isNotNull() & F.col("score").isNotNull()).alias("bought"), F.lit(bool(miss)).alias("good"))
 
 
 BASKETS_SQL = """
@@ -323,19 +417,34 @@ need AS (SELECT 0.01 * count(DISTINCT l_orderkey) AS n FROM b)
 @query(
     "ml_fp_growth",
     f"""
-WITH {BASKETS_SQL.strip()}
-SELECT x.p_brand || ',' || y.p_brand AS items, count(*) AS freq FROM b x JOIN b y
-  ON x.l_orderkey = y.l_orderkey AND x.p_brand < y.p_brand GROUP BY 1 HAVING count(*) >= (SELECT n FROM need)
+WITH {BASKETS_SQL.strip()},
+one AS (SELECT p_brand AS a, count(*) AS freq FROM b GROUP BY 1),
+two AS (SELECT x.p_brand AS a, y.p_brand AS c, count(*) AS freq FROM b x JOIN b y
+  ON x.l_orderkey = y.l_orderkey AND x.p_brand < y.p_brand GROUP BY ALL),
+three AS (SELECT x.p_brand || ',' || y.p_brand || ',' || z.p_brand AS items, count(*) AS freq FROM b x JOIN b y
+  ON x.l_orderkey = y.l_orderkey AND x.p_brand < y.p_brand JOIN b z ON z.l_orderkey = y.l_orderkey AND y.p_brand < z.p_brand GROUP BY 1),
+ways AS (SELECT a, c, freq FROM two UNION ALL SELECT c, a, freq FROM two)
+SELECT 'set' AS kind, a AS items, freq, NULL AS confidence FROM one WHERE freq >= (SELECT n FROM need)
+UNION ALL SELECT 'set', a || ',' || c, freq, NULL FROM two WHERE freq >= (SELECT n FROM need)
+UNION ALL SELECT 'set', items, freq, NULL FROM three WHERE freq >= (SELECT n FROM need)
+UNION ALL SELECT 'rule', ways.a || '>' || c, NULL, round(ways.freq / one.freq, 6) FROM ways JOIN one ON ways.a = one.a
+WHERE ways.freq >= (SELECT n FROM need) AND ways.freq / one.freq >= 0.1
 """,
 )
 def ml_fp_growth(spark: SparkSession, d: str) -> DataFrame:
-    """Brands bought in one order; the list of brands is short, so a basket stays short too."""
+    """Brands bought in one order: frequent sets and rules. The list of brands is short, so a basket stays short too."""
     p = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey").join(p, "l_partkey")
     baskets = li.groupBy("l_orderkey").agg(F.collect_set("p_brand").alias("items"))
     m = fitted(FPGrowth(itemsCol="items", minSupport=0.01, minConfidence=0.1), baskets)
-    pairs = m.freqItemsets.filter(F.size("items") == 2)
-    return pairs.select(F.array_sort("items").alias("items"), "freq")
+    sets = m.freqItemsets.select(
+        F.lit("set").alias("kind"), F.array_join(F.array_sort("items"), ",").alias("items"), "freq", F.lit(None).cast("double").alias("confidence")
+    )
+    side = lambda c: F.array_join(F.array_sort(c), ",")
+    rules = m.associationRules.select(
+        F.lit("rule"), F.concat(side("antecedent"), F.lit(">"), side("consequent")), F.lit(None).cast("long"), F.round("confidence", 6)
+    )
+    return sets.unionAll(rules)
 
 
 @query("ml_prefix_span")
@@ -351,7 +460,11 @@ def ml_prefix_span(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.to_json("sequence").alias("pattern"), "freq")
 
 
-@query("ml_tuning")
+@query(
+    "ml_tuning",
+    "SELECT kind, reg_param, count(*) AS n, true AS good FROM lineitem, (VALUES ('folds'), ('split')) k(kind), "
+    "(VALUES (0.01::DOUBLE), (1.0::DOUBLE)) r(reg_param) GROUP BY ALL",
+)
 def ml_tuning(spark: SparkSession, d: str) -> DataFrame:
     """A grid scored by folds and by one split."""
     df = lines(spark, d).select("features", F.col("net").alias("label"))
@@ -361,5 +474,7 @@ def ml_tuning(spark: SparkSession, d: str) -> DataFrame:
     folds = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=judge, numFolds=2, parallelism=2, seed=SEED)
     split = TrainValidationSplit(estimator=lr, estimatorParamMaps=grid, evaluator=judge, trainRatio=0.75, parallelism=2, seed=SEED)
     a, b = fitted(folds, df).avgMetrics, fitted(split, df).validationMetrics
-    rows = [(k, p[lr.regParam], float(v)) for k, ms in (("folds", a), ("split", b)) for p, v in zip(grid, ms)]
-    return spark.createDataFrame(rows, "kind string, reg_param double, rmse double")
+    # good: better than the mean of all, and the weaker penalty wins
+    n, deviation = df.agg(F.count("*"), F.stddev_pop("label")).first()
+    rows = [(k, p[lr.regParam], n, bool(v < deviation and ms[0] < ms[1])) for k, ms in (("folds", a), ("split", b)) for p, v in zip(grid, ms)]
+    return spark.createDataFrame(rows, "kind string, reg_param double, n long, good boolean")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dayledger.operators.hot import with_slice_totals
 from dayledger.registry import query
-from dayledger.session import table
+from dayledger.session import materialize, parts_for, table
 from dayledger.sources import inputs as I
 
 
@@ -261,15 +260,24 @@ def dedup_rows(spark: SparkSession, d: str) -> DataFrame:
     ).drop("digest")
 
 
-@query("sample_rows")
+SHARES = {"bernoulli": 0.1, "with_repeats": 0.5, "train": 0.8, "test": 0.2}
+STRATA = {"click": 0.2, "view": 0.05}
+
+
+@query(
+    "sample_rows",
+    "SELECT event_type, count(*) AS n, count(*) AS split_n, true AS bernoulli, true AS with_repeats, true AS stratified, "
+    "true AS train, true AS test FROM events GROUP BY 1",
+)
 def sample_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Bernoulli and stratified samples and a weighted split, counted per event type."""
+    """Bernoulli and stratified samples and a weighted split per event type: the split gives all rows, and each sample
+    has its share but for six standard deviations."""
     e = table(spark, d, "events").select("event_id", "event_type")
     train, test = e.randomSplit([0.8, 0.2], seed=42)
     parts = {
         "bernoulli": e.sample(fraction=0.1, seed=42),
         "with_repeats": e.sample(withReplacement=True, fraction=0.5, seed=42),
-        "stratified": e.sampleBy("event_type", {"click": 0.2, "view": 0.05}, seed=42),
+        "stratified": e.sampleBy("event_type", STRATA, seed=42),
         "train": train,
         "test": test,
     }
@@ -277,24 +285,34 @@ def sample_rows(spark: SparkSession, d: str) -> DataFrame:
     out = tagged[0]
     for t in tagged[1:]:
         out = out.unionAll(t)
-    return out.groupBy("sample", "event_type").agg(F.count("*").alias("n"))
+    counts = out.groupBy("event_type").pivot("sample", list(parts)).count().na.fill(0)
+    counts = e.groupBy("event_type").agg(F.count("*").alias("n")).join(counts, "event_type")
+    strata = F.coalesce(F.create_map(*[F.lit(x) for kv in STRATA.items() for x in kv])[F.col("event_type")], F.lit(0.0))
 
+    def near(sample: str, share) -> Column:
+        return (F.abs(F.col(sample) - F.col("n") * share) <= 6 * F.sqrt(F.col("n") * share) + 1e-9).alias(sample)
 
-INDEX_SLICES = 4096
+    return counts.select(
+        "event_type", "n", (F.col("train") + F.col("test")).alias("split_n"),
+        *[near(k, F.lit(x)) for k, x in SHARES.items()], near("stratified", strata),
+    )
 
 
 def gapless_index(df: DataFrame, key: str, name: str = "idx") -> DataFrame:
-    """0-based position of each row by a unique numeric key.
+    """0-based position of each row by a unique key.
 
-    The key range is cut in a fixed number of slices; positions are local
-    numbers plus the counts of earlier slices. No task sees more than a slice.
+    The rows are dealt to ranges of sampled bounds and written with the number
+    of their range; a position is a number within the range plus the rows of
+    earlier ranges. Ranges are even whatever the keys are.
     """
-    lo, hi = df.select(F.min(key)).scalar(), df.select(F.max(key)).scalar()
-    part = ((F.col(key) - lo) * INDEX_SLICES / (hi - lo + 1)).cast("int")
-    sliced = df.withColumn("_all", F.lit(0)).withColumn("_slice", part)
-    total = with_slice_totals(sliced, ["_all"], "_slice", {"_c": F.count("*")})
-    local = F.row_number().over(Window.partitionBy("_all", "_slice").orderBy(key))
-    return total.withColumn(name, local - 1 + F.col("before__c")).drop("_all", "_slice", "before__c", "all__c")
+    ranges = parts_for(df)
+    dealt = materialize(df.repartitionByRange(ranges, key).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy("_range").agg(F.count("*").alias("_n")).withColumn("_all", F.lit(0))
+    before = Window.partitionBy("_all").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    local = F.row_number().over(Window.partitionBy("_range").orderBy(key))
+    placed = dealt.withColumn("_local", local).join(starts, "_range")
+    return placed.withColumn(name, F.col("_local") - 1 + F.col("_before")).drop("_range", "_local", "_before")
 
 
 @query(

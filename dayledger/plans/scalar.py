@@ -198,12 +198,17 @@ def fn_math_trig(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("fn_random")
+@query(
+    "fn_random",
+    "SELECT event_id, true AS uniform, true AS normal, array_to_string(list_sort([event_id, user_id, 0]), ',') AS mixed FROM events",
+)
 def fn_random(spark: SparkSession, d: str) -> DataFrame:
+    """Random values within their ranges; a shuffled array, sorted again."""
+    u, z = F.rand(42), F.randn(42)
+    mixed = F.shuffle(F.array("event_id", "user_id", F.lit(0).cast("long")), seed=42)
     return table(spark, d, "events").select(
-        "event_id", F.rand(42).alias("uniform"), F.randn(42).alias("normal"),
-        F.shuffle(F.array("event_id", "user_id", F.lit(0).cast("long")), seed=42).alias("mixed"),
-    )
+        "event_id", ((u >= 0) & (u < 1)).alias("uniform"), (F.abs(z) < 7).alias("normal"), F.array_sort(mixed).alias("mixed")
+    )
 
 
 @query(
