@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,28 @@ def feed(parts: Sequence[DataFrame], name: str) -> tuple[str, str]:
     return path, parts[0].schema.simpleString()
 
 
+def in_steps(parts: Sequence[DataFrame], name: str, run: Callable[[DataFrame, str], object]) -> list:
+    """One folder and one run of the stream for each part, in order: ``run(rows, checkpoint)``.
+
+    All runs share the checkpoint, so each takes up the state of the one
+    before and sees the new folder only. What a batch holds depends on the
+    parts, not on files or cores.
+    """
+    spark, root = parts[0].sparkSession, scratch(parts[0].sparkSession, name)
+    checkpoint, out = scratch(spark, f"{name}-cp"), []
+    for i, part in enumerate(parts):
+        part.write.parquet(f"{root}/q={i:03d}")
+        # a pattern that grows keeps the source the same and adds the folder
+        names = ",".join(f"{k:03d}" for k in range(i + 1))
+        out.append(run(spark.readStream.schema(part.schema).parquet(f"{root}/q={{{names}}}"), checkpoint))
+    return out
+
+
+def each_batch(rows: DataFrame, checkpoint: str, work: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    """``work`` on every batch up to the end of the input."""
+    return finish(rows.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
 def open_feed(spark: SparkSession, path: str, schema, files: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if files:

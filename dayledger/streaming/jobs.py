@@ -21,9 +21,11 @@ from dayledger.streaming.feed import (
     drain_append,
     drain_complete,
     drain_update,
+    each_batch,
     event_stream,
     feed,
     finish,
+    in_steps,
     open_feed,
     stream_table,
 )
@@ -49,7 +51,7 @@ def by_days(e: DataFrame) -> list[DataFrame]:
 def stream_file_source(spark: SparkSession, d: str) -> DataFrame:
     """New JSON files with a given schema, two files per trigger."""
     path = scratch(spark, "incoming")
-    table(spark, d, "events").select("event_id", "user_id", "event_type", "value").repartition(4).write.json(path)
+    table(spark, d, "events").select("event_id", "user_id", "event_type", "value").write.json(path)
     schema = "event_id long, user_id long, event_type string, value double"
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).json(path)
     return drain_append(s, "file_source")
@@ -70,7 +72,7 @@ def stream_table_source_sink(spark: SparkSession, d: str) -> DataFrame:
 @query("stream_word_count", WORD_COUNT_SQL)
 def stream_word_count(spark: SparkSession, d: str) -> DataFrame:
     counts = words(stream_table(spark, d, "documents")).groupBy("word").agg(F.count("*").alias("n"))
-    return drain_complete(counts, "word_count")
+    return drain_update(counts, "word_count", ["word"])
 
 
 @query("stream_word_count_messages", WORD_COUNT_SQL)
@@ -92,8 +94,18 @@ def stream_word_count_messages(spark: SparkSession, d: str) -> DataFrame:
     f"SELECT {BY_DAY_SQL} AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL",
 )
 def stream_window_tumbling(spark: SparkSession, d: str) -> DataFrame:
-    w = event_stream(spark, d).withWatermark("ts", "1 day").groupBy(F.window("ts", "1 day"), "event_type").agg(*totals())
-    return drain_complete(w.select("window.start", "event_type", "n", "total"), "tumbling")
+    """Windows change with each batch and leave the state once the watermark has passed them."""
+    return _windows(spark, d, F.window("ts", "1 day"), "tumbling")
+
+
+def _windows(spark: SparkSession, d: str, window: Column, name: str) -> DataFrame:
+    out = scratch(spark, name)
+
+    def run(rows: DataFrame, checkpoint: str) -> DataFrame:
+        w = rows.withWatermark("ts", "1 day").groupBy(window, "event_type").agg(*totals())
+        return drain_update(w.select("window.start", "event_type", "n", "total"), name, ["start", "event_type"], checkpoint, out)
+
+    return in_steps(by_days(I.events(spark, d).select("ts", "event_type", "value")), name, run)[-1]
 
 
 SLIDING_SQL = """
@@ -105,16 +117,22 @@ SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS start, {key} AS event_type, count
 
 @query("stream_window_sliding", SLIDING_SQL.format(key="event_type"))
 def stream_window_sliding(spark: SparkSession, d: str) -> DataFrame:
-    w = event_stream(spark, d).groupBy(F.window("ts", "12 hours", "6 hours"), "event_type").agg(*totals())
-    return drain_complete(w.select("window.start", "event_type", "n", "total"), "sliding")
+    return _windows(spark, d, F.window("ts", "12 hours", "6 hours"), "sliding")
 
 
 @query("stream_window_session", SESSION_SQL.format(gap=6))
 def stream_window_session(spark: SparkSession, d: str) -> DataFrame:
-    """Sessions are merged inside each task first, so that a hot user moves as sessions, not as events."""
+    """Sessions are merged inside each task first, so that a hot user moves as sessions, not as events; they leave once
+    the watermark has passed their end."""
+    e = I.events(spark, d).select("user_id", "ts", "value")
+    out = scratch(spark, "session_window")
+
+    def run(rows: DataFrame, checkpoint: str) -> DataFrame:
+        s = rows.withWatermark("ts", "1 hour").groupBy(F.session_window("ts", "6 hours").alias("s"), "user_id").agg(*totals())
+        return drain_append(s.select("user_id", "s.start", "n", "total"), "session_window", checkpoint, out)
+
     with setting(spark, "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"):
-        s = event_stream(spark, d).groupBy(F.session_window("ts", "6 hours").alias("s"), "user_id").agg(*totals())
-        return drain_complete(s.select("user_id", "s.start", "n", "total"), "session_window")
+        return in_steps([*by_days(e), closing_event(e, user_id=-1, value=0.0)], "sessions", run)[-1].filter("user_id >= 0")
 
 
 @query(
@@ -141,11 +159,16 @@ def stream_watermark_late(spark: SparkSession, d: str) -> DataFrame:
 
 @query("stream_dedup", "SELECT event_id, event_type, value FROM events")
 def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """Every event comes twice; the second copy is dropped within the watermark."""
+    """Every event comes again in a later batch, some twice in one; copies are dropped within the watermark."""
     e = I.events(spark, d)
-    path, _ = feed([e, e], "doubled")
-    s = open_feed(spark, path, e.schema).withWatermark("ts", "40 days")
-    return drain_append(s.dropDuplicatesWithinWatermark(["event_id"]).select("event_id", "event_type", "value"), "dedup")
+    even = F.col("event_id") % 2 == 0
+    out = scratch(spark, "dedup")
+
+    def run(rows: DataFrame, checkpoint: str) -> DataFrame:
+        s = rows.withWatermark("ts", "40 days").dropDuplicatesWithinWatermark(["event_id"])
+        return drain_append(s.select("event_id", "event_type", "value"), "dedup", checkpoint, out)
+
+    return in_steps([e.filter(even), e.filter(~even).unionAll(e.filter(even)), e.filter(~even).unionAll(e.filter(~even))], "doubled", run)[-1]
 
 
 @query(
@@ -213,12 +236,16 @@ GROUP BY word
 """,
 )
 def stream_state_sum(spark: SparkSession, d: str) -> DataFrame:
-    """Running totals that begin from a stored start state: its rows are a stream of their own."""
+    """Running totals that begin from a start state, which is the first batch; the texts come in two more."""
     start = words(table(spark, d, "benchmark")).distinct().withColumn("n", F.lit(100).cast("long"))
-    path, _ = feed([start], "start_state")
-    fresh = words(stream_table(spark, d, "documents")).withColumn("n", F.lit(1).cast("long"))
-    total = fresh.unionByName(open_feed(spark, path, start.schema)).groupBy("word").agg(F.sum("n").alias("n"))
-    return drain_update(total, "state_sum", ["word"])
+    docs = table(spark, d, "documents")
+    fresh = [words(docs.filter(F.pmod("doc_id", F.lit(2)) == i)).withColumn("n", F.lit(1).cast("long")) for i in (0, 1)]
+    out = scratch(spark, "state_sum")
+
+    def run(rows: DataFrame, checkpoint: str) -> DataFrame:
+        return drain_update(rows.groupBy("word").agg(F.sum("n").alias("n")), "state_sum", ["word"], checkpoint, out)
+
+    return in_steps([start, *fresh], "start_state", run)[-1]
 
 
 GAP = pd.Timedelta(hours=6)
@@ -231,7 +258,7 @@ def joined_parts(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values(["user_id", "start"])
     prev = rows.groupby("user_id")["last"].cummax().groupby(rows["user_id"]).shift()
     fresh = prev.isna() | (rows["start"] >= prev + GAP)
-    out = rows.groupby(["user_id", fresh.cumsum().rename("s")], as_index=False).agg(
+    out = rows.assign(s=fresh.cumsum()).groupby(["user_id", "s"], as_index=False).agg(
         start=("start", "min"), last=("last", "max"), n=("n", "sum")
     )
     return out[["user_id", "start", "last", "n"]]
@@ -242,29 +269,26 @@ def combine_locally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield joined_parts(b)
 
 
-def session_row(user: int, s: tuple) -> tuple:
-    return user, s[0], (s[1] - s[0]).total_seconds(), s[2]
-
-
 def track_sessions(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """State: the open session (start, last, n). Closed ones are put out; the timeout closes the open one."""
+    """State: the sessions that may still grow, as microseconds. A session is put out once the watermark has passed
+    its last row by the gap, so a row within the allowed delay can still join two of them."""
     (user,) = key
-    done = []
-    if state.hasTimedOut:
-        done.append(session_row(user, state.get))
+    held = list(zip(*state.get, strict=True)) if state.exists else []
+    frame = pd.DataFrame([(pd.Timestamp(a, unit="us"), pd.Timestamp(b, unit="us"), n) for a, b, n in held], columns=["start", "last", "n"]).assign(user_id=user)
+    if not state.hasTimedOut:
+        for b in batches:  # folded one by one: what is held at once is bounded by open sessions
+            frame = joined_parts(pd.concat([frame, b[["user_id", "start", "last", "n"]]]) if len(frame) else b)
+    now = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
+    over = frame["last"] + GAP <= now
+    done, left = frame[over], frame[~over]
+    if len(left):
+        micros = lambda c: [t.value // 1000 for t in left[c].astype("datetime64[ns]")]
+        state.update((micros("start"), micros("last"), [int(n) for n in left["n"]]))
+        state.setTimeoutTimestamp(int((left["last"].min() + GAP).timestamp() * 1000))
+    elif state.exists:
         state.remove()
-    else:
-        open_one = state.getOption
-        parts = [open_one] if open_one else []
-        for b in batches:
-            parts += list(b[["start", "last", "n"]].itertuples(index=False, name=None))
-        frame = pd.DataFrame(parts, columns=["start", "last", "n"]).assign(user_id=user)
-        merged = [tuple(r) for r in joined_parts(frame)[["start", "last", "n"]].itertuples(index=False, name=None)]
-        done += [session_row(user, s) for s in merged[:-1]]
-        last = merged[-1]
-        state.update((last[0].to_pydatetime(), last[1].to_pydatetime(), int(last[2])))
-        state.setTimeoutTimestamp(int((last[1] + GAP).timestamp() * 1000))
-    yield pd.DataFrame(done, columns=["user_id", "start", "seconds", "n"])
+    if len(done):
+        yield done.assign(seconds=(done["last"] - done["start"]).dt.total_seconds())[["user_id", "start", "seconds", "n"]]
 
 
 @query(
@@ -281,15 +305,17 @@ GROUP BY user_id, s
 def stream_session_state(spark: SparkSession, d: str) -> DataFrame:
     """Own state per user. Each Arrow batch is cut to partial sessions before the shuffle, so hot users shrink first."""
     e = I.events(spark, d).select("event_id", "user_id", "ts", "event_type")
-    path, _ = feed([*by_days(e), closing_event(e, event_id=-1, user_id=-1)], "session_state")
-    s = open_feed(spark, path, e.schema)
-    parts = s.select("user_id", F.col("ts").alias("start"), F.col("ts").alias("last"), F.lit(1).cast("long").alias("n"))
-    parts = parts.mapInPandas(combine_locally, PART).withWatermark("last", "10 minutes")
-    sessions = parts.groupBy("user_id").applyInPandasWithState(
-        track_sessions, SESSION_ROW, "start timestamp, last timestamp, n long", "append",
-        GroupStateTimeout.EventTimeTimeout,
-    )
-    rows = drain_append(sessions, "session_state").filter("user_id >= 0")
+    out = scratch(spark, "session_state")
+
+    def run(s: DataFrame, checkpoint: str) -> DataFrame:
+        parts = s.select("user_id", F.col("ts").alias("start"), F.col("ts").alias("last"), F.lit(1).cast("long").alias("n"))
+        parts = parts.mapInPandas(combine_locally, PART).withWatermark("last", "10 minutes")
+        sessions = parts.groupBy("user_id").applyInPandasWithState(
+            track_sessions, SESSION_ROW, "starts array<long>, lasts array<long>, ns array<long>", "append", GroupStateTimeout.EventTimeTimeout,
+        )
+        return drain_append(sessions, "session_state", checkpoint, out)
+
+    rows = in_steps([*by_days(e), closing_event(e, event_id=-1, user_id=-1)], "sessions", run)[-1].filter("user_id >= 0")
     return rows.withColumn("seconds", F.round("seconds", 3))
 
 
@@ -333,14 +359,12 @@ LATEST_SCHEMA = "user_id long, ts timestamp, event_id long, event_type string"
 def stream_foreach_batch_upsert(spark: SparkSession, d: str) -> DataFrame:
     """Each batch goes into a keyed table; the newest row of a key wins, so a repeated batch changes nothing."""
     e = I.events(spark, d).select("user_id", "ts", "event_id", "event_type")
-    path, _ = feed(by_days(e), "upserts")
     store = KeyedTable.temporary(spark, "latest", ["user_id"], LATEST_SCHEMA)
 
     def merge(batch: DataFrame, _: int) -> None:
         store.upsert_latest(batch, ["ts", "event_id"])
 
-    writer = open_feed(spark, path, e.schema, files=8).writeStream.foreachBatch(merge)
-    finish(writer.option("checkpointLocation", scratch(spark, "upsert-cp")).trigger(availableNow=True).start())
+    in_steps(by_days(e), "upserts", lambda rows, checkpoint: each_batch(rows, checkpoint, merge))
     return store.read()
 
 
@@ -433,23 +457,29 @@ def stream_trigger_once(spark: SparkSession, d: str) -> DataFrame:
     return both.groupBy("trigger_kind").agg(*totals())
 
 
-@query("stream_progress")
+@query(
+    "stream_progress",
+    """
+WITH q AS (SELECT (day(ts) - 1) // 8 AS step, count(*) AS input_rows, date_trunc('second', max(ts)) AS top FROM events GROUP BY 1)
+SELECT step, input_rows, coalesce(strftime(max(top) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+       - INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S'), '1970-01-01 00:00:00') AS watermark, true AS has_state FROM q
+""",
+)
 def stream_progress(spark: SparkSession, d: str) -> DataFrame:
-    """Rows, state rows and watermark of each batch as a table."""
+    """Rows, watermark and state of each batch that had input, taken from each run as it ends; no list of limited length."""
     e = I.events(spark, d).select("ts", "event_type")
-    path, _ = feed(by_days(e), "progress")
-    w = open_feed(spark, path, e.schema, files=8).withWatermark("ts", "1 day")
-    w = w.groupBy(F.window("ts", "1 day"), "event_type").count()
-    writer = w.writeStream.outputMode("update").foreachBatch(lambda batch, i: batch.write.format("noop").mode("overwrite").save())
-    q = finish(writer.option("checkpointLocation", scratch(spark, "progress-cp")).trigger(availableNow=True).start())
-    if q.exception() is not None:
-        raise q.exception()
-    rows = [
-        (p["batchId"], p["numInputRows"], (p["stateOperators"] or [{}])[0].get("numRowsTotal", 0),
-         p["eventTime"].get("watermark"))
-        for p in q.recentProgress
-    ]
-    return spark.createDataFrame(rows, "batch long, input_rows long, state_rows long, watermark string")
+
+    def run(rows: DataFrame, checkpoint: str) -> list[tuple]:
+        w = rows.withWatermark("ts", "1 day").groupBy(F.window("ts", "1 day"), "event_type").count()
+        writer = w.writeStream.outputMode("update").foreachBatch(lambda batch, i: batch.write.format("noop").mode("overwrite").save())
+        q = finish(writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        if q.exception() is not None:
+            raise q.exception()
+        return [(p["numInputRows"], p["eventTime"]["watermark"], p["stateOperators"][0]["numRowsTotal"] > 0) for p in q.recentProgress if p["numInputRows"]]
+
+    seen = [r for part in in_steps(by_days(e), "progress", run) for r in part]
+    out = spark.createDataFrame([(i, *r) for i, r in enumerate(seen)], "step long, input_rows long, watermark string, has_state boolean")
+    return out.withColumn("watermark", F.date_trunc("second", F.to_timestamp("watermark")))
 
 
 @query(
@@ -509,72 +539,109 @@ def squared_distance(v: Column, center: Column) -> Column:
     return F.aggregate(diffs, F.lit(0.0), lambda acc, x: acc + x)
 
 
-@query("stream_kmeans")
+class StoredModel:
+    """The state of a model after each batch, in a folder per batch: a batch that runs again starts from the one before."""
+
+    def __init__(self, spark: SparkSession, name: str, schema: str, start: list[tuple]):
+        self.spark, self.path, self.schema, self.start = spark, scratch(spark, name), schema, start
+
+    def before(self, batch_id: int) -> list[tuple]:
+        if batch_id == 0:
+            return self.start
+        return [tuple(r) for r in self.spark.read.schema(self.schema).parquet(f"{self.path}/batch={batch_id - 1}").orderBy("k").collect()]
+
+    def save(self, batch_id: int, rows: list[tuple]) -> None:
+        self.spark.createDataFrame(rows, self.schema).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+
+CENTRES, DECAY, STEPS = 5, 0.8, 3
+KMEANS_STEP = """
+d{t} AS MATERIALIZED (SELECT v.vec_id, c.c, sum((v.x - c.x) ** 2) AS d FROM e v JOIN c{p} c ON c.i = v.i WHERE v.vec_id % 3 = {p} GROUP BY ALL),
+n{t} AS (SELECT vec_id, c FROM d{t} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1),
+s{t} AS (SELECT n.c, e.i, sum(e.x) AS s, count(*) AS n FROM n{t} n JOIN e ON e.vec_id = n.vec_id GROUP BY ALL),
+c{t} AS MATERIALIZED (SELECT c.c, c.i, CASE WHEN s.n IS NULL THEN c.x ELSE (c.x * c.w * 0.8 + s.s) / (c.w * 0.8 + s.n) END AS x,
+         CASE WHEN s.n IS NULL THEN c.w ELSE c.w * 0.8 + s.n END AS w FROM c{p} c LEFT JOIN s{t} s ON s.c = c.c AND s.i = c.i)"""
+
+
+@query(
+    "stream_kmeans",
+    "WITH e AS MATERIALIZED (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(0, len(embedding))) AS i FROM embeddings), "
+    "first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS c FROM embeddings ORDER BY vec_id LIMIT 5), "
+    "c0 AS (SELECT c, i, x, 1.0::DOUBLE AS w FROM first JOIN e ON e.vec_id = first.vec_id), "
+    + ", ".join(KMEANS_STEP.format(t=t, p=t - 1) for t in range(1, STEPS + 1))
+    + " SELECT c AS cluster, i, round(x, 6) AS x, round(w, 6) AS weight FROM c3",
+)
 def stream_kmeans(spark: SparkSession, d: str) -> DataFrame:
     """Centres move with each batch and forget at a rate. A batch is cut to one sum vector per centre."""
-    k, decay = 5, 0.8
     v = vectors(spark, d)
-    seeds = v.orderBy("vec_id").limit(k).collect()
-    state = {"centers": [r.v for r in seeds], "weights": [1.0] * k}
-    parts = [v.filter(F.pmod(F.xxhash64("vec_id"), F.lit(3)) == i) for i in range(3)]
-    path, _ = feed(parts, "vectors")
-
-    def update(batch: DataFrame, _: int) -> None:
-        centers = [F.array(*[F.lit(x) for x in c]) for c in state["centers"]]
-        near = batch.withColumn("d", F.array(*[squared_distance(F.col("v"), c) for c in centers]))
+    seeds = [(i, 1.0, list(r.v)) for i, r in enumerate(v.orderBy("vec_id").limit(CENTRES).collect())]
+    model = StoredModel(spark, "kmeans", "k int, weight double, center array<double>", seeds)
+
+    def update(batch: DataFrame, batch_id: int) -> None:
+        state = model.before(batch_id)
+        near = batch.withColumn("d", F.array(*[squared_distance(F.col("v"), F.array(*[F.lit(x) for x in c])) for _, _, c in state]))
         best = (F.array_position("d", F.array_min("d")) - 1).alias("c")
         dims = near.select(best, F.posexplode("v").alias("i", "x"))
-        sums = dims.groupBy("c", "i").agg(F.sum("x").alias("s"), F.count("*").alias("n")).collect()  # k x width rows
         moved: dict[int, dict[int, float]] = {}
         counts: dict[int, int] = {}
-        for r in sums:
+        for r in dims.groupBy("c", "i").agg(F.sum("x").alias("s"), F.count("*").alias("n")).collect():  # k x width rows
             moved.setdefault(r.c, {})[r.i] = r.s
             counts[r.c] = r.n
-        for c, by_dim in moved.items():
-            old = state["weights"][c] * decay
-            state["weights"][c] = old + counts[c]
-            state["centers"][c] = [
-                (x * old + by_dim[i]) / (old + counts[c]) for i, x in enumerate(state["centers"][c])
-            ]
+        rows = []
+        for k, w, c in state:
+            n, old = counts.get(k, 0), w * DECAY
+            rows.append((k, old + n, [(x * old + moved[k][i]) / (old + n) for i, x in enumerate(c)]) if n else (k, w, c))
+        model.save(batch_id, rows)
+
+    parts = [v.filter(F.pmod("vec_id", F.lit(STEPS)) == i) for i in range(STEPS)]
+    in_steps(parts, "vectors", lambda rows, checkpoint: each_batch(rows, checkpoint, update))
+    out = spark.createDataFrame(model.before(STEPS), model.schema)
+    return out.select(F.col("k").alias("cluster"), F.posexplode("center").alias("i", "x"), F.round("weight", 6).alias("weight")).withColumn("x", F.round("x", 6))
+
 
-    writer = open_feed(spark, path, v.schema, files=8).writeStream.foreachBatch(update)
-    finish(writer.option("checkpointLocation", scratch(spark, "kmeans-cp")).trigger(availableNow=True).start())
-    rows = [(i, float(w), [float(x) for x in c]) for i, (c, w) in enumerate(zip(state["centers"], state["weights"]))]
-    return spark.createDataFrame(rows, "cluster int, weight double, center array<double>")
+RATE, MOVES = 0.5, 4
+MOVE_SQL = """
+m{t} AS MATERIALIZED (SELECT
+  any_value(b) - {rate} * avg(b + w1 * x1 + w2 * x2 - y) AS b, any_value(w1) - {rate} * avg((b + w1 * x1 + w2 * x2 - y) * x1) AS w1,
+  any_value(w2) - {rate} * avg((b + w1 * x1 + w2 * x2 - y) * x2) AS w2,
+  any_value(lb) - {rate} * avg(1 / (1 + exp(-(lb + l1 * x1 + l2 * x2))) - label) AS lb,
+  any_value(l1) - {rate} * avg((1 / (1 + exp(-(lb + l1 * x1 + l2 * x2))) - label) * x1) AS l1,
+  any_value(l2) - {rate} * avg((1 / (1 + exp(-(lb + l1 * x1 + l2 * x2))) - label) * x2) AS l2
+  FROM li, m{p} WHERE part = {part})"""
 
 
-@query("stream_linear_models")
+@query(
+    "stream_linear_models",
+    "WITH li AS MATERIALIZED (SELECT l_quantity / 50 AS x1, l_discount AS x2, l_extendedprice / 100000 AS y, "
+    "(l_extendedprice > 50000)::INTEGER::DOUBLE AS label, l_orderkey % 3 AS part FROM lineitem), "
+    "m0 AS (SELECT 0::DOUBLE AS b, 0::DOUBLE AS w1, 0::DOUBLE AS w2, 0::DOUBLE AS lb, 0::DOUBLE AS l1, 0::DOUBLE AS l2), "
+    + ", ".join(MOVE_SQL.format(t=t, p=t - 1, part=(t - 1) // MOVES, rate=RATE) for t in range(1, STEPS * MOVES + 1))
+    + f" SELECT 'linear' AS model, round(b, 6) AS bias, round(w1, 6) AS w1, round(w2, 6) AS w2 FROM m{STEPS * MOVES}"
+    f" UNION ALL SELECT 'logistic', round(lb, 6), round(l1, 6), round(l2, 6) FROM m{STEPS * MOVES}",
+)
 def stream_linear_models(spark: SparkSession, d: str) -> DataFrame:
-    """Linear and logistic weights moved by the mean gradient of each batch, taken by one aggregate."""
+    """Linear and logistic weights moved a few times along the mean gradient of each batch, each by one aggregate."""
     li = I.lineitem(spark, d).select(
-        (F.col("l_quantity") / 50).alias("x1"), F.col("l_discount").alias("x2"),
-        (F.col("l_extendedprice") / 100000).alias("y"),
-        F.when(F.col("l_extendedprice") > 50000, 1.0).otherwise(0.0).alias("label"), "l_shipdate",
+        "l_orderkey", (F.col("l_quantity") / 50).alias("x1"), F.col("l_discount").alias("x2"),
+        (F.col("l_extendedprice") / 100000).alias("y"), F.when(F.col("l_extendedprice") > 50000, 1.0).otherwise(0.0).alias("label"),
     )
-    half = F.col("l_shipdate") < F.lit("1998-07-01").cast("timestamp")
-    parts = [p.drop("l_shipdate") for p in (li.filter(half), li.filter(~half))]
-    path, _ = feed(parts, "lines")
-    models = {"linear": [0.0, 0.0, 0.0], "logistic": [0.0, 0.0, 0.0]}
+    names = ["linear", "logistic"]
+    model = StoredModel(spark, "linear", "k int, w array<double>", [(k, [0.0] * 3) for k in range(2)])
     xs = [F.lit(1.0), F.col("x1"), F.col("x2")]
-    steps, rate = 10, 0.5
-
-    def update(batch: DataFrame, _: int) -> None:
-        batch.persist()
-        for _step in range(steps):
-            score = {m: sum((w * x for w, x in zip(ws, xs)), F.lit(0.0)) for m, ws in models.items()}
-            miss = {
-                "linear": score["linear"] - F.col("y"),
-                "logistic": 1 / (1 + F.exp(-score["logistic"])) - F.col("label"),
-            }
-            grads = [F.avg(miss[m] * x).alias(f"{m}{i}") for m in models for i, x in enumerate(xs)]
-            g = batch.agg(*grads).first()
-            for m in models:
-                models[m] = [w - rate * g[f"{m}{i}"] for i, w in enumerate(models[m])]
-        batch.unpersist()
-
-    writer = open_feed(spark, path, parts[0].schema, files=8).writeStream.foreachBatch(update)
-    finish(writer.option("checkpointLocation", scratch(spark, "linear-cp")).trigger(availableNow=True).start())
-    return spark.createDataFrame([(m, *map(float, w)) for m, w in models.items()], "model string, bias double, w1 double, w2 double")
+
+    def update(batch: DataFrame, batch_id: int) -> None:
+        weights = [w for _, w in model.before(batch_id)]
+        for _ in range(MOVES):
+            score = [sum((w * x for w, x in zip(ws, xs)), F.lit(0.0)) for ws in weights]
+            miss = [score[0] - F.col("y"), 1 / (1 + F.exp(-score[1])) - F.col("label")]
+            g = batch.agg(*[F.avg(m * x) for m in miss for x in xs]).first()
+            weights = [[w - RATE * g[3 * k + i] for i, w in enumerate(ws)] for k, ws in enumerate(weights)]
+        model.save(batch_id, list(enumerate(weights)))
+
+    parts = [li.filter(F.col("l_orderkey") % STEPS == i) for i in range(STEPS)]
+    in_steps(parts, "lines", lambda rows, checkpoint: each_batch(rows, checkpoint, update))
+    rows = [(names[k], *[round(float(x), 6) for x in w]) for k, w in model.before(STEPS)]
+    return spark.createDataFrame(rows, "model string, bias double, w1 double, w2 double")
 
 
 @query(
@@ -589,7 +656,6 @@ FROM g a, g b WHERE a.event_type = 'click' AND b.event_type = 'view'
 def stream_ab_test(spark: SparkSession, d: str) -> DataFrame:
     """Welch's t over a stream: each batch leaves count, sum and sum of squares per group; the end adds them up."""
     e = I.events(spark, d).select("ts", "event_type", "value")
-    path, _ = feed(by_days(e), "ab")
     out = scratch(spark, "ab-out")
 
     def moments(batch: DataFrame, batch_id: int) -> None:
@@ -599,8 +665,7 @@ def stream_ab_test(spark: SparkSession, d: str) -> DataFrame:
         )
         per.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    writer = open_feed(spark, path, e.schema, files=8).writeStream.foreachBatch(moments)
-    finish(writer.option("checkpointLocation", scratch(spark, "ab-cp")).trigger(availableNow=True).start())
+    in_steps(by_days(e), "ab", lambda rows, checkpoint: each_batch(rows, checkpoint, moments))
     parts = spark.read.schema("event_type string, n long, s double, q double").parquet(f"{out}/batch=*")
     g = parts.groupBy().pivot("event_type", ["click", "view"]).agg(
         F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from dayledger.jobs import all_jobs
 from dayledger.registry import runnable
+from dayledger.session import scratch
+from dayledger.streaming.feed import drain_append, in_steps
+from dayledger.streaming.jobs import SESSION_ROW, track_sessions
 
 SAME = {
     "stream_window_tumbling": "time_window_tumbling",
@@ -47,4 +50,23 @@ def test_upsert_stream_and_session_state(spark):
 
 def test_progress_has_rows(spark):
     rows = runnable(all_jobs()["stream_progress"])(spark, SMALL).collect()
+    assert len(rows) == 4
     assert sum(r.input_rows for r in rows) == spark.read.parquet(f"{SMALL}/events.parquet").count()
+
+
+def test_a_late_row_joins_two_open_sessions(spark):
+    """Rows at 0:00 and 11:00; a row of 5:30 within the allowed delay makes them one session."""
+    def at(hours):
+        return spark.createDataFrame([(7, x) for x in hours], "user_id long, h double").selectExpr(
+            "user_id", "CAST(TIMESTAMP'2024-01-01' + make_dt_interval(0, 0, CAST(h * 60 AS INT), 0) AS TIMESTAMP) AS ts")
+
+    out = scratch(spark, "late-join")
+
+    def run(s, checkpoint):
+        parts = s.selectExpr("user_id", "ts AS start", "ts AS last", "1L AS n").withWatermark("last", "12 hours")
+        kept = parts.groupBy("user_id").applyInPandasWithState(
+            track_sessions, SESSION_ROW, "starts array<long>, lasts array<long>, ns array<long>", "append", "EventTimeTimeout")
+        return drain_append(kept, "late_join", checkpoint, out)
+
+    rows = in_steps([at([0.0, 11.0]), at([5.5]), at([300.0])], "late-join-in", run)[-1].collect()
+    assert [(r.seconds, r.n) for r in rows] == [(11 * 3600.0, 3)]
