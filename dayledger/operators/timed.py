@@ -7,45 +7,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayledger.operators.hot import split_hot
+from dayledger.operators.hot import SLICE, by_ranges
+from dayledger.session import materialize
 
 
-def asof_join(
-    left: DataFrame, right: DataFrame, key: str, time: str, carry: str, order: Sequence[str], slice_by: str = "hour"
-) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, key: str, time: str, carry: str, order: Sequence[str]) -> DataFrame:
     """Each left row with ``carry`` of the latest right row of its key at or before its time.
 
-    Both sides go into one frame; the right value is carried forward. Right
-    rows sort before left rows of the same time. On hot keys the carry runs
-    inside time slices and a second, small window brings in the last value
-    of earlier slices.
+    Both sides go into one frame, cut in ranges of key and time; the right
+    value is carried forward inside a range, and one row per key and range
+    brings in the last value of earlier ranges. Right rows sort before left
+    rows of the same time.
     """
     cols = left.columns
     lhs = left.withColumns({"_side": F.lit(1), "_v": F.lit(None).cast(right.schema[carry].dataType)})
     rhs = right.select(*[c for c in right.columns if c in cols], F.col(carry).alias("_v")).withColumn("_side", F.lit(0))
-    both = lhs.unionByName(rhs, allowMissingColumns=True)
     by = [time, "_side", *order]
-
-    def plain(df: DataFrame) -> DataFrame:
-        w = Window.partitionBy(key).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(carry, F.last("_v", ignorenulls=True).over(w)).filter("_side = 1").select(*cols, carry)
-
-    def sliced(df: DataFrame) -> DataFrame:
-        df = df.withColumn("_slice", F.date_trunc(slice_by, time))
-        w = Window.partitionBy(key, "_slice").orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
-        last = F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct(*by))).alias("_last")
-        per_slice = df.groupBy(key, "_slice").agg(last)
-        earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-        brought = per_slice.select(key, "_slice", F.last("_last", ignorenulls=True).over(earlier).alias("_brought"))
-        return (
-            df.withColumn("_here", F.last("_v", ignorenulls=True).over(w))
-            .filter("_side = 1")
-            .join(brought, [key, "_slice"])
-            .withColumn(carry, F.coalesce("_here", "_brought"))
-            .select(*cols, carry)
-        )
-
-    return split_hot(both, [key], plain, sliced)
+    df = by_ranges(lhs.unionByName(rhs, allowMissingColumns=True), [key], by)
+    w = Window.partitionBy(key, SLICE).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+    last = F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct(*by))).alias("_last")
+    per_slice = df.groupBy(key, SLICE).agg(last)
+    earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    brought = per_slice.select(
+        F.col(key).alias("_k"), F.col(SLICE).alias("_s"), F.last("_last", ignorenulls=True).over(earlier).alias("_brought")
+    )
+    here = df.withColumn("_here", F.last("_v", ignorenulls=True).over(w)).filter("_side = 1")
+    joined = here.join(brought, here[key].eqNullSafe(brought["_k"]) & (here[SLICE] == brought["_s"]))
+    return joined.withColumn(carry, F.coalesce("_here", "_brought")).select(*cols, carry)
 
 
 def range_join(
@@ -64,47 +52,35 @@ def range_join(
     return p.join(r, inside).drop(p["_bucket"]).drop(r["_bucket"])
 
 
-def sessions(
-    df: DataFrame, key: str, time: str, gap_seconds: int, measures: dict[str, tuple[Column, str]],
-    slice_by: str = "day",
-) -> DataFrame:
+def sessions(df: DataFrame, key: str, time: str, gap_seconds: int, measures: dict[str, tuple[Column, str]]) -> DataFrame:
     """Sessions per key split where the gap is reached: start, last event, and measures.
 
     ``measures`` maps a name to (aggregate over events, SQL aggregate that
-    joins partial values). Ordinary keys use one window pass. Hot keys build
-    sessions inside time slices first; a window over those partial sessions,
-    at most slice length / gap per slice, joins them over slice borders.
+    joins partial values). Sessions are built inside ranges of key and time.
+    Only the first and the last of a key in a range can go on in another: a
+    window over those, two per range at most, joins them.
     """
     gap = F.expr(f"interval {gap_seconds} seconds")
-
-    def local(rows: DataFrame, group: list[str]) -> DataFrame:
-        w = Window.partitionBy(*group).orderBy(time)
-        prev = F.lag(time).over(w)
-        fresh = F.when(prev.isNull() | (F.col(time) >= prev + gap), 1).otherwise(0)
-        marked = rows.withColumn("_new", fresh)
-        number = F.sum("_new").over(w.rangeBetween(Window.unboundedPreceding, 0))
-        return (
-            marked.withColumn("_s", number).groupBy(*group, "_s")
-            .agg(F.min(time).alias("start"), F.max(time).alias("last"), *[a.alias(n) for n, (a, _) in measures.items()])
-        )
-
+    rows = by_ranges(df, [key], [time])
+    w = Window.partitionBy(key, SLICE).orderBy(time)
+    prev = F.lag(time).over(w)
+    marked = rows.withColumn("_new", F.when(prev.isNull() | (F.col(time) >= prev + gap), 1).otherwise(0))
+    number = F.sum("_new").over(w.rangeBetween(Window.unboundedPreceding, 0))
+    parts = materialize(
+        marked.withColumn("_s", number).groupBy(key, SLICE, "_s")
+        .agg(F.min(time).alias("start"), F.max(time).alias("last"), *[a.alias(n) for n, (a, _) in measures.items()]),
+        "sessions",
+    )
+    ends = parts.groupBy(F.col(key).alias("_k"), F.col(SLICE).alias("_l")).agg(F.max("_s").alias("_most"))
+    parts = parts.join(ends, parts[key].eqNullSafe(ends["_k"]) & (parts[SLICE] == ends["_l"]))
     out = [key, "start", "last", *measures]
-
-    def plain(rows: DataFrame) -> DataFrame:
-        return local(rows, [key]).select(out)
-
-    def sliced(rows: DataFrame) -> DataFrame:
-        parts = local(rows.withColumn("_slice", F.date_trunc(slice_by, time)), [key, "_slice"])
-        w = Window.partitionBy(key).orderBy("start")
-        fresh = F.when(F.lag("last").over(w).isNull() | (F.col("start") >= F.lag("last").over(w) + gap), 1).otherwise(0)
-        number = F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))
-        return (
-            parts.withColumn("_new", fresh).withColumn("_n", number).groupBy(key, "_n")
-            .agg(
-                F.min("start").alias("start"), F.max("last").alias("last"),
-                *[F.expr(f"{joiner}({n})").alias(n) for n, (_, joiner) in measures.items()],
-            )
-            .select(out)
-        )
-
-    return split_hot(df, [key], plain, sliced)
+    inner = parts.filter((F.col("_s") > 1) & (F.col("_s") < F.col("_most"))).select(out)
+    w = Window.partitionBy(key).orderBy("start", SLICE, "_s")
+    before = F.lag("last").over(w)
+    border = parts.filter((F.col("_s") == 1) | (F.col("_s") == F.col("_most")))
+    border = border.withColumn("_new", F.when(before.isNull() | (F.col("start") >= before + gap), 1).otherwise(0))
+    border = border.withColumn("_n", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = border.groupBy(key, "_n").agg(
+        F.min("start").alias("start"), F.max("last").alias("last"), *[F.expr(f"{joiner}({n})").alias(n) for n, (_, joiner) in measures.items()]
+    )
+    return inner.unionByName(joined.select(out))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dayledger.operators.hot import call_bucket, split_hot, spread
+from dayledger.operators.hot import SLICE, by_ranges, call_bucket, spread
 from dayledger.plans.files import new_name
 from dayledger.registry import query
 from dayledger.session import materialize, parts_for, scratch, small_side, table
@@ -170,38 +170,21 @@ ASOF LEFT JOIN (SELECT user_id, ts, max(event_id) AS event_id FROM events WHERE
 """,
 )
 def cogroup_in_pandas(spark: SparkSession, d: str) -> DataFrame:
-    """As-of match per user, whole users per call. Hot users are matched hour by hour, with the last view of earlier hours carried in."""
-
-    def sides(e: DataFrame) -> tuple[DataFrame, DataFrame]:
-        e = e.withColumn("hour", F.date_trunc("hour", "ts"))
-        views = e.filter("event_type = 'view'").select(
-            F.col("user_id").alias("viewer"), F.col("hour").alias("v_hour"), F.col("ts").alias("seen"),
-            F.col("event_id").alias("visit_id"),
-        )
-        return e.filter("event_type = 'purchase'").drop("event_type"), views
-
-    out = "event_id long, visit_id long"
-
-    def plain(e: DataFrame) -> DataFrame:
-        buys, views = sides(e)
-        left = spread(buys.withColumn("_call", call_bucket(e, "user_id")), "_call")
-        right = spread(views.withColumn("_call", call_bucket(e, "viewer")), "_call")
-        return left.groupBy("_call").cogroup(right.groupBy("_call")).applyInPandas(nearest_before, out)
-
-    def sliced(e: DataFrame) -> DataFrame:
-        buys, views = sides(e)
-        last = views.groupBy("viewer", "v_hour").agg(F.max(F.struct("seen", "visit_id")).alias("last"))
-        hours = buys.select(F.col("user_id").alias("viewer"), F.col("hour").alias("v_hour")).distinct()
-        before = Window.partitionBy("viewer").orderBy("v_hour").rowsBetween(Window.unboundedPreceding, -1)
-        carried = hours.join(last, ["viewer", "v_hour"], "full").withColumn(
-            "c", F.last("last", ignorenulls=True).over(before)
-        )
-        right = views.unionByName(carried.filter("c IS NOT NULL").select("viewer", "v_hour", "c.seen", "c.visit_id"))
-        right = right.groupBy("viewer", "v_hour")
-        return buys.groupBy("user_id", "hour").cogroup(right).applyInPandas(nearest_before, out)
-
-    e = I.events(spark, d).select("event_id", "user_id", "ts", "event_type")
-    return split_hot(e.filter("event_type IN ('purchase', 'view')"), ["user_id"], plain, sliced)
+    """As-of match of purchases and views, a range of users and times per call, with the last view of earlier ranges
+    carried in for the user that goes on from one range to the next."""
+    e = I.events(spark, d).select("event_id", "user_id", "ts", "event_type").filter("event_type IN ('purchase', 'view')")
+    e = by_ranges(e, ["user_id"], ["ts", "event_id"])
+    views = e.filter("event_type = 'view'").select(
+        F.col("user_id").alias("viewer"), SLICE, F.col("ts").alias("seen"), F.col("event_id").alias("visit_id")
+    )
+    last = e.groupBy(F.col("user_id").alias("viewer"), SLICE).agg(
+        F.max(F.when(F.col("event_type") == "view", F.struct(F.col("ts").alias("seen"), F.col("event_id").alias("visit_id")))).alias("last")
+    )
+    before = Window.partitionBy("viewer").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.withColumn("c", F.last("last", ignorenulls=True).over(before)).filter("c IS NOT NULL")
+    views = views.unionByName(carried.select("viewer", SLICE, "c.seen", "c.visit_id"))
+    buys = e.filter("event_type = 'purchase'").drop("event_type")
+    return buys.groupBy(SLICE).cogroup(views.groupBy(SLICE)).applyInPandas(nearest_before, "event_id long, visit_id long")
 
 
 LINE_SIZES = T.StructType([T.StructField("line_no", T.IntegerType()), T.StructField("n_words", T.IntegerType())])

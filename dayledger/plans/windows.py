@@ -1,4 +1,4 @@
-"""Window functions. Ordinary keys use one window pass; hot keys the sliced forms of ``operators.hot``."""
+"""Window functions, on ranges of key and order (``operators.hot``): one plan for all keys, whatever their rows."""
 
 from __future__ import annotations
 
@@ -7,30 +7,30 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dayledger.operators.hot import framed, hot_rows, number_rows, split_hot, spread, with_slice_totals
+from dayledger.operators.hot import SLICE, by_ranges, framed, hot_rows, number_rows, with_slice_totals
 from dayledger.operators.timed import sessions
 from dayledger.registry import query
-from dayledger.session import table
+from dayledger.session import materialize, table
 from dayledger.sources import inputs as I
 
 KEY, ORDER = "o_custkey", ["o_orderdate", "o_orderkey"]
-SLICE = "_day"
 
 
 def _orders(spark: SparkSession, d: str, *more: str) -> DataFrame:
     return I.orders(spark, d).select("o_orderkey", KEY, "o_orderdate", *more)
 
 
-def _day(df: DataFrame) -> DataFrame:
-    return df.withColumn(SLICE, F.to_date("o_orderdate"))
+def _numbered(df: DataFrame) -> DataFrame:
+    return number_rows(df, [KEY], ORDER)
 
 
-def _by_date() -> Window:
-    return Window.partitionBy(KEY).orderBy("o_orderdate")
-
-
-def _by_all() -> Window:
-    return Window.partitionBy(KEY).orderBy(*ORDER)
+def _with_dates(df: DataFrame) -> DataFrame:
+    """Numbered rows with what rows of one key and date share: their first and last number and the number of the date."""
+    numbered = materialize(_numbered(df), "numbered")
+    dates = numbered.groupBy(KEY, "o_orderdate").agg(F.min("_rn").alias("_first"), F.max("_rn").alias("_last"))
+    dates = materialize(number_rows(dates, [KEY], ["o_orderdate"], "_date_no").drop("_size"), "dates")
+    dates = dates.withColumnsRenamed({KEY: "_k", "o_orderdate": "_d"})
+    return numbered.join(dates, numbered[KEY].eqNullSafe(dates["_k"]) & numbered["o_orderdate"].eqNullSafe(dates["_d"]))
 
 
 @query(
@@ -42,28 +42,9 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate)
 """,
 )
 def win_rank(spark: SparkSession, d: str) -> DataFrame:
-    out = ["o_orderkey", KEY, "rn", "rk", "dr"]
-
-    def plain(df: DataFrame) -> DataFrame:
-        return df.select(
-            "o_orderkey", KEY, F.row_number().over(_by_all()).alias("rn"), F.rank().over(_by_date()).alias("rk"),
-            F.dense_rank().over(_by_date()).alias("dr"),
-        )
-
-    def sliced(df: DataFrame) -> DataFrame:
-        df = with_slice_totals(
-            _day(df), [KEY], SLICE, {"c": F.count("*"), "v": F.count_distinct("o_orderdate")}
-        )
-        by_day = Window.partitionBy(KEY, SLICE)
-        return df.withColumns(
-            {
-                "rn": (F.row_number().over(by_day.orderBy(*ORDER)) + F.col("before_c")).cast("int"),
-                "rk": (F.rank().over(by_day.orderBy("o_orderdate")) + F.col("before_c")).cast("int"),
-                "dr": (F.dense_rank().over(by_day.orderBy("o_orderdate")) + F.col("before_v")).cast("int"),
-            }
-        ).select(out)
-
-    return split_hot(_orders(spark, d), [KEY], plain, sliced)
+    """Ranks follow from row numbers: of the first row of a date, and of the date among dates."""
+    df = _with_dates(_orders(spark, d))
+    return df.select("o_orderkey", KEY, *[F.col(c).cast("int").alias(n) for c, n in (("_rn", "rn"), ("_first", "rk"), ("_date_no", "dr"))])
 
 
 @query(
@@ -75,30 +56,17 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate)
 """,
 )
 def win_distribution(spark: SparkSession, d: str) -> DataFrame:
-    def plain(df: DataFrame) -> DataFrame:
-        return df.select(
-            "o_orderkey", KEY, F.round(F.percent_rank().over(_by_date()), 8).alias("pr"),
-            F.round(F.cume_dist().over(_by_date()), 8).alias("cd"), F.ntile(4).over(_by_all()).alias("quarter"),
-        )
-
-    def sliced(df: DataFrame) -> DataFrame:
-        df = with_slice_totals(_day(df), [KEY], SLICE, {"c": F.count("*")})
-        local = Window.partitionBy(KEY, SLICE).orderBy("o_orderdate")
-        n, before = F.col("all_c"), F.col("before_c")
-        rank0 = F.rank().over(local) + before - 1
-        upto = F.count("*").over(local.rangeBetween(Window.unboundedPreceding, 0)) + before
-        rn0 = F.row_number().over(Window.partitionBy(KEY, SLICE).orderBy(*ORDER)) + before - 1
-        # the first n % 4 tiles hold one row more
-        size, more = F.floor(n / 4), n % 4
-        tile = F.when(rn0 < more * (size + 1), F.floor(rn0 / (size + 1))).otherwise(
-            more + F.floor((rn0 - more * (size + 1)) / F.greatest(size, F.lit(1)))
-        )
-        return df.select(
-            "o_orderkey", KEY, F.round(F.when(n > 1, rank0 / (n - 1)).otherwise(0.0), 8).alias("pr"),
-            F.round(upto / n, 8).alias("cd"), (tile + 1).cast("int").alias("quarter"),
-        )
-
-    return split_hot(_orders(spark, d), [KEY], plain, sliced)
+    df = _with_dates(_orders(spark, d))
+    n, rn0 = F.col("_size"), F.col("_rn") - 1
+    # the first n % 4 tiles hold one row more
+    size, more = F.floor(n / 4), n % 4
+    tile = F.when(rn0 < more * (size + 1), F.floor(rn0 / (size + 1))).otherwise(
+        more + F.floor((rn0 - more * (size + 1)) / F.greatest(size, F.lit(1)))
+    )
+    return df.select(
+        "o_orderkey", KEY, F.round(F.when(n > 1, (F.col("_first") - 1) / (n - 1)).otherwise(0.0), 8).alias("pr"),
+        F.round(F.col("_last") / n, 8).alias("cd"), (tile + 1).cast("int").alias("quarter"),
+    )
 
 
 @query(
@@ -111,24 +79,14 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
 """,
 )
 def win_offset(spark: SparkSession, d: str) -> DataFrame:
-    out = ["o_orderkey", "prev_key", "next2_key", "second_key"]
-    df = _orders(spark, d)
-
     def near(w: Window) -> dict:
         return {"prev_key": F.lag("o_orderkey").over(w), "next2_key": F.lead("o_orderkey", 2, -1).over(w)}
 
-    def plain(rows: DataFrame) -> DataFrame:
-        full = _by_all().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return rows.withColumns(
-            near(_by_all()) | {"second_key": F.nth_value("o_orderkey", 2).over(full)}
-        ).select(out)
-
-    def sliced(rows: DataFrame) -> DataFrame:
-        numbered = number_rows(_day(rows), [KEY], SLICE, ORDER)
-        second = numbered.filter("_rn = 2").select(KEY, F.col("o_orderkey").alias("second_key"))
-        return framed(numbered, [KEY], 1, 2, near, hot_rows(rows)).join(second, KEY, "left").select(out)
-
-    return split_hot(df, [KEY], plain, sliced)
+    rows = _orders(spark, d)
+    numbered = materialize(_numbered(rows), "numbered")
+    second = numbered.filter("_rn = 2").select(F.col(KEY).alias("_k"), F.col("o_orderkey").alias("second_key"))
+    near_rows = framed(numbered, [KEY], 1, 2, near, hot_rows(rows))
+    return near_rows.join(second, near_rows[KEY].eqNullSafe(second["_k"]), "left").select("o_orderkey", "prev_key", "next2_key", "second_key")
 
 
 @query(
@@ -158,21 +116,11 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
 """,
 )
 def win_running_rows(spark: SparkSession, d: str) -> DataFrame:
-    def result(df: DataFrame, total, n) -> DataFrame:
-        return df.select("o_orderkey", F.round(total, 2).alias("running"), F.round(total / n, 6).alias("running_mean"))
-
-    def plain(df: DataFrame) -> DataFrame:
-        w = _by_all().rowsBetween(Window.unboundedPreceding, 0)
-        return result(df, F.sum("o_totalprice").over(w), F.count("*").over(w))
-
-    def sliced(df: DataFrame) -> DataFrame:
-        df = with_slice_totals(_day(df), [KEY], SLICE, {"s": F.sum("o_totalprice"), "c": F.count("*")})
-        w = Window.partitionBy(KEY, SLICE).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
-        return result(
-            df, F.sum("o_totalprice").over(w) + F.col("before_s"), F.count("*").over(w) + F.col("before_c")
-        )
-
-    return split_hot(_orders(spark, d, "o_totalprice"), [KEY], plain, sliced)
+    ranged = by_ranges(_orders(spark, d, "o_totalprice"), [KEY], ORDER)
+    df = with_slice_totals(ranged, [KEY], SLICE, {"s": F.sum("o_totalprice"), "c": F.count("*")})
+    w = Window.partitionBy(KEY, SLICE).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    total, n = F.sum("o_totalprice").over(w) + F.col("before_s"), F.count("*").over(w) + F.col("before_c")
+    return df.select("o_orderkey", F.round(total, 2).alias("running"), F.round(total / n, 6).alias("running_mean"))
 
 
 @query(
@@ -253,15 +201,8 @@ def win_collect(spark: SparkSession, d: str) -> DataFrame:
             "last_statuses": F.array_sort(F.collect_set("o_orderstatus").over(f)),
         }
 
-    out = ["o_orderkey", "last_keys", "last_statuses"]
-
-    def plain(df: DataFrame) -> DataFrame:
-        return df.withColumns(last3(_by_all())).select(out)
-
-    def sliced(df: DataFrame) -> DataFrame:
-        return framed(number_rows(_day(df), [KEY], SLICE, ORDER), [KEY], 2, 0, last3, hot_rows(df)).select(out)
-
-    return split_hot(_orders(spark, d, "o_orderstatus"), [KEY], plain, sliced)
+    rows = _orders(spark, d, "o_orderstatus")
+    return framed(_numbered(rows), [KEY], 2, 0, last3, hot_rows(rows)).select("o_orderkey", "last_keys", "last_statuses")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -280,14 +221,8 @@ def win_pandas_agg(spark: SparkSession, d: str) -> DataFrame:
     def near(w: Window) -> dict:
         return {"near_mean": F.round(own_mean("o_totalprice").over(w.rowsBetween(-2, 1)), 6)}
 
-    def plain(df: DataFrame) -> DataFrame:
-        return spread(df, KEY).withColumns(near(_by_all())).select("o_orderkey", "near_mean")
-
-    def sliced(df: DataFrame) -> DataFrame:
-        numbered = number_rows(_day(df), [KEY], SLICE, ORDER)
-        return framed(numbered, [KEY], 2, 1, near, hot_rows(df)).select("o_orderkey", "near_mean")
-
-    return split_hot(_orders(spark, d, "o_totalprice"), [KEY], plain, sliced)
+    rows = _orders(spark, d, "o_totalprice")
+    return framed(_numbered(rows), [KEY], 2, 1, near, hot_rows(rows)).select("o_orderkey", "near_mean")
 
 
 @query(

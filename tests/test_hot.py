@@ -13,6 +13,7 @@ from dayledger.jobs import all_jobs
 from dayledger.operators import hot, skew
 from dayledger.operators.timed import asof_join, range_join, sessions
 from dayledger.registry import runnable
+from dayledger.session import HOT_ROWS_KEY
 
 WINDOW_JOBS = [
     "win_rank", "win_distribution", "win_offset", "win_running_rows", "win_collect", "win_pandas_agg", "join_asof",
@@ -55,8 +56,11 @@ def test_null_keys_stay_in_the_result(spark, hot_limit):
 
 
 def test_number_rows(spark):
-    df = third_in_one_key(spark).withColumn("day", F.to_date("ts"))
-    got = hot.number_rows(df, ["k"], "day", ["ts", "id"]).select("k", "id", "_rn", "_size").collect()
+    df = third_in_one_key(spark)
+    spark.conf.set(HOT_ROWS_KEY, "50")
+    got = hot.number_rows(df, ["k"], ["ts", "id"])
+    spark.conf.unset(HOT_ROWS_KEY)
+    got = got.select("k", "id", "_rn", "_size").collect()
     want = {}
     for k in {r.k for r in got}:
         rows = sorted((r.ts, r.id) for r in df.filter(F.col("k") == k).collect())
@@ -64,6 +68,18 @@ def test_number_rows(spark):
     assert {(r.k, r.id): (r._rn, r._size) for r in got} == want
 
 
+def test_one_key_and_one_day_with_a_third_of_the_rows(spark, hot_limit):
+    """Parts are even, also where calendar slices would hold all of it; keys up to 2^62."""
+    rows = [(i, 1 << 62 if i % 3 == 0 else i, dt.datetime(2024, 1, 1, 8, 0, 0, i)) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, k long, ts timestamp")
+    with hot_limit(100):
+        ranged = hot.by_ranges(df, ["k"], ["ts", "id"])
+        sizes = [r["count"] for r in ranged.groupBy(hot.SLICE).count().collect()]
+        numbered = {r.id: (r._rn, r._size) for r in hot.number_rows(df, ["k"], ["ts", "id"]).collect()}
+    assert sum(sizes) == 900 and max(sizes) <= 200
+    assert numbered == {i: (i // 3 + 1, 300) if i % 3 == 0 else (1, 1) for i in range(900)}
+
+
 def test_salted_forms(spark):
     df = third_in_one_key(spark)
     got = skew.salted_agg(df, ["k"], ["id"], {"n": F.count("*"), "s": F.sum("v")}, {"n": F.sum("n"), "s": F.sum("s")})

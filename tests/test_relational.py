@@ -22,8 +22,10 @@ def test_sort_orders(spark):
     rows = build(spark, "sort_multi").collect()
     assert rows == sorted(rows, key=lambda r: (r.o_orderstatus, -r.o_totalprice, r.o_orderkey))
     rows = build(spark, "sort_nulls").collect()
-    key = lambda r: (r.top_status is None, r.top_status or "", r.top_price is not None, -(r.top_price or 0), r.c_custkey)
-    assert rows == sorted(rows, key=key)
+    for place, down, null_first in (("asc_first", 1, True), ("asc_last", 1, False), ("desc_first", -1, True), ("desc_last", -1, False)):
+        part = [r for r in rows if r.place == place]
+        key = lambda r: ((r.top_price is None) != null_first, down * (r.top_price or 0), r.c_custkey)  # noqa: B023, E731
+        assert len(part) == 50 and part == sorted(part, key=key)
 
 
 def test_gapless_index(spark):
