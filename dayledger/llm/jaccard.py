@@ -33,8 +33,8 @@ from dayledger.llm.words import buffers, find_words, mix, pieces, rolling
 from dayledger.operators.graph import components
 from dayledger.session import materialize
 
-BLOCK_ROWS = 128
-BLOCK_SHINGLES = 500_000
+BLOCK_ROWS = 512
+BLOCK_SHINGLES = 2_000_000
 BAND_GROWTH = 1.5
 
 
