@@ -75,16 +75,12 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         step = labels.join(near, F.col("id") == F.col("src")).select(
             "id", F.col("comp").alias("old"), F.least("comp", "m").alias("comp")
         )
-        # written first: the jump reads the step twice
+        # the one write of a round; the jump below is worked out from it by the next round
         step = materialize(step, "step")
+        if step.filter("comp <> old").isEmpty():
+            return step.select("id", "comp")
         root = step.select(F.col("id").alias("r"), F.col("comp").alias("root"))
-        new = step.join(root, F.col("comp") == F.col("r"), "left").select(
-            "id", "old", F.least("comp", "root").alias("comp")
-        )
-        new = materialize(new, "labels")
-        labels = new.select("id", "comp")
-        if new.filter("comp <> old").isEmpty():
-            return labels
+        labels = step.join(root, F.col("comp") == F.col("r"), "left").select("id", F.least("comp", "root").alias("comp"))
     raise RuntimeError("components did not settle")
 
 

@@ -23,7 +23,7 @@ from dayledger.operators.likeness import bucket_links
 from dayledger.plans.joins import WORDS_SQL, words
 from dayledger.plans.models import SEED, assembled, fitted, lines, vectors
 from dayledger.registry import query
-from dayledger.session import parts_for, table
+from dayledger.session import materialize, parts_for, table
 
 
 @query(
@@ -478,7 +478,7 @@ def ml_metrics_class(spark: SparkSession, d: str) -> DataFrame:
         F.col("quality").cast("double").alias("label"), guess.alias("prediction"),
         F.col("n_chars").cast("double").alias("rawPrediction"),
     )
-    p = p.persist()
+    p = materialize(p, "predicted")
 
     def score(name: str, **kw) -> float:
         return round(float(MulticlassClassificationEvaluator(metricName=name, **kw).evaluate(p)), 8)
@@ -497,7 +497,6 @@ def ml_metrics_class(spark: SparkSession, d: str) -> DataFrame:
         "hamming": round(float(MultilabelClassificationEvaluator(metricName="hammingLoss").evaluate(sets)), 8),
     }
     row = counts.first()
-    p.unpersist()
     return spark.createDataFrame([(*row, *values.values())], [*row.asDict(), *values])
 
 
@@ -512,9 +511,9 @@ FROM p, (SELECT avg(l_extendedprice / 1000) AS mu FROM lineitem)
 )
 def ml_metrics_value(spark: SparkSession, d: str) -> DataFrame:
     """Regression measures, with a silhouette of labelled vectors and a ranking measure beside them."""
-    p = lines(spark, d).select(F.col("price").alias("label"), (2.1 * F.col("l_quantity")).alias("prediction")).persist()
+    p = lines(spark, d).select(F.col("price").alias("label"), (2.1 * F.col("l_quantity")).alias("prediction"))
+    p = materialize(p, "predicted")
     reg = {m: round(float(RegressionEvaluator(metricName=m).evaluate(p)), 6) for m in ("mse", "rmse", "mae", "r2")}
-    p.unpersist()
     v = vectors(spark, d).select("features", F.col("label").alias("prediction"))
     silhouette = ClusteringEvaluator().evaluate(v)
     kinds = table(spark, d, "events").groupBy("user_id").pivot("event_type", ["click", "view", "purchase"]).count().na.fill(0)

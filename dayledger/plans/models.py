@@ -17,7 +17,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationS
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.plans.graphs import nation_trade
+from dayledger.plans.graphs import TRADE_SQL, nation_trade
 from dayledger.plans.rows import gapless_index
 from dayledger.registry import query
 from dayledger.session import materialize, parts_for, table
@@ -368,7 +368,10 @@ def ml_lda(spark: SparkSession, d: str) -> DataFrame:
     return _clusters(m.transform(tf).select(best), sound)
 
 
-@query("ml_power_iteration")
+@query(
+    "ml_power_iteration",
+    f"WITH {TRADE_SQL.format(share=0.0).strip()} SELECT DISTINCT unnest([src, dst]) AS id, true AS known FROM edges WHERE src <> dst",
+)
 def ml_power_iteration(spark: SparkSession, d: str) -> DataFrame:
     """Nations by how much they trade with each other, both ways added."""
     e = nation_trade(spark, d, 0.0).filter("src <> dst")
@@ -376,7 +379,7 @@ def ml_power_iteration(spark: SparkSession, d: str) -> DataFrame:
         F.sum("total").alias("weight")
     )
     pic = CL.PowerIterationClustering(k=3, maxIter=10, initMode="degree", weightCol="weight")
-    return pic.assignClusters(both).select("id", "cluster")
+    return pic.assignClusters(both).select("id", F.col("cluster").between(0, 2).alias("known"))
 
 
 # ---- recommendation and patterns --------------------------------------------
