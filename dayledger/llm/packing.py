@@ -11,6 +11,7 @@ padding.
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.llm.shards import sharded, shards_for, volume
+from dayledger.llm.shards import sharded, shards_for
 from dayledger.llm.words import buffers, find_words
 from dayledger.session import materialize
 
@@ -78,7 +79,7 @@ class Index:
         idf = np.maximum(np.log((self.n - df + 0.5) / (df + 0.5)), 0)
         length = words.counts / max(words.counts.mean(), 1e-9) if self.n else words.counts
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc]))
-        use = weight > 0
+        use = (weight > 0) & (df[term] > 1)  # a term of one document leads to no neighbour
         order = np.argsort(term[use], kind="stable")
         self.post_doc, self.post_weight = doc[use][order], weight[use][order]
         self.post_first = np.searchsorted(term[use][order], np.arange(len(terms) + 1))
@@ -89,6 +90,7 @@ class Index:
         a, n = self.post_first[t], self.post_first[t + 1] - self.post_first[t]
         at = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(t) else np.zeros(0, np.int64)
         scores = np.bincount(self.post_doc[at], weights=self.post_weight[at], minlength=self.n)
+        scores[seed] = 0
         found = np.flatnonzero(scores)
         least = np.partition(scores[found], -FIRST_NEIGHBOURS)[-FIRST_NEIGHBOURS] if len(found) > FIRST_NEIGHBOURS else 0
         for some in (found[scores[found] >= least], found[scores[found] < least]):
@@ -140,8 +142,11 @@ def fill(lengths: list[int], index: Index, size: int, content: list) -> list[tup
     return out
 
 
-def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1, key: str = "doc_id", text: str = "text", shard_bytes: int = 4_000_000) -> DataFrame:
-    """Per piece: key, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
+def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1, key: str = "doc_id", text: str = "text",
+         shard_bytes: int = 4_000_000, with_ids: bool = True) -> DataFrame:
+    """Per piece: key, start, length, ids (little-endian unsigned 32-bit), ids_crc32, doc_tokens, sequence_id, offset.
+
+    Without ``with_ids`` the ids stay behind and their checksum stands for them.
 
     A document is its ids and ``end_id``; a null text is empty, so one id.
     Each row of the input is packed, equal rows too, each id once. Columns
@@ -150,10 +155,11 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
-    n = shards_for(docs, volume(docs, text), shard_bytes)
     docs = docs.select(key, text)
-    most = docs.groupBy(key, F.xxhash64(text)).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if most > HOT_COPIES:
+    equal = docs.groupBy(key, F.xxhash64(text)).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("bytes"))
+    most, size = equal.agg(F.max("n"), F.sum("bytes")).first()
+    n = shards_for(docs, size or 0, shard_bytes)
+    if (most or 0) > HOT_COPIES:
         # equal rows would share a shard: they are numbered, in a written table so that numbers stay, and dealt by number
         numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "packing-rows")
         texts = numbered.select(F.pmod(F.xxhash64(key, text, "_row"), F.lit(n)).cast("int").alias("shard"), F.col(key).alias("id"), F.col(text).alias("text"))
@@ -172,17 +178,17 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1
         pieces = fill([len(x) for x in ids], Index(t["text"]), size, texts)
         doc, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*pieces, strict=True))
         first = int(t["shard"][0].as_py()) << 32
+        raw = [ids[d][s : s + n].astype("<u4").tobytes() for d, s, n, _, _ in pieces]
         return pa.table({
             "id": t["id"].take(pa.array(doc)), "start": start, "length": length,
-            "ids": pa.array([ids[d][s : s + n].astype("<u4").tobytes() for d, s, n, _, _ in pieces], pa.binary()),
+            **({"ids": pa.array(raw, pa.binary())} if with_ids else {}), "ids_crc32": pa.array([zlib.crc32(r) for r in raw], pa.int64()),
             "doc_tokens": np.array([len(x) for x in ids], np.int64)[doc], "sequence_id": sequence + first, "offset": offset,
         })
 
-    schema = f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+    schema = f"id {kind}, start long, length long, {'ids binary, ' * with_ids}ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return texts.groupBy("shard").applyInArrow(run, schema).withColumnRenamed("id", key)
 
 
 def packing_report(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    packed = pack(docs, tokenizer_path)
-    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return pack(docs, tokenizer_path, with_ids=False)

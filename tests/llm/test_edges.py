@@ -254,7 +254,7 @@ def test_packing_takes_lexical_neighbours():
 
     texts = ["red apple pie", "steel bridge bolts", "apple pie recipe", "bridge of steel", "wool", "tin", "oak", "fog"]
     index = packing.Index(pa.array(texts))
-    assert list(index.neighbours(0))[:2] == [0, 2] and list(index.neighbours(1))[:2] == [1, 3]
+    assert next(index.neighbours(0)) == 2 and next(index.neighbours(1)) == 3
     pieces = packing.fill([3] * 8, index, 6, texts)
     assert [{p[0] for p in pieces if p[3] == s} for s in range(2)] == [{0, 2}, {1, 3}]
 
