@@ -157,8 +157,8 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1
         spec = f.read()
     docs = docs.select(key, text)
     equal = docs.groupBy(key, F.xxhash64(text)).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("bytes"))
-    most, size = equal.agg(F.max("n"), F.sum("bytes")).first()
-    n = shards_for(docs, size or 0, shard_bytes)
+    most, stored = equal.agg(F.max("n"), F.sum("bytes")).first()
+    n = shards_for(docs, stored or 0, shard_bytes)
     if (most or 0) > HOT_COPIES:
         # equal rows would share a shard: they are numbered, in a written table so that numbers stay, and dealt by number
         numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "packing-rows")
