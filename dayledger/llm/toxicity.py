@@ -1,7 +1,7 @@
 """Toxicity scores: a bidirectional gated recurrent network with attention pooling over windows of words.
 
-A word enters as the sum of a hashed word vector and the mean of its hashed
-character 4-gram vectors. Every text is scored as a whole: windows of WINDOW
+A word enters as the sum of a hashed word vector, the mean of its hashed
+character 4-gram vectors and the mean of the hashed vectors of its beginnings. Every text is scored as a whole: windows of WINDOW
 words start every STRIDE words, and the document's score is that of its
 highest window. The network is trained in numpy by back-propagation through
 time on a bounded sample of labelled documents; each round it learns from the
@@ -25,7 +25,9 @@ from dayledger.llm.words import buffers, byte_table, mix, pieces
 
 WINDOW, STRIDE, WIDE = 32, 16, 4096
 HIDDEN, DIM = 8, 8
-WORD_SLOTS, GRAM_SLOTS, GRAM = 1 << 14, 1 << 15, 4
+WORD_SLOTS, GRAM_SLOTS, HEAD_SLOTS, GRAM = 1 << 14, 1 << 15, 1 << 16, 4
+SMOOTH = 4  # documents without evidence that a slot is taken to have besides its own
+HEADS = range(4, 10)  # bytes of the beginnings that are told apart
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
@@ -40,10 +42,13 @@ class Tokens:
     slot: np.ndarray  # word slot of each distinct word
     gram: np.ndarray  # gram slots of all distinct words, one after the other
     gram_word: np.ndarray  # whose they are
+    head: np.ndarray  # slots of the beginnings of all distinct words
+    head_word: np.ndarray
 
 
 def tokenize(data: np.ndarray, offsets: np.ndarray) -> Tokens:
-    """Words are runs of ASCII letters and of bytes above them, so that signs stuck to a word do not hide it."""
+    """Words are runs of ASCII letters and of bytes above them, so that signs stuck to a word do not hide it. A word
+    that follows itself is read once: windows of one word are like nothing that was learned from."""
     inside = np.zeros(len(data) + 2, bool)
     inside[1:-1] = _LETTER[data]
     begins, stops = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
@@ -63,6 +68,10 @@ def tokenize(data: np.ndarray, offsets: np.ndarray) -> Tokens:
         rel = (place - owner.astype(np.uint64)) * base
         np.cumsum(mix(table[data] ^ rel) if len(data) else np.zeros(0, np.uint64), out=sums[1:])
         keys = mix(sums[ends] - sums[starts])
+        fresh = np.ones(len(keys), bool)
+        owner = np.searchsorted(offsets, starts, "right")
+        fresh[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+        starts, ends, keys = starts[fresh], ends[fresh], keys[fresh]
         distinct, at, word = np.unique(keys, return_index=True, return_inverse=True)
         s, e = starts[at], ends[at]
         # grams of " word ": the word with one space on each side, at least one gram
@@ -77,8 +86,18 @@ def tokenize(data: np.ndarray, offsets: np.ndarray) -> Tokens:
             real = (off >= 0) & (off < (e - s)[gram_word])
             byte = np.where(real, padded[np.minimum(np.maximum(s[gram_word] + off, 0), len(data))], 32)
             code = code * np.uint64(257) + byte.astype(np.uint64) + np.uint64(1)
+        heads, head_words, so_far = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], np.zeros(len(s), np.uint64)
+        for k in range(max(HEADS)):
+            so_far = so_far * np.uint64(0x100000001B3) + padded[np.minimum(s + k, len(data))].astype(np.uint64) + np.uint64(1)
+            if k + 1 in HEADS:
+                long = np.flatnonzero(e - s > k)
+                heads.append(mix(so_far[long] + np.uint64(k)))
+                head_words.append(long)
+        head, head_word = np.concatenate(heads), np.concatenate(head_words)
+        by_word = np.argsort(head_word, kind="stable")
     return Tokens(word, np.searchsorted(starts, offsets), (distinct % np.uint64(WORD_SLOTS)).astype(np.int64),
-                  (mix(code) % np.uint64(GRAM_SLOTS)).astype(np.int64), gram_word)
+                  (mix(code) % np.uint64(GRAM_SLOTS)).astype(np.int64), gram_word,
+                  (head[by_word] % np.uint64(HEAD_SLOTS)).astype(np.int64), head_word[by_word])
 
 
 def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -97,9 +116,11 @@ class ToxicModel:
     def word_vectors(self, tok: Tokens) -> np.ndarray:
         """(DIM, words) vectors of the distinct words."""
         p, n = self.params, len(tok.slot)
-        count = np.bincount(tok.gram_word, minlength=n).astype(np.float32)
-        chars = np.stack([np.bincount(tok.gram_word, weights=row[tok.gram], minlength=n) for row in p["grams"]])
-        return (p["words"][:, tok.slot] + chars / np.maximum(count, 1)).astype(np.float32)
+        out = p["words"][:, tok.slot]
+        for key, slots, owner in (("grams", tok.gram, tok.gram_word), ("heads", tok.head, tok.head_word)):
+            count = np.maximum(np.bincount(owner, minlength=n), 1)
+            out = out + np.stack([np.bincount(owner, weights=row[slots], minlength=n) for row in p[key]]) / count
+        return out.astype(np.float32)
 
     def inputs(self, vectors: np.ndarray) -> list[np.ndarray]:
         """Both directions' input table, its last column a padded step."""
@@ -149,17 +170,17 @@ def places(tok: Tokens, start: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 def fit(texts: list[str], labels: np.ndarray, rounds: int = 6, batch: int = 256, seed: int = 11) -> ToxicModel:
     rng = np.random.default_rng(seed)
-    shapes = {"words": (DIM, WORD_SLOTS), "grams": (DIM, GRAM_SLOTS), "pf": (3 * HIDDEN, DIM), "pb": (3 * HIDDEN, DIM),
+    shapes = {"words": (DIM, WORD_SLOTS), "grams": (DIM, GRAM_SLOTS), "heads": (DIM, HEAD_SLOTS), "pf": (3 * HIDDEN, DIM), "pb": (3 * HIDDEN, DIM),
               "bf": (3 * HIDDEN,), "bb": (3 * HIDDEN,), "uf": (3 * HIDDEN, HIDDEN), "ub": (3 * HIDDEN, HIDDEN),
               "cf": (HIDDEN,), "cb": (HIDDEN,), "att": (2 * HIDDEN,), "out": (2 * HIDDEN,), "off": (1,)}
-    p = {k: rng.normal(0, 0.02 if k in ("words", "grams") else 0.3, s).astype(np.float32) for k, s in shapes.items()}
+    p = {k: rng.normal(0, 0.02 if k in ("words", "grams", "heads") else 0.3, s).astype(np.float32) for k, s in shapes.items()}
     model = ToxicModel(p)
     tok = tokenize(*buffers(pa.array(texts, pa.large_string())))
     start, length, doc = windows(tok.first)
     if not len(start):
         return model
-    start_vectors(p, tok, np.repeat(labels, np.diff(tok.first)))
-    small = {k: v for k, v in p.items() if k not in ("words", "grams")}
+    start_vectors(p, tok, labels)
+    small = {k: v for k, v in p.items() if k not in ("words", "grams", "heads")}
     adam = Adam(small, 0.02)
     for r in range(rounds):
         scores = model.window_scores(tok, start, length)
@@ -178,15 +199,21 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 6, batch: int = 256,
     return model
 
 
-def start_vectors(p: dict[str, np.ndarray], tok: Tokens, toxic: np.ndarray) -> None:
-    """First coordinate of each slot: smoothed log odds of the slot in toxic against other training documents."""
-    word_toxic = np.bincount(tok.word, weights=toxic, minlength=len(tok.slot))
-    word_all = np.bincount(tok.word, minlength=len(tok.slot))
-    for key, slots, owner in (("words", tok.slot, np.arange(len(tok.slot))), ("grams", tok.gram, tok.gram_word)):
+def start_vectors(p: dict[str, np.ndarray], tok: Tokens, labels: np.ndarray) -> None:
+    """A coordinate for each kind of slot: smoothed log odds of the slot in toxic against other training documents.
+
+    A word counts once for a document, however often the text repeats it.
+    """
+    n = len(tok.slot)
+    pairs = np.unique(np.repeat(np.arange(len(labels)), np.diff(tok.first)) * n + tok.word)
+    word_all = np.bincount(pairs % n, minlength=n)
+    word_toxic = np.bincount(pairs % n, weights=labels[pairs // n], minlength=n)
+    kinds = (("words", tok.slot, np.arange(len(tok.slot))), ("grams", tok.gram, tok.gram_word), ("heads", tok.head, tok.head_word))
+    for i, (key, slots, owner) in enumerate(kinds):
         a = np.bincount(slots, weights=word_toxic[owner], minlength=p[key].shape[1])
         b = np.bincount(slots, weights=(word_all - word_toxic)[owner], minlength=p[key].shape[1])
         rate = (a.sum() + 1) / (b.sum() + 1)
-        p[key][0] += (0.5 * np.log((a + 2 * rate) / (b + 2) / rate)).astype(np.float32)
+        p[key][i] += (0.5 * np.log((a + SMOOTH * rate) / (b + SMOOTH) / rate)).astype(np.float32)
 
 
 def learn(model: ToxicModel, adam: Adam, tok: Tokens, at: np.ndarray, y: np.ndarray, weight: np.ndarray, rate: float) -> None:
@@ -221,10 +248,13 @@ def part_vectors(model: ToxicModel, tok: Tokens, at: np.ndarray) -> tuple[np.nda
     used, compact = np.unique(at[at >= 0], return_inverse=True)
     small = np.full(at.shape, -1)
     small[at >= 0] = compact
-    lo, hi = np.searchsorted(tok.gram_word, used), np.searchsorted(tok.gram_word, used, "right")
-    own = np.repeat(np.arange(len(used)), hi - lo)
-    grams = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange(len(own))
-    return used, small, model.word_vectors(Tokens(tok.word, tok.first, tok.slot[used], tok.gram[grams], own))
+    parts = []
+    for slots, owner in ((tok.gram, tok.gram_word), (tok.head, tok.head_word)):
+        lo, hi = np.searchsorted(owner, used), np.searchsorted(owner, used, "right")
+        own = np.repeat(np.arange(len(used)), hi - lo)
+        at_slot = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange(len(own))
+        parts.extend((slots[at_slot], own))
+    return used, small, model.word_vectors(Tokens(tok.word, tok.first, tok.slot[used], *parts))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = 3000, max_chars: int = 20_000) -> ToxicModel | None:
