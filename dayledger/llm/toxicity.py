@@ -257,7 +257,7 @@ def part_vectors(model: ToxicModel, tok: Tokens, at: np.ndarray) -> tuple[np.nda
     return used, small, model.word_vectors(Tokens(tok.word, tok.first, tok.slot[used], *parts))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = 3000, max_chars: int = 20_000) -> ToxicModel | None:
+def train(docs: DataFrame, labels: DataFrame, rows: int = 3000, max_chars: int = 6_000) -> ToxicModel | None:
     """Model from about ``rows`` labelled documents of at most ``max_chars``; None where there is none.
 
     Only documents with crc32(doc_id) mod 3 other than 1 are drawn. The drawn
