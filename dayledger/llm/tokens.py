@@ -2,7 +2,8 @@
 
 Pieces of the vocabulary hold a space only at their start and no line end, so
 an encoding falls apart into that of units: a run of other characters with the
-spaces before it, spaces at a line's end, one line end. Within a unit the
+spaces before it, spaces at a line's end, one line end. Where no piece joins
+letters with other signs, such runs are cut between them too. Within a unit the
 table has an entry for every prefix: how many tokens the prefix encodes to,
 and the last of them. The encoding of a prefix is that of a shorter prefix
 plus one piece ``t``; the right one is where the last token ``s`` of the
@@ -24,6 +25,9 @@ from pyspark.sql import functions as F
 from dayledger.llm.frames import extended
 
 UNIT = re.compile(r" *[^ \n]+| +|\n")
+# where no piece joins a Latin letter with another sign, runs of either are units of their own
+LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
+FINE_UNIT = re.compile(rf" *[{LETTER}]+| *[^{LETTER} \n]+| +|\n")
 CACHED_UNITS = 500_000  # bounds a task's memory; a full cache starts anew
 
 
@@ -42,6 +46,9 @@ class PrefixTable:
         inner = [p for p in self.pieces if " " in p.lstrip(" ") or "\n" in p]
         if inner:
             raise ValueError("pieces of this vocabulary cross words")
+        letter = re.compile(f"[{LETTER}]")
+        mixed = any(bool(letter.match(a)) != bool(letter.match(b)) for p in self.pieces for s in [p.lstrip(" ")] for a, b in zip(s, s[1:]))
+        self.unit = UNIT if mixed else FINE_UNIT
         self.longest = max(map(len, self.pieces))
         # what the encoder yields for a line end at the start of a text: its own tokens come before the rest
         self.lead = len(self.sp.encode("\n"))
@@ -86,14 +93,14 @@ class PrefixTable:
             return 0
         if "▁" in text:  # stands for a space in the vocabulary
             text = text.replace("▁", " ")
-        return sum(map(self.unit_total, UNIT.findall(" " + text)))
+        return sum(map(self.unit_total, self.unit.findall(" " + text)))
 
     def prefix_counts(self, text: str) -> list[int]:
         """Tokens of each prefix of a text by characters: entry k is the count of ``text[:k]``."""
         if not text:
             return [0]
         out, base = [], 0
-        for unit in UNIT.findall(" " + text.replace("▁", " ")):
+        for unit in self.unit.findall(" " + text.replace("▁", " ")):
             counts = self.unit_counts(unit)
             out.extend(base + c for c in counts[1:])
             base += counts[-1]
@@ -101,7 +108,7 @@ class PrefixTable:
 
     def fits(self, text: str, budget: int) -> int:
         """Length of the longest prefix of at most ``budget`` tokens, without cutting a character."""
-        units = UNIT.findall(" " + text.replace("▁", " ")) if text else []
+        units = self.unit.findall(" " + text.replace("▁", " ")) if text else []
         ends = list(accumulate(map(len, units)))
         sums = list(accumulate(map(self.unit_total, units)))
         # counts may fall within a unit, so each unit that begins within the budget is looked at, last first
