@@ -355,10 +355,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, key:
     several = known.groupBy("id").agg(F.collect_set("head").alias("h")).filter("size(h) > 1")
     edges = edges.unionByName(several.select(F.explode("h").alias("src"), F.array_min("h").alias("dst")).filter("src <> dst"))
     found = components(edges)
-    if not blocks.filter("blocks > 1").isEmpty():
-        more = materialize(join.linked(left_over(wanted, blocks, found)), "jaccard-more")
-        if not more.isEmpty():
-            found = components(found.filter("id <> comp").select(F.col("id").alias("src"), F.col("comp").alias("dst")).unionByName(more))
+    # also where no leader has a second block: the plan, and what it costs, is the same at every size
+    more = materialize(join.linked(left_over(wanted, blocks, found)), "jaccard-more")
+    if not more.isEmpty():
+        found = components(found.filter("id <> comp").select(F.col("id").alias("src"), F.col("comp").alias("dst")).unionByName(more))
     named = classes.join(found.select(F.col("id").alias("head"), "comp"), "head", "left")
     named = materialize(named.select("n_shingles", "a", "b", F.coalesce("comp", "head").alias("comp")), "jaccard-named")
     out = rows.join(named, ["n_shingles", "a", "b"], "left")
