@@ -1,7 +1,10 @@
 """Packing of documents into sequences by lexical retrieval.
 
-Documents are dealt to shards of bounded size. A shard holds a BM25 inverted
-index of its documents. The document that opens a sequence is its seed; the
+Document frequencies and the mean length are counted once over all documents.
+Documents are dealt to shards of bounded size by the terms that weigh most in
+them, so that documents of like content meet. A shard holds a BM25 inverted
+index of its documents, with the weights of the whole table. The document that
+opens a sequence is its seed; the
 sequence is filled with the seed's best unused neighbours, the last of which
 is cut and opens the next sequence. So every sequence is full but the last of
 a shard, and that is cut into sequences of powers of two, which need no
@@ -13,14 +16,15 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.llm.shards import sharded, shards_for
-from dayledger.llm.words import buffers, find_words
+from dayledger.llm.shards import buckets_for, by_bucket, joined, sharded, shards_for, with_shards
+from dayledger.llm.words import buffers, find_words, mix
 from dayledger.session import materialize
 
 K1, B = 1.2, 0.75
@@ -63,23 +67,49 @@ class ByteTokenizer:
         return self.fast.encode_to_numpy(text, disallowed_special=())
 
 
-class Index:
-    """BM25 over the documents of a shard: postings by term, with weights worked out once."""
+@dataclass
+class Terms:
+    """Distinct terms of a run of documents, by rising hash, and the (document, term) pairs in order with their counts."""
+
+    counts: np.ndarray  # words of each document
+    terms: np.ndarray
+    doc: np.ndarray
+    term: np.ndarray
+    tf: np.ndarray
 
-    def __init__(self, texts: pa.Array):
+    @classmethod
+    def of(cls, texts: pa.Array) -> Terms:
         words = find_words(*buffers(texts), lower=True)
-        self.n = len(words.first) - 1
         terms, term = np.unique(words.hashes(), return_inverse=True)
         pair, tf = np.unique(words.document() * max(len(terms), 1) + term, return_counts=True)
-        doc, term = pair // max(len(terms), 1), pair % max(len(terms), 1)
+        return cls(words.counts, terms, pair // max(len(terms), 1), pair % max(len(terms), 1), tf)
+
+    def weights(self, df: np.ndarray, n: int, mean: float) -> np.ndarray:
+        """BM25 weight of each pair; ``df`` of each pair, documents and mean length are those of the whole table."""
+        # terms of more than half of the documents weigh nothing
+        idf = np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 0)
+        length = self.counts / max(mean, 1e-9)
+        return idf * self.tf * (K1 + 1) / (self.tf + K1 * (1 - B + B * length[self.doc]))
+
+
+class Index:
+    """BM25 over the documents of a shard: postings by term, with weights worked out once.
+
+    ``df`` holds the document frequency of each (document, term) pair in the
+    whole table of ``n`` documents of ``mean`` words; without it the texts are the whole table.
+    """
+
+    def __init__(self, texts: pa.Array, df: np.ndarray | None = None, n: int = 0, mean: float = 0.0):
+        found = Terms.of(texts)
+        terms, doc, term = found.terms, found.doc, found.term
+        self.n = len(found.counts)
         self.doc_first = np.searchsorted(doc, np.arange(self.n + 1))
         self.doc_terms = term
-        df = np.bincount(term, minlength=len(terms))
-        # terms of more than half of the documents weigh nothing
-        idf = np.maximum(np.log((self.n - df + 0.5) / (df + 0.5)), 0)
-        length = words.counts / max(words.counts.mean(), 1e-9) if self.n else words.counts
-        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[doc]))
-        use = (weight > 0) & (df[term] > 1)  # a term of one document leads to no neighbour
+        here = np.bincount(term, minlength=len(terms))[term]
+        if df is None:
+            df, n, mean = here, self.n, found.counts.mean() if self.n else 0.0
+        weight = found.weights(df, n, mean)
+        use = (weight > 0) & (here > 1)  # a term of one document leads to no neighbour
         order = np.argsort(term[use], kind="stable")
         self.post_doc, self.post_weight = doc[use][order], weight[use][order]
         self.post_first = np.searchsorted(term[use][order], np.arange(len(terms) + 1))
@@ -142,6 +172,90 @@ def fill(lengths: list[int], index: Index, size: int, content: list) -> list[tup
     return out
 
 
+def leading(found: Terms, score: np.ndarray, use: np.ndarray) -> np.ndarray:
+    """Hash of the used term of highest score of each document, 0 where there is none; ties by hash."""
+    at = np.flatnonzero(use)
+    at = at[np.lexsort((found.term[at], -score[at], found.doc[at]))]
+    doc, first = np.unique(found.doc[at], return_index=True)
+    out = np.zeros(len(found.counts), np.uint64)
+    out[doc] = found.terms[found.term[at[first]]]
+    return out.view(np.int64)
+
+
+def dealt(texts: DataFrame, n: int, docs: int, stored: int, shard_bytes: int) -> DataFrame:
+    """Rows of ``texts`` (shard, id, text) in new shards where like documents meet, with df (of each distinct term
+    of the text by rising hash, unsigned 32-bit) and words, the number of words of the table.
+
+    A document's topic is the term of highest BM25 weight times root of its frequency; its subject is the same among
+    terms of few enough documents for a part of a shard. A topic is a unit of a shard; one that is too large for it is cut
+    by subject, and a subject that is too large by row.
+    """
+    buckets = buckets_for(stored / 40, 12)
+    kind = texts.schema["id"].dataType.simpleString()
+    few = max(2.0, shard_bytes / 4 / max(stored / max(docs, 1), 1))
+
+    def send(t: pa.Table) -> pa.Table:
+        found = Terms.of(t["text"])
+        df = np.bincount(found.term, minlength=len(found.terms)).astype("<u4")
+        _, has, bounds = by_bucket(found.terms, buckets)
+        # every bucket hears of every shard, so that each knows the words of all
+        lo, hi = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        lo[has], hi[has] = bounds[:-1], bounds[1:]
+        return pa.table({
+            "bucket": pa.array(range(buckets), pa.int32()), "shard": pa.array([t["shard"][0].as_py()] * buckets, pa.int32()),
+            "terms": pa.array([found.terms[i:j].tobytes() for i, j in zip(lo, hi, strict=True)], pa.binary()),
+            "df": pa.array([df[i:j].tobytes() for i, j in zip(lo, hi, strict=True)], pa.binary()),
+            "words": pa.array([int(found.counts.sum())] * buckets, pa.int64()),
+        })
+
+    def add(t: pa.Table) -> pa.Table:
+        terms, sizes = joined(t["terms"], np.uint64)
+        df, _ = joined(t["df"], np.dtype("<u4"))
+        distinct, at = np.unique(terms, return_inverse=True)
+        total = np.bincount(at, weights=df, minlength=len(distinct)).astype("<u4")[at]
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        return pa.table({
+            "shard": t["shard"], "bucket": t["bucket"], "words": pa.array([sum(t["words"].to_pylist())] * len(t), pa.int64()),
+            "df": pa.array([total[i:j].tobytes() for i, j in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
+        })
+
+    def deal(t: pa.Table, answers: pa.Table) -> pa.Table:
+        t = t.sort_by([("id", "ascending"), ("text", "ascending")]).combine_chunks()
+        found = Terms.of(t["text"])
+        # the top bits of a hash are its bucket: the answers by bucket are in the order of the terms
+        of_term, _ = joined(answers.sort_by("bucket")["df"], np.dtype("<u4"))
+        df, words = of_term[found.term], answers["words"][0].as_py()
+        weight = found.weights(df.astype(float), docs, words / max(docs, 1))
+        score = weight * np.sqrt(df)
+        shared = (df > 1) & (weight > 0)
+        topic, subject = leading(found, score, shared), leading(found, score, shared & (df <= few))
+        no = (mix(np.arange(len(t), dtype=np.uint64) + (np.uint64(t["shard"][0].as_py()) << np.uint64(32))) >> np.uint64(1)).astype(np.int64)
+        topic = np.where(topic == 0, no, topic)
+        bounds = np.searchsorted(found.doc, np.arange(len(t) + 1))
+        _, offsets = buffers(t["text"])
+        return pa.table({
+            "id": t["id"], "text": t["text"], "topic": topic, "subject": subject, "no": no, "bytes": np.diff(offsets),
+            "df": pa.array([df[i:j].tobytes() for i, j in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
+            "words": pa.array([words] * len(t), pa.int64()),
+        })
+
+    sent = texts.groupBy("shard").applyInArrow(send, "bucket int, shard int, terms binary, df binary, words long")
+    answers = sent.groupBy("bucket").applyInArrow(add, "shard int, bucket int, words long, df binary")
+    rows = with_shards(texts, answers, deal, f"id {kind}, text string, topic long, subject long, no long, bytes long, df binary, words long")
+    rows = materialize(rows, "packing-dealt")
+    subjects = rows.groupBy("topic", "subject").agg(F.sum("bytes").alias("bytes"))
+    # groups above a part of a shard are no more than a few for each shard: they may be broadcast
+    parts = lambda size: F.ceil(F.col("bytes") / F.lit(size)).alias
+    topics = subjects.groupBy("topic").agg(F.sum("bytes").alias("bytes")).filter(F.col("bytes") > shard_bytes / 4)
+    topics = topics.select("topic", parts(shard_bytes / 2)("topic_parts"))
+    subjects = subjects.filter(F.col("bytes") > shard_bytes / 4).select("topic", "subject", parts(shard_bytes / 8)("subject_parts"))
+    by_subject = F.when(F.col("topic_parts").isNotNull(), F.pmod(F.xxhash64("subject"), "topic_parts"))
+    by_row = F.pmod("no", "subject_parts")
+    unit = F.when(F.col("subject_parts").isNotNull(), F.xxhash64("topic", "subject", by_row)).otherwise(F.xxhash64("topic", F.coalesce(by_subject, F.lit(0))))
+    rows = rows.join(F.broadcast(topics), "topic", "left").join(F.broadcast(subjects), ["topic", "subject"], "left")
+    return rows.select(F.pmod(F.xxhash64(unit), F.lit(n)).cast("int").alias("shard"), "id", "text", "df", "words")
+
+
 def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1, key: str = "doc_id", text: str = "text",
          shard_bytes: int = 4_000_000, with_ids: bool = True) -> DataFrame:
     """Per piece: key, start, length, ids (little-endian unsigned 32-bit), ids_crc32, doc_tokens, sequence_id, offset.
@@ -150,14 +264,14 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1
 
     A document is its ids and ``end_id``; a null text is empty, so one id.
     Each row of the input is packed, equal rows too, each id once. Columns
-    other than key and text do not take part. ``shard_bytes`` of text share
+    other than key and text do not take part. About ``shard_bytes`` of text share
     an index; a longer text is still one document of one shard.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
     docs = docs.select(key, text)
     equal = docs.groupBy(key, F.xxhash64(text)).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("bytes"))
-    most, stored = equal.agg(F.max("n"), F.sum("bytes")).first()
+    most, count, stored = equal.agg(F.max("n"), F.sum("n"), F.sum("bytes")).first()
     n = shards_for(docs, stored or 0, shard_bytes)
     if (most or 0) > HOT_COPIES:
         # equal rows would share a shard: they are numbered, in a written table so that numbers stay, and dealt by number
@@ -166,6 +280,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1
     else:
         texts = sharded(docs, key, text, n)
     kind = docs.schema[key].dataType.simpleString()
+    texts = dealt(texts, n, count or 0, stored or 0, shard_bytes)
     ready: dict[str, ByteTokenizer] = {}
 
     def run(t: pa.Table) -> pa.Table:
@@ -175,7 +290,8 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1
         end = np.array([end_id], np.uint32)
         texts = [x or "" for x in t["text"].to_pylist()]
         ids = [np.concatenate([ready["tokenizer"].encode(x), end]) for x in texts]
-        pieces = fill([len(x) for x in ids], Index(t["text"]), size, texts)
+        df, _ = joined(t["df"], np.dtype("<u4"))
+        pieces = fill([len(x) for x in ids], Index(t["text"], df.astype(float), count, t["words"][0].as_py() / count), size, texts)
         doc, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*pieces, strict=True))
         first = int(t["shard"][0].as_py()) << 32
         raw = [ids[d][s : s + n].astype("<u4").tobytes() for d, s, n, _, _ in pieces]

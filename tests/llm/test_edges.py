@@ -9,7 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import CLASH, LOWER, SCHEMA, WORD, corpus, with_clashes
+from conftest import CLASH, LOWER, SCHEMA, WORD, corpus, prose, with_clashes
 
 from dayledger.llm import jaccard, language, lines, mixing, packing, quality, substrings, tokens, toxicity, vectors
 from dayledger.llm.queries import tokenizer
@@ -259,6 +259,29 @@ def test_packing_takes_lexical_neighbours():
     assert [{p[0] for p in pieces if p[3] == s} for s in range(2)] == [{0, 2}, {1, 3}]
 
 
+def test_packing_deals_like_documents_together(spark):
+    """Weights are those of the whole table, and documents of one topic share shards at every size."""
+    from pyspark.sql import functions as F
+
+    from dayledger.llm.shards import sharded
+
+    rows = [(k, f"topic{k % 20} about{k % 20} common{k % 3} " + prose(1000 + k, 12)) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    size = sum(len(t) for _, t in rows)
+    got = packing.dealt(sharded(docs, "doc_id", "text", 40), 40, len(rows), size, size // 20).select("shard", "id", "text", "df", "words").collect()
+    assert sorted((r.id, r.text) for r in got) == rows
+    assert {r.words for r in got} == {len(rows) * 15}
+    df = Counter(w for _, t in rows for w in set(t.split()))
+    assert all(sorted(np.frombuffer(r.df, "<u4")) == sorted(df[w] for w in set(r.text.split())) for r in got)
+    shard = {r.id: r.shard for r in got}
+    together = [shard[i] == shard[j] for i in range(400) for j in range(i + 20, 400, 20)]
+    assert sum(together) / len(together) > 0.25  # one in 40 by chance
+    # equal rows are no unit of their own
+    hot = spark.createDataFrame([(k, "same words in all of these") for k in range(300)] + rows, "doc_id long, text string")
+    big = packing.dealt(sharded(hot, "doc_id", "text", 40), 40, 700, size + 7800, size // 20)
+    assert big.filter(F.col("id") < 400).groupBy("shard").count().agg(F.max("count")).first()[0] < 150
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(60, 16))
