@@ -217,9 +217,11 @@ def start_vectors(p: dict[str, np.ndarray], tok: Tokens, labels: np.ndarray) ->
 
 
 def learn(model: ToxicModel, adam: Adam, tok: Tokens, at: np.ndarray, y: np.ndarray, weight: np.ndarray, rate: float) -> None:
-    """One step on a batch of windows; the vectors of the words in it follow with plain gradient steps."""
+    """One step on a batch of windows; the vectors of the words in it, of their grams and of their beginnings follow with
+    plain gradient steps."""
     p = model.params
-    used, at, vectors = part_vectors(model, tok, at)
+    used, at, part = part_tokens(tok, at)
+    vectors = model.word_vectors(part)
     keep: tuple[list, list] = ([], [])
     score, h, a, pooled = model.run(model.inputs(vectors), at, keep)
     d = (score - y) * weight / len(y)
@@ -241,10 +243,16 @@ def learn(model: ToxicModel, adam: Adam, tok: Tokens, at: np.ndarray, y: np.ndar
     adam.step({k: v.astype(np.float32) for k, v in grads.items()})
     if rate:
         np.add.at(p["words"].T, tok.slot[used], -np.clip(rate * len(y) * d_v, -0.05, 0.05))
+        for key, slots, owner in (("grams", part.gram, part.gram_word), ("heads", part.head, part.head_word)):
+            # a word's vector is the mean of its slots: each gets its share, and a slot the sum over its words
+            share = d_v / np.maximum(np.bincount(owner, minlength=len(used)), 1)[:, None]
+            found, of = np.unique(slots, return_inverse=True)
+            d_slot = np.stack([np.bincount(of, weights=c[owner], minlength=len(found)) for c in share.T])
+            p[key][:, found] -= np.clip(rate * len(y) * d_slot, -0.05, 0.05).astype(np.float32)
 
 
-def part_vectors(model: ToxicModel, tok: Tokens, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct words of these windows, the windows in terms of them, and their vectors."""
+def part_tokens(tok: Tokens, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, Tokens]:
+    """The distinct words of these windows, the windows in terms of them, and their slots."""
     used, compact = np.unique(at[at >= 0], return_inverse=True)
     small = np.full(at.shape, -1)
     small[at >= 0] = compact
@@ -254,7 +262,7 @@ def part_vectors(model: ToxicModel, tok: Tokens, at: np.ndarray) -> tuple[np.nda
         own = np.repeat(np.arange(len(used)), hi - lo)
         at_slot = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange(len(own))
         parts.extend((slots[at_slot], own))
-    return used, small, model.word_vectors(Tokens(tok.word, tok.first, tok.slot[used], *parts))
+    return used, small, Tokens(tok.word, tok.first, tok.slot[used], *parts)
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = 3000, max_chars: int = 6_000) -> ToxicModel | None:

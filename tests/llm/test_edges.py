@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import CLASH, LOWER, SCHEMA, WORD, corpus, prose, with_clashes
 
@@ -345,3 +346,14 @@ def test_toxicity(spark, docs, empty, rows):
     labels = spark.createDataFrame([(None, None, None), (1, 1, None)], "doc_id long, quality int, toxic int")
     assert toxicity.toxicity_report(docs, labels).filter("score = 0").count() == len(rows)
     assert toxicity.toxicity_report(empty, labels.limit(0)).count() == 0
+
+
+def test_toxicity_learns_its_character_tables():
+    """Gradients reach the grams and beginnings: in the slots that occur, and in every coordinate."""
+    texts, labels = ["good words here " * 8, "good vilething here " * 8] * 40, np.array([0, 1] * 40)
+    start, model = toxicity.fit(texts, labels, rounds=1), toxicity.fit(texts, labels, rounds=4)
+    tok = toxicity.tokenize(*toxicity.buffers(pa.array(texts, pa.large_string())))
+    for key, slots in (("grams", tok.gram), ("heads", tok.head)):
+        moved = model.params[key] != start.params[key]
+        assert moved[:, np.unique(slots)].mean() > 0.9
+        assert not np.delete(moved, slots, axis=1).any()
