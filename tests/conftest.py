@@ -10,8 +10,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from dayledger.session import HOT_ROWS_KEY, local_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -29,7 +27,3 @@ def hot_limit(spark):
             spark.conf.unset(HOT_ROWS_KEY)
 
     return limit
-
-
-def rows_of(df, *order):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

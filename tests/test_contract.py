@@ -10,7 +10,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from conftest import SMALL
+from support import SMALL
 
 import __spark_entry__ as entry_module
 

@@ -6,7 +6,7 @@ import random
 from itertools import combinations
 
 import pytest
-from conftest import rows_of
+from support import rows_of
 
 from dayledger.operators import graph as G
 

@@ -6,7 +6,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import SMALL, rows_of
+from support import SMALL, rows_of
 from pyspark.sql import functions as F
 
 from dayledger.jobs import all_jobs

@@ -7,7 +7,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import SMALL
+from support import SMALL
 from pyspark.ml.feature import IDF, CountVectorizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import rows_of
+from support import rows_of
 from pyspark.sql import functions as F
 
 from dayledger.functions.vouchers import voucher_state

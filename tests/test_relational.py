@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SMALL
+from support import SMALL
 
 from dayledger.jobs import all_jobs
 from dayledger.plans.rows import gapless_index
