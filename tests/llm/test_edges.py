@@ -10,7 +10,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import CLASH, LOWER, SCHEMA, WORD, corpus, prose, with_clashes
+from samples import CLASH, LOWER, SCHEMA, WORD, corpus, prose, with_clashes
 
 from dayledger.llm import jaccard, language, lines, mixing, packing, quality, substrings, tokens, toxicity, vectors
 from dayledger.llm.queries import tokenizer

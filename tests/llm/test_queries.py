@@ -9,7 +9,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
-from conftest import LOWER, WORD
+from samples import LOWER, WORD
 
 import __spark_entry__ as entry
 import corpus_pipeline
