@@ -68,12 +68,23 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
     def hashes(self, salt: int = 0) -> np.ndarray:
-        """A 64-bit hash of the bytes of each word, equal in every batch and process."""
-        with np.errstate(over="ignore"):
-            sums = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum(byte_table(salt)[self.data] * powers(_B, len(self.data)), out=sums[1:])
-            back = powers(_inverse(_B), len(self.data) + 1)
-            return mix((sums[self.ends] - sums[self.starts]) * back[self.starts] + (self.ends - self.starts).astype(np.uint64))
+        """A 64-bit hash of the bytes of each word, equal in every batch and process.
+
+        Worked out for words of about CHUNK_BYTES at a time: a very long text needs no 64-bit number for each byte.
+        """
+        out = np.zeros(len(self.starts), np.uint64)
+        values, at = byte_table(salt), 0
+        while at < len(out):
+            low = self.starts[at]
+            to = max(at + 1, int(np.searchsorted(self.ends, low + CHUNK_BYTES, "right")))
+            data, start, end = self.data[low : self.ends[to - 1]], self.starts[at:to] - low, self.ends[at:to] - low
+            with np.errstate(over="ignore"):
+                sums = np.zeros(len(data) + 1, np.uint64)
+                np.cumsum(values[data] * powers(_B, len(data)), out=sums[1:])
+                back = powers(_inverse(_B), len(data) + 1)
+                out[at:to] = mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
+            at = to
+        return out
 
 
 def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -89,6 +100,9 @@ def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
 
 _WORD = np.ones(256, bool)
 _WORD[[32, 9, 10, 11, 12, 13]] = False
+# letters a-z, digits and everything outside ASCII
+ALNUM = np.arange(256) > 127
+ALNUM[48:58] = ALNUM[97:123] = True
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -102,14 +116,14 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    """``lower``: A-Z become a-z first."""
+def find_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, letters: np.ndarray = _WORD) -> Words:
+    """Runs of the bytes marked in ``letters``; bytes of ASCII signs must be marked one by one. ``lower``: A-Z become a-z first."""
     if lower:
         table = np.arange(256, dtype=np.uint8)
         table[65:91] += 32
         data = table[data]
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = _WORD[data]
+    inside[1:-1] = letters[data]
     begins, stops = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
     # a document ends its last word
     full = np.flatnonzero(np.diff(offsets))
