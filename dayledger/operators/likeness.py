@@ -1,23 +1,105 @@
-"""Near-duplicate and nearest-neighbour helpers that never pair all rows of a bucket."""
+"""Joins of like word sets: exact by prefix filter, and by banded MinHash."""
 
 from __future__ import annotations
 
+from pyspark.ml import feature as FT
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dayledger.session import materialize
 
-def bucket_links(hashed: DataFrame, id_col: str, buckets: Column, payload: str) -> DataFrame:
-    """Each row beside the row of smallest id in each of its buckets: (id, other, payload, other_payload).
 
-    A bucket of n rows gives n - 1 links, not n²; its smallest row is found
-    by a partial aggregate. A pair met in several buckets is kept once.
+def distinct_sets(rows: DataFrame, key: str, words: str) -> DataFrame:
+    """One row per distinct set: ``key`` (the smallest), ``copies``, ``words``. Equal sets, however many, become one."""
+    digest = F.sha2(F.to_json(F.struct(F.array_sort(words).alias("w"))), 256)
+    return rows.groupBy(digest.alias("_h")).agg(F.min(key).alias(key), F.count("*").alias("copies"), F.first(words).alias(words)).drop("_h")
+
+
+def rarest_first(sets: DataFrame, key: str, words: str) -> DataFrame:
+    """``words`` in one order for all sets: by the number of sets that hold a word, then by the word."""
+    pairs = sets.select(key, F.explode(words).alias("_w"))
+    counts = pairs.groupBy("_w").agg(F.count("*").alias("_n"))
+    order = F.array_sort(F.collect_list(F.struct("_n", "_w"))).getField("_w").alias(words)
+    return pairs.join(counts, "_w").groupBy(key).agg(order)
+
+
+def least_common(percent: int, size: Column) -> Column:
+    """Words that a set of ``size`` shares at least with any set of that likeness."""
+    return F.floor((F.lit(percent) * size + 99) / 100).cast("int")
+
+
+def jaccard(a: str, b: str) -> Column:
+    common = F.size(F.array_intersect(a, b))
+    return common / (F.size(a) + F.size(b) - common)
+
+
+def like_sets(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    """(left_id, right_id, jaccard) of all pairs of sets of ``percent`` likeness or more, none lost.
+
+    Both sides are (id, words) with words in the order of ``rarest_first``.
+    Two such sets share one of their first words: of n words all but those
+    that may be missing from the other. Pairs meet on those, rare words first,
+    and only where their sizes and the words still to come allow the likeness;
+    the whole sets decide. Empty sets meet nothing.
+    """
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        n = F.size("words")
+        first = df.select(F.col("id").alias(f"{name}_id"), n.alias(f"{name}_n"), F.posexplode(F.slice("words", 1, n - least_common(percent, n) + 1)))
+        return first.withColumnsRenamed({"pos": f"{name}_at", "col": "word"})
+
+    a, b = side(left, "left"), side(right, "right")
+    p, q = F.col("left_n"), F.col("right_n")
+    # of the likeness follows the least overlap of two sets of known sizes
+    need = F.ceil(F.lit(percent) * (p + q) / (100 + percent))
+    reach = F.least(p - F.col("left_at"), q - F.col("right_at"))
+    sizes = (100 * q >= percent * p) & (100 * p >= percent * q)
+    met = a.join(b, "word").filter(sizes & (reach >= need)).select("left_id", "right_id").distinct()
+    met = met.join(left.toDF("left_id", "left_words"), "left_id").join(right.toDF("right_id", "right_words"), "right_id")
+    return met.select("left_id", "right_id", jaccard("left_words", "right_words").alias("jaccard")).filter(F.col("jaccard") * 100 >= percent)
+
+
+def hashed_bands(sets: DataFrame, bands: int, rows: int, seed: int) -> DataFrame:
+    """(id, words, keys): a key for each band of ``rows`` MinHash values of a set, which two sets share with likeness^rows."""
+    tf = FT.HashingTF(inputCol="words", outputCol="_f", numFeatures=1 << 18, binary=True).transform(sets.filter(F.size("words") > 0))
+    model = FT.MinHashLSH(inputCol="_f", outputCol="_hashes", numHashTables=bands * rows, seed=seed).fit(tf)
+    values = F.transform("_hashes", lambda v: vector_to_array(v)[0])
+    hashed = model.transform(tf).select("id", "words", values.alias("_v"))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.xxhash64(F.slice("_v", k * rows + 1, F.lit(rows)), k))
+    return hashed.select("id", "words", keys.alias("keys"))
+
+
+def hashed_like_sets(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    """(left_id, right_id, jaccard) of the pairs of sets of that likeness which share a key; some pairs may be missed."""
+    a = left.select(F.col("id").alias("left_id"), F.explode("keys").alias("key"))
+    b = right.select(F.col("id").alias("right_id"), F.explode("keys").alias("key"))
+    met = a.join(b, "key").select("left_id", "right_id").distinct()
+    met = met.join(left.select(F.col("id").alias("left_id"), F.col("words").alias("left_words")), "left_id")
+    met = met.join(right.select(F.col("id").alias("right_id"), F.col("words").alias("right_words")), "right_id")
+    return met.select("left_id", "right_id", jaccard("left_words", "right_words").alias("jaccard")).filter(F.col("jaccard") * 100 >= percent)
+
+
+def leader_links(rows: DataFrame, percent: int) -> DataFrame:
+    """(id, leader): within each bucket of (id, words, keys), rows join the first leader they are like; leaders have no row.
+
+    The smallest id of a bucket leads. Rows that are not like it go on to a
+    next round, where the smallest of them leads, until none is left; so a row
+    is never left out because the first leader was another's. A bucket of n
+    like rows costs n comparisons, not all pairs.
     """
-    spread = hashed.select(id_col, F.posexplode(buckets).alias("table_no", "bucket"))
-    heads = spread.groupBy("table_no", "bucket").agg(F.min(id_col).alias("other"), F.count("*").alias("size"))
-    links = (
-        spread.join(heads.filter("size > 1"), ["table_no", "bucket"]).filter(F.col(id_col) != F.col("other"))
-        .select(id_col, "other").distinct()
-    )
-    own = hashed.select(id_col, payload)
-    theirs = hashed.select(F.col(id_col).alias("other"), F.col(payload).alias(f"other_{payload}"))
-    return links.join(own, id_col).join(theirs, "other")
+    left = materialize(rows.select("id", "words", F.explode("keys").alias("key")), "leader-rows")
+    words = rows.select(F.col("id").alias("leader"), F.col("words").alias("leader_words"))
+    found: list[DataFrame] = []
+    while True:
+        leaders = left.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n")
+        tried = left.join(leaders, "key").filter("id <> leader").join(words, "leader")
+        tried = materialize(tried.withColumn("like", jaccard("words", "leader_words") * 100 >= percent).drop("leader_words"), "leader-round")
+        found.append(tried.filter("like").select("id", "leader"))
+        left = tried.filter("not like").select("id", "words", "key")
+        if left.isEmpty():
+            break
+    links = found[0]
+    for more in found[1:]:
+        links = links.unionByName(more)
+    return links.distinct()

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.operators import matrix as M
-from dayledger.operators.likeness import bucket_links
+from dayledger.operators.likeness import distinct_sets, hashed_bands, hashed_like_sets, leader_links, like_sets, rarest_first
+from dayledger.operators.nearest import best_rows, probed_nearest
 from dayledger.plans.joins import WORDS_SQL, words
 from dayledger.plans.models import SEED, assembled, fitted, lines, vectors
 from dayledger.registry import query
@@ -344,39 +345,92 @@ def ml_column_similarity(spark: SparkSession, d: str) -> DataFrame:
     return M.column_cosines(vectors(spark, d)).withColumn("cosine", F.round("cosine", 6))
 
 
-@query("ml_lsh_minhash")
+LIKE = 60  # percent of two sets' words that are common
+
+
+@query(
+    "ml_lsh_minhash",
+    f"""
+WITH w AS MATERIALIZED (SELECT doc_id, list_sort(list_distinct(regexp_split_to_array(lower(text), '[ \n]+'))) AS words
+  FROM documents WHERE text IS NOT NULL),
+s AS MATERIALIZED (SELECT words, min(doc_id) AS other, count(*) AS copies FROM w GROUP BY words),
+p AS (SELECT doc_id, other, copies, len(list_intersect(w.words, s.words)) AS common, len(w.words) + len(s.words) AS sizes
+  FROM w JOIN s ON len(s.words) * 100 >= {LIKE} * len(w.words) AND len(w.words) * 100 >= {LIKE} * len(s.words) WHERE doc_id % 100 = 0)
+SELECT doc_id, other, copies, round(common / (sizes - common), 6) AS jaccard, true AS recall, true AS led
+FROM p WHERE common * 100 >= {LIKE} * (sizes - common)
+""",
+)
 def ml_lsh_minhash(spark: SparkSession, d: str) -> DataFrame:
-    """Near copies of texts by word sets. Equal sets are put together first; each set is then compared with the
-    smallest id of its hash buckets only, and the exact likeness decides."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    sets = docs.select("doc_id", F.array_sort(F.array_distinct(F.split(F.lower("text"), "[ \n]+"))).alias("words"))
-    sets = sets.groupBy(F.sha2(F.array_join("words", " "), 256).alias("h")).agg(
-        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("words").alias("words")
+    """Texts whose word sets are like those of every hundredth text, exactly, by prefix filter; a set stands for its ``copies``.
+
+    Beside it MinHash in bands: ``recall`` holds if it finds nine in ten of these pairs. ``led`` holds if, of all texts linked
+    to leaders in rounds, none is less like its leader than asked for and none of the exact pairs lies between two texts
+    that share a band but are neither leaders nor linked.
+    """
+    docs = table(spark, d, "documents").filter("text IS NOT NULL")
+    words = F.array_distinct(F.split(F.lower("text"), "[ \n]+"))
+    docs = docs.select("doc_id", words.alias("words"))
+    sets = materialize(distinct_sets(docs, "doc_id", "words"), "sets")
+    ordered = materialize(rarest_first(sets, "doc_id", "words").withColumnRenamed("doc_id", "id"), "ordered-sets")
+    digest = F.sha2(F.to_json(F.struct(F.array_sort("words").alias("w"))), 256)
+    asked = docs.filter("doc_id % 100 = 0").select("doc_id", digest.alias("h"))
+    of_set = ordered.select("id", digest.alias("h"))
+    # texts asked for by the set that stands for them
+    asked = materialize(asked.join(of_set, "h").select("doc_id", F.col("id").alias("left_id")), "asked")
+    mine = ordered.join(asked.select(F.col("left_id").alias("id")).distinct(), "id", "left_semi")
+    exact = materialize(like_sets(mine, ordered, LIKE), "like-sets")
+    hashed = materialize(hashed_bands(ordered, 24, 4, SEED), "bands")
+    found = hashed_like_sets(hashed.join(mine.select("id"), "id", "left_semi"), hashed, LIKE)
+    pair = ["left_id", "right_id"]
+    seen = exact.join(found.select(*pair).distinct().withColumn("seen", F.lit(1)), pair, "left")
+    recall = seen.agg(F.coalesce(F.sum("seen") >= 0.9 * F.count("*"), F.lit(True))).first()[0]
+    led = leaders_hold(hashed, exact)
+    copies = sets.select(F.col("doc_id").alias("right_id"), "copies")
+    out = asked.join(exact, "left_id").join(copies, "right_id")
+    return out.select(
+        "doc_id", F.col("right_id").alias("other"), "copies", F.round("jaccard", 6).alias("jaccard"), F.lit(bool(recall)).alias("recall"), F.lit(led).alias("led")
     )
-    tf = FT.HashingTF(inputCol="words", outputCol="f", numFeatures=1 << 18, binary=True).transform(sets)
-    m = FT.MinHashLSH(inputCol="f", outputCol="hashes", numHashTables=5, seed=SEED).fit(tf)
-    hashed = m.transform(tf)
-    keys = F.transform("hashes", lambda v: vector_to_array(v)[0])
-    links = bucket_links(hashed.select("doc_id", "words", keys.alias("k")), "doc_id", F.col("k"), "words")
-    common = F.size(F.array_intersect("words", "other_words"))
-    jaccard = common / (F.size("words") + F.size("other_words") - common)
-    return links.select("doc_id", "other", jaccard.alias("jaccard")).filter("jaccard >= 0.6")
 
 
-@query("ml_lsh_projection")
+def leaders_hold(hashed: DataFrame, exact: DataFrame) -> bool:
+    """Of two like sets with a common key, one at least has a leader: the smaller of two that lead cannot be passed over."""
+    links = materialize(leader_links(hashed, LIKE), "leader-links")
+    has = links.select("id").distinct().withColumn("led", F.lit(1))
+    keys = hashed.select("id", "keys")
+    pairs = exact.filter("left_id <> right_id").join(keys.toDF("left_id", "a"), "left_id").join(keys.toDF("right_id", "b"), "right_id")
+    pairs = pairs.filter(F.arrays_overlap("a", "b"))
+    left = pairs.join(has.withColumnsRenamed({"id": "left_id", "led": "l"}), "left_id", "left")
+    both = left.join(has.withColumnsRenamed({"id": "right_id", "led": "r"}), "right_id", "left")
+    return both.filter("l IS NULL AND r IS NULL").isEmpty()
+
+
+NEAREST = 10
+
+
+@query(
+    "ml_lsh_projection",
+    f"""
+WITH v AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+p AS (SELECT q.vec_id, o.vec_id AS other, list_distance(q.v, o.v) AS distance FROM v q JOIN v o ON q.vec_id <> o.vec_id WHERE q.vec_id % 100 = 0)
+SELECT vec_id, row_number() OVER (PARTITION BY vec_id ORDER BY distance, other) AS place, other, round(distance, 6) AS distance, true AS recall
+FROM p QUALIFY place <= {NEAREST}
+""",
+)
 def ml_lsh_projection(spark: SparkSession, d: str) -> DataFrame:
-    """Near vectors by random projections, linked to the smallest id of each bucket; neighbours of the first vector."""
-    df = vectors(spark, d)
-    m = FT.BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=0.5, numHashTables=3, seed=SEED)
-    m = m.fit(df)
-    keys = F.transform("hashes", lambda v: vector_to_array(v)[0])
-    links = bucket_links(m.transform(df).select("vec_id", "v", keys.alias("k")), "vec_id", F.col("k"), "v")
-    diffs = F.zip_with("v", "other_v", lambda a, b: (a - b) * (a - b))
-    far = F.sqrt(F.aggregate(diffs, F.lit(0.0), lambda a, x: a + x))
-    near = links.select(F.lit("pair").alias("kind"), "vec_id", "other", far.alias("distance")).filter("distance < 1.2")
-    first = df.orderBy("vec_id").select("vec_id", "features").first()
-    best = m.approxNearestNeighbors(df, first.features, 10, distCol="distance")
-    return near.unionAll(best.select(F.lit("nearest"), F.lit(first.vec_id), "vec_id", "distance"))
+    """The ten nearest vectors of every hundredth vector, by lists that are visited while they may hold a nearer one.
+
+    Beside it random projections with several probes: ``recall`` holds if these find nine in ten of them. A query looks
+    into its own bucket and into those across the nearest bucket edges, nearest first.
+    """
+    df = vectors(spark, d).select(F.col("vec_id").alias("id"), "v")
+    asked = df.filter("id % 100 = 0").select(F.col("id").alias("query"), "v", F.array("id").alias("skip"))
+    best = materialize(best_rows(asked, df, NEAREST, "distance"), "nearest")
+    found = probed_nearest(asked, df, NEAREST, SEED)
+    seen = best.join(found.select("query", "id").withColumn("seen", F.lit(1)), ["query", "id"], "left")
+    recall = seen.agg(F.coalesce(F.sum("seen") >= 0.9 * F.count("*"), F.lit(True))).first()[0]
+    return best.select(
+        F.col("query").alias("vec_id"), "place", F.col("id").alias("other"), F.round("cost", 6).alias("distance"), F.lit(bool(recall)).alias("recall")
+    )
 
 
 CORR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

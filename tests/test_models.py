@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from dayledger.jobs import all_jobs
 from dayledger.operators import matrix as M
-from dayledger.operators.likeness import bucket_links
+from dayledger.operators.likeness import distinct_sets, hashed_bands, leader_links, like_sets, rarest_first
+from dayledger.operators.nearest import best_rows
 from dayledger.plans.joins import words
 from dayledger.plans.models import bounded, judged
 from dayledger.plans.rows import gapless_index
@@ -50,12 +51,71 @@ def test_matrix_product(spark):
     assert {(r.i, r.j): r.x for r in M.multiply(frame(a), frame(b)).collect()} == want
 
 
-def test_bucket_links_are_linear_in_the_bucket(spark):
-    df = spark.createDataFrame([(i, [float(i % 3), 0.0], f"p{i}") for i in range(30)], "id long, b array<double>, p string")
-    rows = bucket_links(df, "id", F.col("b"), "p").collect()
-    want = {(i, 0) for i in range(1, 30)} | {(i, i % 3) for i in range(3, 30)}
-    assert {(r.id, r.other) for r in rows} == want
-    assert all(r.p == f"p{r.id}" and r.other_p == f"p{r.other}" for r in rows)
+def random_sets(seed, n):
+    """Copies, near copies, a word in all sets, empty sets."""
+    rnd = random.Random(seed)
+    base = [[f"w{rnd.randint(0, 300)}" for _ in range(rnd.randint(1, 25))] for _ in range(12)]
+    out = {}
+    for i in range(n):
+        words = [w for w in rnd.choice(base) if rnd.random() > 0.15] + [f"w{rnd.randint(0, 300)}" for _ in range(rnd.randint(0, 4))]
+        out[i] = sorted({*words, "the"}) if i % 17 else []
+    return out
+
+
+@pytest.mark.parametrize("percent", [50, 60, 80, 100])
+def test_like_sets_lose_no_pair(spark, percent):
+    sets = random_sets(percent, 150)
+    df = spark.createDataFrame(list(sets.items()), "id long, words array<string>")
+    one = distinct_sets(df, "id", "words")
+    heads = {}
+    for i, w in sets.items():
+        heads.setdefault(tuple(w), []).append(i)
+    assert {(r.id, r.copies) for r in one.collect()} == {(min(v), len(v)) for v in heads.values()}
+    ordered = rarest_first(df, "id", "words")
+    got = {(r.left_id, r.right_id): r.jaccard for r in like_sets(ordered.filter("id % 3 = 0"), ordered, percent).collect()}
+    want = {}
+    for i, a in sets.items():
+        for j, b in sets.items():
+            common = len(set(a) & set(b))
+            if i % 3 == 0 and common and 100 * common >= percent * len(set(a) | set(b)):
+                want[i, j] = common / len(set(a) | set(b))
+    assert got == pytest.approx(want) and len(want) > 40
+
+
+def test_leaders_take_rows_that_the_first_leader_does_not(spark):
+    """One bucket with three groups: a single leader would lose two of them; no round compares all pairs."""
+    groups = [[f"g{g}w{k}" for k in range(10)] for g in range(3)]
+    rows = [(i, [*groups[i % 3], f"own{i}"], [7]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, words array<string>, keys array<long>")
+    assert {(r.id, r.leader) for r in leader_links(df, 60).collect()} == {(i, i % 3) for i in range(3, 60)}
+    hashed = hashed_bands(df.select("id", "words"), 24, 4, 1)
+    links = {(r.id, r.leader) for r in leader_links(hashed, 60).collect()}
+    assert {i for i, _ in links} == set(range(3, 60)) and all(i % 3 == j % 3 for i, j in links)
+
+
+@pytest.mark.parametrize("metric", ["distance", "product"])
+@pytest.mark.parametrize("block", [4096, 7])
+def test_best_rows_are_those_of_all_pairs(spark, monkeypatch, metric, block):
+    """Clusters of very different norms, copies of one vector for a third of the rows, rows that do not count."""
+    monkeypatch.setattr("dayledger.operators.nearest.BLOCK_ROWS", block)
+    monkeypatch.setattr("dayledger.operators.nearest.BLOCK_QUERIES", block)
+    rng = np.random.default_rng(5)
+    rows = np.concatenate([rng.normal(size=(200, 6)) * (1 + 3 * (k % 3)) + 9 * k for k in range(2)] + [np.ones((200, 6))])
+    asked = rng.normal(size=(40, 6)) * 5
+    skip = [None if i % 2 else [int(x) for x in rng.integers(0, 600, 30)] for i in range(40)]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "id long, v array<double>")
+    q = spark.createDataFrame([(i, [float(x) for x in v], s) for i, (v, s) in enumerate(zip(asked, skip, strict=True))], "query long, v array<double>, skip array<long>")
+    got = {}
+    for r in best_rows(q, df, 5, metric).collect():
+        got[r.query, r.place] = (r.id, pytest.approx(r.cost))
+    want = {}
+    for i, v in enumerate(asked):
+        cost = np.sqrt(((rows - v) ** 2).sum(1)) if metric == "distance" else -(np.einsum("ij,j->i", rows, v))
+        cost[skip[i] or []] = np.inf
+        for place, j in enumerate(np.lexsort((np.arange(600), cost))[:5]):
+            want[i, place + 1] = (j, cost[j])
+    assert got == want
+    assert best_rows(q, df.limit(0), 5, metric).count() == 0 and best_rows(q.limit(0), df, 5, metric).count() == 0
 
 
 def test_tfidf_equals_the_library(spark):
