@@ -352,8 +352,8 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, key:
     edges = materialize(join.linked(wanted), "jaccard-edges")
     # one id with several texts joins their classes
     known = full.join(classes.select("n_shingles", "a", "b", "head"), ["n_shingles", "a", "b"])
-    several = known.groupBy("id").agg(F.collect_set("head").alias("h")).filter("size(h) > 1")
-    edges = edges.unionByName(several.select(F.explode("h").alias("src"), F.array_min("h").alias("dst")).filter("src <> dst"))
+    firsts = known.groupBy("id").agg(F.min("head").alias("dst"))
+    edges = edges.unionByName(known.join(firsts, "id").filter("head <> dst").select(F.col("head").alias("src"), "dst").distinct())
     found = components(edges)
     # also where no leader has a second block: the plan, and what it costs, is the same at every size
     more = materialize(join.linked(left_over(wanted, blocks, found)), "jaccard-more")
@@ -387,12 +387,34 @@ def left_over(wanted: DataFrame, blocks: DataFrame, found: DataFrame) -> DataFra
     return materialize(asks.unionByName(meets).distinct(), "jaccard-left-over")
 
 
+def vertices(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` with ``vertex``: the id, or a hash of id and text where an id stands for several texts, so that each text is one."""
+    id_, seen = F.col(key).cast("bigint"), [F.xxhash64(text), F.xxhash64(text, F.lit(1))]
+    texts = docs.filter(id_.isNotNull()).select(id_.alias("_k"), *[h.alias(f"_h{k}") for k, h in enumerate(seen)]).distinct()
+    several = materialize(texts.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_k"), "jaccard-several")
+    if several.isEmpty():
+        return docs.withColumn("vertex", id_)
+    salt = 0
+    while True:
+        hashed = lambda t, s=salt: F.xxhash64("_k", *t, F.lit(s))
+        named = texts.join(several, "_k", "left_semi").select(hashed(["_h0", "_h1"]).alias("v")).unionByName(texts.join(several, "_k", "left_anti").select(F.col("_k").alias("v")))
+        if named.groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+            break
+        salt += 1  # two texts of one hash
+    marked = docs.withColumn("_k", id_).join(several.withColumn("_several", F.lit(True)), "_k", "left")
+    return marked.withColumn("vertex", F.when(F.col("_several"), hashed(seen)).otherwise(F.col("_k"))).drop("_k", "_several")
+
+
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document of smallest id of each component, one row of it, with the columns of the input. Null ids stay."""
-    found = materialize(jaccard_components(docs, width, percent, key, text).filter("component_id IS NOT NULL")
-                        .groupBy(key).agg(F.min("component_id").alias("component_id")), "jaccard-keep")
-    heads = found.filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("head"))
-    box = boxed(docs).withColumn("key", F.col("row").getField(key).cast("bigint"))
+    """One document of each component of like texts, one row of it, with the columns of the input. Null ids stay.
+
+    It is that of the smallest id. Where an id stands for several texts, each is a document of its own, known by a hash of
+    id and text: texts that are not alike all stay.
+    """
+    box = boxed(docs).withColumns({"key": F.col("row").getField(key), "text": F.col("row").getField(text)})
+    box = vertices(box, "key", "text")
+    found = jaccard_components(box.select("vertex", "text"), width, percent, "vertex", "text").filter("component_id IS NOT NULL")
+    heads = materialize(found.filter("vertex = component_id").select(F.col("vertex").alias("head")).distinct(), "jaccard-keep")
     order = F.xxhash64(*[F.col("row").getField(c) for c in docs.columns if not isinstance(docs.schema[c].dataType, T.MapType)])
-    single = box.join(heads, F.col("key") == F.col("head"), "left_semi").groupBy("key").agg(F.min_by("row", order).alias("row"))
+    single = box.join(heads, F.col("vertex") == F.col("head"), "left_semi").groupBy("vertex").agg(F.min_by("row", order).alias("row"))
     return single.select("row.*").unionByName(docs.filter(F.col(key).isNull()))

@@ -1,14 +1,14 @@
 """Packing of documents into sequences by lexical retrieval.
 
-Document frequencies and the mean length are counted once over all documents.
-Documents are dealt to shards of bounded size by the terms that weigh most in
-them, so that documents of like content meet. A shard holds a BM25 inverted
-index of its documents, with the weights of the whole table. The document that
-opens a sequence is its seed; the
-sequence is filled with the seed's best unused neighbours, the last of which
-is cut and opens the next sequence. So every sequence is full but the last of
-a shard, and that is cut into sequences of powers of two, which need no
-padding.
+Document frequencies and the number of words are counted once over all
+documents, in a table of fixed size by hashed term. Documents are sorted by
+the few terms that weigh most in them, so that documents of like content lie
+together, and the sorted run is cut into shards by size. A shard holds a BM25
+inverted index of its documents, with the frequencies of the whole table. The
+document that opens a sequence is its seed; the sequence is filled with the
+seed's best unused neighbours, the last of which is cut and opens the next
+sequence. So every sequence is full but the last of a shard, and that is cut
+into sequences of powers of two, which need no padding.
 """
 
 from __future__ import annotations
@@ -23,36 +23,52 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.llm.shards import buckets_for, by_bucket, joined, sharded, shards_for, with_shards
-from dayledger.llm.words import buffers, find_words, mix
+from dayledger.llm.words import buffers, find_words, pieces
 from dayledger.session import materialize
 
 K1, B = 1.2, 0.75
 FIRST_NEIGHBOURS = 32
-HOT_COPIES = 1000  # equal rows up to which they may share a shard
+SLOT_BITS = 20  # the table of document frequencies has 2^SLOT_BITS counts
+LEADING = 4  # terms by which documents are sorted
+TASK_BYTES = 32_000_000
 
 
 class ByteTokenizer:
-    """Ids of a byte-level BPE tokenizer file. The same merges run in tiktoken, which is several times faster;
-    texts that hold one of the file's special tokens go to the tokenizers library itself."""
+    """Ids of a byte-level BPE tokenizer file. Where the file is of the plain kind, the same merges run in tiktoken, which is
+    several times faster; texts that hold one of the file's special tokens, and all texts of other files, go to the tokenizers library."""
 
     PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
     def __init__(self, spec: str):
-        import tiktoken
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_str(spec)
+        self.spec = spec
+        self.library = None
         parsed = json.loads(spec)
         self.special = [t["content"] for t in parsed["added_tokens"]]
-        plain = parsed.get("normalizer") is None and parsed["model"]["type"] == "BPE" and parsed["pre_tokenizer"]["type"] == "ByteLevel"
-        if not plain or parsed["pre_tokenizer"]["add_prefix_space"]:
-            raise ValueError("not a plain byte-level BPE file")
+        self.fast = self._tiktoken(parsed) if self._plain(parsed) else None
+
+    @staticmethod
+    def _plain(parsed: dict) -> bool:
+        """No normalizer, the standard byte-level split, and tokens whose ids rise with the rank of their merge."""
+        model, split = parsed["model"], parsed["pre_tokenizer"] or {}
+        if parsed.get("normalizer") or model["type"] != "BPE" or split.get("type") != "ByteLevel":
+            return False
+        if split["add_prefix_space"] or not split.get("use_regex", True) or model.get("ignore_merges") or model.get("dropout"):
+            return False
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        ids = [model["vocab"].get(a + b, -1) for a, b in merges]
+        made = {a + b for a, b in merges}
+        alone = max((i for t, i in model["vocab"].items() if len(t) == 1), default=-1)
+        special = {t["content"] for t in parsed["added_tokens"]}
+        whole = all(len(t) == 1 or t in made or t in special for t in model["vocab"])
+        return whole and all(a < b for a, b in zip([alone, *ids], ids))
+
+    def _tiktoken(self, parsed: dict):
+        import tiktoken
+
         code = self._byte_of_char()
         special = set(self.special)
-        # the merged token of each merge has the merge's rank: ids rise with it in these files
         ranks = {bytes(code[c] for c in t): i for t, i in parsed["model"]["vocab"].items() if t not in special}
-        self.fast = tiktoken.Encoding("byte-bpe", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return tiktoken.Encoding("byte-bpe", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     @staticmethod
     def _byte_of_char() -> dict[str, int]:
@@ -62,17 +78,32 @@ class ByteTokenizer:
         return {chr(b): b for b in seen} | {chr(256 + k): b for k, b in enumerate(other)}
 
     def encode(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
+        if self.fast is None or any(s in text for s in self.special):
+            if self.library is None:
+                from tokenizers import Tokenizer
+
+                self.library = Tokenizer.from_str(self.spec)
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.fast.encode_to_numpy(text, disallowed_special=())
 
 
+@dataclass
+class Frequencies:
+    """Documents by hashed term (an upper bound for terms that share a slot), documents and words of the whole table."""
+
+    slots: np.ndarray
+    docs: int
+    words: int
+
+    def of(self, terms: np.ndarray) -> np.ndarray:
+        return self.slots[terms >> np.uint64(32 - SLOT_BITS)]
+
+
 @dataclass
 class Terms:
-    """Distinct terms of a run of documents, by rising hash, and the (document, term) pairs in order with their counts."""
+    """(document, term) pairs in order with their counts; a term is 32 bits of its hash."""
 
     counts: np.ndarray  # words of each document
-    terms: np.ndarray
     doc: np.ndarray
     term: np.ndarray
     tf: np.ndarray
@@ -80,45 +111,53 @@ class Terms:
     @classmethod
     def of(cls, texts: pa.Array) -> Terms:
         words = find_words(*buffers(texts), lower=True)
-        terms, term = np.unique(words.hashes(), return_inverse=True)
-        pair, tf = np.unique(words.document() * max(len(terms), 1) + term, return_counts=True)
-        return cls(words.counts, terms, pair // max(len(terms), 1), pair % max(len(terms), 1), tf)
-
-    def weights(self, df: np.ndarray, n: int, mean: float) -> np.ndarray:
-        """BM25 weight of each pair; ``df`` of each pair, documents and mean length are those of the whole table."""
+        both = np.sort((words.document().astype(np.uint64) << np.uint64(32)) | (words.hashes() >> np.uint64(32)))
+        first = np.flatnonzero(np.append(True, both[1:] != both[:-1])) if len(both) else np.zeros(0, np.int64)
+        tf = np.diff(np.append(first, len(both)))
+        both = both[first]
+        return cls(words.counts, (both >> np.uint64(32)).astype(np.int64), both & np.uint64(0xFFFFFFFF), tf)
+
+    def frequencies(self) -> Frequencies:
+        slots = np.bincount((self.term >> np.uint64(32 - SLOT_BITS)).astype(np.int64), minlength=1 << SLOT_BITS)
+        return Frequencies(slots, len(self.counts), int(self.counts.sum()))
+
+    def weights(self, all_docs: Frequencies, df: np.ndarray) -> np.ndarray:
+        """BM25 weight of each pair of frequency ``df``."""
         # terms of more than half of the documents weigh nothing
-        idf = np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 0)
-        length = self.counts / max(mean, 1e-9)
+        idf = np.maximum(np.log((np.maximum(all_docs.docs - df, 0) + 0.5) / (df + 0.5)), 0)
+        length = self.counts / max(all_docs.words / max(all_docs.docs, 1), 1e-9)
         return idf * self.tf * (K1 + 1) / (self.tf + K1 * (1 - B + B * length[self.doc]))
 
 
 class Index:
-    """BM25 over the documents of a shard: postings by term, with weights worked out once.
+    """BM25 over the documents of a shard: postings by term, with weights worked out once from the frequencies of the whole table."""
 
-    ``df`` holds the document frequency of each (document, term) pair in the
-    whole table of ``n`` documents of ``mean`` words; without it the texts are the whole table.
-    """
-
-    def __init__(self, texts: pa.Array, df: np.ndarray | None = None, n: int = 0, mean: float = 0.0):
+    def __init__(self, texts: pa.Array, all_docs: Frequencies | None = None):
         found = Terms.of(texts)
-        terms, doc, term = found.terms, found.doc, found.term
         self.n = len(found.counts)
-        self.doc_first = np.searchsorted(doc, np.arange(self.n + 1))
-        self.doc_terms = term
-        here = np.bincount(term, minlength=len(terms))[term]
-        if df is None:
-            df, n, mean = here, self.n, found.counts.mean() if self.n else 0.0
-        weight = found.weights(df, n, mean)
-        use = (weight > 0) & (here > 1)  # a term of one document leads to no neighbour
-        order = np.argsort(term[use], kind="stable")
-        self.post_doc, self.post_weight = doc[use][order], weight[use][order]
-        self.post_first = np.searchsorted(term[use][order], np.arange(len(terms) + 1))
+        all_docs = all_docs or found.frequencies()
+        weight = found.weights(all_docs, all_docs.of(found.term))
+        by_term = np.sort((found.term << np.uint64(32)) | np.arange(len(found.term), dtype=np.uint64))
+        pair = (by_term & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        term = by_term >> np.uint64(32)
+        fresh = np.append(True, term[1:] != term[:-1]) if len(term) else np.zeros(0, bool)
+        size = np.diff(np.append(np.flatnonzero(fresh), len(term)))
+        group = np.cumsum(fresh) - 1
+        # a term of one document leads to no neighbour, one without weight to none that counts
+        use = (weight[pair] > 0) & (size[group] > 1)
+        self.post_doc, self.post_weight = found.doc[pair[use]], weight[pair[use]]
+        first = np.append(0, np.cumsum(np.bincount(group[use], minlength=len(size))))
+        # of each used pair, by document: bounds of its term's postings
+        back = np.sort((pair[use] << 32) | group[use])
+        group = back & 0xFFFFFFFF
+        self.begin, self.length = first[group], first[group + 1] - first[group]
+        self.doc_first = np.searchsorted(found.doc[back >> 32], np.arange(self.n + 1))
 
     def neighbours(self, seed: int) -> Iterator[int]:
         """Documents that share a term with the seed, best first; ties by place. Few are asked for, so few are sorted at first."""
-        t = self.doc_terms[self.doc_first[seed] : self.doc_first[seed + 1]]
-        a, n = self.post_first[t], self.post_first[t + 1] - self.post_first[t]
-        at = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(t) else np.zeros(0, np.int64)
+        mine = slice(self.doc_first[seed], self.doc_first[seed + 1])
+        a, n = self.begin[mine], self.length[mine]
+        at = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
         scores = np.bincount(self.post_doc[at], weights=self.post_weight[at], minlength=self.n)
         scores[seed] = 0
         found = np.flatnonzero(scores)
@@ -131,7 +170,7 @@ def fill(lengths: list[int], index: Index, size: int, content: list) -> list[tup
     """Pieces (document, start, length, sequence, offset); documents in the given order open sequences.
 
     A neighbour whose ``content`` is in the sequence already is passed over
-    there: copies do not fill one window.
+    there: copies do not fill one window. Equal contents are equal texts, by hash.
     """
     used = np.zeros(len(lengths), bool)
     out: list[tuple[int, int, int, int, int]] = []
@@ -172,88 +211,67 @@ def fill(lengths: list[int], index: Index, size: int, content: list) -> list[tup
     return out
 
 
-def leading(found: Terms, score: np.ndarray, use: np.ndarray) -> np.ndarray:
-    """Hash of the used term of highest score of each document, 0 where there is none; ties by hash."""
-    at = np.flatnonzero(use)
-    at = at[np.lexsort((found.term[at], -score[at], found.doc[at]))]
-    doc, first = np.unique(found.doc[at], return_index=True)
-    out = np.zeros(len(found.counts), np.uint64)
-    out[doc] = found.terms[found.term[at[first]]]
-    return out.view(np.int64)
+def table_frequencies(docs: DataFrame, text: str) -> Frequencies:
+    """Counts over all documents: each task counts its own, sums are made by slot. The table has a fixed size, whatever the vocabulary."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots, n, words = np.zeros(1 << SLOT_BITS, np.int64), 0, 0
+        for whole in batches:
+            for b in pieces(whole, "text"):
+                one = Terms.of(b.column("text")).frequencies()
+                slots, n, words = slots + one.slots, n + one.docs, words + one.words
+        used = np.flatnonzero(slots)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(used, [-1, -2]).astype(np.int32)), pa.array(np.append(slots[used], [n, words]))], names=["slot", "n"]
+        )
+
+    sums = docs.select(F.col(text).alias("text")).mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    slot, n = sums["slot"].to_numpy(), sums["n"].to_numpy()
+    slots = np.zeros(1 << SLOT_BITS, np.int64)
+    slots[slot[slot >= 0]] = n[slot >= 0]
+    return Frequencies(slots, int(n[slot == -1].sum()), int(n[slot == -2].sum()))
+
+
+def leading(found: Terms, all_docs: Frequencies) -> np.ndarray:
+    """The terms of highest BM25 weight times root of their frequency, LEADING for each document, 0 where there are fewer; ties by hash."""
+    df = all_docs.of(found.term)
+    score = (found.weights(all_docs, df) * np.sqrt(df)).astype(np.float32)
+    at = np.flatnonzero((df > 1) & (score > 0))
+    # positive floats order as their bits do
+    falling = np.uint64(0xFFFFFFFF) - score[at].view(np.uint32)
+    at = at[np.argsort((found.doc[at].astype(np.uint64) << np.uint64(32)) | falling, kind="stable")]
+    place = np.arange(len(at)) - np.searchsorted(found.doc[at], found.doc[at])
+    out = np.zeros((LEADING, len(found.counts)), np.int64)
+    out[place[place < LEADING], found.doc[at[place < LEADING]]] = found.term[at[place < LEADING]]
+    return out
+
+
+def by_content(docs: DataFrame, key: str, text: str, all_docs) -> DataFrame:
+    """(id, text, no, t0, t1, ...): each row with its leading terms and a number of its own; ``all_docs`` is broadcast. Written, so that both stay."""
 
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in pieces(whole, "text"):
+                terms = leading(Terms.of(b.column("text")), all_docs.value)
+                yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(t) for t in terms]], names=[*b.schema.names, *[f"t{k}" for k in range(LEADING)]])
 
-def dealt(texts: DataFrame, n: int, docs: int, stored: int, shard_bytes: int) -> DataFrame:
-    """Rows of ``texts`` (shard, id, text) in new shards where like documents meet, with df (of each distinct term
-    of the text by rising hash, unsigned 32-bit) and words, the number of words of the table.
+    kind = docs.schema[key].dataType.simpleString()
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("no"))
+    return materialize(rows.mapInArrow(lead, f"id {kind}, text string, no long, " + ", ".join(f"t{k} long" for k in range(LEADING))), "packing-rows")
 
-    A document's topic is the term of highest BM25 weight times root of its frequency; its subject is the same among
-    terms of few enough documents for a part of a shard. A topic is a unit of a shard; one that is too large for it is cut
-    by subject, and a subject that is too large by row.
-    """
-    buckets = buckets_for(stored / 40, 12)
-    kind = texts.schema["id"].dataType.simpleString()
-    few = max(2.0, shard_bytes / 4 / max(stored / max(docs, 1), 1))
-
-    def send(t: pa.Table) -> pa.Table:
-        found = Terms.of(t["text"])
-        df = np.bincount(found.term, minlength=len(found.terms)).astype("<u4")
-        _, has, bounds = by_bucket(found.terms, buckets)
-        # every bucket hears of every shard, so that each knows the words of all
-        lo, hi = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
-        lo[has], hi[has] = bounds[:-1], bounds[1:]
-        return pa.table({
-            "bucket": pa.array(range(buckets), pa.int32()), "shard": pa.array([t["shard"][0].as_py()] * buckets, pa.int32()),
-            "terms": pa.array([found.terms[i:j].tobytes() for i, j in zip(lo, hi, strict=True)], pa.binary()),
-            "df": pa.array([df[i:j].tobytes() for i, j in zip(lo, hi, strict=True)], pa.binary()),
-            "words": pa.array([int(found.counts.sum())] * buckets, pa.int64()),
-        })
-
-    def add(t: pa.Table) -> pa.Table:
-        terms, sizes = joined(t["terms"], np.uint64)
-        df, _ = joined(t["df"], np.dtype("<u4"))
-        distinct, at = np.unique(terms, return_inverse=True)
-        total = np.bincount(at, weights=df, minlength=len(distinct)).astype("<u4")[at]
-        bounds = np.concatenate([[0], np.cumsum(sizes)])
-        return pa.table({
-            "shard": t["shard"], "bucket": t["bucket"], "words": pa.array([sum(t["words"].to_pylist())] * len(t), pa.int64()),
-            "df": pa.array([total[i:j].tobytes() for i, j in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
-        })
-
-    def deal(t: pa.Table, answers: pa.Table) -> pa.Table:
-        t = t.sort_by([("id", "ascending"), ("text", "ascending")]).combine_chunks()
-        found = Terms.of(t["text"])
-        # the top bits of a hash are its bucket: the answers by bucket are in the order of the terms
-        of_term, _ = joined(answers.sort_by("bucket")["df"], np.dtype("<u4"))
-        df, words = of_term[found.term], answers["words"][0].as_py()
-        weight = found.weights(df.astype(float), docs, words / max(docs, 1))
-        score = weight * np.sqrt(df)
-        shared = (df > 1) & (weight > 0)
-        topic, subject = leading(found, score, shared), leading(found, score, shared & (df <= few))
-        no = (mix(np.arange(len(t), dtype=np.uint64) + (np.uint64(t["shard"][0].as_py()) << np.uint64(32))) >> np.uint64(1)).astype(np.int64)
-        topic = np.where(topic == 0, no, topic)
-        bounds = np.searchsorted(found.doc, np.arange(len(t) + 1))
-        _, offsets = buffers(t["text"])
-        return pa.table({
-            "id": t["id"], "text": t["text"], "topic": topic, "subject": subject, "no": no, "bytes": np.diff(offsets),
-            "df": pa.array([df[i:j].tobytes() for i, j in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
-            "words": pa.array([words] * len(t), pa.int64()),
-        })
-
-    sent = texts.groupBy("shard").applyInArrow(send, "bucket int, shard int, terms binary, df binary, words long")
-    answers = sent.groupBy("bucket").applyInArrow(add, "shard int, bucket int, words long, df binary")
-    rows = with_shards(texts, answers, deal, f"id {kind}, text string, topic long, subject long, no long, bytes long, df binary, words long")
-    rows = materialize(rows, "packing-dealt")
-    subjects = rows.groupBy("topic", "subject").agg(F.sum("bytes").alias("bytes"))
-    # groups above a part of a shard are no more than a few for each shard: they may be broadcast
-    parts = lambda size: F.ceil(F.col("bytes") / F.lit(size)).alias
-    topics = subjects.groupBy("topic").agg(F.sum("bytes").alias("bytes")).filter(F.col("bytes") > shard_bytes / 4)
-    topics = topics.select("topic", parts(shard_bytes / 2)("topic_parts"))
-    subjects = subjects.filter(F.col("bytes") > shard_bytes / 4).select("topic", "subject", parts(shard_bytes / 8)("subject_parts"))
-    by_subject = F.when(F.col("topic_parts").isNotNull(), F.pmod(F.xxhash64("subject"), "topic_parts"))
-    by_row = F.pmod("no", "subject_parts")
-    unit = F.when(F.col("subject_parts").isNotNull(), F.xxhash64("topic", "subject", by_row)).otherwise(F.xxhash64("topic", F.coalesce(by_subject, F.lit(0))))
-    rows = rows.join(F.broadcast(topics), "topic", "left").join(F.broadcast(subjects), ["topic", "subject"], "left")
-    return rows.select(F.pmod(F.xxhash64(unit), F.lit(n)).cast("int").alias("shard"), "id", "text", "df", "words")
+
+def shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """The rows in order, cut where a shard has ``size`` bytes of text; a longer text is one row of one shard."""
+    held, have = [], 0
+    for whole in batches:
+        for b in pieces(whole, "text", size):
+            held.append(b)
+            have += buffers(b.column("text"))[1][-1]
+            if have >= size:
+                yield pa.Table.from_batches(held)
+                held, have = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1, key: str = "doc_id", text: str = "text",
@@ -265,44 +283,44 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1
     A document is its ids and ``end_id``; a null text is empty, so one id.
     Each row of the input is packed, equal rows too, each id once. Columns
     other than key and text do not take part. About ``shard_bytes`` of text share
-    an index; a longer text is still one document of one shard.
+    an index; a longer text is still one document of one shard. Equal rows have
+    numbers of their own, so they spread over shards as other rows do.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
+    context = docs.sparkSession.sparkContext
     docs = docs.select(key, text)
-    equal = docs.groupBy(key, F.xxhash64(text)).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("bytes"))
-    most, count, stored = equal.agg(F.max("n"), F.sum("n"), F.sum("bytes")).first()
-    n = shards_for(docs, stored or 0, shard_bytes)
-    if (most or 0) > HOT_COPIES:
-        # equal rows would share a shard: they are numbered, in a written table so that numbers stay, and dealt by number
-        numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "packing-rows")
-        texts = numbered.select(F.pmod(F.xxhash64(key, text, "_row"), F.lit(n)).cast("int").alias("shard"), F.col(key).alias("id"), F.col(text).alias("text"))
-    else:
-        texts = sharded(docs, key, text, n)
+    stored = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    all_docs = context.broadcast(table_frequencies(docs, text))
+    rows = by_content(docs, key, text, all_docs)
     kind = docs.schema[key].dataType.simpleString()
-    texts = dealt(texts, n, count or 0, stored or 0, shard_bytes)
-    ready: dict[str, ByteTokenizer] = {}
-
-    def run(t: pa.Table) -> pa.Table:
-        if "tokenizer" not in ready:
-            ready["tokenizer"] = ByteTokenizer(spec)
-        t = t.sort_by([("id", "ascending"), ("text", "ascending")]).combine_chunks()
-        end = np.array([end_id], np.uint32)
-        texts = [x or "" for x in t["text"].to_pylist()]
-        ids = [np.concatenate([ready["tokenizer"].encode(x), end]) for x in texts]
-        df, _ = joined(t["df"], np.dtype("<u4"))
-        pieces = fill([len(x) for x in ids], Index(t["text"], df.astype(float), count, t["words"][0].as_py() / count), size, texts)
-        doc, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*pieces, strict=True))
-        first = int(t["shard"][0].as_py()) << 32
-        raw = [ids[d][s : s + n].astype("<u4").tobytes() for d, s, n, _, _ in pieces]
-        return pa.table({
-            "id": t["id"].take(pa.array(doc)), "start": start, "length": length,
-            **({"ids": pa.array(raw, pa.binary())} if with_ids else {}), "ids_crc32": pa.array([zlib.crc32(r) for r in raw], pa.int64()),
-            "doc_tokens": np.array([len(x) for x in ids], np.int64)[doc], "sequence_id": sequence + first, "offset": offset,
-        })
+    parts = max(context.defaultParallelism, -(-stored // TASK_BYTES))
+    order = [*[f"t{k}" for k in range(LEADING)], "id", "no"]
+    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "text", F.spark_partition_id().alias("part"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, end, last = ByteTokenizer(spec), np.array([end_id], np.uint32), -1
+        for t in shards(batches, shard_bytes):
+            content = t["text"].combine_chunks()
+            ids, same = [], []
+            for x in content:
+                x = x.as_py() or ""
+                ids.append(np.concatenate([tokens.encode(x), end]))
+                same.append(hash(x))
+            placed = fill([len(x) for x in ids], Index(content, all_docs.value), size, same)
+            doc, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*placed, strict=True))
+            sequence += last + 1
+            last = int(sequence[-1])
+            raw = [ids[d][s : s + n].astype("<u4", copy=False).tobytes() for d, s, n, _, _ in placed]
+            first = int(t["part"][0].as_py()) << 40
+            yield from pa.table({
+                "id": t["id"].combine_chunks().take(pa.array(doc)), "start": start, "length": length,
+                **({"ids": pa.array(raw, pa.binary())} if with_ids else {}), "ids_crc32": pa.array([zlib.crc32(r) for r in raw], pa.int64()),
+                "doc_tokens": np.array([len(x) for x in ids], np.int64)[doc], "sequence_id": sequence + first, "offset": offset,
+            }).to_batches()
 
     schema = f"id {kind}, start long, length long, {'ids binary, ' * with_ids}ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return texts.groupBy("shard").applyInArrow(run, schema).withColumnRenamed("id", key)
+    return rows.mapInArrow(run, schema).withColumnRenamed("id", key)
 
 
 def packing_report(docs: DataFrame, tokenizer_path: str) -> DataFrame:

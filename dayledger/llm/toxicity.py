@@ -269,12 +269,15 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = 3000, max_chars: int =
     """Model from about ``rows`` labelled documents of at most ``max_chars``; None where there is none.
 
     Only documents with crc32(doc_id) mod 3 other than 1 are drawn. The drawn
-    labels are bounded by ``rows``, so that they may be broadcast.
+    labels are bounded by ``rows``, so that they may be broadcast; an id gives
+    one text, so that the driver gets no more texts than labels.
     """
     known = labels.filter((crc_mod("doc_id", 3) != 1) & F.col("toxic").isNotNull()).select("doc_id", "toxic")
     drawn = bounded_sample(known, rows, "doc_id")
     texts = docs.filter(F.col("text").isNotNull() & (F.length("text") <= max_chars)).select("doc_id", F.lower("text").alias("text"))
-    got = texts.join(F.broadcast(drawn), "doc_id").select("text", "toxic").toPandas()
+    # one text of an id, however many rows have it
+    got = texts.join(F.broadcast(drawn), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic"))
+    got = got.limit(2 * rows).toPandas().sort_values("doc_id")
     return fit(list(got["text"]), got["toxic"].to_numpy(np.int64)) if len(got) else None
 
 

@@ -34,6 +34,8 @@ SLACK = 1e-6  # for rounding in the bounds; the exact cosine decides
 
 
 def unit(v: np.ndarray) -> np.ndarray:
+    """Rows of length 1; scaled by the largest component first, so that no square vanishes or overflows."""
+    v = v / np.abs(v).max(1, keepdims=True)
     return v / np.sqrt((v * v).sum(1, keepdims=True))
 
 
@@ -101,29 +103,35 @@ def near_vectors(df: DataFrame, threshold: float = 0.98, key: str = "vec_id", ve
     Vectors of equal, non-null labels with a cosine of at least ``threshold``
     link. A vector that is null, empty, zero, or holds a null or non-finite
     component links with nothing, as does one of a null label or id: 0 links,
-    a component of its own, kept. Vectors of a length other than the most
-    common one are compared among their own length only by being left apart:
-    they link with equal copies alone. Rows of one id are one vertex.
+    a component of its own, kept. Vectors of different lengths have no cosine
+    and do not link. Lengths up to the same power of two share an index, in
+    lists of their own. Rows of one id are one vertex.
     """
     rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("v"))
     good = rows.filter(usable("v", "label") & F.col("id").isNotNull())
     classes = good.groupBy("label", "v").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("copies"))
     classes = materialize(classes, "vector-classes")
-    dims = classes.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
-    if dims is None:
+    spans = classes.groupBy(F.ceil(F.log2(F.size("v"))).cast("int").alias("span")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("label").alias("labels"), F.max(F.size("v")).alias("dim")).collect()
+    if not spans:
         return rows.select(F.col("id").alias(key), F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    dim = dims["d"]
-    indexed = classes.filter(F.size("v") == dim)
-    sample = unit(np.array([r["v"] for r in bounded_sample(indexed.select("head", "v"), sample_rows, "head").collect()], np.float64))
-    labels = indexed.select("label").distinct().count()
-    quantiser = Quantiser.fit(sample, int(min(max(np.sqrt(dims["n"] / labels), 1), MAX_CENTRES)))
-    found = materialize(lookups(indexed, quantiser, threshold, dim), "vector-links")
+    found = None
+    for span in spans:  # at most one for each power of two
+        dim = span["dim"]
+        # zeros at the end change no cosine between vectors of one length
+        padded = F.concat("v", F.array_repeat(F.lit(0.0), F.lit(dim) - F.size("v")))
+        indexed = classes.filter(F.ceil(F.log2(F.size("v"))) == span["span"])
+        indexed = indexed.select(F.struct("label", F.size("v").alias("width")).alias("label"), padded.alias("v"), "head", "copies")
+        sample = unit(np.array([r["v"] for r in bounded_sample(indexed.select("head", "v"), sample_rows, "head").collect()], np.float64))
+        quantiser = Quantiser.fit(sample, int(min(max(np.sqrt(span["n"] / span["labels"]), 1), MAX_CENTRES)))
+        links = materialize(lookups(indexed, quantiser, threshold, dim), "vector-links")
+        found = links if found is None else found.unionByName(links)
     counts = found.filter("other IS NULL").groupBy("id").agg(F.sum("links").alias("links"))
     edges = found.filter("other IS NOT NULL").select(F.col("id").alias("src"), F.col("other").alias("dst")).distinct()
     # one id with several vectors joins their classes
     known = good.join(classes, ["label", "v"])
-    several = known.groupBy("id").agg(F.collect_set("head").alias("h")).filter("size(h) > 1")
-    edges = edges.unionByName(several.select(F.explode("h").alias("src"), F.array_min("h").alias("dst")).filter("src <> dst"))
+    firsts = known.groupBy("id").agg(F.min("head").alias("dst"))
+    edges = edges.unionByName(known.join(firsts, "id").filter("head <> dst").select(F.col("head").alias("src"), "dst").distinct())
     comps = components(edges).select(F.col("id").alias("head"), "comp")
     named = classes.join(counts.withColumnRenamed("id", "head"), "head", "left").join(comps, "head", "left")
     named = materialize(named.select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("comp", "head").alias("comp")), "vector-named")

@@ -84,8 +84,23 @@ def test_jaccard(docs, empty, rows, width, percent):
     if percent == 80:
         kept = jaccard.keep_one(docs)
         kept_columns(kept, docs)
-        heads = Counter(r.doc_id for r in kept.collect())
-        assert heads == Counter({x for x in parent if root(x) == x}) + Counter({None: 2})
+        # texts are the vertices here: of two texts of one id that are not alike both stay
+        texts = sorted({(r[0], r[1]) for r in rows if r[0] is not None}, key=repr)
+        of_text = {(r[0], r[1]): sets[k] for k, r in enumerate(rows)}
+        group = list(range(len(texts)))
+        for i, a in enumerate(texts):
+            for j in range(i):
+                x, y = of_text[a], of_text[texts[j]]
+                if x & y and 100 * len(x & y) >= percent * len(x | y):
+                    group = [group[j] if g == group[i] else g for g in group]
+        heads = [(r.doc_id, r.text) for r in kept.collect()]
+        assert Counter(group[texts.index(h)] for h in heads if h[0] is not None) == Counter(set(group))
+        assert sorted(h[1] or "" for h in heads if h[0] is None) == sorted(r[1] or "" for r in rows if r[0] is None)
+        one_text = [i for i, n in Counter(i for i, _ in texts).items() if n == 1]
+        for i, t in heads:
+            if i is not None:
+                mine = [x for x, g in zip(texts, group, strict=True) if g == group[texts.index((i, t))]]
+                assert any(x not in one_text for x, _ in mine) or i == min(x for x, _ in mine)
     assert jaccard.jaccard_components(empty, width, percent).count() == 0
 
 
@@ -213,11 +228,9 @@ def test_lines(docs, empty, rows):
     assert lines.dedup_lines(empty).count() == 0
 
 
-@pytest.mark.parametrize("hot", [1000, 2])
-def test_packing(docs, empty, rows, hot, monkeypatch):
+def test_packing(docs, empty, rows):
     from tokenizers import Tokenizer
 
-    monkeypatch.setattr(packing, "HOT_COPIES", hot)
     path = tokenizer("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)
     want = Counter()
@@ -262,25 +275,59 @@ def test_packing_takes_lexical_neighbours():
 
 def test_packing_deals_like_documents_together(spark):
     """Weights are those of the whole table, and documents of one topic share shards at every size."""
-    from pyspark.sql import functions as F
-
-    from dayledger.llm.shards import sharded
-
     rows = [(k, f"topic{k % 20} about{k % 20} common{k % 3} " + prose(1000 + k, 12)) for k in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     size = sum(len(t) for _, t in rows)
-    got = packing.dealt(sharded(docs, "doc_id", "text", 40), 40, len(rows), size, size // 20).select("shard", "id", "text", "df", "words").collect()
-    assert sorted((r.id, r.text) for r in got) == rows
-    assert {r.words for r in got} == {len(rows) * 15}
+    found = packing.table_frequencies(docs, "text")
+    assert (found.docs, found.words) == (len(rows), len(rows) * 15)
     df = Counter(w for _, t in rows for w in set(t.split()))
-    assert all(sorted(np.frombuffer(r.df, "<u4")) == sorted(df[w] for w in set(r.text.split())) for r in got)
-    shard = {r.id: r.shard for r in got}
+    terms = packing.Terms.of(pa.array(list(df)))
+    assert len(terms.term) == len(df) and all(found.of(terms.term) >= [df[w] for w in df])
+    assert sum(found.of(terms.term)) < 1.01 * sum(df.values())  # few terms share a slot
+    order = ["t0", "t1", "t2", "t3", "id", "no"]
+    by_content = lambda d, f: packing.by_content(d, "doc_id", "text", spark.sparkContext.broadcast(f)).orderBy(*order).collect()
+    got = by_content(docs, found)
+    assert sorted((r.id, r.text) for r in got) == rows
+
+    def shard_of(rows):
+        table = pa.table({"id": [r.id for r in rows], "text": [r.text for r in rows]})
+        return [t["id"].to_pylist() for t in packing.shards(table.to_batches(), size // 20)]
+
+    shard = {i: k for k, ids in enumerate(shard_of(got)) for i in ids}
     together = [shard[i] == shard[j] for i in range(400) for j in range(i + 20, 400, 20)]
-    assert sum(together) / len(together) > 0.25  # one in 40 by chance
-    # equal rows are no unit of their own
-    hot = spark.createDataFrame([(k, "same words in all of these") for k in range(300)] + rows, "doc_id long, text string")
-    big = packing.dealt(sharded(hot, "doc_id", "text", 40), 40, 700, size + 7800, size // 20)
-    assert big.filter(F.col("id") < 400).groupBy("shard").count().agg(F.max("count")).first()[0] < 150
+    assert sum(together) / len(together) > 0.25  # one in 20 by chance
+    # equal rows are no unit of their own: shards are cut by size alone
+    hot = spark.createDataFrame([(1000, "same words in all of these")] * 3000 + rows, "doc_id long, text string")
+    parts = shard_of(by_content(hot, packing.table_frequencies(hot, "text")))
+    assert sum(map(len, parts)) == 3400 and max(map(len, parts)) < 150
+
+
+def test_packing_spreads_equal_rows_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TASK_BYTES", 5000)
+    text = prose(77, 20)
+    docs = spark.createDataFrame([(1, text)] * 600 + [(k, prose(k, 20)) for k in range(2, 300)], "doc_id long, text string")
+    got = packing.pack(docs, tokenizer("byte_bpe_50k.json"), size=256, shard_bytes=4000).toPandas()
+    assert (got[got.start == 0].groupby("doc_id").size().loc[1]) == 600
+    tasks = (got[got.doc_id == 1].sequence_id // (1 << 40)).value_counts()
+    assert len(tasks) > 5 and tasks.max() < 300
+
+
+def test_ids_of_another_kind_of_file_come_from_the_library():
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(tokenizer("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    plain, other = packing.ByteTokenizer(spec), json.loads(spec)
+    assert plain.fast is not None
+    merges = other["model"]["merges"]
+    merges[0], merges[1] = merges[1], merges[0]  # ids no longer rise with the merges
+    changed = packing.ByteTokenizer(json.dumps(other))
+    assert changed.fast is None
+    for text in ("Some words, 12 of them's  \n x", "", prose(5, 40)):
+        assert plain.encode(text).tolist() == Tokenizer.from_str(spec).encode(text, add_special_tokens=False).ids
+        assert changed.encode(text).tolist() == Tokenizer.from_str(json.dumps(other)).encode(text, add_special_tokens=False).ids
 
 
 def test_vectors(spark):
@@ -318,6 +365,44 @@ def test_vectors(spark):
     assert vectors.near_vectors(df.filter("vec_id > 302 AND vec_id < 310")).count() == 7
 
 
+def test_vectors_of_several_widths(spark):
+    """Each width links among itself; tiny and huge vectors are as good as others; names of the caller do not clash."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(9)
+    rows, want, at = [], Counter(), 0
+    for width, n in ((16, 5), (8, 4), (9, 3), (1, 2), (4, 2)):
+        v = rng.normal(size=width)
+        for k in range(n):
+            scale = (1e-200, 1.0, 1e200)[k % 3] if width != 4 else (1e-200, 2e-200)[k]
+            rows.append((at + k, [float(x) for x in (v + 0.001 * k) * scale], 1))
+            want[at + k, n - 1, at, k == 0] += 1
+        at += n
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumns({c: F.lit(1) for c in CLASH})
+    assert Counter(map(tuple, vectors.near_vectors(df).collect())) == want
+
+
+def test_training_texts_are_bounded_by_labels(spark):
+    """Many rows of one labelled id bring one text to the driver."""
+    docs = spark.range(3000).selectExpr("0L AS doc_id", "concat('text ', id) AS text")
+    labels = spark.createDataFrame([(0, 1)], "doc_id long, toxic int")
+    seen = []
+    old = toxicity.fit
+    try:
+        toxicity.fit = lambda texts, y: seen.append((texts, list(y)))
+        toxicity.train(docs, labels)
+    finally:
+        toxicity.fit = old
+    assert seen == [(["text 0"], [1])]
+
+
+def test_two_texts_of_one_id_both_stay(spark):
+    texts = [prose(900 + k, 60) for k in range(3)]
+    docs = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (2, texts[2]), (3, texts[1] + " more"), (1, texts[0])], "doc_id long, text string")
+    kept = jaccard.keep_one(docs).collect()
+    assert sorted(r.text.replace(" more", "") for r in kept) == sorted(texts)
+
+
 def test_language(docs, empty, rows):
     model = language.fit(["aaa bbb aab " * 30, "xyz zzy yxx " * 30] * 6, ["l1", "l2"] * 6)
     got = language.identify(docs, model)
