@@ -285,7 +285,7 @@ def test_packing_deals_like_documents_together(spark):
     assert len(terms.term) == len(df) and all(found.of(terms.term) >= [df[w] for w in df])
     assert sum(found.of(terms.term)) < 1.01 * sum(df.values())  # few terms share a slot
     order = ["t0", "t1", "t2", "t3", "id", "no"]
-    by_content = lambda d, f: packing.by_content(d, "doc_id", "text", spark.sparkContext.broadcast(f)).orderBy(*order).collect()
+    by_content = lambda d, f: packing.by_content(d, "doc_id", "text", spark.sparkContext.broadcast((f.slots, f.docs, f.words))).orderBy(*order).collect()
     got = by_content(docs, found)
     assert sorted((r.id, r.text) for r in got) == rows
 
