@@ -79,13 +79,34 @@ def default_rules(text: str = "text") -> dict[str, Column]:
     }
 
 
-def ranked(sample: DataFrame, rules: Mapping[str, Column]) -> list[str]:
-    """Names of the rules by rejections per second on the sample, the most first."""
-    rates = {}
-    for name, rule in rules.items():
+def seconds(sample: DataFrame, copies: int, *counts: Column) -> tuple[float, list[int]]:
+    """Shortest time of three runs over ``copies`` of the sample, and the counts."""
+    rows = sample.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    best, got = float("inf"), []
+    for _ in range(3):
         t0 = time.perf_counter()
-        hit, n = sample.agg(F.count_if(rule), F.count(F.lit(1))).first()
-        rates[name] = (hit + 1) / (n + 1) / max(time.perf_counter() - t0, 1e-6)
+        got = list(rows.agg(F.count(F.lit(1)), *counts).first())
+        best = min(best, time.perf_counter() - t0)
+    return best, got
+
+
+def ranked(sample: DataFrame, rules: Mapping[str, Column], most: int = 256) -> list[str]:
+    """Names of the rules by rejections per second on the sample, the most first.
+
+    A rule's cost is its own: the time of the same job without the rule is taken off, and the sample is repeated until what
+    is left outweighs that, or ``most`` times.
+    """
+    rates, copies = {}, 4
+    empty, _ = seconds(sample, copies)
+    for name, rule in rules.items():
+        while True:
+            took, (n, hit) = seconds(sample, copies, F.count_if(rule))
+            if took >= 2 * empty or copies >= most:
+                break
+            copies *= 4
+            empty, _ = seconds(sample, copies)
+        cost = max(took - empty, 1e-3 * empty, 1e-9) / copies
+        rates[name] = (hit + copies) / (n + copies) / cost
     return sorted(rules, key=lambda k: -rates[k])
 
 

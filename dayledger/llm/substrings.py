@@ -11,8 +11,6 @@ are dropped there; the others are extended to the full width and compared by
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,7 +19,7 @@ from pyspark.sql import functions as F
 from dayledger.llm.shards import (
     at_most_twice, buckets_for, by_bucket, joined, packed, sharded, shards_for, text_slices, volume, with_shards,
 )
-from dayledger.llm.words import buffers, find_words, mix, pieces, rolling
+from dayledger.llm.words import buffers, find_words, mix, rolling
 
 # Perfect difference sets by period: every non-zero residue is the difference of one pair.
 COVERS = {1: (0,), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27)}
@@ -82,17 +80,18 @@ def dedup_substrings(docs: DataFrame, width: int = 35, key: str = "doc_id", text
     anchor_buckets = buckets_for(size / 6 * len(COVERS[v]) / v, 12)
     window_buckets = buckets_for(size / 12, 12)
 
-    def send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in pieces(whole, "text"):
-                words = find_words(*buffers(b.column("text")))
-                at, h = anchors(words, words.hashes(), width)
-                shard = np.repeat(b.column("shard").to_numpy(), words.counts)[at].astype(np.uint32)
-                keep = at_most_twice(h, shard)
-                h, shard = h[keep], shard[keep]
-                order, found, bounds = by_bucket(h, anchor_buckets)
-                keys, owners = packed([h[order], shard[order]], bounds)
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(keys, pa.binary()), pa.array(owners, pa.binary())], names=["bucket", "keys", "owners"])
+    def send_anchors(mine: pa.Table) -> pa.Table:
+        """At most two of a kind from a shard, however many of its documents quote a passage."""
+        hs = [np.zeros(0, np.uint64)]
+        for b in text_slices(mine):
+            words = find_words(*buffers(b.column("text")))
+            h = anchors(words, words.hashes(), width)[1]
+            hs.append(h[at_most_twice(h)])
+        h = np.concatenate(hs)
+        h = h[at_most_twice(h)]
+        order, found, bounds = by_bucket(h, anchor_buckets)
+        (keys,) = packed([h[order]], bounds)
+        return pa.table({"bucket": pa.array(found, pa.int32()), "shard": pa.array(np.full(len(found), mine["shard"][0].as_py()), pa.int32()), "keys": pa.array(keys, pa.binary())})
 
     def answer(h: np.ndarray, again: np.ndarray, owner: np.ndarray) -> pa.Table:
         h, owner = h[again], owner[again]
@@ -106,9 +105,9 @@ def dedup_substrings(docs: DataFrame, width: int = 35, key: str = "doc_id", text
         return pa.table({"shard": pa.array(who, pa.int32()), "keys": pa.array(keys, pa.binary())})
 
     def meet_anchors(t: pa.Table) -> pa.Table:
-        h, owner = joined(t["keys"], np.uint64)[0], joined(t["owners"], np.uint32)[0]
+        h, sizes = joined(t["keys"], np.uint64)
         _, at, count = np.unique(h, return_inverse=True, return_counts=True)
-        return answer(h, count[at] > 1, owner.astype(np.int32))
+        return answer(h, count[at] > 1, np.repeat(t["shard"].to_numpy(), sizes))
 
     def send_windows(mine: pa.Table, told: pa.Table) -> pa.Table:
         known = np.sort(joined(told["keys"], np.uint64)[0])
@@ -157,7 +156,7 @@ def dedup_substrings(docs: DataFrame, width: int = 35, key: str = "doc_id", text
         return pa.Table.from_batches(out) if out else None
 
     kind = docs.schema[key].dataType.simpleString()
-    sent = texts.mapInArrow(send_anchors, "bucket int, keys binary, owners binary")
+    sent = texts.groupBy("shard").applyInArrow(send_anchors, "bucket int, shard int, keys binary")
     told = sent.groupBy("bucket").applyInArrow(meet_anchors, "shard int, keys binary")
     sent = with_shards(texts, told, send_windows, "bucket int, shard int, keys binary, more binary")
     told = sent.groupBy("bucket").applyInArrow(meet_windows, "shard int, keys binary")
