@@ -34,6 +34,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     # Hash join in place of sort-merge where every shuffled partition of one side was measured to be small.
     spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
+    # rows of an Arrow batch: texts and vectors are long, and a batch stands in memory on both sides
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     sc = spark.sparkContext
     if sc.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
         spark.conf.set("spark.sql.shuffle.partitions", str(sc.defaultParallelism))
