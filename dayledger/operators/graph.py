@@ -59,29 +59,46 @@ def pagerank_converged(edges: DataFrame, tolerance: float, max_rounds: int = 200
     raise RuntimeError("ranks did not settle")
 
 
-def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """Smallest vertex id of each component: neighbours' minimum, then a jump to the label's label.
-
-    The jump halves distances, so the number of rounds grows with the
-    logarithm of the longest path. Hubs are met by partial minima.
+def components(edges: DataFrame) -> DataFrame:
+    """Smallest vertex id of each component, by contraction.
+
+    In a round each vertex points to the neighbour that comes first in a
+    random order, if that comes before itself, and follows the pointers four
+    steps. Edges are then drawn between the vertices reached; those within one
+    vertex go, and equal ones become one. The order is drawn anew each round,
+    so chains of pointers stay short and the edges shrink by a share of
+    themselves. Vertices of one round keep what they became; the chain of
+    these maps gives each vertex the one it ends in.
     """
-    both = materialize(
-        edges.select("src", "dst").unionAll(edges.select(F.col("dst"), F.col("src"))).distinct(), "undirected"
-    )
-    labels = materialize(both.groupBy(F.col("src").alias("id")).agg(F.min("dst").alias("m"))
-                         .select("id", F.least("id", "m").alias("comp")), "labels")
-    for _ in range(max_rounds):
-        near = both.join(labels, F.col("dst") == F.col("id")).groupBy("src").agg(F.min("comp").alias("m"))
-        step = labels.join(near, F.col("id") == F.col("src")).select(
-            "id", F.col("comp").alias("old"), F.least("comp", "m").alias("comp")
-        )
-        # the one write of a round; the jump below is worked out from it by the next round
-        step = materialize(step, "step")
-        if step.filter("comp <> old").isEmpty():
-            return step.select("id", "comp")
-        root = step.select(F.col("id").alias("r"), F.col("comp").alias("root"))
-        labels = step.join(root, F.col("comp") == F.col("r"), "left").select("id", F.least("comp", "root").alias("comp"))
-    raise RuntimeError("components did not settle")
+    links = edges.select("src", "dst")
+    links = materialize(links.filter("src <> dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).distinct(), "links")
+    maps: list[DataFrame] = []
+    while not links.isEmpty():
+        first = lambda c, n=len(maps): F.struct(F.xxhash64(c, F.lit(n)).alias("h"), F.col(c).alias("v"))
+        both = links.select("a", first("b").alias("f")).unionAll(links.select("b", first("a")))
+        least = both.groupBy(F.col("a").alias("id")).agg(F.min("f").alias("f"))
+        step = materialize(least.select("id", F.least("f", first("id")).getField("v").alias("to")), "pointers")
+        jump = step
+        for _ in range(2):
+            jump = jump.join(jump.toDF("mid", "end"), F.col("to") == F.col("mid")).select("id", F.col("end").alias("to"))
+        jump = materialize(jump, "reached")
+        maps.append(jump)
+        ends = jump.toDF("mid", "end")
+        drawn = links.join(ends, F.col("a") == F.col("mid")).select(F.col("end").alias("a"), "b").join(ends, F.col("b") == F.col("mid")).select("a", F.col("end").alias("b"))
+        # one that was reached but points on stays tied to where it went
+        went = jump.filter("id <> to").join(jump.select(F.col("to").alias("id")).distinct(), "id", "left_semi").toDF("a", "b")
+        drawn = drawn.unionAll(went).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        links = materialize(drawn, "links")
+    alone = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    if not maps:
+        return alone.select("id", F.col("id").alias("comp"))
+    known = maps[-1]
+    for earlier in reversed(maps[:-1]):
+        ends = known.toDF("mid", "end")
+        known = earlier.join(ends, F.col("to") == F.col("mid"), "left").select("id", F.coalesce("end", "to").alias("to"))
+    known = materialize(known, "roots")
+    names = known.groupBy("to").agg(F.min("id").alias("comp"))
+    return materialize(alone.join(known, "id", "left").join(names, "to", "left").select("id", F.coalesce("comp", "id").alias("comp")), "components")
 
 
 def triangles(edges: DataFrame) -> DataFrame:

@@ -48,3 +48,26 @@ def column_cosines(vectors: DataFrame) -> DataFrame:
     return g.filter("i < j").join(left, "i").join(right, "j").select(
         "i", "j", (F.col("x") / (F.col("ni") * F.col("nj"))).alias("cosine")
     )
+
+
+def sampled_column_cosines(vectors: DataFrame, width: int, threshold: float, accuracy: float = 2.0) -> DataFrame:
+    """(i, j, cosine, sigma): column cosines from a sample of the entries, and the deviation that each estimate may have.
+
+    ``vectors`` are (id, v). An entry of a column of norm n is kept with the probability min(1, r / n), by a hash of its place,
+    and weighs the more for it; r grows with ``accuracy``, the logarithm of the width and the inverse of the threshold. So
+    a dense column gives about r entries a unit of its norm, whatever its length, and a pair above the threshold is met often.
+    """
+    reach = float(np.sqrt(accuracy * np.log(max(width, 2)) / threshold))
+    entries = vectors.select("id", F.posexplode("v").alias("i", "x"))
+    norms = entries.groupBy("i").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    by_column = norms.agg(F.array_sort(F.collect_list(F.struct("i", "norm"))).getField("norm").alias("norms"))  # one number a column
+    keep = lambda i: F.least(F.lit(1.0), F.lit(reach) / F.element_at("norms", i + 1))
+    drawn = lambda i: F.pmod(F.xxhash64("id", i), F.lit(1 << 40)) / F.lit(float(1 << 40)) < keep(i)
+    weigh = lambda x, i: F.when(drawn(i), x / F.element_at("norms", i + 1) / keep(i)).otherwise(0.0)
+    # the norms, one number a column, go to the tasks as a constant
+    columns = F.array(*[F.lit(float(x)) for x in by_column.first()[0]])
+    sampled = vectors.withColumn("norms", columns).select(F.transform("v", weigh).alias("v"))
+    pairs = gram(sampled).filter("i < j").select("i", "j", F.col("x").alias("cosine"))
+    # variance of a sum of independently kept products: their squares times (1 / p - 1), estimated from those kept
+    squares = gram(sampled.select(F.transform("v", lambda x: x * x).alias("v"))).filter("i < j").select("i", "j", F.sqrt("x").alias("sigma"))
+    return pairs.join(squares, ["i", "j"])

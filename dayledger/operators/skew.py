@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dayledger.session import HOT_ROWS_DEFAULT, HOT_ROWS_KEY, materialize
+
 
 def salted_agg(
     df: DataFrame,
@@ -24,15 +26,27 @@ def salted_agg(
     return first.groupBy(*keys).agg(*[c.alias(n) for n, c in final.items()])
 
 
-def salted_join(
-    big: DataFrame, small: DataFrame, key: str, salt_on: Sequence[str], salts: int = 16, how: str = "inner"
-) -> DataFrame:
-    """Equi join whose big side spreads each key over ``salts`` tasks; the other side is repeated.
+def hot_salts(big: DataFrame, key: str, rows: int) -> DataFrame:
+    """(key, salts) of the keys of more than ``rows`` rows, one salt for each so many. At most rows of ``big`` / rows: written, so counted once."""
+    counts = big.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows)
+    return materialize(counts.select(F.col(key).alias("_hot"), F.ceil(F.col("_n") / rows).cast("int").alias("_salts")), "hot-salts")
+
+
+def salted_sides(big: DataFrame, small: DataFrame, key: str, salt_on: Sequence[str], rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_salt``: rows of hot keys are dealt over their salts, and only their partners are repeated."""
+    hot = hot_salts(big, key, rows)
+    salts = F.coalesce("_salts", F.lit(1))
+    left = big.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_on), salts).cast("int"))
+    right = small.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return left.drop("_hot", "_salts"), right.drop("_hot", "_salts")
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, salt_on: Sequence[str], how: str = "inner", rows: int | None = None) -> DataFrame:
+    """Equi join whose big side spreads its hot keys, those of more than ``rows`` rows, over several tasks.
 
     ``how`` may be ``inner`` or ``left``: the repeated side must not be kept on its own.
     """
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(salts)))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    left, right = salted_sides(big, small, key, salt_on, rows or int(big.sparkSession.conf.get(HOT_ROWS_KEY, str(HOT_ROWS_DEFAULT))))
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 

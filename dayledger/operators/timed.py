@@ -36,20 +36,28 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, time: str, carry: str
     return joined.withColumn(carry, F.coalesce("_here", "_brought")).select(*cols, carry)
 
 
-def range_join(
-    points: DataFrame, at: str, ranges: DataFrame, start: str, end: str, bucket: str = "month"
-) -> DataFrame:
-    """Points with the ranges ``start <= at < end`` that hold them, on an equi key of time buckets.
+def band_join(points: DataFrame, at: Column, bands: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Points with the bands ``start <= at < end`` that hold them, on an equi key of dyadic cells.
 
-    A range is repeated once per bucket it touches, a point has one bucket:
-    a hash join with a residual test in place of a nested loop.
+    A band belongs to the least power of two that is as wide as itself, and
+    meets at most two cells of that width. A point has one cell for each width
+    that some band uses, so for one if the bands are alike, and for a few dozen
+    at most. Empty and reversed bands, and nulls, hold nothing.
     """
-    first, final = F.date_trunc(bucket, start), F.date_trunc(bucket, end)
-    steps = F.sequence(first, final, F.expr(f"interval 1 {bucket}"))
-    r = ranges.withColumn("_bucket", F.explode(steps))
-    p = points.withColumn("_bucket", F.date_trunc(bucket, at))
-    inside = (p["_bucket"] == r["_bucket"]) & (F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))
-    return p.join(r, inside).drop(p["_bucket"]).drop(r["_bucket"])
+    wide = bands.filter(start < end).withColumn("_level", F.ceil(F.log2((end - start).cast("double"))).cast("int"))
+    cell = lambda x: F.floor(x.cast("double") / F.pow(F.lit(2.0), F.col("_level")))
+    placed = wide.withColumn("_cell", F.explode(F.array_distinct(F.array(cell(start), cell(end)))))
+    levels = [r[0] for r in wide.select("_level").distinct().collect()]  # bounded by the exponents of a double
+    spread = points.withColumn("_level", F.explode(F.lit(levels).cast("array<int>"))).withColumn("_cell", cell(at))
+    return spread.join(placed, ["_level", "_cell"]).filter((at >= start) & (at < end)).drop("_level", "_cell")
+
+
+def range_join(points: DataFrame, at: str, ranges: DataFrame, start: str, end: str) -> DataFrame:
+    """Points with the ranges of time ``start <= at < end`` that hold them: a band join on microseconds."""
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    p = points.withColumn("_at", micros(at))
+    r = ranges.withColumns({"_start": micros(start), "_end": micros(end)})
+    return band_join(p, F.col("_at"), r, F.col("_start"), F.col("_end")).drop("_at", "_start", "_end")
 
 
 def sessions(df: DataFrame, key: str, time: str, gap_seconds: int, measures: dict[str, tuple[Column, str]]) -> DataFrame:

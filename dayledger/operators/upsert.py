@@ -1,15 +1,14 @@
-"""Keyed Parquet tables: read the rows a batch touches, replace by key, swap in a new version."""
+"""Keyed Parquet tables: read the rows a batch touches, merge by key, overwrite their partitions."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.operators.skew import latest_per_key
-from dayledger.session import TASK_ROWS, materialize, parts_for, scratch
+from dayledger.session import materialize, scratch, shuffle_parts
 
 
 def target_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -23,89 +22,64 @@ def merge_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Da
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
+PART = "_part"
+
+
 class KeyedTable:
-    """A table with a unique key, as Parquet folders by a hash of the key.
+    """A Parquet table with a unique key, partitioned by a hash of the key.
 
-    A write makes new folders for the hash values that its rows have, and then
-    one small file ``versions/v=<n>`` that names the folder of every hash
-    value. That file counts as a whole or not at all, so a reader sees the old
-    table or the new one. Other folders are neither read nor written. How many
-    there are follows from the rows of the last whole write.
+    An upsert reads the partitions of its keys, writes the merged rows aside,
+    and then overwrites those partitions; the others are neither read nor
+    written. The number of partitions stays for the life of the table, like a
+    bucket count. One writer at a time; a failed upsert is run again.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], schema: str, folder_rows: int = TASK_ROWS):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], schema: str, parts: int | None = None):
         self.spark, self.path, self.keys, self.schema = spark, path.rstrip("/"), list(keys), schema
-        self.folder_rows = folder_rows
+        self.parts = parts or shuffle_parts(spark)
+        # an empty table to read where there is none yet
+        self._placed(spark.createDataFrame([], schema)).write.mode("ignore").partitionBy(PART).parquet(self.path)
 
     @classmethod
-    def temporary(cls, spark: SparkSession, name: str, keys: Sequence[str], schema: str, folder_rows: int = TASK_ROWS) -> KeyedTable:
-        return cls(spark, scratch(spark, name), keys, schema, folder_rows)
-
-    def _versions(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema("folders long, hash long, folder string, v long").option("basePath", f"{self.path}/versions").parquet(f"{self.path}/versions")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-
-    def version(self) -> int:
-        """Newest finished version, 0 if there is none."""
-        seen = self._versions()
-        return 0 if seen is None else seen.agg(F.max("v")).first()[0] or 0
-
-    def folders(self) -> tuple[int, int, dict[int, str]]:
-        """Newest version, its number of hash values, and the folder of each that has rows."""
-        v = self.version()
-        if v == 0:
-            return 0, 0, {}
-        rows = self._versions().filter(F.col("v") == v).collect()  # one row for each folder
-        return v, rows[0].folders, {r.hash: r.folder for r in rows if r.folder is not None}
-
-    def _read(self, folders: Sequence[str]) -> DataFrame:
-        if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{f}" for f in sorted(folders)])
+    def temporary(cls, spark: SparkSession, name: str, keys: Sequence[str], schema: str, parts: int | None = None) -> KeyedTable:
+        return cls(spark, scratch(spark, name), keys, schema, parts)
 
-    def read(self) -> DataFrame:
-        return self._read(list(self.folders()[2].values()))
+    def _placed(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(PART, F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("int"))
+
+    def _stored(self) -> DataFrame:
+        return self.spark.read.schema(f"{self.schema}, {PART} int").parquet(self.path)
 
-    def _hash(self, n: int) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(n))
+    def _touched(self, batch: DataFrame) -> DataFrame:
+        """Stored rows of the partitions that the keys of the batch belong to; their numbers are bounded by ``parts``."""
+        numbers = [r[0] for r in self._placed(batch.select(*self.keys)).select(PART).distinct().collect()]
+        return self._stored().filter(F.col(PART).isin(numbers)).drop(PART)
+
+    def _write(self, df: DataFrame, mode: str) -> None:
+        spread = self._placed(df.select(*self._columns())).repartition(PART)
+        spread.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(PART).parquet(self.path)
+
+    def _columns(self) -> list[str]:
+        return [c for c in self._stored().columns if c != PART]
+
+    def read(self) -> DataFrame:
+        return self._stored().drop(PART)
 
     def rows_for(self, batch: DataFrame) -> DataFrame:
-        """Stored rows whose key is in the batch, from the folders of those keys."""
-        _, n, known = self.folders()
-        if not n:
-            return self._read([])
-        touched = {r[0] for r in batch.select(self._hash(n)).distinct().collect()}  # at most one for each folder
-        return target_rows(self._read([f for h, f in known.items() if h in touched]), batch, self.keys)
-
-    def _write(self, df: DataFrame, version: int, n: int, kept: dict[int, str]) -> None:
-        spread = df.withColumn("_hash", self._hash(n))
-        data = f"data/v{version:08d}"
-        # overwrite: an unfinished attempt of this version may have left files
-        spread.repartition(n, "_hash").write.mode("overwrite").partitionBy("_hash").parquet(f"{self.path}/{data}")
-        made = self.spark.read.schema(f"{self.schema}, _hash long").parquet(f"{self.path}/{data}").select("_hash").distinct().collect()
-        folders = kept | {r[0]: f"{data}/_hash={r[0]}" for r in made}
-        rows = [(n, h, f) for h, f in folders.items()] or [(n, None, None)]
-        listed = self.spark.createDataFrame(rows, "folders long, hash long, folder string")
-        # refused if another writer was first with this version
-        listed.coalesce(1).write.mode("error").parquet(f"{self.path}/versions/v={version}")
+        """Stored rows whose key is in the batch."""
+        return target_rows(self._touched(batch), batch, self.keys)
 
     def replace(self, df: DataFrame) -> None:
-        """The whole table anew; the rows must have unique keys."""
-        df = materialize(df, "replace")
-        self._write(df, self.version() + 1, parts_for(df, self.folder_rows), {})
+        """The whole table anew; the rows must have unique keys and not come from the table."""
+        self._write(df, "static")
 
     def _change(self, batch: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        if self._stored().isEmpty():
+            self._write(merge(self.read(), batch), "dynamic")
+            return
         batch = materialize(batch, "batch")
-        v, n, known = self.folders()
-        n = n or parts_for(batch, self.folder_rows)
-        touched = {r[0] for r in batch.select(self._hash(n)).distinct().collect()}
-        if touched or not v:
-            old = self._read([f for h, f in known.items() if h in touched])
-            self._write(merge(old, batch), v + 1, n, {h: f for h, f in known.items() if h not in touched})
+        # written aside first: the partitions that are read are those that are overwritten
+        self._write(materialize(merge(self._touched(batch), batch), "merged"), "dynamic")
 
     def upsert(self, batch: DataFrame) -> None:
         self._change(batch, lambda old, new: merge_by_key(old, new, self.keys))

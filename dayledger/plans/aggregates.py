@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dayledger.operators.selection import quantiles
 from dayledger.operators.skew import salted_agg
 from dayledger.plans.joins import LIST_BLOCK, WORDS_SQL, words
 from dayledger.registry import query
@@ -73,14 +74,34 @@ def agg_approx_distinct(spark: SparkSession, d: str) -> DataFrame:
     "agg_percentile_approx",
     """
 SELECT l_returnflag, quantile_disc(l_quantity, 0.25) AS q25, quantile_disc(l_quantity, 0.5) AS q50,
-       quantile_disc(l_quantity, 0.9) AS q90 FROM lineitem GROUP BY 1
+       quantile_disc(l_quantity, 0.9) AS q90, round(quantile_cont(l_extendedprice, 0.25), 4) AS p25,
+       round(quantile_cont(l_extendedprice, 0.5), 4) AS p50, round(quantile_cont(l_extendedprice, 0.9), 4) AS p90, true AS near
+FROM lineitem GROUP BY 1
 """,
 )
 def agg_percentile_approx(spark: SparkSession, d: str) -> DataFrame:
-    """Sketch percentiles; the column has fewer values than the accuracy, so they are exact here."""
-    q = F.percentile_approx("l_quantity", [0.25, 0.5, 0.9], 10000)
-    per = table(spark, d, "lineitem").groupBy("l_returnflag").agg(q.alias("q"))
-    return per.select("l_returnflag", *[F.col("q")[i].alias(n) for i, n in enumerate(("q25", "q50", "q90"))])
+    """Sketch percentiles of the quantity, which has fewer values than the accuracy, so that they are exact; percentiles of
+    the price, exactly, by selection of ranks. Near: the sketch of the price lies within its bound of rows of the exact one."""
+    li = table(spark, d, "lineitem")
+    shares = [0.25, 0.5, 0.9]
+    q = F.percentile_approx("l_quantity", shares, 10000)
+    p = F.percentile_approx("l_extendedprice", shares, 1000)
+    per = li.groupBy("l_returnflag").agg(q.alias("q"), p.alias("p"), F.count("*").alias("n"))
+    exact = quantiles(li, "l_returnflag", F.col("l_extendedprice"), F.concat("l_orderkey", F.lit("/"), "l_linenumber"), shares)
+    exact = exact.groupBy(F.col("of").alias("l_returnflag")).agg(*[F.max(F.when(F.col("share") == x, F.col("value"))).alias(f"p{round(100 * x)}") for x in shares])
+    both = materialize(per.join(exact, "l_returnflag"), "percentiles")
+    # rows between the sketch and the exact value
+    lows = [F.least(F.col("p")[i], F.col(f"p{round(100 * x)}")) for i, x in enumerate(shares)]
+    highs = [F.greatest(F.col("p")[i], F.col(f"p{round(100 * x)}")) for i, x in enumerate(shares)]
+    price = F.col("l_extendedprice")
+    met = li.select("l_returnflag", "l_extendedprice").join(F.broadcast(both), "l_returnflag")
+    between = met.groupBy("l_returnflag").agg(*[F.count_if((price > a) & (price < b)).alias(f"b{i}") for i, (a, b) in enumerate(zip(lows, highs, strict=True))])
+    out = both.join(between, "l_returnflag")
+    near = F.greatest("b0", "b1", "b2") <= F.col("n") / 1000 + 1
+    return out.select(
+        "l_returnflag", *[F.col("q")[i].alias(n) for i, n in enumerate(("q25", "q50", "q90"))],
+        *[F.round(c, 4).alias(c) for c in ("p25", "p50", "p90")], near.alias("near"),
+    )
 
 
 @query(
@@ -312,10 +333,20 @@ UNION ALL SELECT 'mean', round(avg(c_custkey), 4), round(avg(c_acctbal), 4), NUL
 UNION ALL SELECT 'stddev', round(stddev_samp(c_custkey), 4), round(stddev_samp(c_acctbal), 4), NULL FROM c
 UNION ALL SELECT 'min', min(c_custkey), min(c_acctbal), min(c_mktsegment) FROM c
 UNION ALL SELECT 'max', max(c_custkey), max(c_acctbal), max(c_mktsegment) FROM c
+UNION ALL SELECT '25%', round(quantile_cont(c_custkey, 0.25), 4), round(quantile_cont(c_acctbal, 0.25), 4), NULL FROM c
+UNION ALL SELECT '50%', round(quantile_cont(c_custkey, 0.5), 4), round(quantile_cont(c_acctbal, 0.5), 4), NULL FROM c
+UNION ALL SELECT '75%', round(quantile_cont(c_custkey, 0.75), 4), round(quantile_cont(c_acctbal, 0.75), 4), NULL FROM c
 """,
 )
 def describe_table(spark: SparkSession, d: str) -> DataFrame:
-    s = table(spark, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment").summary("count", "mean", "stddev", "min", "max")
+    """Summary with exact quartiles: the columns go under each other, and ranks are selected in all of them at once."""
+    c = table(spark, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    numbers = ("c_custkey", "c_acctbal")
+    long = c.select(F.col("c_custkey").alias("id"), F.explode(F.array(*[F.struct(F.lit(n).alias("of"), F.col(n).cast("double").alias("x")) for n in numbers])).alias("e"))
+    found = quantiles(long.select("id", "e.of", "e.x"), "of", F.col("x"), F.col("id"), [0.25, 0.5, 0.75])
+    label = F.concat(F.round(F.col("share") * 100).cast("int"), F.lit("%")).alias("summary")
+    quarters = found.groupBy(label).agg(*[F.max(F.when(F.col("of") == n, F.col("value"))).alias(n) for n in numbers], F.lit(None).cast("string").alias("c_mktsegment"))
+    s = c.summary("count", "mean", "stddev", "min", "max").unionByName(quarters.select("summary", *[F.col(n).cast("string") for n in numbers], "c_mktsegment"))
     return s.select("summary", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in ("c_custkey", "c_acctbal")], "c_mktsegment")
 
 
@@ -337,9 +368,17 @@ def crosstab_pairs(spark: SparkSession, d: str) -> DataFrame:
     "HAVING count(*) >= 0.0007 * (SELECT count(*) FROM lineitem)",
 )
 def frequent_items(spark: SparkSession, d: str) -> DataFrame:
-    """Exact: the total comes from the counts, not from another scan of the lines."""
-    counts = materialize(table(spark, d, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("n")), "part-counts")
-    return counts.filter(F.col("n") >= 0.0007 * counts.select(F.sum("n")).scalar())
+    """Heavy values from a counter sketch, then their exact counts.
+
+    The sketch keeps a bounded number of counters, whatever the number of distinct values, and misses no value above its
+    support; the candidates, at most the inverse of that, are then counted exactly.
+    """
+    keys = table(spark, d, "lineitem").select("l_partkey")
+    share = 0.0007
+    heavy = keys.freqItems(["l_partkey"], support=0.9 * share).select(F.explode("l_partkey_freqItems").alias("l_partkey"))
+    heavy = materialize(heavy.distinct(), "candidates")
+    counts = keys.join(F.broadcast(heavy), "l_partkey", "left_semi").groupBy("l_partkey").agg(F.count("*").alias("n"))
+    return counts.filter(F.col("n") >= share * keys.agg(F.count("*")).scalar())
 
 
 @query(

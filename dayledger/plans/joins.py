@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayledger.operators.skew import salted_join
-from dayledger.operators.timed import asof_join, range_join
+from dayledger.operators.timed import band_join, asof_join, range_join
 from dayledger.registry import query
-from dayledger.session import parts_for, small_side, table
+from dayledger.session import small_side, table
 from dayledger.sources import inputs as I
 
 LARGE = 450000
@@ -109,17 +109,14 @@ JOIN region ON o_totalprice >= r_regionkey * 100000 AND o_totalprice < (r_region
 """,
 )
 def join_theta(spark: SparkSession, d: str) -> DataFrame:
-    """Price bands, one per region row. Bands and prices meet on price cells as wide as the narrowest band, and the
-    comparison decides inside a cell: an equal join, whatever the number of bands."""
+    """Price bands, one per region row. A band lies in at most two cells of a power of two as wide as itself, a price in
+    one cell of each width in use, and the comparison decides inside a cell: an equal join, whatever the widths."""
     bands = table(spark, d, "region").select(
         F.col("r_name").alias("band"), (F.col("r_regionkey") * 100000).alias("lo"),
         ((F.col("r_regionkey") + 1) * 100000).alias("hi"),
     )
     price = F.col("o_totalprice")
-    width = F.lit(float(bands.select(F.min(F.col("hi") - F.col("lo"))).first()[0] or 1))
-    bands = bands.withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))))
-    o = table(spark, d, "orders").select("o_totalprice", F.floor(price / width).alias("cell"))
-    hit = o.join(small_side(bands), "cell").filter((price >= F.col("lo")) & (price < F.col("hi")))
+    hit = band_join(table(spark, d, "orders").select("o_totalprice"), price, bands, F.col("lo"), F.col("hi"))
     return hit.groupBy("band").agg(F.count("*").alias("n"), F.round(F.sum(price), 2).alias("total"))
 
 
@@ -202,10 +199,10 @@ FROM events JOIN customer ON user_id = c_custkey GROUP BY ALL
 """,
 )
 def join_skewed(spark: SparkSession, d: str) -> DataFrame:
-    """Salted: one user's events go to several tasks, the customer row is repeated for each."""
+    """Salted: a hot user's events go to several tasks, and only the customer rows of hot users are repeated."""
     e = table(spark, d, "events").select(F.col("user_id").alias("c_custkey"), "event_id", "event_type", "value")
     c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    j = salted_join(e, c, "c_custkey", ["event_id"], parts_for(e))
+    j = salted_join(e, c, "c_custkey", ["event_id"])
     return j.groupBy("c_mktsegment", "event_type").agg(
         F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")
     )
@@ -243,7 +240,7 @@ def join_range(spark: SparkSession, d: str) -> DataFrame:
         F.min(at).alias("lo"), (F.max(at) + F.expr("interval 1 day")).alias("hi")
     )
     lines = I.lineitem(spark, d).select("l_shipdate", "l_quantity")
-    hit = range_join(lines, "l_shipdate", periods, "lo", "hi", "month")
+    hit = range_join(lines, "l_shipdate", periods, "lo", "hi")
     return hit.groupBy("period").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
 
 

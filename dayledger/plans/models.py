@@ -496,7 +496,19 @@ def ml_fp_growth(spark: SparkSession, d: str) -> DataFrame:
     return sets.unionAll(rules)
 
 
-@query("ml_prefix_span")
+@query(
+    "ml_prefix_span",
+    """
+WITH RECURSIVE s AS MATERIALIZED (SELECT user_id, ts::DATE AS d, hour(ts) // 6 AS q, list_sort(list(DISTINCT event_type)) AS k
+  FROM events GROUP BY ALL),
+o AS MATERIALIZED (SELECT user_id, d, q, list_filter(k, lambda x, i: (m >> (i - 1)) & 1 = 1) AS p
+  FROM s, LATERAL (SELECT unnest(range(1, 1 << len(k))) AS m)),
+r AS (SELECT user_id, d, q, [p] AS pattern FROM o
+  UNION ALL SELECT r.user_id, r.d, o.q, list_append(pattern, p) FROM r JOIN o ON o.user_id = r.user_id AND o.d = r.d AND o.q > r.q),
+f AS (SELECT pattern, count(*) AS freq FROM (SELECT DISTINCT user_id, d, pattern FROM r) GROUP BY 1)
+SELECT to_json(pattern)::VARCHAR AS pattern, freq FROM f WHERE freq >= 0.05 * (SELECT count(*) FROM (SELECT DISTINCT user_id, d FROM s))
+""",
+)
 def ml_prefix_span(spark: SparkSession, d: str) -> DataFrame:
     """A user's day as four sets of event types; such a sequence has a fixed largest size."""
     quarter = F.floor(F.hour("ts") / 6).alias("q")
@@ -506,7 +518,7 @@ def ml_prefix_span(spark: SparkSession, d: str) -> DataFrame:
     days = sets.groupBy("user_id", "day").agg(F.array_sort(F.collect_list(F.struct("q", "kinds"))).alias("s"))
     seq = days.select(F.col("s.kinds").alias("sequence"))
     found = PrefixSpan(minSupport=0.05).findFrequentSequentialPatterns(seq)
-    return found.select(F.to_json("sequence").alias("pattern"), "freq")
+    return found.select(F.to_json(F.transform("sequence", lambda x: F.array_sort(x))).alias("pattern"), "freq")
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dayledger.operators.hot import number_rows
 from dayledger.plans.rows import LATE_ORDERS_SQL, late_orders
 from dayledger.registry import query
 from dayledger.session import table
@@ -17,23 +18,28 @@ def sort_multi(spark: SparkSession, d: str) -> DataFrame:
     return o.orderBy(F.asc("o_orderstatus"), F.desc("o_totalprice"), "o_orderkey")
 
 
-NULL_PLACES = {
-    "asc_first": F.asc_nulls_first, "asc_last": F.asc_nulls_last, "desc_first": F.desc_nulls_first, "desc_last": F.desc_nulls_last,
-}
-FIRST_OF = "SELECT '{n}' AS place, * FROM (SELECT c_custkey, top_status, top_price FROM {t} ORDER BY top_price {o}, c_custkey LIMIT 50)"
+NULL_PLACES = ("asc_first", "asc_last", "desc_first", "desc_last")
+PLACED = "SELECT '{n}' AS place, c_custkey, top_status, top_price, row_number() OVER (ORDER BY top_price {o}, c_custkey) AS at FROM {t}"
 
 
 @query(
     "sort_nulls",
-    " UNION ALL ".join(
-        FIRST_OF.format(n=n, t=LATE_ORDERS_SQL, o=n.upper().replace("_", " NULLS ")) for n in NULL_PLACES
-    ),
+    " UNION ALL ".join(PLACED.format(n=n, t=LATE_ORDERS_SQL, o=n.upper().replace("_", " NULLS ")) for n in NULL_PLACES),
 )
 def sort_nulls(spark: SparkSession, d: str) -> DataFrame:
-    """The first rows in each of the four null orders: a report of top rows, so that the order shows in the result."""
+    """All rows in each of the four null orders, with their place in it.
+
+    The order is written as plain columns, whether a row has a price and the price with its sign, so that one sort by
+    ranges gives the places of all four.
+    """
     df = late_orders(spark, d).select("c_custkey", "top_status", "top_price")
-    tops = [df.orderBy(by("top_price"), "c_custkey").limit(50).select(F.lit(n).alias("place"), "*") for n, by in NULL_PLACES.items()]
-    return tops[0].unionAll(tops[1]).unionAll(tops[2]).unionAll(tops[3])
+    ways = []
+    for name in NULL_PLACES:
+        down, last = name.startswith("desc"), name.endswith("last")
+        none = F.col("top_price").isNull()
+        ways.append(F.struct(F.lit(name).alias("place"), (none if last else ~none).alias("late"), (-F.col("top_price") if down else F.col("top_price")).alias("by")))
+    every = df.select("*", F.explode(F.array(*ways)).alias("w")).select(*df.columns, "w.*")
+    return number_rows(every, ["place"], ["late", "by", "c_custkey"], "at").select("place", *df.columns, "at")
 
 
 @query(

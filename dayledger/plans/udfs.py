@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dayledger.operators.hot import SLICE, by_ranges, call_bucket, spread
+from dayledger.operators.hot import CALL_ROWS, SLICE, by_ranges, call_bucket, spread
+from dayledger.operators.skew import hot_salts
 from dayledger.plans.files import new_name
 from dayledger.registry import query
-from dayledger.session import materialize, parts_for, scratch, small_side, table
+from dayledger.session import materialize, scratch, small_side, table
 from dayledger.sources import inputs as I
 
 
@@ -102,14 +103,16 @@ def count_rows(value: pd.Series) -> float:
 def udaf_pandas(spark: SparkSession, d: str) -> DataFrame:
     """The Python aggregate in two steps for every key: means and counts of blocks of a key, then their weighted mean.
 
-    A key's rows go to as many blocks as the table fills tasks, so no call sees more than a task's share.
+    A key has a block for each ``CALL_ROWS`` of its own rows, so no call sees more, and a key of few rows is one block.
     """
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    block = F.pmod(F.xxhash64("o_orderkey"), F.lit(parts_for(o))).alias("_block")
+    big = hot_salts(o, "o_custkey", CALL_ROWS)
+    o = o.join(F.broadcast(big), F.col("o_custkey") == F.col("_hot"), "left")
+    block = F.pmod(F.xxhash64("o_orderkey"), F.coalesce("_salts", F.lit(1))).alias("_block")
     parts = spread(o.select("o_custkey", "o_totalprice", block), "o_custkey", "_block").groupBy("o_custkey", "_block").agg(
         weighted_mean("o_totalprice", F.lit(1.0)).alias("m"), count_rows("o_totalprice").alias("w")
     )
-    mean = weighted_mean("m", "w") if parts_for(o) > 1 else F.first("m")
+    mean = weighted_mean("m", "w")
     return spread(parts, "o_custkey").groupBy("o_custkey").agg(F.round(mean, 6).alias("mean"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dayledger.operators.hot import SLICE, by_ranges, framed, hot_rows, number_rows, with_slice_totals
+from dayledger.operators.hot import SLICE, by_ranges, framed, hot_rows, number_rows, ranked, with_slice_totals
 from dayledger.operators.timed import sessions
 from dayledger.registry import query
 from dayledger.session import materialize, table
@@ -24,13 +24,8 @@ def _numbered(df: DataFrame) -> DataFrame:
     return number_rows(df, [KEY], ORDER)
 
 
-def _with_dates(df: DataFrame) -> DataFrame:
-    """Numbered rows with what rows of one key and date share: their first and last number and the number of the date."""
-    numbered = materialize(_numbered(df), "numbered")
-    dates = numbered.groupBy(KEY, "o_orderdate").agg(F.min("_rn").alias("_first"), F.max("_rn").alias("_last"))
-    dates = materialize(number_rows(dates, [KEY], ["o_orderdate"], "_date_no").drop("_size"), "dates")
-    dates = dates.withColumnsRenamed({KEY: "_k", "o_orderdate": "_d"})
-    return numbered.join(dates, numbered[KEY].eqNullSafe(dates["_k"]) & numbered["o_orderdate"].eqNullSafe(dates["_d"]))
+def _ranked(df: DataFrame) -> DataFrame:
+    return ranked(df, KEY, "o_orderdate", ["o_orderkey"])
 
 
 @query(
@@ -42,9 +37,8 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate)
 """,
 )
 def win_rank(spark: SparkSession, d: str) -> DataFrame:
-    """Ranks follow from row numbers: of the first row of a date, and of the date among dates."""
-    df = _with_dates(_orders(spark, d))
-    return df.select("o_orderkey", KEY, *[F.col(c).cast("int").alias(n) for c, n in (("_rn", "rn"), ("_first", "rk"), ("_date_no", "dr"))])
+    df = _ranked(_orders(spark, d))
+    return df.select("o_orderkey", KEY, *[F.col(c).cast("int").alias(n) for c, n in (("_rn", "rn"), ("_first", "rk"), ("_dense", "dr"))])
 
 
 @query(
@@ -56,7 +50,7 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate)
 """,
 )
 def win_distribution(spark: SparkSession, d: str) -> DataFrame:
-    df = _with_dates(_orders(spark, d))
+    df = _ranked(_orders(spark, d))
     n, rn0 = F.col("_size"), F.col("_rn") - 1
     # the first n % 4 tiles hold one row more
     size, more = F.floor(n / 4), n % 4

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from dayledger.operators.upsert import KeyedTable
@@ -14,7 +15,7 @@ from dayledger.plans.files import new_name
 from dayledger.plans.joins import WORDS_SQL, words
 from dayledger.plans.windows import SESSION_SQL
 from dayledger.registry import query
-from dayledger.session import scratch, setting, small_side, table
+from dayledger.session import materialize, scratch, setting, small_side, table
 from dayledger.sources import inputs as I
 from dayledger.streaming.feed import (
     closing_event,
@@ -226,26 +227,57 @@ def stream_union(spark: SparkSession, d: str) -> DataFrame:
     return drain_complete(one.groupBy("event_type").agg(F.count("*").alias("n")), "union")
 
 
+# a store in the files of each task, which keyed state variables need
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class RunningBalance(StatefulProcessor):
+    """Balance and number of orders of a customer; the balance may be given before the first order."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = handle.getValueState("held", "balance double, n long")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.held.update((float(initialState["balance"].iloc[0]), 0))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        balance, n = self.held.get() if self.held.exists() else (0.0, 0)
+        for r in rows:
+            balance, n = balance + float(r["price"].sum()), n + len(r)
+        self.held.update((balance, n))
+        yield pd.DataFrame({"c_custkey": [key[0]], "balance": [balance], "n": [n]})
+
+    def close(self) -> None:
+        pass
+
+
 @query(
     "stream_state_sum",
-    f"""
-SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
-  SELECT word, 1 AS n FROM ({WORDS_SQL.format(cols='', table='documents')}) WHERE word <> ''
-  UNION ALL SELECT word, 100 FROM (SELECT DISTINCT word FROM ({WORDS_SQL.format(cols='', table='benchmark')})) WHERE word <> '')
-GROUP BY word
+    """
+SELECT c_custkey, round(c_acctbal + coalesce(total, 0), 2) AS balance, coalesce(n, 0) AS n
+FROM customer LEFT JOIN (SELECT o_custkey, sum(o_totalprice) AS total, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey
 """,
 )
 def stream_state_sum(spark: SparkSession, d: str) -> DataFrame:
-    """Running totals that begin from a start state, which is the first batch; the texts come in two more."""
-    start = words(table(spark, d, "benchmark")).distinct().withColumn("n", F.lit(100).cast("long"))
-    docs = table(spark, d, "documents")
-    fresh = [words(docs.filter(F.pmod("doc_id", F.lit(2)) == i)).withColumn("n", F.lit(1).cast("long")) for i in (0, 1)]
+    """Running balances of customers, whose state begins with what the account holds. The orders come in three parts, and the
+    stream starts anew for each. Start values enter as state, not as rows: customers without orders are never put out, and
+    stand as they began."""
+    start = table(spark, d, "customer").select("c_custkey", F.col("c_acctbal").alias("balance"), F.lit(0).cast("long").alias("n"))
+    start = materialize(start, "start-state")
+    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("price"), "o_orderkey")
+    parts = [orders.filter(F.pmod("o_orderkey", F.lit(3)) == i).drop("o_orderkey") for i in range(3)]
     out = scratch(spark, "state_sum")
 
     def run(rows: DataFrame, checkpoint: str) -> DataFrame:
-        return drain_update(rows.groupBy("word").agg(F.sum("n").alias("n")), "state_sum", ["word"], checkpoint, out)
+        sums = rows.groupBy("c_custkey").transformWithStateInPandas(
+            RunningBalance(), "c_custkey long, balance double, n long", "Update", "None", initialState=start.groupBy("c_custkey")
+        )
+        return drain_update(sums, "state_sum", ["c_custkey"], checkpoint, out)
 
-    return in_steps([start, *fresh], "start_state", run)[-1]
+    with setting(spark, "spark.sql.streaming.stateStore.providerClass", ROCKS):
+        sums = in_steps(parts, "running_balance", run)[-1]
+    every = sums.unionByName(start.join(sums, "c_custkey", "left_anti"))
+    return every.withColumn("balance", F.round("balance", 2))
 
 
 GAP = pd.Timedelta(hours=6)

@@ -40,6 +40,24 @@ def test_components(spark, edges):
     assert sorted(map(tuple, G.components(spark.createDataFrame(edges, EDGE)).collect())) == want
 
 
+def test_components_contract(spark, monkeypatch):
+    """Edges of a round are fewer than those of the one before, on a long path and on a hub; loops and equal edges do no harm."""
+    sizes = []
+    keep = G.materialize
+
+    def counting(df, name):
+        out = keep(df, name)
+        if name == "links":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(G, "materialize", counting)
+    path = [(i, i + 1) for i in range(400)] + [(1000, i) for i in range(1001, 1100)] + [(5, 5), (3, 4), (4, 3), (2000, 2000)]
+    got = {r.id: r.comp for r in G.components(spark.createDataFrame(path, "src long, dst long")).collect()}
+    assert got == {i: 0 for i in range(401)} | {i: 1000 for i in range(1000, 1100)} | {2000: 2000}
+    assert sizes[-1] == 0 and all(b <= 0.7 * a for a, b in zip(sizes, sizes[1:], strict=False))
+
+
 def test_paths_closure_triangles(spark):
     edges = random_edges(3, 15, 40)
     df = spark.createDataFrame(edges, EDGE)

@@ -7,6 +7,7 @@ import random
 
 import pytest
 from support import SMALL, rows_of
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dayledger.jobs import all_jobs
@@ -87,7 +88,83 @@ def test_salted_forms(spark):
     side = spark.createDataFrame([(i, f"n{i}") for i in range(0, 40, 2)], "k long, name string")
     for how in ("inner", "left"):
         want = df.join(side, "k", how).select("k", "id", "name")
-        assert rows_of(skew.salted_join(df, side, "k", ["id"], how=how).select("k", "id", "name")) == rows_of(want)
+        for rows in (100_000, 50):
+            assert rows_of(skew.salted_join(df, side, "k", ["id"], how, rows).select("k", "id", "name")) == rows_of(want)
+
+
+def test_only_partners_of_hot_keys_are_repeated(spark):
+    """A third of 900 rows has one key: its partner goes to a salt for each 50 rows, the other 39 partners stay single."""
+    df = third_in_one_key(spark)
+    side = spark.range(40).withColumnRenamed("id", "k")
+    n = df.count()
+    left, right = skew.salted_sides(df, side, "k", ["id"], 50)
+    assert left.count() == n and right.count() <= side.count() + 2 * n // 50
+    assert right.groupBy("k").count().filter("count > 1").count() == skew.hot_salts(df, "k", 50).count() < 10
+    assert left.groupBy("k", "_salt").count().agg(F.max("count")).first()[0] < 120
+
+
+def dates(spark, rows):
+    return spark.createDataFrame(rows, "k long, d date, id long")
+
+
+@pytest.mark.parametrize("limit", [10_000, 40, 7])
+def test_ranks_carried_over_ranges(spark, hot_limit, limit):
+    """One key with a third of the rows, a date that fills several ranges, null keys and null dates."""
+    rnd = random.Random(limit)
+    rows = []
+    for i in range(300):
+        k = 7 if i % 3 == 0 else rnd.choice([None, 1, 2, 3, 50])
+        day = None if i % 29 == 0 else dt.date(2024, 1, 1) + dt.timedelta(days=0 if i % 2 else rnd.randrange(12))
+        rows.append((k, day, i))
+    df = dates(spark, rows)
+    w = Window.partitionBy("k").orderBy("d")
+    want = df.select(
+        "id", F.row_number().over(Window.partitionBy("k").orderBy("d", "id")), F.rank().over(w), F.count("*").over(w.rangeBetween(Window.unboundedPreceding, 0)),
+        F.dense_rank().over(w), F.count("*").over(Window.partitionBy("k")),
+    )
+    with hot_limit(limit):
+        got = hot.ranked(df, "k", "d", ["id"]).select("id", "_rn", "_first", "_last", "_dense", "_size")
+        assert rows_of(got) == rows_of(want)
+
+
+def test_bands_of_very_different_widths(spark):
+    """A band a million times as wide as another adds few rows, and every pair is found once."""
+    from dayledger.operators.timed import band_join
+
+    rnd = random.Random(3)
+    bands = [(i, lo, lo + 10.0 ** rnd.randint(-3, 6)) for i in range(60) for lo in [rnd.uniform(-1000, 1000)]] + [(90, 5.0, 5.0), (91, 9.0, 3.0), (92, None, 1.0), (93, 0.0, 1e6)]
+    points = [(i, rnd.uniform(-1500, 1500)) for i in range(300)] + [(900, None), (901, 0.0), (902, -0.0)]
+    b = spark.createDataFrame(bands, "band long, lo double, hi double")
+    p = spark.createDataFrame(points, "point long, x double")
+    joined = band_join(p, F.col("x"), b, F.col("lo"), F.col("hi"))
+    want = [(i, j) for i, x in points for j, lo, hi in bands if x is not None and lo is not None and lo <= x < hi]
+    assert sorted((r.point, r.band) for r in joined.select("point", "band").collect()) == sorted(want)
+    assert "NestedLoop" not in joined._jdf.queryExecution().toString() and "Cartesian" not in joined._jdf.queryExecution().toString()
+    narrow = spark.createDataFrame([(i, float(i), i + 1.0) for i in range(50)], "band long, lo double, hi double")
+    wide = narrow.unionByName(spark.createDataFrame([(99, 0.0, 1e6)], narrow.schema))
+    cells = lambda f: f.withColumn("n", F.size(F.array_distinct(F.array(F.floor(F.col("lo") / F.pow(F.lit(2.0), F.ceil(F.log2(F.col("hi") - F.col("lo"))))), F.floor(F.col("hi") / F.pow(F.lit(2.0), F.ceil(F.log2(F.col("hi") - F.col("lo"))))))))).agg(F.sum("n")).first()[0]
+    assert cells(wide) - cells(narrow) <= 2
+
+
+@pytest.mark.parametrize("range_rows", [10, 100_000])
+def test_quantiles_by_selection(spark, monkeypatch, range_rows):
+    """Ranges are cut several times; one value fills a third of the rows; groups of one row, null groups and null values."""
+    import numpy as np
+
+    from dayledger.operators import selection
+
+    monkeypatch.setattr(selection, "BOUNDS", 5)
+    rnd = random.Random(6)
+    rows = [(i, rnd.choice(["a", "b", None]), 4.25 if i % 3 == 0 else rnd.choice([rnd.gauss(0, 100), float(rnd.randint(-5, 5)), None])) for i in range(900)]
+    rows += [(1000, "one", -7.5), (1001, "none", None)]
+    df = spark.createDataFrame(rows, "id long, g string, x double")
+    shares = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {(r["of"], r["share"]): r["value"] for r in selection.quantiles(df, "g", F.col("x"), F.col("id"), shares, range_rows).collect()}
+    want = {}
+    for g in ("a", "b", None, "one"):
+        values = [x for _, h, x in rows if h == g and x is not None]
+        want |= {(g, s): pytest.approx(float(np.quantile(values, s))) for s in shares}
+    assert got == want
 
 
 @pytest.mark.parametrize("limit", [10_000, 50])
@@ -128,7 +205,7 @@ def test_range_join_against_brute_force(spark):
         [(i, dt.datetime(2023, 12, 28) + dt.timedelta(days=2 * i), dt.datetime(2024, 1, 1) + dt.timedelta(days=3 * i)) for i in range(8)],
         "span long, a timestamp, b timestamp",
     )
-    got = sorted((r.id, r.span) for r in range_join(df, "ts", spans, "a", "b", "day").collect())
+    got = sorted((r.id, r.span) for r in range_join(df, "ts", spans, "a", "b").collect())
     all_spans = spans.collect()
     want = sorted((p.id, s.span) for p in df.collect() for s in all_spans if s.a <= p.ts < s.b)
     assert got == want

@@ -125,28 +125,30 @@ def test_keyed_table(spark):
     t.upsert(spark.createDataFrame([(1, "a"), (2, "b")], t.schema))
     t.upsert(spark.createDataFrame([(2, "c"), (3, "d")], t.schema))
     assert rows_of(t.read()) == [(1, "a"), (2, "c"), (3, "d")]
-    # an unfinished version is not seen, and the next write takes its place
-    spark.createDataFrame([(9, "z")], t.schema).write.parquet(f"{t.path}/data/v00000003/_hash=0")
-    assert t.version() == 2 and t.read().count() == 3
     t.upsert(spark.createDataFrame([(4, "e")], t.schema))
-    assert t.version() == 3 and t.read().count() == 4
+    assert t.read().count() == 4 and KeyedTable(spark, t.path, ["k"], t.schema).read().count() == 4
     keys = spark.createDataFrame([(1,), (1,), (7,)], "k long")
     assert rows_of(target_rows(t.read(), keys, ["k"])) == [(1, "a")]
 
 
-def test_an_upsert_leaves_other_folders_alone(spark):
-    t = KeyedTable.temporary(spark, "folders", ["k"], "k long, v string", folder_rows=10)
+def test_an_upsert_leaves_other_partitions_alone(spark):
+    t = KeyedTable.temporary(spark, "partitions", ["k"], "k long, v string", parts=10)
     t.replace(spark.range(100).selectExpr("id AS k", "'old' AS v"))
-    _, n, before = t.folders()
-    assert n == 10 and len(before) > 5
+    files = lambda: {r[0] for r in spark.read.parquet(t.path).select(F.input_file_name()).distinct().collect()}
+    before = files()
+    assert len(before) > 5
     t.upsert(spark.createDataFrame([(17, "new")], t.schema))
-    _, n, after = t.folders()
-    changed = {h for h in before if before[h] != after[h]}
-    assert n == 10 and len(changed) == 1
+    gone, new = before - files(), files() - before
+    assert len(gone) == 1 and len(new) == 1 and next(iter(gone)).rsplit("/", 1)[0] == next(iter(new)).rsplit("/", 1)[0]
     assert rows_of(t.read()) == sorted([(k, "new" if k == 17 else "old") for k in range(100)], key=repr)
     assert rows_of(t.rows_for(spark.createDataFrame([(17,), (500,)], "k long"))) == [(17, "new")]
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        t._write(spark.createDataFrame([(1, "x")], t.schema), t.version(), 10, after)
+    # a batch made from the table's own rows, and one that is run twice
+    t.upsert(t.read().filter("k < 50").withColumn("v", F.lit("again")))
+    for _ in range(2):
+        t.upsert_latest(spark.createDataFrame([(200, "x")], t.schema), ["v"])
+    assert t.read().groupBy("v").count().filter("v = 'again'").first()[1] == 50 and t.read().count() == 101
+    t.replace(spark.createDataFrame([(5, "only")], t.schema))
+    assert rows_of(t.read()) == [(5, "only")]
 
 
 HEAD = "transId\ttransStatus\tuserId\ttransactionTime\tappId\ttransType\tamount\tpmcId"
