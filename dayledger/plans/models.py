@@ -16,7 +16,7 @@ from pyspark.ml.fpm import FPGrowth, PrefixSpan
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dayledger.operators.nearest import best_rows, matrix
@@ -322,25 +322,44 @@ def clustered(name: str) -> str:
     return f"SELECT count(*) AS n, true AS parted, true AS good FROM {name}"
 
 
-def spread_of(df: DataFrame) -> float:
-    """Sum of squared distances from the mean, of the column ``v``."""
-    return df.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg((F.var_pop("x") * F.count("*")).alias("s")).agg(F.sum("s")).first()[0]
+def squared_distances(centres: Sequence[Sequence[float]], v: str = "v") -> Column:
+    """Of a vector from each of some centres, which are few."""
+    given = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
+    one = lambda c: F.aggregate(F.zip_with(v, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    return F.transform(given, one)
 
 
-@query("ml_kmeans", clustered("embeddings"))
+def clusters(df: DataFrame, model: Model) -> tuple[DataFrame, float, bool]:
+    """Vectors with their cluster, its distance and the least distance; the cost; and whether it beats as many given rows as centres."""
+    centres = model.clusterCenters()
+    placed = model.transform(df).withColumn("far", squared_distances(centres))
+    placed = materialize(placed.select("vec_id", "prediction", F.element_at("far", F.col("prediction") + 1).alias("own"), F.array_min("far").alias("least")), "clusters")
+    drawn = [r["v"] for r in df.select("v").limit(len(centres)).collect()]
+    plain = df.agg(F.sum(F.array_min(squared_distances(drawn)))).first()[0]
+    cost = placed.agg(F.sum("own")).first()[0]
+    return placed, cost, cost < plain
+
+
+@query("ml_kmeans", "SELECT vec_id, true AS nearest, true AS better, true AS agrees FROM embeddings")
 def ml_kmeans(spark: SparkSession, d: str) -> DataFrame:
+    """Nearest: no centre is nearer to the vector than its own, by all distances. Better: the centres cost less than as many
+    rows taken as centres. Agrees: they cost no more than the fit says, whose last step moved them once more."""
     df = vectors(spark, d)
     m = fitted(CL.KMeans(k=10, maxIter=10, seed=SEED), df)
-    sound = len(m.clusterCenters()) == 10 and m.summary.trainingCost < 0.99 * spread_of(df)
-    return _clusters(m.transform(df), sound)
+    placed, cost, better = clusters(df, m)
+    agrees = cost <= m.summary.trainingCost * (1 + 1e-9) and len(m.clusterCenters()) == 10
+    return placed.select("vec_id", (F.col("own") <= F.col("least") + 1e-9).alias("nearest"), F.lit(better).alias("better"), F.lit(bool(agrees)).alias("agrees"))
 
 
-@query("ml_bisecting_kmeans", clustered("embeddings"))
+@query("ml_bisecting_kmeans", "SELECT vec_id, true AS member, true AS better, true AS agrees FROM embeddings")
 def ml_bisecting_kmeans(spark: SparkSession, d: str) -> DataFrame:
+    """Member: the cluster found down the tree is one of the centres. Better: as in ``ml_kmeans``. Agrees: the cost by
+    all distances is that of the fit within a twentieth, as the walk down the tree meets centres that have moved since."""
     df = vectors(spark, d)
     m = fitted(CL.BisectingKMeans(k=6, maxIter=5, seed=SEED), df)
-    sound = len(m.clusterCenters()) == 6 and m.summary.trainingCost < 0.99 * spread_of(df)
-    return _clusters(m.transform(df), sound)
+    placed, cost, better = clusters(df, m)
+    agrees = abs(cost - m.summary.trainingCost) <= 0.05 * cost
+    return placed.select("vec_id", F.col("own").isNotNull().alias("member"), F.lit(better).alias("better"), F.lit(bool(agrees)).alias("agrees"))
 
 
 @query("ml_gaussian_mixture", clustered("customer"))

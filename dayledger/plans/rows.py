@@ -250,13 +250,13 @@ def na_drop_fill_replace(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "dedup_rows",
-    "SELECT min(doc_id) AS doc_id, count(*) AS copies, min(lang) AS lang FROM documents GROUP BY text",
+    "SELECT min(doc_id) AS doc_id, count(*) AS copies, arg_min(lang, doc_id) AS lang FROM documents GROUP BY text",
 )
 def dedup_rows(spark: SparkSession, d: str) -> DataFrame:
-    """One row per text, the smallest id. Texts are hashed first, so that only digests move."""
+    """One row per text, that of the smallest id. Texts are hashed first, so that only digests move."""
     docs = table(spark, d, "documents").select("doc_id", "lang", F.sha2("text", 256).alias("digest"))
     return docs.groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min("lang").alias("lang")
+        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min_by("lang", "doc_id").alias("lang")
     ).drop("digest")
 
 

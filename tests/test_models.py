@@ -135,9 +135,11 @@ def test_tfidf_equals_the_library(spark):
 
 
 def test_fits_are_useful(spark):
-    for name in ("ml_logistic", "ml_tree_classifier", "ml_gbt_regressor", "ml_kmeans"):
+    for name in ("ml_logistic", "ml_tree_classifier", "ml_gbt_regressor"):
         rows = run(spark, name).collect()
         assert rows and all(r.good for r in rows)
+    rows = run(spark, "ml_kmeans").collect()
+    assert rows and all(r.nearest and r.better and r.agrees for r in rows)
 
 
 def test_a_useless_fit_is_not_good(spark):
