@@ -63,31 +63,27 @@ def components(edges: DataFrame) -> DataFrame:
     """Smallest vertex id of each component, by contraction.
 
     In a round each vertex points to the neighbour that comes first in a
-    random order, if that comes before itself, and follows the pointers four
-    steps. Edges are then drawn between the vertices reached; those within one
-    vertex go, and equal ones become one. The order is drawn anew each round,
-    so chains of pointers stay short and the edges shrink by a share of
-    themselves. Vertices of one round keep what they became; the chain of
-    these maps gives each vertex the one it ends in.
+    random order, if that comes before itself, and follows that one's pointer
+    too. Edges are then drawn between the vertices reached; those within one
+    vertex go, and equal ones become one. Pointers form short chains, so the
+    edges shrink by a share of themselves. Vertices of one round keep what
+    they became; the chain of these maps gives each vertex the one it ends in.
     """
     links = edges.select("src", "dst")
     links = materialize(links.filter("src <> dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).distinct(), "links")
+    first = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("v"))
     maps: list[DataFrame] = []
     while not links.isEmpty():
-        first = lambda c, n=len(maps): F.struct(F.xxhash64(c, F.lit(n)).alias("h"), F.col(c).alias("v"))
-        both = links.select("a", first("b").alias("f")).unionAll(links.select("b", first("a")))
-        least = both.groupBy(F.col("a").alias("id")).agg(F.min("f").alias("f"))
-        step = materialize(least.select("id", F.least("f", first("id")).getField("v").alias("to")), "pointers")
-        jump = step
-        for _ in range(2):
-            jump = jump.join(jump.toDF("mid", "end"), F.col("to") == F.col("mid")).select("id", F.col("end").alias("to"))
-        jump = materialize(jump, "reached")
-        maps.append(jump)
-        ends = jump.toDF("mid", "end")
+        both = links.select(F.explode(F.array(F.struct(F.col("a").alias("id"), first("b").alias("f")), F.struct(F.col("b").alias("id"), first("a").alias("f")))).alias("e"))
+        step = both.groupBy(F.col("e.id").alias("id")).agg(F.min("e.f").alias("f")).select("id", F.least("f", first("id")).getField("v").alias("to"))
+        step = materialize(step, "pointers")
+        reached = step.join(step.toDF("mid", "end"), F.col("to") == F.col("mid")).select("id", F.col("end").alias("to"))
+        maps.append(reached)
+        ends = reached.toDF("mid", "end")
         drawn = links.join(ends, F.col("a") == F.col("mid")).select(F.col("end").alias("a"), "b").join(ends, F.col("b") == F.col("mid")).select("a", F.col("end").alias("b"))
         # one that was reached but points on stays tied to where it went
-        went = jump.filter("id <> to").join(jump.select(F.col("to").alias("id")).distinct(), "id", "left_semi").toDF("a", "b")
-        drawn = drawn.unionAll(went).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        drawn = drawn.unionAll(reached.toDF("a", "b").join(reached.select(F.col("to").alias("a")).distinct(), "a", "left_semi"))
+        drawn = drawn.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         links = materialize(drawn, "links")
     alone = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     if not maps:
@@ -95,8 +91,7 @@ def components(edges: DataFrame) -> DataFrame:
     known = maps[-1]
     for earlier in reversed(maps[:-1]):
         ends = known.toDF("mid", "end")
-        known = earlier.join(ends, F.col("to") == F.col("mid"), "left").select("id", F.coalesce("end", "to").alias("to"))
-    known = materialize(known, "roots")
+        known = materialize(earlier.join(ends, F.col("to") == F.col("mid"), "left").select("id", F.coalesce("end", "to").alias("to")), "roots")
     names = known.groupBy("to").agg(F.min("id").alias("comp"))
     return materialize(alone.join(known, "id", "left").join(names, "to", "left").select("id", F.coalesce("comp", "id").alias("comp")), "components")
 

@@ -6,6 +6,7 @@ import random
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 from support import rows_of
 
 from dayledger.operators import graph as G
@@ -58,6 +59,14 @@ def test_components_contract(spark, monkeypatch):
     assert sizes[-1] == 0 and all(b <= 0.7 * a for a, b in zip(sizes, sizes[1:], strict=False))
 
 
+def test_components_of_long_pointer_chains(spark, monkeypatch):
+    """An order in which every pointer of a path leads on to the next: the tie between what was reached and where it goes holds."""
+    monkeypatch.setattr(G.F, "xxhash64", lambda c: F.col(c))
+    path = [(i, i + 1) for i in range(60)] + [(100 + i, 101 + i) for i in range(7)]
+    got = {r.id: r.comp for r in G.components(spark.createDataFrame(path, "src long, dst long")).collect()}
+    assert got == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 108)}
+
+
 def test_paths_closure_triangles(spark):
     edges = random_edges(3, 15, 40)
     df = spark.createDataFrame(edges, EDGE)
