@@ -29,3 +29,12 @@ def test_word2vec_trains_in_as_many_tasks_as_its_words_ask_for(spark, monkeypatc
     monkeypatch.setattr(features, "TASK_ROWS", 10_000)
     monkeypatch.setattr(features, "fitted", lambda est, df: (seen.append(est.getNumPartitions()), fit(est, df))[1])
     assert run(spark, "ml_word2vec").first().good and seen[0] > 1
+
+
+def test_balances_are_added_by_customer():
+    from dayledger.streaming.jobs import added
+
+    held = pd.DataFrame({"c_custkey": pd.array([1, 2], "Int64"), "balance": [10.0, 5.0], "n": [0, 3]})
+    more = pd.DataFrame({"c_custkey": pd.array([2, 2, None], "Int64"), "balance": [1.0, 2.0, 4.0], "n": 1})
+    got = {None if pd.isna(k) else k: (b, n) for k, b, n in added(held, more).itertuples(index=False)}
+    assert got == {1: (10.0, 0), 2: (8.0, 5), None: (4.0, 1)}
