@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -325,21 +325,35 @@ def combine_locally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield joined_parts(b)
 
 
+OPEN_SESSIONS = "users array<long>, starts array<long>, lasts array<long>, ns array<long>"
+
+
 def track_sessions(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """State: the sessions that may still grow, as microseconds. A session is put out once the watermark has passed
-    its last row by the gap, so a row within the allowed delay can still join two of them."""
-    (user,) = key
-    held = list(zip(*state.get, strict=True)) if state.exists else []
-    frame = pd.DataFrame([(pd.Timestamp(a, unit="us"), pd.Timestamp(b, unit="us"), n) for a, b, n in held], columns=["start", "last", "n"]).assign(user_id=user)
+    """Sessions of one user, who is the key; see ``_tracked``."""
+    held = state.get if state.exists else ([], [], [])
+    yield from _tracked((list(key) * len(held[0]), *held), batches, state, 1)
+
+
+def track_bucket(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Sessions of the users of one bucket, who stand in the state; see ``_tracked``."""
+    yield from _tracked(state.get if state.exists else ([], [], [], []), batches, state, 0)
+
+
+def _tracked(held: Sequence[Sequence[int]], batches: Iterator[pd.DataFrame], state: GroupState, first: int) -> Iterator[pd.DataFrame]:
+    """State: the sessions that may still grow, as microseconds, from its column ``first`` of ``OPEN_SESSIONS`` on. A session is
+    put out once the watermark has passed its last row by the gap, so a row within the allowed delay can still join two of them."""
+    users, starts, lasts, ns = held
+    frame = pd.DataFrame({"user_id": users, "start": pd.to_datetime(list(starts), unit="us"), "last": pd.to_datetime(list(lasts), unit="us"), "n": ns})
     if not state.hasTimedOut:
         for b in batches:  # folded one by one: what is held at once is bounded by open sessions
-            frame = joined_parts(pd.concat([frame, b[["user_id", "start", "last", "n"]]]) if len(frame) else b)
+            b = b[["user_id", "start", "last", "n"]]
+            frame = joined_parts(pd.concat([frame, b]) if len(frame) else b)
     now = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
     over = frame["last"] + GAP <= now
     done, left = frame[over], frame[~over]
     if len(left):
         micros = lambda c: [t.value // 1000 for t in left[c].astype("datetime64[ns]")]
-        state.update((micros("start"), micros("last"), [int(n) for n in left["n"]]))
+        state.update(([None if pd.isna(u) else int(u) for u in left["user_id"]], micros("start"), micros("last"), [int(n) for n in left["n"]])[first:])
         state.setTimeoutTimestamp(int((left["last"].min() + GAP).timestamp() * 1000))
     elif state.exists:
         state.remove()
@@ -359,15 +373,17 @@ GROUP BY user_id, s
 """,
 )
 def stream_session_state(spark: SparkSession, d: str) -> DataFrame:
-    """Own state per user. Each Arrow batch is cut to partial sessions before the shuffle, so hot users shrink first."""
+    """Own state for buckets of users: a call into Python costs the same for one user as for hundreds. Each Arrow batch is cut
+    to partial sessions before the shuffle, so hot users shrink first."""
     e = I.events(spark, d).select("event_id", "user_id", "ts", "event_type")
     out = scratch(spark, "session_state")
+    bucket = F.pmod(F.xxhash64("user_id"), F.lit(parts_for(e, STATE_ROWS)))
 
     def run(s: DataFrame, checkpoint: str) -> DataFrame:
         parts = s.select("user_id", F.col("ts").alias("start"), F.col("ts").alias("last"), F.lit(1).cast("long").alias("n"))
         parts = parts.mapInPandas(combine_locally, PART).withWatermark("last", "10 minutes")
-        sessions = parts.groupBy("user_id").applyInPandasWithState(
-            track_sessions, SESSION_ROW, "starts array<long>, lasts array<long>, ns array<long>", "append", GroupStateTimeout.EventTimeTimeout,
+        sessions = parts.withColumn("bucket", bucket).groupBy("bucket").applyInPandasWithState(
+            track_bucket, SESSION_ROW, OPEN_SESSIONS, "append", GroupStateTimeout.EventTimeTimeout,
         )
         return drain_append(sessions, "session_state", checkpoint, out)
 

@@ -31,6 +31,26 @@ def test_word2vec_trains_in_as_many_tasks_as_its_words_ask_for(spark, monkeypatc
     assert run(spark, "ml_word2vec").first().good and seen[0] > 1
 
 
+def test_sessions_of_two_users_in_one_bucket(spark):
+    """Both users share a key; a late row joins two sessions of one of them and leaves the other's alone."""
+    from dayledger.streaming.jobs import OPEN_SESSIONS, SESSION_ROW, track_bucket
+
+    def at(rows):
+        return spark.createDataFrame(rows, "user_id long, h double").selectExpr(
+            "user_id", "CAST(TIMESTAMP'2024-01-01' + make_dt_interval(0, 0, CAST(h * 60 AS INT), 0) AS TIMESTAMP) AS ts")
+
+    out = scratch(spark, "bucket")
+
+    def one(s, checkpoint):
+        parts = s.selectExpr("user_id", "ts AS start", "ts AS last", "1L AS n", "0 AS bucket").withWatermark("last", "12 hours")
+        kept = parts.groupBy("bucket").applyInPandasWithState(track_bucket, SESSION_ROW, OPEN_SESSIONS, "append", "EventTimeTimeout")
+        return drain_append(kept, "bucket", checkpoint, out)
+
+    steps = [at([(7, 0.0), (7, 11.0), (8, 1.0), (8, 10.5)]), at([(7, 5.5)]), at([(9, 300.0)])]
+    rows = in_steps(steps, "bucket-in", one)[-1].select("user_id", "seconds", "n")
+    assert rows_of(rows) == [(7, 11 * 3600.0, 3), (8, 0.0, 1), (8, 0.0, 1)]
+
+
 def test_balances_are_added_by_customer():
     from dayledger.streaming.jobs import added
 
