@@ -22,6 +22,12 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_sketch_is_not_held_for_every_key(spark):
+    """One aggregate with a distinct count would keep a sketch for each pair of flag and order."""
+    keyed = [x for x in plan(run(spark, "agg_approx_distinct")).splitlines() if "l_orderkey" in x and "approx_count_distinct" in x and "keys=[l_returnflag" in x]
+    assert not any("l_orderkey" in x.split("functions=")[0] for x in keyed)
+
+
 def test_word2vec_trains_in_as_many_tasks_as_its_words_ask_for(spark, monkeypatch):
     from dayledger.plans import features
 
