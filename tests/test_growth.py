@@ -64,3 +64,14 @@ def test_balances_are_added_by_customer():
     more = pd.DataFrame({"c_custkey": pd.array([2, 2, None], "Int64"), "balance": [1.0, 2.0, 4.0], "n": 1})
     got = {None if pd.isna(k) else k: (b, n) for k, b, n in added(held, more).itertuples(index=False)}
     assert got == {1: (10.0, 0), 2: (8.0, 5), None: (4.0, 1)}
+
+
+@pytest.mark.parametrize("hot", [3, 1000])
+def test_mean_ranks_over_ranges(spark, hot_limit, hot):
+    from dayledger.plans.features import mean_ranks
+
+    values = [5.0, 1.0, 1.0, 2.0, 9.0, 9.0, 9.0, -3.0]
+    with hot_limit(hot):
+        got = mean_ranks(spark.createDataFrame([(v,) for v in values], "x double"), "x")
+        want = pd.Series(values).rank()
+        assert {r.x: r.rank_x for r in got.collect()} == dict(zip(values, want, strict=True))
