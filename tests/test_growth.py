@@ -75,3 +75,9 @@ def test_mean_ranks_over_ranges(spark, hot_limit, hot):
         got = mean_ranks(spark.createDataFrame([(v,) for v in values], "x double"), "x")
         want = pd.Series(values).rank()
         assert {r.x: r.rank_x for r in got.collect()} == dict(zip(values, want, strict=True))
+
+
+def test_pairs_of_document_and_word_are_not_moved_to_be_counted(spark):
+    assert "hashpartitioning(doc_id" in plan(run(spark, "ml_feature_tfidf")) and not [
+        x for x in plan(run(spark, "ml_feature_tfidf")).splitlines() if "hashpartitioning(doc_id" in x and "word" in x.split("hashpartitioning")[1]
+    ]
