@@ -66,6 +66,10 @@ def test_balances_are_added_by_customer():
     assert got == {1: (10.0, 0), 2: (8.0, 5), None: (4.0, 1)}
 
 
+def test_window_calls_go_over_all_partitions(spark):
+    assert "REPARTITION_BY_NUM" in plan(run(spark, "win_pandas_agg"))
+
+
 @pytest.mark.parametrize("hot", [3, 1000])
 def test_mean_ranks_over_ranges(spark, hot_limit, hot):
     from dayledger.plans.features import mean_ranks
