@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 import pytest
 from support import SMALL, rows_of
@@ -94,3 +95,18 @@ def test_pairs_of_document_and_word_are_not_moved_to_be_counted(spark):
     assert "hashpartitioning(doc_id" in plan(run(spark, "ml_feature_tfidf")) and not [
         x for x in plan(run(spark, "ml_feature_tfidf")).splitlines() if "hashpartitioning(doc_id" in x and "word" in x.split("hashpartitioning")[1]
     ]
+
+
+@pytest.mark.parametrize("most", [2, 500])
+def test_rounds_of_small_buckets_are_done_at_once(spark, monkeypatch, most):
+    """Leaders are the same whether a bucket goes on in rounds or in one call, and words are not repeated for each bucket."""
+    from dayledger.operators import likeness
+
+    monkeypatch.setattr(likeness, "BUCKET_ROWS", most)
+    groups = [[f"g{g}w{k}" for k in range(10)] for g in range(6)]
+    rows = [(i, [*groups[i % 6], f"own{i}"], [7, 8, 9]) for i in range(60)]
+    written, write = [], likeness.materialize
+    monkeypatch.setattr(likeness, "materialize", lambda df, name: (written.append(df.columns), write(df, name))[1])
+    links = likeness.leader_links(spark.createDataFrame(rows, "id long, words array<string>, keys array<long>"), 60)
+    assert {(r.id, r.leader) for r in links.collect()} == {(i, i % 6) for i in range(6, 60)}
+    assert not any("words" in columns for columns in written)
