@@ -110,3 +110,23 @@ def test_rounds_of_small_buckets_are_done_at_once(spark, monkeypatch, most):
     links = likeness.leader_links(spark.createDataFrame(rows, "id long, words array<string>, keys array<long>"), 60)
     assert {(r.id, r.leader) for r in links.collect()} == {(i, i % 6) for i in range(6, 60)}
     assert not any("words" in columns for columns in written)
+
+
+@pytest.mark.parametrize("metric", ["distance", "product"])
+def test_a_query_is_sent_to_cells_not_to_lists(metric):
+    """Lists share cells of bounded size; a larger list is cut; the best rows do not depend on it."""
+    from dayledger.operators.nearest import Lists, best_of, costs
+
+    rng = np.random.default_rng(3)
+    rows = np.concatenate([rng.normal(size=(300, 4)), np.ones((200, 4))])
+    lists = Lists.over(rows[rng.permutation(500)[:25]])
+    where, far = lists.place(rows)
+    lists.rows = np.bincount(where, minlength=25)
+    lists.radius = np.array([far[where == j].max(initial=0) for j in range(25)])
+    first, many, cells = lists.cells(50)
+    assert cells <= 2 * 500 // 50 + 1 and many.max() >= 4 and (first + many).max() <= cells
+    q = rng.normal(size=(20, 4))
+    for p, ids, cost in best_of(q, [[0, 1]] * 20, np.arange(500), rows, where, lists, 7, metric):
+        want = costs(q[p], rows, metric)
+        want[:2] = np.inf
+        assert list(ids) == list(np.lexsort((np.arange(500), want))[:7]) and list(cost) == list(want[ids])
