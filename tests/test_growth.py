@@ -130,3 +130,15 @@ def test_a_query_is_sent_to_cells_not_to_lists(metric):
         want = costs(q[p], rows, metric)
         want[:2] = np.inf
         assert list(ids) == list(np.lexsort((np.arange(500), want))[:7]) and list(cost) == list(want[ids])
+
+
+@pytest.mark.parametrize("name", ["ml_fm_regressor", "ml_fm_classifier"])
+def test_points_of_a_fit_are_kept_once(spark, monkeypatch, name):
+    """A frame that is kept as well is held twice, or read anew in each pass."""
+    from dayledger.plans import models
+
+    def refuse(est, df):
+        raise AssertionError("kept by the query")
+
+    monkeypatch.setattr(models, "fitted", refuse)
+    assert all(r.good for r in run(spark, name).collect())
