@@ -132,6 +132,21 @@ def test_a_query_is_sent_to_cells_not_to_lists(metric):
         assert list(ids) == list(np.lexsort((np.arange(500), want))[:7]) and list(cost) == list(want[ids])
 
 
+def test_a_cheap_rule_does_not_make_the_others_long(monkeypatch):
+    from dayledger.llm import quality
+
+    asked = []
+
+    def seconds(sample, copies, *counts):
+        asked.append((copies, bool(counts) and "dear" in str(counts[0])))
+        return (9.0 if asked[-1][1] else 1.0), [10, 1]
+
+    monkeypatch.setattr(quality, "seconds", seconds)
+    monkeypatch.setattr(quality.F, "count_if", lambda rule: rule)
+    quality.ranked(None, {"cheap": "cheap", "dear": "dear"})
+    assert {c for c, dear in asked if dear} == {4} and max(c for c, _ in asked) == 256
+
+
 @pytest.mark.parametrize("name", ["ml_fm_regressor", "ml_fm_classifier"])
 def test_points_of_a_fit_are_kept_once(spark, monkeypatch, name):
     """A frame that is kept as well is held twice, or read anew in each pass."""
