@@ -157,3 +157,12 @@ def test_points_of_a_fit_are_kept_once(spark, monkeypatch, name):
 
     monkeypatch.setattr(models, "fitted", refuse)
     assert all(r.good for r in run(spark, name).collect())
+
+
+def test_a_classifier_keeps_its_two_columns_only(spark, monkeypatch):
+    from dayledger.plans import models
+
+    kept, fit = [], models.fitted
+    monkeypatch.setattr(models, "parts_for", lambda df: 17)
+    monkeypatch.setattr(models, "fitted", lambda est, df: (kept.append((df.columns, df.rdd.getNumPartitions())), fit(est, df))[1])
+    assert all(r.good for r in run(spark, "ml_gbt_classifier").collect()) and kept == [(["features", "label"], 17)]
