@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dayledger.functions.vouchers import voucher_state, whole_days
 from dayledger.operators.skew import latest_per_key, rows_at_group_max
-from dayledger.operators.upsert import document_id
+from dayledger.operators.upsert import NEW, PART, document_id
 
 # Code of a payment among the transaction types (fixed value).
 PAYMENT = 3
@@ -143,3 +143,19 @@ def voucher_merge(stored: DataFrame, new: DataFrame, as_of: Column | None = None
     both = stored.unionByName(new).filter(F.col("status").isNotNull()).drop("check_voucher")
     one = latest_per_key(both, VOUCHER_KEY, ["status", "time_use", "expire_date"])
     return with_state(one, as_of).select(document_id(*VOUCHER_KEY).alias("_id"), *VOUCHER_COLUMNS)
+
+
+def voucher_ledger(both: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """``voucher_merge`` on stored and new rows in one frame that lies by ``PART``; a voucher without a new row stays as stored.
+
+    The rows are not combined ahead of the shuffle: a voucher has few rows, and the sort for that would hold them all.
+    """
+    # compared in the order of the columns, so one struct is both the row and its rank
+    fields = ["status", "time_use", "expire_date", "campaignType", "expireTime", "days"]
+    row = F.struct(*fields, F.when(~F.col(NEW), F.col("check_voucher")).alias("_stored"))
+    one = both.groupBy(PART, *VOUCHER_KEY).agg(
+        F.max(F.when(F.col("status").isNotNull(), row)).alias("_row"), F.max(NEW).alias(NEW)
+    )
+    rows = with_state(one.filter(F.col("_row").isNotNull()).select(PART, NEW, *VOUCHER_KEY, "_row.*"), as_of)
+    rows = rows.withColumn("check_voucher", F.when(F.col(NEW), F.col("check_voucher")).otherwise(F.col("_stored")))
+    return rows.select(document_id(*VOUCHER_KEY).alias("_id"), *VOUCHER_COLUMNS, PART)

@@ -23,6 +23,7 @@ def merge_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Da
 
 
 PART = "_part"
+NEW = "_new"
 
 
 class KeyedTable:
@@ -56,7 +57,9 @@ class KeyedTable:
         return self._stored().filter(F.col(PART).isin(numbers)).drop(PART)
 
     def _write(self, df: DataFrame, mode: str) -> None:
-        spread = self._placed(df.select(*self._columns())).repartition(PART)
+        self._overwrite(self._placed(df.select(*self._columns())).repartition(PART), mode)
+
+    def _overwrite(self, spread: DataFrame, mode: str) -> None:
         spread.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(PART).parquet(self.path)
 
     def _columns(self) -> list[str]:
@@ -84,6 +87,23 @@ class KeyedTable:
     def upsert(self, batch: DataFrame) -> None:
         self._change(batch, lambda old, new: merge_by_key(old, new, self.keys))
 
+    def merge(self, batch: DataFrame, one_per_key: Callable[[DataFrame], DataFrame]) -> None:
+        """Stored and batch rows, the latter marked in ``NEW``, to one row per key, in one shuffle by ``PART``.
+
+        ``one_per_key`` gets the rows of the touched partitions, those of other keys too, and keeps ``PART``. Where it
+        groups by ``PART`` and the key, the rows are written where they lie. The batch is read twice, not stored.
+        """
+        empty = self._stored().isEmpty()
+        stored = self.read() if empty else self._touched(batch)
+        both = stored.withColumn(NEW, F.lit(False)).unionByName(batch.withColumn(NEW, F.lit(True)))
+        merged = one_per_key(self._placed(both).repartition(PART)).select(*self._columns(), PART)
+        if not empty:
+            # aside as in an upsert, but by partition: its files hold one each and need no second shuffle
+            path = scratch(self.spark, "merged")
+            merged.write.partitionBy(PART).parquet(path)
+            merged = self.spark.read.schema(merged.schema).parquet(path)
+        self._overwrite(merged, "dynamic")
+
     def upsert_latest(self, batch: DataFrame, order: Sequence[str]) -> None:
         """Upsert where the newer of stored and incoming row wins: safe to run again."""
         self._change(batch, lambda old, new: latest_per_key(old.unionByName(new, allowMissingColumns=True), self.keys, order))

@@ -525,9 +525,7 @@ def run_day(spark: SparkSession, source: str, lake: str, stores: dict[str, Keyed
     store.upsert(P.activity_merge(stored, P.late_guard(batch, stored, run_date)).withColumn("_id", F.col("userId")))
 
     rows = P.voucher_rows(L.lake_table(spark, lake, "promotions", day), L.lake_config(spark, lake), now)
-    batch = materialize(rows.withColumn("_id", document_id(*P.VOUCHER_KEY)), "vouchers")
-    store = stores["voucher"]
-    store.upsert(P.voucher_merge(store.rows_for(batch).drop("_id"), batch.drop("_id"), now))
+    stores["voucher"].merge(rows.withColumn("_id", document_id(*P.VOUCHER_KEY)), lambda both: P.voucher_ledger(both, now))
 
 
 VOUCHER_SCHEMA = (

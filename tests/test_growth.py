@@ -166,3 +166,11 @@ def test_a_classifier_keeps_its_two_columns_only(spark, monkeypatch):
     monkeypatch.setattr(models, "parts_for", lambda df: 17)
     monkeypatch.setattr(models, "fitted", lambda est, df: (kept.append((df.columns, df.rdd.getNumPartitions())), fit(est, df))[1])
     assert all(r.good for r in run(spark, "ml_gbt_classifier").collect()) and kept == [(["features", "label"], 17)]
+
+
+def test_vouchers_of_a_day_are_not_stored_ahead_of_their_merge(spark, monkeypatch):
+    from dayledger.plans import pipeline
+
+    stored, write = [], pipeline.materialize
+    monkeypatch.setattr(pipeline, "materialize", lambda df, name: (stored.append(name), write(df, name))[1])
+    assert len(run(spark, "run_business_day").collect()) == 3 and stored == ["users", "activity"]

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from dayledger.functions.vouchers import voucher_state
 from dayledger.operators import profiles as P
-from dayledger.operators.upsert import KeyedTable, document_id, target_rows
-from dayledger.plans.pipeline import day_stores, run_day
+from dayledger.operators.upsert import NEW, PART, KeyedTable, document_id, target_rows
+from dayledger.plans.pipeline import VOUCHER_SCHEMA, day_stores, run_day
 from dayledger.session import scratch
 from dayledger.sources import lake as L
 
@@ -151,6 +151,38 @@ def test_an_upsert_leaves_other_partitions_alone(spark):
     assert rows_of(t.read()) == [(5, "only")]
 
 
+def test_voucher_rows_meet_stored_ones_in_one_shuffle(spark, monkeypatch):
+    cfg = spark.createDataFrame([(7, 2, at("2023-01-01"), 30 * 86400)], "campaignID long, campaignType int, expireDate timestamp, expireTime long")
+    early, late = F.lit("2022-01-05").cast("timestamp"), F.lit("2022-06-01").cast("timestamp")
+    old = [(1, "v", "GIVEN", 7, "2022-01-01"), (2, "w", "GIVEN", 7, "2022-01-01"), (3, "x", "USED", 7, "2022-01-01"), (4, None, "GIVEN", 8, "2022-01-01")]
+    new = [(1, "v", "USED", 7, "2022-01-02"), (1, "v", "USED", 7, "2022-01-01"), (3, "x", None, 7, "2022-01-03"), (5, "y", "GIVEN", 9, "2022-01-01"), (6, "z", None, 7, "2022-01-01")]
+    store, plain = (KeyedTable.temporary(spark, n, ["_id"], VOUCHER_SCHEMA, parts=3) for n in ("one", "two"))
+    plans, overwrite = [], KeyedTable._overwrite
+    monkeypatch.setattr(KeyedTable, "_overwrite", lambda t, df, mode: (plans.append(df._jdf.queryExecution().executedPlan().toString()), overwrite(t, df, mode)))
+    for rows, now in ((old, early), (new, late)):
+        batch = P.voucher_rows(promo(spark, rows), cfg.hint("broadcast"), now).withColumn("_id", document_id(*P.VOUCHER_KEY))
+        store.merge(batch, lambda both, now=now: P.voucher_ledger(both, now))
+        # the first load is one plan; later the rows lie aside by partition and are copied
+        assert plans.pop().count("Exchange hashpartitioning") == (rows is old)
+        plain.upsert(P.voucher_merge(plain.rows_for(batch).drop("_id"), batch.drop("_id"), now))
+        assert rows_of(store.read()) == rows_of(plain.read())
+    # the voucher that no row of the second batch names stays as stored, one whose new row has no status gets a fresh state
+    assert {r._id: r.check_voucher for r in store.read().collect()} == {"1~v~7": "expired", "2~w~7": "not_expire", "3~x~7": "expired", "4~8": None, "5~y~9": None}
+
+
+def test_a_merge_takes_stored_rows_of_touched_partitions_only(spark):
+    t = KeyedTable.temporary(spark, "merged", ["k"], "k long, v long", parts=10)
+    t.replace(spark.range(100).selectExpr("id AS k", "id AS v"))
+    seen = []
+
+    def largest(both):
+        seen.append(both.filter(~F.col(NEW)).count())
+        return both.groupBy(PART, "k").agg(F.max("v").alias("v"))
+
+    t.merge(spark.createDataFrame([(17, 500), (17, 3), (18, 1)], "k long, v long"), largest)
+    assert 2 <= seen[0] < 100 and rows_of(t.read()) == sorted([(k, 500 if k == 17 else k) for k in range(100)], key=repr)
+
+
 HEAD = "transId\ttransStatus\tuserId\ttransactionTime\tappId\ttransType\tamount\tpmcId"
 
 
