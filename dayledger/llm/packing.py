@@ -83,14 +83,32 @@ class ByteTokenizer:
         other = [b for b in range(256) if b not in set(seen)]
         return {chr(b): b for b in seen} | {chr(256 + k): b for k, b in enumerate(other)}
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode(self, text: str, apart: bool = False) -> np.ndarray:
+        """``apart``: no two spaces are known to follow each other."""
         if self.fast is None or any(s in text for s in self.special):
             if self.library is None:
                 from tokenizers import Tokenizer
 
                 self.library = Tokenizer.from_str(self.spec)
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.array((self.fast if self.SPACES.search(text) else self.single).encode_ordinary(text), np.uint32)
+        return np.array((self.single if apart or not self.SPACES.search(text) else self.fast).encode_ordinary(text), np.uint32)
+
+
+# white space of ASCII, and bytes that other white space begins with
+_SPACE, _OTHER = np.zeros(256, bool), np.zeros(256, bool)
+_SPACE[[*range(9, 14), *range(28, 33)]] = _OTHER[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
+def spaces_apart(texts: pa.Array) -> np.ndarray:
+    """Texts that surely hold no two white-space characters in a row; the others must be searched for them."""
+    data, offsets = buffers(texts)
+    space = _SPACE[data]
+    two = space[1:] & space[:-1]
+    two[offsets[(offsets > 0) & (offsets < len(data))] - 1] = False  # of two texts
+    at = np.append(np.flatnonzero(two), np.flatnonzero(_OTHER[data]))
+    out = np.ones(len(texts), bool)
+    out[np.searchsorted(offsets, at, "right") - 1] = False
+    return out
 
 
 @dataclass
@@ -159,13 +177,15 @@ class Index:
         self.begin, self.length = first[group], first[group + 1] - first[group]
         self.doc_first = np.searchsorted(found.doc[back >> 32], np.arange(self.n + 1))
 
-    def neighbours(self, seed: int) -> Iterator[int]:
-        """Documents that share a term with the seed, best first; ties by place. Few are asked for, so few are sorted at first."""
+    def neighbours(self, seed: int, used: np.ndarray | None = None) -> Iterator[int]:
+        """Documents not ``used`` that share a term with the seed, best first; ties by place. Few are asked for, so few are sorted at first."""
         mine = slice(self.doc_first[seed], self.doc_first[seed + 1])
         a, n = self.begin[mine], self.length[mine]
         at = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
         scores = np.bincount(self.post_doc[at], weights=self.post_weight[at], minlength=self.n)
         scores[seed] = 0
+        if used is not None:
+            scores[used] = 0
         found = np.flatnonzero(scores)
         least = np.partition(scores[found], -FIRST_NEIGHBOURS)[-FIRST_NEIGHBOURS] if len(found) > FIRST_NEIGHBOURS else 0
         for some in (found[scores[found] >= least], found[scores[found] < least]):
@@ -185,7 +205,7 @@ def fill(lengths: list[int], index: Index, size: int, content: list) -> list[tup
         doc = -1
         if offset:
             if near is None:
-                near = index.neighbours(seed)
+                near = index.neighbours(seed, used)
             doc = next((d for d in near if not used[d] and content[d] not in here), -1)
         if doc < 0:
             while used[following]:
@@ -311,9 +331,9 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1
         for t in shards(batches, shard_bytes):
             content = t["text"].combine_chunks()
             ids, same = [], []
-            for x in content:
+            for x, apart in zip(content, spaces_apart(content).tolist(), strict=True):
                 x = x.as_py() or ""
-                ids.append(np.concatenate([tokens.encode(x), end]))
+                ids.append(np.concatenate([tokens.encode(x, apart), end]))
                 same.append(hash(x))
             placed = fill([len(x) for x in ids], Index(content, Frequencies(*all_docs.value)), size, same)
             doc, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*placed, strict=True))

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 2_000_000
+HASH_BYTES = 64_000  # the numbers of so many bytes stay in a core's cache
 _B = np.uint64(0x9E3779B97F4A7C15)
 _C = np.uint64(0xD1342543DE82EF95)
 
@@ -70,13 +71,13 @@ class Words:
     def hashes(self, salt: int = 0) -> np.ndarray:
         """A 64-bit hash of the bytes of each word, equal in every batch and process.
 
-        Worked out for words of about CHUNK_BYTES at a time: a very long text needs no 64-bit number for each byte.
+        Worked out for words of about HASH_BYTES at a time: a very long text needs no 64-bit number for each byte.
         """
         out = np.zeros(len(self.starts), np.uint64)
         values, at = byte_table(salt), 0
         while at < len(out):
             low = self.starts[at]
-            to = max(at + 1, int(np.searchsorted(self.ends, low + CHUNK_BYTES, "right")))
+            to = max(at + 1, int(np.searchsorted(self.ends, low + HASH_BYTES, "right")))
             data, start, end = self.data[low : self.ends[to - 1]], self.starts[at:to] - low, self.ends[at:to] - low
             with np.errstate(over="ignore"):
                 sums = np.zeros(len(data) + 1, np.uint64)

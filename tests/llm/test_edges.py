@@ -312,6 +312,35 @@ def test_packing_spreads_equal_rows_over_tasks(spark, monkeypatch):
     assert len(tasks) > 5 and tasks.max() < 300
 
 
+def test_spaces_are_known_to_lie_apart():
+    texts = ["a b\nc", "a  b", "a \nb", "", None, "a ", " b", "a \u00a0b", "a\u2003\u2003b", "\u3000 x", "\u1680\tx", "a\x1f b", "é à ü", "a\x85\x85b"]
+    odd = [bool(packing.ByteTokenizer.SPACES.search(x or "")) for x in texts]
+    apart = packing.spaces_apart(pa.array(texts)).tolist()
+    assert not any(a and o for a, o in zip(apart, odd, strict=True)) and apart[:7] == [True, False, False, True, True, True, True] and apart[12]
+    # the end of one text and the start of the next are no run, also in a slice
+    assert packing.spaces_apart(pa.array(["  ", "a ", " b", "x  y"]).slice(1)).tolist() == [True, True, False]
+    with open(tokenizer("byte_bpe_50k.json"), encoding="utf-8") as f:
+        tok = packing.ByteTokenizer(f.read())
+    assert all(tok.encode(x or "", a).tolist() == tok.encode(x or "").tolist() for x, a in zip(texts, apart, strict=True))
+
+
+def test_used_documents_are_no_neighbours():
+    index = packing.Index(pa.array([f"{prose(k, 9)} {prose(k % 5, 9)}" for k in range(80)]))
+    used = np.arange(80) % 3 == 0
+    for seed in range(0, 80, 7):
+        assert list(index.neighbours(seed, used)) == [d for d in index.neighbours(seed) if not used[d]]
+
+
+def test_hashes_do_not_depend_on_the_block(monkeypatch):
+    from dayledger.llm import words
+
+    found = words.find_words(*words.buffers(pa.array([prose(k, 50) for k in range(20)] + ["x" * 5000])))
+    whole = found.hashes()
+    assert words.HASH_BYTES <= 1 << 17
+    monkeypatch.setattr(words, "HASH_BYTES", 100)
+    assert (found.hashes() == whole).all()
+
+
 def test_ids_of_another_kind_of_file_come_from_the_library():
     import json
 
