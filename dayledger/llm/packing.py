@@ -21,10 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayledger.llm.words import buffers, find_words, pieces
+from dayledger.llm.words import buffers, find_words, look_up, pieces
 from dayledger.session import materialize
 
 K1, B = 1.2, 0.75
@@ -36,7 +37,11 @@ TASK_BYTES = 32_000_000
 
 class ByteTokenizer:
     """Ids of a byte-level BPE tokenizer file. Where the file is of the plain kind, the same merges run in tiktoken, which is
-    several times faster; texts that hold one of the file's special tokens, and all texts of other files, go to the tokenizers library."""
+    several times faster; texts that hold one of the file's special tokens, and all texts of other files, go to the tokenizers library.
+
+    A space before a character that is no white space begins a token, and what stands before it is split as at the
+    end of a text. So many texts are cut at such spaces, and each distinct stretch of them is encoded once.
+    """
 
     # where no two spaces follow each other, a split that looks ahead is not needed, and a faster engine does the rest
     SINGLE = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"""
@@ -50,7 +55,10 @@ class ByteTokenizer:
         self.special = [t["content"] for t in parsed["added_tokens"]]
         self.fast = self.single = None
         if self._plain(parsed):
-            self.fast, self.single = self._tiktoken(parsed, self.PATTERN), self._tiktoken(parsed, self.SINGLE)
+            self.fast, self.single = self._tiktoken(parsed, self.PATTERN, self.SINGLE)
+            vocab = parsed["model"]["vocab"]
+            self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
+            self.bytes_of[list(vocab.values())] = list(map(len, vocab))
 
     @staticmethod
     def _plain(parsed: dict) -> bool:
@@ -68,13 +76,13 @@ class ByteTokenizer:
         whole = all(len(t) == 1 or t in made or t in special for t in model["vocab"])
         return whole and all(a < b for a, b in zip([alone, *ids], ids))
 
-    def _tiktoken(self, parsed: dict, pattern: str):
+    def _tiktoken(self, parsed: dict, *patterns: str) -> list:
         import tiktoken
 
         code = self._byte_of_char()
         special = set(self.special)
         ranks = {bytes(code[c] for c in t): i for t, i in parsed["model"]["vocab"].items() if t not in special}
-        return tiktoken.Encoding("byte-bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        return [tiktoken.Encoding("byte-bpe", pat_str=p, mergeable_ranks=ranks, special_tokens={}) for p in patterns]
 
     @staticmethod
     def _byte_of_char() -> dict[str, int]:
@@ -93,19 +101,64 @@ class ByteTokenizer:
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array((self.single if apart or not self.SPACES.search(text) else self.fast).encode_ordinary(text), np.uint32)
 
+    def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text; a null is empty."""
+        if self.fast is None:
+            return [self.encode(x.as_py() or "") for x in texts]
+        data, offsets = buffers(texts)
+        cut = np.append(opens(data), [False, False])[: len(data) + 1]
+        cut[offsets[offsets > 0] - 1] = False  # a space at the end of a text stands before nothing
+        cut[offsets] = True
+        bounds = np.flatnonzero(cut)
+        stretches = pa.Array.from_buffers(pa.large_string(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        which = stretches.indices.to_numpy()
+        ids, first, count = self._distinct(stretches.dictionary)
+        size = count[which]
+        ends = np.append(0, np.cumsum(size))
+        flat = ids[np.repeat(first[which] - ends[:-1], size) + np.arange(ends[-1])]
+        of_text = ends[np.searchsorted(bounds, offsets)].tolist()
+        out = [flat[i:j] for i, j in zip(of_text[:-1], of_text[1:], strict=True)]
+        for s in self.special:
+            for k in np.flatnonzero(pc.match_substring(texts, s).fill_null(False).to_numpy(zero_copy_only=False)):
+                out[k] = self.encode(texts[k].as_py())
+        return out
+
+    def _distinct(self, stretches: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct stretches, the place of each one's first id, and their number. Stretches that open with a cut are encoded as one text."""
+        data, offsets = buffers(stretches)
+        joins = np.append(opens(data), False)[offsets[:-1]] & (np.diff(offsets) > 1)
+        apart = spaces_apart(stretches) & ~_SPACE[data[offsets[1:] - 1]]
+        heads = np.flatnonzero(~joins)  # beginnings of texts
+        order = [np.flatnonzero(joins & apart), np.flatnonzero(joins & ~apart), heads]
+        found, count = [], []
+        for use, engine in zip(order[:2], (self.single, self.fast), strict=True):
+            some, to = buffers(stretches.take(pa.array(use)))
+            found.append(np.array(engine.encode_ordinary(some.tobytes().decode()), np.uint32))
+            count.append(np.diff(np.searchsorted(np.cumsum(self.bytes_of[found[-1]]), to, "right")))
+        found.extend(np.array(self.fast.encode_ordinary(x.as_py()), np.uint32) for x in stretches.take(pa.array(heads)))
+        count = np.concatenate([*count, np.array([len(x) for x in found[2:]], np.int64)])
+        back = np.argsort(np.concatenate(order))
+        return np.concatenate(found), (np.cumsum(count) - count)[back], count[back]
+
 
 # white space of ASCII, and bytes that other white space begins with
 _SPACE, _OTHER = np.zeros(256, bool), np.zeros(256, bool)
 _SPACE[[*range(9, 14), *range(28, 33)]] = _OTHER[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+_WHITE = _SPACE | _OTHER
+
+
+def opens(data: np.ndarray) -> np.ndarray:
+    """Of each byte but the last: it is a space, and the next one surely begins no white space."""
+    return (data[:-1] == 32) & ~look_up(data[1:], _WHITE)
 
 
 def spaces_apart(texts: pa.Array) -> np.ndarray:
     """Texts that surely hold no two white-space characters in a row; the others must be searched for them."""
     data, offsets = buffers(texts)
-    space = _SPACE[data]
+    space = look_up(data, _SPACE)
     two = space[1:] & space[:-1]
     two[offsets[(offsets > 0) & (offsets < len(data))] - 1] = False  # of two texts
-    at = np.append(np.flatnonzero(two), np.flatnonzero(_OTHER[data]))
+    at = np.append(np.flatnonzero(two), np.flatnonzero(look_up(data, _OTHER)))
     out = np.ones(len(texts), bool)
     out[np.searchsorted(offsets, at, "right") - 1] = False
     return out
@@ -330,11 +383,8 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1
         tokens, end, last = ByteTokenizer(spec), np.array([end_id], np.uint32), -1
         for t in shards(batches, shard_bytes):
             content = t["text"].combine_chunks()
-            ids, same = [], []
-            for x, apart in zip(content, spaces_apart(content).tolist(), strict=True):
-                x = x.as_py() or ""
-                ids.append(np.concatenate([tokens.encode(x, apart), end]))
-                same.append(hash(x))
+            ids = [np.concatenate([x, end]) for x in tokens.encode_all(content)]
+            same = [hash(x.as_py() or "") for x in content]
             placed = fill([len(x) for x in ids], Index(content, Frequencies(*all_docs.value)), size, same)
             doc, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*placed, strict=True))
             sequence += last + 1

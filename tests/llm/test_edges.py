@@ -324,6 +324,51 @@ def test_spaces_are_known_to_lie_apart():
     assert all(tok.encode(x or "", a).tolist() == tok.encode(x or "").tolist() for x, a in zip(texts, apart, strict=True))
 
 
+def test_each_distinct_stretch_is_encoded_once():
+    import random
+
+    from tokenizers import Tokenizer
+
+    path, rng = tokenizer("byte_bpe_50k.json"), random.Random(5)
+    with open(path, encoding="utf-8") as f:
+        tok = packing.ByteTokenizer(f.read())
+    bits = [" ", " ", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\u1680", "a", "It", "'s", "'", "é", "中", "’", "12", "½", "!?", "<|endoftext|>", "\0"]
+    texts = ["", None, " ", "  ", "a ", " a", "a  ", " \n", "\u2003", *["".join(rng.choices(bits, k=rng.randrange(1, 30))) for _ in range(3000)]]
+    library = Tokenizer.from_file(path)
+    want = [library.encode(x or "", add_special_tokens=False).ids for x in texts]
+    assert [x.tolist() for x in tok.encode_all(pa.array(texts))] == want
+    assert [x.tolist() for x in tok.encode_all(pa.array(texts).slice(7, 900))] == want[7:907]
+    assert [x.tolist() for x in tok.encode_all(pa.array(texts[9:10]))] == want[9:10] and tok.encode_all(pa.array([], pa.string())) == []
+
+    class Counted:
+        def __init__(self, engine):
+            self.engine, self.chars = engine, 0
+
+        def encode_ordinary(self, text):
+            self.chars += len(text)
+            return self.engine.encode_ordinary(text)
+
+    tok.fast, tok.single = Counted(tok.fast), Counted(tok.single)
+    texts = [" ".join(rng.choices(["some", "words,", "come", "again\nand", "again."], k=400)) for _ in range(50)]
+    got = tok.encode_all(pa.array(texts))
+    assert [x.tolist() for x in got] == [library.encode(x, add_special_tokens=False).ids for x in texts]
+    assert tok.fast.chars + tok.single.chars < 1000
+
+
+def test_words_are_the_runs_between_separators():
+    import re
+
+    from dayledger.llm import words
+
+    texts = [None, "", "a", "b c", " ", "d ", " e", "f", "", "g\x0bH\n\ni", "é\xa0中", None]
+    for some in (texts, texts[:1], texts[1:4], []):
+        for lower in (False, True):
+            w = words.find_words(*words.buffers(pa.array(some, pa.string())), lower=lower)
+            got = [[bytes(w.data[w.starts[k] : w.ends[k]]).decode() for k in range(i, j)] for i, j in zip(w.first[:-1], w.first[1:])]
+            want = [re.findall(r"[^\x20\x09-\x0D]+", x or "") for x in some]
+            assert got == [[x.lower() if lower else x for x in ws] for ws in want]
+
+
 def test_used_documents_are_no_neighbours():
     index = packing.Index(pa.array([f"{prose(k, 9)} {prose(k % 5, 9)}" for k in range(80)]))
     used = np.arange(80) % 3 == 0
