@@ -69,6 +69,27 @@ def test_number_rows(spark):
     assert {(r.k, r.id): (r._rn, r._size) for r in got} == want
 
 
+@pytest.mark.parametrize("block_rows", [1, 2, 3, 100])
+def test_frames_wider_than_a_block(spark, block_rows):
+    """A frame may reach over several blocks."""
+    rows = [(k, n + 1, float(7 * n % 11)) for k, many in ((1, 1), (2, 4), (None, 9)) for n in range(many)]
+    df = spark.createDataFrame(rows, "k long, _rn long, v double")
+    frame = lambda w: {"s": F.collect_list("v").over(w.rowsBetween(-5, 3))}
+    want = df.withColumns(frame(Window.partitionBy("k").orderBy("_rn")))
+    assert rows_of(hot.framed(df, ["k"], 5, 3, frame, block_rows)) == rows_of(want)
+
+
+def test_own_mean_with_one_row_a_block(spark, hot_limit, tmp_path):
+    days = [dt.datetime(2024, 1, 1 + i) for i in range(6)]
+    rows = [(i, 1 + i % 2, days[i // 2], "F", float(i * i), "1") for i in range(12)]
+    names = "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderstatus string, o_totalprice double, o_orderpriority string"
+    spark.createDataFrame(rows, names).write.parquet(str(tmp_path / "orders.parquet"))
+    run = runnable(all_jobs()["win_pandas_agg"])
+    plain = rows_of(run(spark, str(tmp_path)))
+    with hot_limit(1):
+        assert rows_of(run(spark, str(tmp_path))) == plain
+
+
 def test_one_key_and_one_day_with_a_third_of_the_rows(spark, hot_limit):
     """Parts are even, also where calendar slices would hold all of it; keys up to 2^62."""
     rows = [(i, 1 << 62 if i % 3 == 0 else i, dt.datetime(2024, 1, 1, 8, 0, 0, i)) for i in range(900)]
