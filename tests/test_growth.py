@@ -112,6 +112,53 @@ def test_rounds_of_small_buckets_are_done_at_once(spark, monkeypatch, most):
     assert not any("words" in columns for columns in written)
 
 
+def in_turn(rows, percent):
+    """(id, leader): bucket by bucket, each row joins the first leader it is like, or leads."""
+    links = set()
+    for key in {k for _, _, keys in rows for k in keys}:
+        leaders = []
+        for i, words in sorted((i, set(words)) for i, words, keys in rows if key in keys):
+            for j, other in leaders:
+                if 100 * len(words & other) >= percent * len(words | other):
+                    links.add((i, j))
+                    break
+            else:
+                leaders.append((i, words))
+    return links
+
+
+@pytest.mark.parametrize("codes", [1 << 16, 5])
+def test_a_bucket_of_unlike_rows_takes_few_rounds_and_moves_no_words(spark, monkeypatch, codes):
+    """Rounds follow from the rows of a call, not from the leaders; a sketch of few codes lets through pairs that words then refuse."""
+    from dayledger.operators import likeness
+
+    rnd = np.random.default_rng(4)
+    base = [[f"g{g}w{k}" for k in range(12)] for g in range(25)]
+    rows = [(i, sorted({w for w in base[rnd.integers(25)] if rnd.random() > 0.2} | {f"own{i % 31}"}), [7, int(rnd.integers(3))]) for i in range(120)]
+    monkeypatch.setattr(likeness, "BUCKET_ROWS", 20)
+    if codes == 5:
+        few = lambda c: likeness.F.array_distinct(likeness.F.transform(c, lambda w: likeness.F.pmod(likeness.F.xxhash64(w), likeness.F.lit(5)).cast("short")))
+        monkeypatch.setattr(likeness, "sketch", few)
+    written, write = [], likeness.materialize
+    monkeypatch.setattr(likeness, "materialize", lambda df, name: (written.append((name, df.columns)), write(df, name))[1])
+    links = likeness.leader_links(spark.createDataFrame(rows, "id long, words array<string>, keys array<long>"), 60)
+    assert {(r.id, r.leader) for r in links.collect()} == in_turn(rows, 60)
+    assert sum(name == "leader-rest" for name, _ in written) <= 6 and not any("words" in c or "sketch" in c for _, c in written)
+
+
+def test_like_sets_send_words_once_to_a_cell(spark):
+    """A word that all sets hold makes no row for each pair of them."""
+    from dayledger.operators.likeness import like_sets, rarest_first
+
+    sets = [(i, ["the", "of", *[f"w{i % 40}x{k}" for k in range(i % 3 + 1)]]) for i in range(400)]
+    ordered = rarest_first(spark.createDataFrame(sets, "id long, words array<string>"), "id", "words")
+    joined = like_sets(ordered.filter("id % 10 = 0"), ordered, 60)
+    got = {(r.left_id, r.right_id) for r in joined.collect()}
+    alike = lambda a, b: 100 * len(set(a) & set(b)) >= 60 * len(set(a) | set(b))
+    assert got == {(i, j) for i, a in sets if i % 10 == 0 for j, b in sets if alike(a, b)}
+    assert "Join" not in plan(joined)
+
+
 @pytest.mark.parametrize("metric", ["distance", "product"])
 def test_a_query_is_sent_to_cells_not_to_lists(metric):
     """Lists share cells of bounded size; a larger list is cut; the best rows do not depend on it."""
