@@ -206,6 +206,38 @@ def test_points_of_a_fit_are_kept_once(spark, monkeypatch, name):
     assert all(r.good for r in run(spark, name).collect())
 
 
+def test_ratings_are_made_once_and_queries_written_once(spark, monkeypatch):
+    """Lines meet their orders in one plan, the library alone keeps ratings, and customers with their lists of parts are not written again."""
+    from dayledger.operators import nearest
+    from dayledger.plans import models
+
+    written = []
+    for module in (models, nearest):
+        monkeypatch.setattr(module, "materialize", lambda df, name, write=module.materialize: (written.append((name, plan(df).count("l_orderkey"))), write(df, name))[1])
+    monkeypatch.setattr(models, "fitted", lambda est, df: pytest.fail("kept by the query"))
+    rows = run(spark, "ml_als").collect()
+    assert rows and all(r.exact and r.unbought and r.good for r in rows)
+    assert [name for name, orders in written if orders and name != "keys"] == ["ratings"] and "nearest-queries" not in [name for name, _ in written]
+
+
+def test_blocks_follow_from_cores_and_memory(spark):
+    from dayledger.operators.nearest import BLOCK_QUERIES, query_blocks
+    from dayledger.plans.models import als_blocks
+
+    assert [als_blocks(n, 12) for n in (0, 5_000_000, 36_000_000, 216_000_000)] == [2, 3, 12, 18]
+    assert query_blocks(20 * BLOCK_QUERIES, 100, spark) == 20 and query_blocks(20 * BLOCK_QUERIES, 100, spark, 5) == 5
+
+
+def test_lists_to_skip_by_position():
+    import pyarrow as pa
+
+    from dayledger.operators.nearest import Skips
+
+    for kind in (pa.int32(), pa.int64()):
+        lists = Skips(pa.chunked_array([pa.array([[9], [5, 6], None], pa.list_(kind)).slice(1), pa.array([[], [7]], pa.list_(kind))]))
+        assert [list(lists[i]) for i in range(4)] == [[5, 6], [], [], [7]]
+
+
 def test_a_classifier_keeps_its_two_columns_only(spark, monkeypatch):
     from dayledger.plans import models
 
