@@ -206,6 +206,22 @@ def test_points_of_a_fit_are_kept_once(spark, monkeypatch, name):
     assert all(r.good for r in run(spark, name).collect())
 
 
+def test_words_of_texts_are_not_kept_beside_the_library_s_own(spark):
+    from pyspark.ml.feature import Word2Vec
+
+    from dayledger.plans.models import fitted
+
+    class Once(Word2Vec):
+        def fit(self, df, params=None):
+            return df.storageLevel.useMemory
+
+    class Passes:
+        def fit(self, df):
+            return df.storageLevel.useMemory
+
+    assert [fitted(est, spark.range(3)) for est in (Once(), Passes())] == [False, True]
+
+
 def test_ratings_are_made_once_and_queries_written_once(spark, monkeypatch):
     """Lines meet their orders in one plan, the library alone keeps ratings, and customers with their lists of parts are not written again."""
     from dayledger.operators import nearest
